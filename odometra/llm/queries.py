@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exactdup, mixing
+from . import chat, exactdup, linedup, mixing, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_neardup": neardup.op2_minhash_neardup,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_exact_dedup": exactdup.op8_exact_dedup,
+    "op9_line_dedup": linedup.op9_line_dedup,
     "op10_chat_format": chat.op10_chat_format,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_minhash_neardup": neardup.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op8_exact_dedup": exactdup.ORACLE,
     "op10_chat_format": chat.ORACLE,
