@@ -9,10 +9,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship_package
+
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+__all__ = ["WORD", "ascii_lower", "connected", "map_in_pandas", "materialize", "ship_package", "table"]
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -54,6 +58,13 @@ def _clean() -> None:
             return
 
 
+def map_in_pandas(df: DataFrame, run, schema: str, key: str = "doc_id") -> DataFrame:
+    """mapInPandas where the nullable long `key` travels as a string: pandas would make floats of longs with nulls."""
+    ship_package(df.sparkSession)
+    out = df.withColumn(key, F.col(key).cast("string")).mapInPandas(run, schema.replace(f"{key} long", f"{key} string", 1))
+    return out.withColumn(key, F.col(key).cast("long"))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

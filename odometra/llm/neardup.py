@@ -14,7 +14,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected, materialize, table
+from .common import connected, map_in_pandas, materialize, table
 
 #: 64 bands of 8 hashes miss a pair of similarity 0.8 with probability 8e-6.
 BANDS, ROWS = 64, 8
@@ -99,7 +98,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 out["sig"].append((_mix(least[:: len(least) // SIGNATURE].astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], **out})
 
-    return docs.mapInPandas(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>, sig binary")
+    return map_in_pandas(docs, run, "doc_id long, n_shingles long, set_hash binary, bands array<long>, sig binary")
 
 
 @lru_cache

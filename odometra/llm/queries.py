@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exactdup, linedup, mixing, neardup
+from . import chat, decontam, exactdup, html_text, langid, linedup, mixing, neardup, pii, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
     "op2_minhash_neardup": neardup.op2_minhash_neardup,
+    "op3_token_counts": tokens.op3_token_counts,
+    "op4_benchmark_decontamination": decontam.op4_benchmark_decontamination,
+    "op5_language_id": langid.op5_language_id,
+    "op6_html_text": html_text.op6_html_text,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_exact_dedup": exactdup.op8_exact_dedup,
     "op9_line_dedup": linedup.op9_line_dedup,
