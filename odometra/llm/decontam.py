@@ -20,10 +20,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_in_pandas, table
+from .common import map_in_pandas, ship_package, table
 
 BLOCKS, WIDTH, NEAR = 8, 8, 2
 #: Bits in which two fingerprints may differ; BLOCKS * (NEAR + 1) - 1 is what the blocks guarantee.
@@ -183,17 +184,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     The index is broadcast only up to items_at_once items and chars_at_once code points;
     beyond, items are dealt into as many passes over the documents as it takes.
     """
-    spark = docs.sparkSession
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
-    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    passes = max(1, -(-n // items_at_once), -(-chars // chars_at_once))
-
     out = None
-    for p in range(passes):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items
-        rows = sorted((r["item_id"], r["text"]) for r in some.collect() if r["item_id"] is not None)
-        held = spark.sparkContext.broadcast(rows)
+    for held in item_parts(benchmark, item_col, item_text_col, items_at_once, chars_at_once):
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             index, hashes = Index(held.value, words), _WordHashes()
@@ -209,5 +202,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     return out
 
 
+def item_parts(benchmark: DataFrame, item_col: str, item_text_col: str, items_at_once: int, chars_at_once: int) -> list[Broadcast]:
+    """Broadcast lists of (item_id, text), each within the bounds; rows without id or text are left out."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null and item_id is not null")
+    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // items_at_once), -(-chars // chars_at_once))
+    held = []
+    for p in range(parts):
+        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p) if parts > 1 else items
+        held.append(benchmark.sparkSession.sparkContext.broadcast(sorted((r["item_id"], r["text"]) for r in some.collect())))
+    return held
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", words: int = 5, similarity: float = 0.8, items_at_once: int = ITEMS_AT_ONCE, chars_at_once: int = CHARS_AT_ONCE) -> DataFrame:
+    """docs, with all columns, without the rows that contaminated() finds; no shuffle."""
+    ship_package(docs.sparkSession)
+    for held in item_parts(benchmark, item_col, item_text_col, items_at_once, chars_at_once):
+        docs = docs.where(~_leaks(held, words, similarity)(F.col(text_col)))
+    return docs
+
+
+def _leaks(held: Broadcast, words: int, similarity: float):
+    @F.pandas_udf("boolean")
+    def leaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index, hashes = Index(held.value, words), _WordHashes()
+        for texts in batches:
+            yield pd.Series([bool(index.search(word_hashes(t, hashes), similarity)) for t in texts], dtype=bool)
+
+    return leaks
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

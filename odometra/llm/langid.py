@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_in_pandas, table
+from .common import map_in_pandas, ship_package, table
 
 #: Bounds of what is learned: documents and code points per language, code points per document, languages.
 SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS, LANGUAGES = 96, 60_000, 20_000, 128
@@ -160,6 +160,19 @@ def identify(docs: DataFrame, learned: tuple[tuple[str, str], ...], *, id_col: s
     return map_in_pandas(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, lang_pred string, score double")
 
 
+def predictor(spark: SparkSession, learned: tuple[tuple[str, str], ...]):
+    """A function of a text column that gives struct(lang, score), for use where rows keep their columns."""
+    ship_package(spark)
+    held = spark.sparkContext.broadcast(learned)
+
+    @F.pandas_udf("struct<lang:string,score:double>")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        who = identifier_of(held.value)
+        return pd.DataFrame([who.predict(t) for t in texts], columns=["lang", "score"])
+
+    return predict
+
+
 def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

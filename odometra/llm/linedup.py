@@ -101,6 +101,24 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     return level.join(dead, ["row", "line"], "left_semi").select("row", "at")
 
 
+def with_deduped(docs: DataFrame, *, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """docs, with all columns, and __line_dedup: struct(text, n_lines, n_removed)."""
+    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    dead = repeated_lines(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), min_words)
+    dead = dead.groupBy(F.col("row").alias("__dead_row")).agg(F.collect_set("at").alias("__dead_at"))
+    joined = docs.join(dead, row == F.col("__dead_row"), "left")
+    text, gone = F.col(text_col), F.col("__dead_at")
+    lines = F.split(text, "\n")
+    alive = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    left = F.array_join(F.transform(alive, lambda i: F.get(lines, i)), "\n")
+    result = F.struct(
+        F.when(gone.isNull(), text).otherwise(left).alias("text"),
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed"),
+    )
+    return joined.withColumn("__line_dedup", result).drop("__dead_row", "__dead_at")
+
+
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Texts without later copies of repeated line runs: (doc_id, text, n_lines, n_removed).
 
@@ -110,19 +128,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     break or count in a run and stay. Null text stays null with 0 lines; rows repeated in
     full are one document and keep the same lines; an empty table gives no rows.
     """
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    named = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    dead = repeated_lines(named, min_words).groupBy(F.col("row").alias("dead_row")).agg(F.collect_set("at").alias("dead"))
-    joined = named.join(dead, F.col("row") == F.col("dead_row"), "left")
-    lines = F.split("text", "\n")
-    alive = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dead"))
-    left = F.array_join(F.transform(alive, lambda i: F.get(lines, i)), "\n")
-    return joined.select(
-        "doc_id",
-        F.when(F.col("dead").isNull(), F.col("text")).otherwise(left).alias("text"),
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("dead"), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return with_deduped(named, id_col="doc_id", text_col="text", min_words=min_words).select("doc_id", "__line_dedup.text", "__line_dedup.n_lines", "__line_dedup.n_removed")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def source_targets(sizes: DataFrame, total: Column, weights: tuple[int, ...], ma
     return s.select("source", "source_size", "n", F.when(F.col("stops"), F.col("cap").cast("double")).otherwise((F.col("w") * F.col("num")) / F.col("den")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
+def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, row: Column | None = None) -> DataFrame:
     """Words to take of every document so that sources meet their weights.
 
     Each document gets a hash-random key (MD5 of its id). Within a source, documents are
@@ -41,7 +41,8 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     at the cut in part. No range grows beyond about sqrt(n) rows, so a source with a
     third of all rows is spread over many tasks.
 
-    Returns (doc_id, source, size, source_size, target, taken), a row per input row.
+    Returns (doc_id, source, size, source_size, target, taken), a row per input row, and
+    row, where a key of the input row is given, to join by.
     Null text has size 0 and is never taken; a null source is one source, the last;
     equal ids are ordered by size; an empty table gives an empty result; reruns agree.
     """
@@ -51,6 +52,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"),
+            *([] if row is None else [row.alias("row")]),
         )
     )
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -73,7 +75,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     local = placed.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = local.join(starts, F.col("source").eqNullSafe(F.col("start_source")) & (F.col("range") == F.col("start_range")))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start") - F.col("local")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"), *([] if row is None else ["row"]))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
