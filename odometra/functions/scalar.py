@@ -115,7 +115,7 @@ def format_seconds(ns: str | Column) -> Column:
 
 def iso_utc(ns: str | Column) -> Column:
     """ISO time in UTC from nanoseconds, to the microsecond; made of date arithmetic, whatever the session's zone."""
-    us = ((col(ns) - F.pmod(col(ns), F.lit(1000))) / 1000).cast("long")
+    us = F.round((col(ns) - F.pmod(col(ns), F.lit(1000))) / 1000).cast("long")
     days = F.floor(us / 86_400_000_000).cast("int")
     rest = us - days.cast("long") * 86_400_000_000
     hms = F.format_string("%02d:%02d:%02d.%06d", F.floor(rest / 3_600_000_000), F.floor(rest / 60_000_000) % 60, F.floor(rest / 1_000_000) % 60, rest % 1_000_000)
