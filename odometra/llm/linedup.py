@@ -38,7 +38,7 @@ def _repeated(ranks: DataFrame) -> DataFrame:
 def line_table(docs: DataFrame) -> DataFrame:
     """(row, doc_id, line, h1, h2, words) of (row, doc_id, text): lines with a word, numbered among themselves; at is the place in the text."""
     split = docs.where(F.col("text").isNotNull()).select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "text"))
-    trimmed = F.regexp_replace("text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    trimmed = F.trim(F.col("text"), F.lit(" \t\n\x0b\x0c\r"))
     lines = split.select("row", "doc_id", "at", trimmed.alias("text")).where("text != ''")
     h1, h2 = _name(F.col("text"))
     return lines.select("row", "doc_id", "at", h1.alias("h1"), h2.alias("h2"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("words"))
@@ -47,8 +47,9 @@ def line_table(docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """(row, at) of the lines to delete."""
     by_doc = Window.partitionBy("row").orderBy("at")
-    lines = line_table(docs)
-    again = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2", F.lit(1).alias("again"))
+    lines = materialize(line_table(docs))
+    # written, so that the join can split a line that a third of all rows hold
+    again = materialize(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2", F.lit(1).alias("again")))
     # only stretches of repeated lines can hold a repeated run; a stretch ends at a line that occurs once
     marked = (
         lines.join(again, ["h1", "h2"], "left")
