@@ -16,20 +16,22 @@ def recall_auc(errors: DataFrame, *, error: str, thresholds: Sequence[float], by
     are ordered.
     """
     floor = F.col(min_error) if isinstance(min_error, str) else F.lit(float(min_error))
-    e = errors.select(*by, F.greatest(F.col(error), floor).cast("double").alias("e"), F.col(error).cast("double").alias("raw"))
-    totals = e.groupBy(*by).agg(F.count("*").alias("n"))
-    steps = e.where(F.col("e") <= max(thresholds)).groupBy(*by, "e").agg(F.count("*").alias("k"))
-    order = Window.partitionBy(*by).orderBy("e")
-    curve = (steps.join(totals, list(by)) if by else steps.crossJoin(totals)).withColumn("r1", F.sum("k").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.col("n"))
-    curve = curve.withColumn("r0", F.coalesce(F.lag("r1").over(order), F.lit(0.0))).withColumn("e0", F.coalesce(F.lag("e").over(order), F.lit(0.0)))
-    grid = totals.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
-    met = grid.select(*by, "threshold", F.col("n").alias("total")).join(curve, list(by), "left") if by else grid.select("threshold", F.col("n").alias("total")).crossJoin(curve)
-    inside = F.col("e") <= F.col("threshold")
-    area = F.sum(F.when(inside, (F.col("e") - F.col("e0")) * (F.col("r0") + F.col("r1")) / 2))
-    last_e, last_r = F.max(F.when(inside, F.col("e"))), F.max(F.when(inside, F.col("r1")))
-    g = met.groupBy(*by, "threshold").agg(F.first("total").alias("n"), area.alias("a"), last_e.alias("le"), last_r.alias("lr"))
-    auc = (F.coalesce("a", F.lit(0.0)) + (F.col("threshold") - F.coalesce("le", F.lit(0.0))) * F.coalesce("lr", F.lit(0.0))) / F.col("threshold") * 100
-    recall = e.crossJoin(F.broadcast(e.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double"))).groupBy(*by, "threshold").agg((F.count_if(F.col("raw") <= F.col("threshold")) / F.count("*") * 100).alias("recall"))
+    e = errors.select(*by, F.greatest(F.col(error), floor).cast("double").alias("__e"), F.col(error).cast("double").alias("__raw"))
+    totals = e.groupBy(*by).agg(F.count("*").alias("__n"))
+    steps = e.where(F.col("__e") <= max(thresholds)).groupBy(*by, "__e").agg(F.count("*").alias("__k"))
+    order = Window.partitionBy(*by).orderBy("__e")
+    curve = (steps.join(totals, list(by)) if by else steps.crossJoin(totals)).withColumn("__r1", F.sum("__k").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.col("__n"))
+    curve = curve.withColumn("__r0", F.coalesce(F.lag("__r1").over(order), F.lit(0.0))).withColumn("__e0", F.coalesce(F.lag("__e").over(order), F.lit(0.0))).drop("__n")
+    limits = F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))
+    grid = totals.withColumn("threshold", limits)
+    met = grid.join(curve, list(by), "left") if by else grid.crossJoin(curve)
+    inside = F.col("__e") <= F.col("threshold")
+    area = F.sum(F.when(inside, (F.col("__e") - F.col("__e0")) * (F.col("__r0") + F.col("__r1")) / 2))
+    g = met.groupBy(*by, "threshold").agg(F.first("__n").alias("n"), area.alias("__a"), F.max(F.when(inside, F.col("__e"))).alias("__le"), F.max(F.when(inside, F.col("__r1"))).alias("__lr"))
+    auc = (F.coalesce("__a", F.lit(0.0)) + (F.col("threshold") - F.coalesce("__le", F.lit(0.0))) * F.coalesce("__lr", F.lit(0.0))) / F.col("threshold") * 100
+    met_by = [F.count_if(F.col("__raw") <= float(t)) for t in thresholds]
+    shares = e.groupBy(*by).agg(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), (m / F.count("*") * 100).alias("recall")) for t, m in zip(thresholds, met_by, strict=True)]).alias("__s"))
+    recall = shares.select(*by, F.explode("__s").alias("__x")).select(*by, "__x.threshold", "__x.recall")
     return g.select(*by, "threshold", "n", auc.alias("auc")).join(recall, [*by, "threshold"])
 
 
