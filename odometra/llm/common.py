@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checkpoints import materialize
 from ..shipping import ship_package
 
 #: A word is a maximal run of anything but ASCII white space.
@@ -17,47 +14,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 __all__ = ["WORD", "ascii_lower", "connected", "map_in_pandas", "materialize", "ship_package", "table"]
 
-_written: list[tuple[SparkSession, str]] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="odometra-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared folder and read it back.
-
-    A lost executor then costs a re-read instead of the stages above, and what is
-    non-deterministic or dear is computed once. Files go when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/odometra-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(schema).parquet(path)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session has gone, and with it the way to the folder
-            return
-
-
 def map_in_pandas(df: DataFrame, run, schema: str, key: str = "doc_id") -> DataFrame:
     """mapInPandas where the nullable long `key` travels as a string: pandas would make floats of longs with nulls."""
     ship_package(df.sparkSession)
@@ -81,7 +41,8 @@ def connected(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
     e, before = materialize(e), None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written first, so that the join can split a vertex with very many links
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.where("u > m").select("u", F.col("m").alias("v"))).where("u > v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct()

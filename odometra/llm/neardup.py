@@ -3,10 +3,11 @@
 1. One pass over the texts gives each document the hash of its shingle set, band keys and
    a signature of one byte per hash. Documents with equal sets become one class.
 2. Classes that share a band key are candidates. Within a band bucket no pairs are spelled
-   out: each class is first compared with the smallest and the largest id it shares a
-   bucket with, which joins large groups of near copies into components. What is left are
+   out: each class is first compared with the centre of its largest buckets and the
+   smallest id it shares a bucket with, which joins large groups of near copies into
+   components. What is left are
    classes of other components in the same bucket; a bucket with few of those compares
-   them with all its members, a bucket with many is compared in blocks inside a task.
+   them with all its members, a bucket with many is compared in blocks inside tasks.
 3. Candidates are compared signature batch by signature batch; a pair goes when the
    posterior of its similarity leaves less than `miss` for the threshold or more.
 4. Survivors are verified on full shingle sets.
@@ -31,8 +32,9 @@ BANDS, ROWS = 64, 8
 SIGNATURE, BATCH = 256, 32
 #: Chance at which a pair at the threshold may be pruned by each batch.
 MISS = 1e-6
-#: Other components that a bucket compares pair by pair; buckets with more go in blocks of this many members.
-FEW, BLOCK = 32, 128
+#: Members outside a bucket's largest component that are paired with all its members; buckets
+#: with more go in blocks of so many members and shingles.
+FEW, BLOCK, BLOCK_SHINGLES = 2, 2048, 2_000_000
 
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _MIX = np.random.default_rng(7).integers(1, 2**62, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -159,28 +161,52 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(100 * F.col("overlap") >= percent * (F.col("total") - F.col("overlap"))).select("a", "b")
 
 
-def blocked_pairs(members: DataFrame, sigs: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Surviving pairs of buckets (key, doc_id, root, size) with many components.
+def blocked_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: float, percent: int, miss: float) -> DataFrame:
+    """Verified links (a, b) of buckets (key, doc_id, root, top) with many components.
 
-    Members are dealt into blocks of about BLOCK; a task gets two blocks at a time and emits
-    only pairs of different components that no signature batch prunes.
+    Members are dealt into blocks bounded in rows and shingles; a task gets two blocks.
+    Members outside the bucket's largest component are compared with all of the other block:
+    signature batches prune, and survivors are verified by counting shared shingles of one
+    member against the whole block at once. Only links that join two components are emitted,
+    so a group of near copies gives fewer rows than it has members.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.join(sigs, "doc_id").select("key", "doc_id", "root", "sig", blocks.alias("blocks"), F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"))
+    full = members.join(sets.select("doc_id", "shingles"), "doc_id").join(sigs, "doc_id")
+    sizes = members.join(sets.select("doc_id", F.size("shingles").alias("n")), "doc_id").groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    dealt = full.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))
-    spread = dealt.select("key", "doc_id", "root", "sig", "block", F.explode(meets).alias("at")).select("key", "doc_id", "root", "sig", "block", "at.i", "at.j")
+    spread = dealt.select("key", "doc_id", "root", "top", "sig", "shingles", "block", F.explode(meets).alias("at")).select("key", "doc_id", "root", "top", "sig", "shingles", "block", "at.i", "at.j")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        ids, roots, sig = pdf["doc_id"].to_numpy(), pdf["root"].to_numpy(), _matrix(pdf["sig"])
-        left, right = np.flatnonzero(pdf["block"] == i), np.flatnonzero(pdf["block"] == j)
-        a, b = [], []
-        for x in left:
-            others = right[(roots[right] != roots[x]) & ((ids[right] > ids[x]) if i == j else np.ones(len(right), bool))]
-            keep = others[survives(np.broadcast_to(sig[x], (len(others), SIGNATURE)), sig[others], threshold, miss)]
-            a += [ids[x]] * len(keep)
-            b += list(ids[keep])
-        return pd.DataFrame({"a": np.minimum(a, b).astype("int64"), "b": np.maximum(a, b).astype("int64")})
+        i, j, top = pdf["i"].iloc[0], pdf["j"].iloc[0], pdf["top"].iloc[0]
+        ids, roots, sig, block = pdf["doc_id"].to_numpy(), pdf["root"].to_numpy(), _matrix(pdf["sig"]), pdf["block"].to_numpy()
+        held = [np.asarray(x, np.int64) for x in pdf["shingles"]]
+        size = np.array([len(x) for x in held])
+        # components by number; joined ones take one number, for all members at once
+        part = np.unique(roots, return_inverse=True)[1]
+        out = []
+        for left, right in ((i, j), (j, i)) if i != j else ((i, i),):
+            asks, others = np.flatnonzero((block == left) & (roots != top)), np.flatnonzero(block == right)
+            if not len(asks) or not len(others):
+                continue
+            owner = np.repeat(np.arange(len(others)), size[others])
+            shingle = np.concatenate([held[y] for y in others])
+            order = np.argsort(shingle, kind="stable")
+            shingle, owner = shingle[order], owner[order]
+            for x in asks:
+                maybe = np.flatnonzero(part[others] != part[x])
+                maybe = maybe[survives(np.broadcast_to(sig[x], (len(maybe), SIGNATURE)), sig[others[maybe]], threshold, miss)]
+                if not len(maybe):
+                    continue
+                low, high = np.searchsorted(shingle, held[x], "left"), np.searchsorted(shingle, held[x], "right")
+                n = high - low
+                places = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                both = np.bincount(owner[places], minlength=len(others))[maybe]
+                linked = others[maybe[100 * both >= percent * (size[x] + size[others[maybe]] - both)]]
+                for y in linked:
+                    if part[y] != part[x]:
+                        out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                        part[part == part[y]] = part[x]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return spread.groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
 
@@ -204,7 +230,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     reps = materialize(known.select("doc_id", "set_hash", "bands", "sig").join(classes, "set_hash").where("doc_id = first_id").dropDuplicates(["doc_id", "set_hash"]).select("doc_id", "bands", "sig"))
     sigs = reps.select("doc_id", "sig")
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    shared = banded.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key", "size", "low")
     members = materialize(banded.join(shared, "key").distinct())
 
     wanted = members.select(F.col("doc_id").alias("wanted")).distinct()
@@ -216,9 +242,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "shingles": [shingle_hashes(t, words, hashes).view(np.int64) for t in pdf["text"]]})
 
     sets = materialize(texts.mapInPandas(sets_of, "doc_id long, shingles array<long>"))
+    # the text that near copies were made of meets most of them in each band: the member with
+    # the largest buckets is its bucket's centre
+    weight = members.groupBy("doc_id").agg(F.sum("size").alias("w"))
+    centres = members.select("key", "doc_id").join(weight, "doc_id").groupBy("key").agg(F.max(F.struct("w", (-F.col("doc_id")).alias("minus"))).alias("c"))
+    met = members.select("key", "doc_id").join(materialize(centres), "key").where("doc_id != -c.minus").groupBy("doc_id").agg(F.max("c").alias("c"))
     lows = members.where("doc_id > low").groupBy("doc_id").agg(F.min("low").alias("o"))
-    highs = members.where("doc_id < high").groupBy("doc_id").agg(F.max("high").alias("o"))
-    hubs = lows.unionByName(highs).select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct()
+    hubs = met.select("doc_id", (-F.col("c.minus")).alias("o")).unionByName(lows).select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct()
     links = materialize(verify(prune(hubs, sigs, threshold, miss), sets, percent))
 
     roots = connected(links, "a", "b")
@@ -230,10 +260,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     x = few.where("root != top").select("key", F.col("doc_id").alias("x"), F.col("root").alias("root_x"))
     y = few.select("key", F.col("doc_id").alias("y"), F.col("root").alias("root_y"), "top")
     crossed = x.join(y, "key").where("root_x != root_y and (root_y = top or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    many = rest.where(F.col("others") > FEW).select("key", "doc_id", "root", "size")
-    tried = hubs.select("a", "b")
-    found = prune(crossed.join(tried, ["a", "b"], "left_anti"), sigs, threshold, miss).unionByName(blocked_pairs(many, sigs, threshold, miss)).distinct()
-    more = verify(found, sets, percent)
+    many = rest.where(F.col("others") > FEW).select("key", "doc_id", "root", "top")
+    found = prune(crossed.join(hubs, ["a", "b"], "left_anti"), sigs, threshold, miss)
+    more = verify(found, sets, percent).unionByName(blocked_links(many, sigs, sets, threshold, percent, miss))
     same = known.select("doc_id", "set_hash").distinct().join(classes, "set_hash").where("doc_id != first_id").select(F.col("first_id").alias("a"), F.col("doc_id").alias("b"))
     components = connected(links.unionByName(more).unionByName(same), "a", "b")
     return base.join(components, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
