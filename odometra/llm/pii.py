@@ -133,7 +133,7 @@ def discover(found: DataFrame, *, trust: float, support: int, turns: int) -> Dat
         sizes = scored.groupBy("context").agg(F.count("*").alias("n"))
         patterns = scored.where("best is not null").groupBy("context", "best").agg(F.sum("score").alias("good"), F.sum(F.when(F.col("score") >= 1, 1).otherwise(0)).alias("seeds"))
         trusted = patterns.join(sizes, "context").withColumn("trust", F.col("good") / F.col("n")).where((F.col("trust") >= trust) & (F.col("seeds") >= support)).select("context", F.col("best").alias("vouched"), "trust")
-        votes = scored.where("score < 1").join(trusted, "context").groupBy("value", "shape", "vouched").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6)))))).alias("vote"))
+        votes = scored.where("score < 1").join(trusted, "context").groupBy("value", "shape", "vouched").agg(F.least(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))), F.lit(0.999)).alias("vote"))  # 1 is for seeds
         top = votes.groupBy("value", "shape").agg(F.max(F.struct("vote", "vouched")).alias("top")).select("value", "shape", F.col("top.vouched").alias("new"), F.col("top.vote").alias("vote"))
         known = materialize(known.join(top, ["value", "shape"], "left").select("value", "shape", F.coalesce("best", "new").alias("best"), F.when(F.col("score") >= 1, F.col("score")).otherwise(F.coalesce("vote", "score")).alias("score")))
     return known.where((F.col("score") >= trust) & (F.col("score") < 1) & F.col("best").isNotNull()).select("value", "shape", F.col("best").alias("new_kind"))
