@@ -1,8 +1,8 @@
 r"""Chat formatting by schema fingerprint (operator 10, DataFrame functions only).
 
-Template: <|turn|>ROLE<|text|>TEXT<|end|> for every turn. In roles and texts a backslash
-goes before each of \ | < [ so that neither the template's own control strings nor those of
-other templates (</s>, [INST]) can occur inside a text; dropping it again is exact.
+Template: <|turn|>ROLE<|text|>TEXT<|end|> for every turn. In roles and texts each of \ < | [
+becomes a backslash and a letter, so that neither the template's own control strings nor
+those of other templates (</s>, [INST]) can occur inside a text; reading them back is exact.
 """
 
 from __future__ import annotations
@@ -14,14 +14,21 @@ from pyspark.sql import types as T
 from .common import table
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
+#: The backslash's own code comes first, and is read back last.
+CODES = (("\\", "\\s"), ("<", "\\l"), ("|", "\\p"), ("[", "\\b"))
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"([\\|<\[])", r"\\$1")
+    """Every backslash that this leaves begins one of its codes."""
+    for plain, code in CODES:
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return text
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    for plain, code in reversed(CODES):
+        text = F.replace(text, F.lit(code), F.lit(plain))
+    return text
 
 
 def field_paths(kind: T.DataType, at: str = "") -> list[str]:
