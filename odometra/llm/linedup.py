@@ -31,7 +31,7 @@ def _name(*parts: Column) -> tuple[Column, Column]:
 
 def _repeated(ranks: DataFrame) -> DataFrame:
     """Positions whose rank occurs twice or more."""
-    twice = ranks.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    twice = materialize(ranks.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"))
     return ranks.join(twice, ["h1", "h2"], "left_semi")
 
 
@@ -90,13 +90,13 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
         if longest >= 2 ** (k + 1):
             next_half = ranks.select("row", (F.col("line") - 2**k).alias("line"), F.col("h1").alias("n1"), F.col("h2").alias("n2"))
             h1, h2 = _name(F.col("h1"), F.col("h2"), F.col("n1"), F.col("n2"))
-            ranks = materialize(_repeated(ranks.join(next_half, ["row", "line"]).select("row", "line", h1.alias("h1"), h2.alias("h2"))))
+            ranks = _repeated(materialize(ranks.join(next_half, ["row", "line"]).select("row", "line", h1.alias("h1"), h2.alias("h2"))))
         k += 1
     if spans is None:
         return level.select("row", "at").limit(0)
     spans = materialize(spans)
     order = F.struct("doc_id", "row", "begin")
-    first = spans.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = materialize(spans.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1"))
     later = spans.join(first, ["h1", "h2"]).where(order > F.col("first")).select("row", "begin", "end").distinct()
     dead = later.select("row", F.explode(F.sequence("begin", "end")).alias("line")).distinct()
     return level.join(dead, ["row", "line"], "left_semi").select("row", "at")
