@@ -28,7 +28,7 @@ from .common import map_in_pandas, table
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBER = 500_000
+REMEMBER = 200_000
 NORMAL, USER_DEFINED, UNUSED = 1, 4, 5
 
 
