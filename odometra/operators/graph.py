@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..checkpoints import materialize
+from .pairs import dense_ids
 
 
 def symmetric(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
@@ -47,7 +46,7 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2", nodes
 def ranked_components(components: DataFrame, min_size: int = 1) -> DataFrame:
     """(node, component, size, rank): components by size, the largest 0, of equals the smaller id first; below min_size -1."""
     n = components.groupBy("component").agg(F.count("*").alias("size"))
-    big = n.where(F.col("size") >= min_size).withColumn("rank", (F.row_number().over(Window.orderBy(F.col("size").desc(), "component")) - 1).cast("long"))
+    big = dense_ids(n.where(F.col("size") >= min_size).withColumn("__neg", -F.col("size")), ["__neg", "component"], out="rank", start=0)
     return components.join(n.join(big.select("component", "rank"), "component", "left"), "component").select("node", "component", "size", F.coalesce("rank", F.lit(-1).cast("long")).alias("rank"))
 
 

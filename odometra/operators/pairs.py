@@ -15,7 +15,9 @@ from ..shipping import ship_package
 
 
 def ranked(items: DataFrame, *, order: Sequence[str], by: Sequence[str] = (), out: str = "rank") -> DataFrame:
-    """Ordinal place of each row in its group, from 0."""
+    """Ordinal place of each row in its group, from 0; without groups, by range-sorted parts."""
+    if not by:
+        return dense_ids(items, order, out=out, start=0)
     return items.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
 
 
