@@ -4,7 +4,8 @@ A bounded sample of labelled text per language becomes a suffix automaton. A tex
 against each language: from left to right, each phrase is the longest match with the labelled
 text. Fewer phrases, normalised by log2 of the labelled length and the text's length, mean a
 lower cross-entropy; the language with the fewest wins. Phrases end at word boundaries (the
-unit is a word with a blank on both sides), so that a word's phrases can be remembered.
+unit is a word with a blank on both sides), so that a word's phrases can be remembered and
+the labelled text needs each of its words once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import mul
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import map_in_pandas, ship_package, table
 
 #: Bounds of what is learned: documents and code points per language, code points per document, languages.
-SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS, LANGUAGES = 96, 60_000, 20_000, 128
-REMEMBER = 300_000
+SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS, LANGUAGES = 96, 30_000, 20_000, 128
+REMEMBER, BITS = 150_000, 40
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -80,35 +82,39 @@ def units(text: str) -> list[str]:
     return _LETTERS.findall(text.lower())
 
 
+class _Phrases(dict):
+    """Phrases of words in all languages, packed into one number of BITS bits each; forgets all when full."""
+
+    def __init__(self, automata: list[SuffixAutomaton]) -> None:
+        self.automata = automata
+
+    def __missing__(self, word: str) -> int:
+        unit, packed = f" {word} ", 0
+        for a in reversed(self.automata):
+            packed = packed << BITS | a.phrases(unit)
+        if len(word) <= 64:
+            if len(self) >= REMEMBER:
+                self.clear()
+            self[word] = packed
+        return packed
+
+
 class Identifier:
     """learned: (language, labelled text), from the most to the fewest labelled rows."""
 
     def __init__(self, learned: tuple[tuple[str, str], ...]) -> None:
         self.languages = [k for k, _ in learned]
-        self.automata = [SuffixAutomaton(t) for _, t in learned]
+        self.seen = _Phrases([SuffixAutomaton(t) for _, t in learned])
         self.scale = [math.log2(len(t) + 1) for _, t in learned]
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def _phrases(self, word: str) -> tuple[int, ...]:
-        got = self.seen.get(word)
-        if got is None:
-            unit = f" {word} "
-            got = tuple(a.phrases(unit) for a in self.automata)
-            if len(word) <= 64:
-                if len(self.seen) >= REMEMBER:
-                    self.seen.clear()
-                self.seen[word] = got
-        return got
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: how much longer the second best parse is, from 0.5 (as long) to 1; 0 for und."""
         found = units(text or "")
         if not found or not self.languages:
             return UNDETERMINED, 0.0
-        totals = [0] * len(self.languages)
-        for word, n in Counter(found).items():
-            for k, p in enumerate(self._phrases(word)):
-                totals[k] += n * p
+        words = Counter(found)
+        packed = sum(map(mul, words.values(), map(self.seen.__getitem__, words)))
+        totals = [packed >> BITS * k & (1 << BITS) - 1 for k in range(len(self.languages))]
         costs = sorted((t * s, k) for k, (t, s) in enumerate(zip(totals, self.scale, strict=True)))
         best, second = costs[0], costs[1] if len(costs) > 1 else (math.inf, 0)
         return self.languages[best[1]], 1.0 if second[0] == math.inf else second[0] / (best[0] + second[0])
@@ -137,7 +143,8 @@ def learn(rows: DataFrame, *, id_col: str, text_col: str, lang_col: str, sample_
         sample.setdefault(r["lang"], []).append((r["place"], r["text"]))
     learned = []
     for lang, texts in ((r["lang"], sample[r["lang"]]) for r in sizes if r["lang"] in sample):
-        joined = f" {' '.join(w for _, t in sorted(texts)[:sample_docs] for w in units(t))} "[:sample_chars]
+        words = dict.fromkeys(w for _, t in sorted(texts)[:sample_docs] for w in units(t))
+        joined = f" {' '.join(words)} "[:sample_chars]
         if joined.strip():
             learned.append((lang, joined))
     return tuple(learned)
@@ -166,9 +173,10 @@ def predictor(spark: SparkSession, learned: tuple[tuple[str, str], ...]):
     held = spark.sparkContext.broadcast(learned)
 
     @F.pandas_udf("struct<lang:string,score:double>")
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         who = identifier_of(held.value)
-        return pd.DataFrame([who.predict(t) for t in texts], columns=["lang", "score"])
+        for texts in batches:
+            yield pd.DataFrame([who.predict(t) for t in texts], columns=["lang", "score"])
 
     return predict
 
