@@ -134,6 +134,18 @@ def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str
     return ratios.mapInPandas(draw, schema)
 
 
+def estimate_scale(pairs: DataFrame, *, method: str, cam: Sequence[str], world: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by, scale, n, ..) by `median`, `umeyama` (the scale of a similarity fit) or `ransac`."""
+    if method == "median":
+        return scale_by_median(pairs, cam=cam, world=world, by=by)
+    if method == "umeyama":
+        return fit_quality(pairs, similarity_fit(pairs, source=cam, target=world, by=by), source=cam, target=world, by=by)
+    if method == "ransac":
+        r = scale_by_ransac(pairs, cam=cam, world=world, by=by)
+        return r.withColumn("inlier_ratio", F.col("inliers") / F.col("n")).withColumn("confidence", confidence(F.col("inlier_ratio"), F.col("n")))
+    raise ValueError(f"unknown method {method}")
+
+
 def project_points(points: DataFrame, poses: DataFrame, *, image: str, fx: float, fy: float, cx: float, cy: float) -> DataFrame:
     """Points (with image and x, y, z) in their image: u, v, depth, for those in front; poses: image, r0..r8, t0..t2 world to camera."""
     p = points.join(poses, image)

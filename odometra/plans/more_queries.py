@@ -35,6 +35,24 @@ def a18(spark, sf):
     return kept.join(ends, "image_id").select("image_id", "name", "pairs")
 
 
+@REGISTRY.add("a10_trajectory_from_model", "SELECT s_name AS image_name, round(-s_acctbal, 6) + 0.0 AS tx FROM supplier")
+def a10(spark, sf):
+    from ..sources import text_model
+    from .io_queries import model
+
+    t = text_model.trajectory(model(spark, sf)["images"])
+    return t.select("image_name", (F.round(F.get("t", F.lit(0)), 6) + 0.0).alias("tx"))
+
+
+@REGISTRY.add("o01_sql_functions", "SELECT DISTINCT l_suppkey AS a, l_linenumber::BIGINT AS b, least(l_suppkey, l_linenumber) * 2147483647 + greatest(l_suppkey, l_linenumber) AS p FROM lineitem")
+def o01(spark, sf):
+    from ..functions.register import register
+
+    register(spark)
+    li = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("a"), F.col("l_linenumber").cast("long").alias("b")).distinct()
+    return li.withColumn("p", F.expr("pair_id(a, b)"))
+
+
 @REGISTRY.add("b02_associations_csv", "SELECT event_id::INT AS frame_id, epoch_us(ts) AS rgb_ts, CASE WHEN event_id % 3 != 0 THEN event_id END AS depth_ts FROM events WHERE user_id = 1")
 def b02(spark, sf):
     a = table(spark, sf, "events").where("user_id = 1").select(F.col("event_id").cast("int").alias("frame_id"), micros("ts").alias("rgb_ts"), F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("depth_ts"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import camera_to_world, frame_number, rotation_of
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(~F.trim("value").startswith("#"))
@@ -93,3 +95,11 @@ def write_model(model: dict[str, DataFrame], folder: str) -> None:
     camera_lines(model["cameras"]).write.mode("overwrite").text(f"{folder}/cameras.txt")
     image_lines(model["images"], model["points2d"]).write.mode("overwrite").text(f"{folder}/images.txt")
     point_lines(model["points3d"], model["tracks"]).write.mode("overwrite").text(f"{folder}/points3D.txt")
+
+
+def trajectory(images: DataFrame) -> DataFrame:
+    """(frame_id, image_name, R, t, qvec_w2c, tvec_w2c): camera-to-world poses in order of image name."""
+    q, t = F.array("qw", "qx", "qy", "qz"), F.array("tx", "ty", "tz")
+    posed = images.select("name", q.alias("qvec_w2c"), t.alias("tvec_w2c")).withColumn("__R", rotation_of("qvec_w2c"))
+    r, c = camera_to_world("__R", "tvec_w2c")
+    return posed.select(frame_number("name").alias("frame_id"), F.col("name").alias("image_name"), r.alias("R"), c.alias("t"), "qvec_w2c", "tvec_w2c").orderBy("image_name")
