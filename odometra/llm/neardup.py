@@ -225,9 +225,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = materialize(signatures(named, words))
     known = base.where("doc_id is not null and set_hash is not null")
-    classes = known.groupBy("set_hash").agg(F.min("doc_id").alias("first_id"))
+    classes = materialize(known.groupBy("set_hash").agg(F.min("doc_id").alias("first_id")))
     # a class's smallest id stands for it; ids that repeat with other texts link classes
-    reps = materialize(known.select("doc_id", "set_hash", "bands", "sig").join(classes, "set_hash").where("doc_id = first_id").dropDuplicates(["doc_id", "set_hash"]).select("doc_id", "bands", "sig"))
+    firsts = classes.select("set_hash", F.col("first_id").alias("doc_id"))
+    reps = materialize(known.select("doc_id", "set_hash", "bands", "sig").join(firsts, ["set_hash", "doc_id"], "left_semi").dropDuplicates(["set_hash", "doc_id"]).select("doc_id", "bands", "sig"))
     sigs = reps.select("doc_id", "sig")
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key", "size", "low")
