@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checkpoints import materialize
+from ..operators.graph import connected_components
 from ..shipping import ship_package
 
 #: A word is a maximal run of anything but ASCII white space.
@@ -14,6 +15,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 __all__ = ["WORD", "ascii_lower", "connected", "map_in_pandas", "materialize", "ship_package", "table"]
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,27 +32,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def connected(edges: DataFrame, a: str, b: str, rounds: int = 60) -> DataFrame:
-    """Smallest reachable id of every vertex of edges: columns (node, root).
-
-    Alternating large-star and small-star steps; each is a min per vertex (combined
-    before the shuffle) and one join, so a vertex with very many links needs no task of
-    its own. The links are written out after each step, never collected.
-    """
-    e = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    e, before = materialize(e), None
-    for _ in range(rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # written first, so that the join can split a vertex with very many links
-        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.where("u > m").select("u", F.col("m").alias("v"))).where("u > v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        e = materialize(small)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
-            break
-        before = tuple(now)
-    roots = e.groupBy("u").agg(F.min("v").alias("root"))
-    tops = e.select(F.col("v").alias("u")).distinct().join(roots, "u", "left_anti").select("u", F.col("u").alias("root"))
-    return roots.unionByName(tops).withColumnRenamed("u", "node")
+def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """Smallest reachable id of every vertex of edges: columns (node, root)."""
+    return connected_components(edges, a, b).withColumnRenamed("component", "root")
