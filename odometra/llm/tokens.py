@@ -12,6 +12,7 @@ taken as unknown at the lowest score less 10, and counts as one piece for each U
 
 from __future__ import annotations
 
+import math
 import struct
 from collections import Counter
 from collections.abc import Iterator
@@ -88,30 +89,37 @@ class UnigramCounter:
         self.automaton.make_automaton()
 
     def word(self, word: str) -> int:
-        """Pieces of the best-scored cut of one word."""
+        """Pieces of the best-scored cut of one word.
+
+        Matches come by their end, the longest first: the earliest start keeps a tie.
+        """
         n = len(word)
-        best: list[float | None] = [0.0] + [None] * n
-        count, unknown = [0] * (n + 1), [False] * (n + 1)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        single = [False] * n
+        best, count, unknown = [0.0] + [-math.inf] * n, [0] * (n + 1), [False] * (n + 1)
+
+        def take_unknown(at: int) -> None:
+            s = best[at] + self.unknown
+            if s > best[at + 1]:
+                more = len(word[at].encode("utf-8", "surrogatepass")) if self.bytes else not unknown[at]
+                best[at + 1], count[at + 1], unknown[at + 1] = s, count[at] + more, True
+
+        done, single = -1, True
         for last, (size, score) in self.automaton.iter(word):
-            ends[last].append((size, score))
-            single[last] |= size == 1
-        for last in range(n):
-            found = ends[last]
-            if len(found) > 1:
-                found.sort(reverse=True)  # the earliest start first: it keeps a tie
-            top, pieces, odd = None, 0, False
-            for size, score in found:
-                s = best[last + 1 - size] + score
-                if top is None or s > top:
-                    top, pieces, odd = s, count[last + 1 - size] + 1, False
-            if not single[last]:
-                s = best[last] + self.unknown
-                if top is None or s > top:
-                    more = len(word[last].encode("utf-8", "surrogatepass")) if self.bytes else not unknown[last]
-                    top, pieces, odd = s, count[last] + more, True
-            best[last + 1], count[last + 1], unknown[last + 1] = top, pieces, odd
+            if last != done:
+                if not single:
+                    take_unknown(done)
+                for at in range(done + 1, last):
+                    take_unknown(at)
+                done, single = last, False
+            if size == 1:
+                single = True
+            start = last + 1 - size
+            s = best[start] + score
+            if s > best[last + 1]:
+                best[last + 1], count[last + 1] = s, count[start] + 1
+        if not single:
+            take_unknown(done)
+        for at in range(done + 1, n):
+            take_unknown(at)
         return count[n]
 
     def words(self, text: str) -> list[str]:
