@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..shipping import ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-__all__ = ["WORD", "ascii_lower", "connected", "map_in_pandas", "materialize", "ship_package", "table"]
+__all__ = ["WORD", "ascii_lower", "connected", "give_back", "map_in_pandas", "materialize", "ship_package", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,17 @@ def map_in_pandas(df: DataFrame, run, schema: str, key: str = "doc_id") -> DataF
     return out.withColumn(key, F.col(key).cast("long"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker stays while later stages run without it."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

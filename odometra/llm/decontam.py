@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_in_pandas, ship_package, table
+from .common import give_back, map_in_pandas, ship_package, table
 
 BLOCKS, WIDTH, NEAR = 8, 8, 2
 #: Bits in which two fingerprints may differ; BLOCKS * (NEAR + 1) - 1 is what the blocks guarantee.
@@ -228,6 +228,9 @@ def _leaks(held: Broadcast, words: int, similarity: float):
         index, hashes = Index(held.value, words), _WordHashes()
         for texts in batches:
             yield pd.Series([bool(index.search(word_hashes(t, hashes), similarity)) for t in texts], dtype=bool)
+            del texts
+        hashes.clear()
+        give_back()
 
     return leaks
 

@@ -21,11 +21,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_in_pandas, ship_package, table
+from .common import give_back, map_in_pandas, ship_package, table
 
 #: Bounds of what is learned: documents and code points per language, code points per document, languages.
 SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS, LANGUAGES = 96, 30_000, 20_000, 128
-REMEMBER, BITS = 150_000, 40
+REMEMBER, BITS = 100_000, 40
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -177,6 +177,8 @@ def predictor(spark: SparkSession, learned: tuple[tuple[str, str], ...]):
         who = identifier_of(held.value)
         for texts in batches:
             yield pd.DataFrame([who.predict(t) for t in texts], columns=["lang", "score"])
+            del texts
+        give_back()
 
     return predict
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected, map_in_pandas, materialize, table
+from .common import connected, give_back, map_in_pandas, materialize, table
 
 #: 64 bands of 8 hashes miss a pair of similarity 0.8 with probability 8e-6.
 BANDS, ROWS = 64, 8
@@ -99,6 +99,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 out["bands"].append(bands.view(np.int64))
                 out["sig"].append((_mix(least[:: len(least) // SIGNATURE].astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], **out})
+            del pdf, out
+        hashes.clear()
+        give_back()
 
     return map_in_pandas(docs, run, "doc_id long, n_shingles long, set_hash binary, bands array<long>, sig binary")
 
@@ -241,6 +244,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         hashes = _WordHashes()
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "shingles": [shingle_hashes(t, words, hashes).view(np.int64) for t in pdf["text"]]})
+            del pdf
+        hashes.clear()
+        give_back()
 
     sets = materialize(texts.mapInPandas(sets_of, "doc_id long, shingles array<long>"))
     # the text that near copies were made of meets most of them in each band: the member with
@@ -264,7 +270,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     many = rest.where(F.col("others") > FEW).select("key", "doc_id", "root", "top")
     found = prune(crossed.join(hubs, ["a", "b"], "left_anti"), sigs, threshold, miss)
     more = verify(found, sets, percent).unionByName(blocked_links(many, sigs, sets, threshold, percent, miss))
-    same = known.select("doc_id", "set_hash").distinct().join(classes, "set_hash").where("doc_id != first_id").select(F.col("first_id").alias("a"), F.col("doc_id").alias("b"))
+    # by itself, so that the join can split a class with very many copies
+    same = materialize(known.select("doc_id", "set_hash").distinct().join(classes, "set_hash").where("doc_id != first_id").select(F.col("first_id").alias("a"), F.col("doc_id").alias("b")))
     components = connected(links.unionByName(more).unionByName(same), "a", "b")
     return base.join(components, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
