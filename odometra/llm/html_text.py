@@ -3,10 +3,11 @@
 Pages of one host share a wrapper. For each host a bounded number of pages, drawn by hash and
 different from each other, is parsed into DOM trees and aligned pair by pair with simple tree
 matching. Aligned nodes whose text is the same in nearly all pages are template; those whose
-text varies are slots. The deepest node that holds most of the varying text, outside menus,
-forms and the like, is the host's content node. A page's text is that of its content node
-without template and boilerplate nodes. A page whose host has too few pages to compare, or
-that lacks the content node, falls back on <article>, <main>, or the whole body.
+text varies are slots. The deepest node that holds nearly all of the varying text, outside
+menus, forms and the like, and the varying heading beside it, is the host's content node. A
+page's text is that of its content node without template and boilerplate nodes. Only a page
+whose host has too few pages to compare, or that lacks the content node, falls back on
+<article>, <main>, or the whole body.
 """
 
 from __future__ import annotations
@@ -26,11 +27,14 @@ from .common import map_in_pandas, materialize, ship_package, table
 EXEMPLARS, EXEMPLAR_CHARS = 8, 200_000
 #: Share of aligned pages in which a template node's text is the same, and pages it takes.
 SAME, PAGES = 0.8, 4
+#: Share of the varying text that the content node holds.
+HOLDS = 0.9
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 DROPPED = frozenset("script style noscript template nav footer aside form iframe svg canvas object embed select button textarea input head title dialog menu audio video".split())
+HEADINGS = frozenset("h1 h2 h3 header hgroup".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: Words in class, id or role that mark what isn't the article.
 MARKS = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo promoted nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side widget related recommended share sharing social comment comments respond disqus replies cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login form search pagination pager toolbar skip complementary contentinfo".split())
@@ -111,37 +115,58 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def blocks(node: Node, template: frozenset[str] = frozenset(), *, keep_marked: bool = False) -> list[str]:
-    """Texts of the blocks of a subtree in page order, white space made one blank."""
-    out: list[str] = []
+def placed(node: Node, *, keep_marked: bool = False) -> Iterator[tuple[Node, str]]:
+    """Blocks of a subtree in page order with the element that each is in, white space made one blank."""
     line: list[str] = []
+    at, stack = node, [node]
 
-    def flush() -> None:
-        text = _SPACES.sub(" ", "".join(line)).strip()
+    def text() -> str:
+        found = _SPACES.sub(" ", "".join(line)).strip()
         line.clear()
-        if text and text not in template:
-            out.append(text)
+        return found
 
-    stack: list = [node]
     while stack:
         x = stack.pop()
-        if x is flush:
-            flush()
-        elif isinstance(x, str):
+        if isinstance(x, str):
             line.append(x)
+        elif isinstance(x, tuple):  # the end of an element
+            if t := text():
+                yield at, t
+            at = x[0]
         elif x is not node and x.marked and not keep_marked:
-            if x.tag not in INLINE:
-                flush()
+            if x.tag not in INLINE and (t := text()):
+                yield at, t
         elif x.tag in ("br", "wbr"):
             line.append(" " if x.tag == "br" else "")
         elif x.tag in INLINE:
             stack.extend(reversed(x.children))
         else:
-            flush()
-            stack.append(flush)
+            if t := text():
+                yield at, t
+            stack.append((at,))
+            at = x
             stack.extend(reversed(x.children))
-    flush()
-    return out
+    if t := text():
+        yield at, t
+
+
+def blocks(node: Node, template: frozenset[str] = frozenset(), *, keep_marked: bool = False) -> list[str]:
+    """Texts of the blocks of a subtree in page order."""
+    return [t for _, t in placed(node, keep_marked=keep_marked) if t not in template]
+
+
+def anchor(node: Node, aligned: set[str]) -> str:
+    """Path of the deepest element above a block that is aligned."""
+    labels = []
+    while node.parent is not None:
+        labels.append(node.label)
+        node = node.parent
+    path = ""
+    for label in reversed(labels):
+        if f"{path}/{label}" not in aligned:
+            break
+        path = f"{path}/{label}"
+    return path
 
 
 def _squeezed(node: Node) -> list[Node]:
@@ -193,18 +218,28 @@ def induce(pages: list[str]) -> tuple[str | None, list[str]]:
     if len(trees) < 2:
         return None, []
     varying: Counter[str] = Counter()
+    inner: set[str] = set()
+    times: Counter[str] = Counter()
     for other in trees[1:]:
         pairs: list[tuple[str, Node, Node]] = []
         match(trees[0], other, "", pairs)
         for path, a, b in pairs:
             p, q = blocks(a), blocks(b)
             varying[path] += sum(len(t) for t in p + q if t not in p or t not in q)
+            if _squeezed(a) and _squeezed(b):
+                inner.add(path)
+        times.update({path for path, _, _ in pairs})
     total, best = varying.get("", 0), None
     if total:
-        # the deepest node that holds most of what varies; a squeezed child stands for its neighbours, so not below half
-        best = max((path for path, n in varying.items() if 2 * n > total), key=lambda p: (p.count("/"), varying[p], p))
-    seen = Counter(t for have in kept for t in have)
-    template = sorted(t for t, n in seen.items() if len(kept) >= PAGES and n >= SAME * len(kept))
+        best = max((path for path, n in varying.items() if path in inner and n >= HOLDS * total), key=lambda p: (p.count("/"), varying[p], p), default=None)
+    while best and best.count("/") > 3:  # below a child of the body
+        up = best.rpartition("/")[0]
+        if not any(n and path.rpartition("/")[0] == up and re.split(r"\W", path.rpartition("/")[2])[0] in HEADINGS for path, n in varying.items()):
+            break
+        best = up
+    aligned = {path for path, n in times.items() if n >= SAME * (len(trees) - 1)}
+    seen = Counter(x for tree in trees for x in {(anchor(node, aligned), t) for node, t in placed(tree)})
+    template = sorted({t for (_, t), n in seen.items() if len(trees) >= PAGES and n >= SAME * len(trees)})
     return best, template
 
 
@@ -230,12 +265,8 @@ def _all(node: Node, tag: str) -> list[Node]:
 
 def extract(html: str | None, path: str | None, template: frozenset[str]) -> str:
     root = parse(html)
-    found = _all(root, "article") or _all(root, "main")
-    if path and not found:
-        found = [n for n in _find(root, path) if blocks(n)]
-        # a content node below the body's level stands with its like: take their parent's whole text
-        if found and path.count("/") > 2 and found[0].tag in ("p", "li", "h1", "h2", "h3", "tr", "td"):
-            found = [found[0].parent]
+    found = [n for n in _find(root, path) if blocks(n)] if path else []
+    found = found or _all(root, "article") or _all(root, "main")
     return "\n\n".join(t for n in found or [root] for t in blocks(n, template))
 
 

@@ -211,6 +211,13 @@ def test_wrapper_of_pages_without_article(spark):
     assert got[3].startswith("Title q757\n\ntext number") and "Always" not in got[3] and "cookie" not in got[3] and "menu" not in got[3] and "Share" not in got[3]
 
 
+def test_the_hosts_wrapper_comes_before_the_article_tag(spark):
+    rows = [(i, f"http://w.example/{i}", page(f"<article><p>Subscribe to us</p></article><div class='box'><div class='story'><h2>Title {i}</h2><div class='text'><p>" + f"words{i} of story{i * 31} " * 20 + f"</p><p>end{i}</p></div></div></div>", n=i)) for i in range(10)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(10):
+        assert got[i] == f"Title {i}\n\n" + (f"words{i} of story{i * 31} " * 20).strip() + f"\n\nend{i}"
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "http://a.b/c", "plain words"), (4, "http://a.b/d", "<p>x<p>y</div></p>"), (None, "http://A.b:80/e", "<article>" + "<div>" * 2000 + "deep" + "</div>" * 2000), (3, "http://a.b/c", "plain words"), (5, "http://a.b/f", "<article></article>")]
     df = spark.createDataFrame([(*r, 1, "z") for r in rows], "page_id long, url string, html string, text int, host string")
