@@ -1,32 +1,38 @@
 """Main text of web pages by wrapper induction (operator 6).
 
-Pages of one host share a wrapper. For each host a bounded number of pages, drawn by hash and
-different from each other, is parsed into DOM trees and aligned pair by pair with simple tree
-matching. Aligned nodes whose text is the same in nearly all pages are template; those whose
-text varies are slots. The deepest node that holds nearly all of the varying text, outside
-menus, forms and the like, and the varying heading beside it, is the host's content node. A
-page's text is that of its content node without template and boilerplate nodes. Only a page
-whose host has too few pages to compare, or that lacks the content node, falls back on
-<article>, <main>, or the whole body.
+Pages of one host share wrappers. All pages of a host are aligned: nodes of their DOM trees
+match if they have the same label path (element and class words from the root on), as in
+simple tree matching of trees whose neighbours of one label count as one. Counting texts by
+path therefore aligns any number of pages without pairs of them. Texts that are the same in
+nearly all pages that have the node, or in nearly all pages, are template; what varies is
+slots. Near copies of an article count as one page, or the article would look like template:
+pages are told apart by what is left without common texts and texts alike to them. In each
+page, the deepest node that holds nearly all of what varies, with the heading beside it, is
+a vote for its path. A page's text is that of the node with most votes that it has, without
+template and boilerplate nodes. Only a page without such a node falls back on <article>,
+<main>, or the whole body.
 """
 
 from __future__ import annotations
 
 import re
+from binascii import crc32
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_in_pandas, materialize, ship_package, table
 
-#: Pages per host that are aligned, and the code points of each that are.
-EXEMPLARS, EXEMPLAR_CHARS = 8, 200_000
-#: Share of aligned pages in which a template node's text is the same, and pages it takes.
-SAME, PAGES = 0.8, 4
+#: Share of pages in which a template node's text is the same, pages it takes, and their share of the pages that near copies may not go below.
+SAME, PAGES, VARIED = 0.8, 4, 0.05
+#: Pages that vote for a content node.
+VOTES = 2
 #: Share of the varying text that the content node holds.
 HOLDS = 0.9
 
@@ -42,14 +48,32 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACES = re.compile(r"\s+")
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+class _Paths(dict):
+    """Hash of a label path by the hash of its parent's and the label."""
+
+    def __missing__(self, key: tuple[int, str]) -> int:
+        if len(self) >= 100_000:
+            self.clear()
+        value = self[key] = _hash(f"{key[0]}/{key[1]}")
+        return value
+
+
+_paths = _Paths()
+
+
 class Node:
-    __slots__ = ("tag", "label", "children", "parent", "marked")
+    __slots__ = ("tag", "label", "children", "parent", "marked", "path", "depth")
 
     def __init__(self, tag: str, attrs: list[tuple[str, str | None]], parent: Node | None) -> None:
         named = {k: v or "" for k, v in attrs}
         words = [w for k in ("class", "id", "role") for w in _SPLIT.split(named.get(k, "").lower()) if w and not w.isdigit()]
         self.tag, self.parent, self.children = tag, parent, []
         self.label = tag + "".join(f".{w}" for w in sorted(set(words)))
+        self.path, self.depth = (_paths[parent.path, self.label], parent.depth + 1) if parent else (0, 0)
         self.marked = tag in DROPPED or bool(MARKS.intersection(words)) or "hidden" in named or named.get("aria-hidden") == "true"
         if tag == "header":  # of an article it may hold the title
             up = parent
@@ -115,7 +139,7 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def placed(node: Node, *, keep_marked: bool = False) -> Iterator[tuple[Node, str]]:
+def placed(node: Node) -> Iterator[tuple[Node, str]]:
     """Blocks of a subtree in page order with the element that each is in, white space made one blank."""
     line: list[str] = []
     at, stack = node, [node]
@@ -133,7 +157,7 @@ def placed(node: Node, *, keep_marked: bool = False) -> Iterator[tuple[Node, str
             if t := text():
                 yield at, t
             at = x[0]
-        elif x is not node and x.marked and not keep_marked:
+        elif x is not node and x.marked:
             if x.tag not in INLINE and (t := text()):
                 yield at, t
         elif x.tag in ("br", "wbr"):
@@ -150,105 +174,87 @@ def placed(node: Node, *, keep_marked: bool = False) -> Iterator[tuple[Node, str
         yield at, t
 
 
-def blocks(node: Node, template: frozenset[str] = frozenset(), *, keep_marked: bool = False) -> list[str]:
-    """Texts of the blocks of a subtree in page order."""
-    return [t for _, t in placed(node, keep_marked=keep_marked) if t not in template]
-
-
-def anchor(node: Node, aligned: set[str]) -> str:
-    """Path of the deepest element above a block that is aligned."""
-    labels = []
-    while node.parent is not None:
-        labels.append(node.label)
-        node = node.parent
-    path = ""
-    for label in reversed(labels):
-        if f"{path}/{label}" not in aligned:
-            break
-        path = f"{path}/{label}"
-    return path
-
-
-def _squeezed(node: Node) -> list[Node]:
-    """Child elements outside boilerplate; of neighbours with one label the first stands for all."""
-    out: list[Node] = []
-    for c in node.children:
-        if isinstance(c, Node) and not c.marked and c.tag not in INLINE and c.tag not in VOID and (not out or out[-1].label != c.label):
-            out.append(c)
-    return out
-
-
-def match(a: Node, b: Node, path: str, pairs: list[tuple[str, Node, Node]], depth: int = 0) -> int:
-    """Simple tree matching: size of the largest order-preserving alignment; its node pairs by label path."""
-    if a.label != b.label or depth > 40:
-        return 0
-    x, y = _squeezed(a), _squeezed(b)
-    found: dict[tuple[int, int], tuple[int, list]] = {}
-    m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i, p in enumerate(x):
-        for j, q in enumerate(y):
-            inner: list[tuple[str, Node, Node]] = []
-            w = match(p, q, f"{path}/{p.label}", inner, depth + 1)
-            found[i, j] = w, inner
-            m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + w)
-    i, j = len(x), len(y)
-    pairs.append((path, a, b))
-    while i and j:
-        w, inner = found[i - 1, j - 1]
-        if w and m[i][j] == m[i - 1][j - 1] + w:
-            pairs.extend(inner)
-            i, j = i - 1, j - 1
-        elif m[i][j] == m[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return m[-1][-1] + 1
-
-
-def induce(pages: list[str]) -> tuple[str | None, list[str]]:
-    """Wrapper of a host's pages: path of the content node, and texts that are template inside it."""
-    trees, kept = [], []
-    for html in pages:
-        tree = parse(html)
-        have = set(blocks(tree))
-        # near copies of a page would make its article look like template
-        if all(2 * len(have & other) < len(have | other) for other in kept):
-            trees.append(tree)
-            kept.append(have)
-    if len(trees) < 2:
-        return None, []
-    varying: Counter[str] = Counter()
-    inner: set[str] = set()
-    times: Counter[str] = Counter()
-    for other in trees[1:]:
-        pairs: list[tuple[str, Node, Node]] = []
-        match(trees[0], other, "", pairs)
-        for path, a, b in pairs:
-            p, q = blocks(a), blocks(b)
-            varying[path] += sum(len(t) for t in p + q if t not in p or t not in q)
-            if _squeezed(a) and _squeezed(b):
-                inner.add(path)
-        times.update({path for path, _, _ in pairs})
-    total, best = varying.get("", 0), None
-    if total:
-        best = max((path for path, n in varying.items() if path in inner and n >= HOLDS * total), key=lambda p: (p.count("/"), varying[p], p), default=None)
-    while best and best.count("/") > 3:  # below a child of the body
-        up = best.rpartition("/")[0]
-        if not any(n and path.rpartition("/")[0] == up and re.split(r"\W", path.rpartition("/")[2])[0] in HEADINGS for path, n in varying.items()):
-            break
-        best = up
-    aligned = {path for path, n in times.items() if n >= SAME * (len(trees) - 1)}
-    seen = Counter(x for tree in trees for x in {(anchor(node, aligned), t) for node, t in placed(tree)})
-    template = sorted({t for (_, t), n in seen.items() if len(trees) >= PAGES and n >= SAME * len(trees)})
-    return best, template
-
-
-def _find(node: Node, path: str) -> list[Node]:
-    """Nodes on a label path."""
-    at = [node]
-    for label in path.split("/")[1:] if path else []:
-        at = [c for n in at for c in n.children if isinstance(c, Node) and c.label == label]
-    return at
+def blocks(node: Node, template: frozenset[int] = frozenset()) -> list[str]:
+    """Texts of the blocks of a subtree in page order, without those of the template."""
+    if not template:
+        return [t for _, t in placed(node)]
+    return [t for at, t in placed(node) if (h := _hash(t)) not in template and _at(at.path, h) not in template]
+
+
+def _at(path: int, text: int) -> int:
+    """Hash of a text at a path."""
+    return _hash(f"{path}:{text}")
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def sketches(texts: list[str]) -> list[list[int]]:
+    """Two smallest hashes, by two functions, of each text's runs of three words (its end is followed by its start)."""
+    words = [t.split() for t in texts]
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    x = np.array([crc32(w.encode("utf-8", "surrogatepass")) for ws in words for w in ws], np.uint64)
+    following = np.arange(1, len(x) + 1)
+    following[ends - 1] = starts
+    y = x[following]
+    runs = _mixed(_mixed(_mixed(x) + y) + y[following])
+    return [(np.minimum.reduceat(_mixed(runs + np.uint64(k)), starts) >> np.uint64(1)).astype(np.int64).tolist() for k in (1, 2)]
+
+
+def outline(html: str) -> tuple:
+    """What induction needs of a page: of its blocks the path, text, text at the path, two sketches and length; the paths above blocks with the parent's place and depth, and whether it is a heading."""
+    found = list(placed(parse(html)))
+    paths = [at.path for at, _ in found]
+    texts = [_hash(t) for _, t in found]
+    ats = [_at(p, t) for p, t in zip(paths, texts, strict=True)]
+    first, second = sketches([t for _, t in found]) if found else ([], [])
+    place: dict[int, int] = {}
+    ups: list[int] = []
+    nodes: list[Node] = []
+    for at, _ in found:
+        chain = []
+        while at is not None and at.path not in place:
+            chain.append(at)
+            at = at.parent
+        for node in reversed(chain):
+            place[node.path] = len(ups)
+            ups.append(place[node.parent.path] if node.parent else -1)
+            nodes.append(node)
+    tokens = {(0, t) for t in (*texts, *first, *second)} | set(zip(paths, ats, strict=True))
+    return texts, ats, first, second, [len(t) for _, t in found], [place[p] for p in paths], [k for k, _ in tokens], [t for _, t in tokens], list({0, *paths}), list(place), ups, [n.depth for n in nodes], [n.tag in HEADINGS for n in nodes]
+
+
+_OUTLINE = "texts array<long>, ats array<long>, first array<long>, second array<long>, chars array<long>, places array<long>, keys array<long>, tokens array<long>, held array<long>, paths array<long>, ups array<long>, depths array<long>, headings array<boolean>"
+
+
+def vote(texts, ats, chars, places, paths, ups, depths, headings, template: frozenset[int]) -> int | None:
+    """Path of the page's content node; none if nothing below the body holds what varies."""
+    own = [0] * len(paths)
+    for t, a, n, k in zip(texts, ats, chars, places, strict=True):
+        if t not in template and a not in template:
+            own[k] += n
+    inner = set(ups)
+    for k in range(len(paths) - 1, 0, -1):  # parents stand before their children
+        own[ups[k]] += own[k]
+    total = own[0] if own else 0
+    best = max((k for k in inner if k >= 0 and depths[k] > 2 and own[k] >= HOLDS * total), key=lambda k: depths[k], default=None) if total else None
+    while best is not None and depths[ups[best]] > 2 and any(h and own[k] and ups[k] == ups[best] for k, h in enumerate(headings)):
+        best = ups[best]
+    return None if best is None else int(paths[best])
+
+
+def _find(node: Node, paths: list[int]) -> list[Node]:
+    """Nodes on the first of the paths that has text."""
+    wanted, found, stack = set(paths), {}, [node]
+    while stack:
+        x = stack.pop()
+        if x.path in wanted:
+            found.setdefault(x.path, []).append(x)
+        stack.extend(c for c in reversed(x.children) if isinstance(c, Node) and not c.marked)
+    return next((some for p in paths if p in found and (some := [n for n in found[p] if next(placed(n), None)])), [])
 
 
 def _all(node: Node, tag: str) -> list[Node]:
@@ -263,9 +269,9 @@ def _all(node: Node, tag: str) -> list[Node]:
     return out
 
 
-def extract(html: str | None, path: str | None, template: frozenset[str]) -> str:
+def extract(html: str | None, paths: list[int] | None, template: frozenset[int]) -> str:
     root = parse(html)
-    found = [n for n in _find(root, path) if blocks(n)] if path else []
+    found = _find(root, paths) if paths else []
     found = found or _all(root, "article") or _all(root, "main")
     return "\n\n".join(t for n in found or [root] for t in blocks(n, template))
 
@@ -274,22 +280,42 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, path, template) of (host, html); one row per host with pages that can be compared.
+def _outlined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [x.split()[0] for x in _OUTLINE.split(", ")]
+    for pdf in batches:
+        yield pd.concat([pdf[["host"]].reset_index(drop=True), pd.DataFrame([outline(h) for h in pdf["html"]], columns=names)], axis=1)
 
-    A host's pages are drawn by hash of their content, repeats once, before the shuffle
-    (the rank limit is applied to each partition first), so a host with a third of all pages
-    sends EXEMPLARS rows per partition.
-    """
-    hashed = pages.where("html is not null").select("host", "html", F.xxhash64("html").alias("h"))
-    by_hash = Window.partitionBy("host").orderBy("h")
-    drawn = hashed.select("host", "h", F.substring("html", 1, EXEMPLAR_CHARS).alias("html")).withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= EXEMPLARS)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        path, template = induce([h for _, h in sorted(set(zip(pdf["h"], pdf["html"], strict=True)))])
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "path": [path], "template": [template]})
+def _voted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        names = ["texts", "ats", "chars", "places", "paths", "ups", "depths", "headings"]
+        got = [vote(*x, frozenset(() if t is None else t)) for t, *x in zip(pdf["template"], *[pdf[c] for c in names], strict=True)]
+        kept = [(h, p) for h, p in zip(pdf["host"], got, strict=True) if p is not None]
+        yield pd.DataFrame(kept, columns=["host", "path"]).astype({"host": "object", "path": "int64"})
+
 
-    return drawn.groupBy("host").applyInPandas(run, "host string, path string, template array<string>")
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, paths, template) of (host, html): content nodes by votes, and texts that are template.
+
+    Every page counts, by its whole html. Counts are made per partition first, so that a host
+    with a third of all pages is no group of one task.
+    """
+    outlines = materialize(pages.where("html is not null").select("host", "html").mapInPandas(_outlined, f"host string, {_OUTLINE}"))
+    token = F.explode(F.arrays_zip("keys", "tokens")).alias("x")
+    counts = outlines.select("host", token).groupBy("host", F.col("x.keys").alias("key"), F.col("x.tokens").alias("token")).agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
+    sizes = outlines.select("host", F.explode("held").alias("key")).groupBy("host", "key").agg(F.count("*").alias("pages"))
+    common = materialize(counts.join(sizes, ["host", "key"]).where(F.col("n") >= SAME * F.col("pages")).groupBy("host").agg(F.collect_set("token").alias("common")))
+    own = F.filter(F.arrays_zip("texts", "ats", "first", "second"), lambda b: ~F.coalesce(F.arrays_overlap("common", F.array(b["texts"], b["ats"], b["first"], b["second"])), F.lit(False)))
+    told = outlines.join(common, "host").withColumn("own", F.coalesce(F.array_min(F.transform(own, lambda b: b["first"])), F.lit(0)))
+    kept = told.select("host", "own", F.explode(F.filter(F.arrays_zip("keys", "tokens"), lambda x: F.array_contains("common", x["tokens"]))).alias("x"))
+    same = kept.groupBy("host", F.col("x.keys").alias("key"), F.col("x.tokens").alias("token")).agg(F.count_distinct("own").alias("n"))
+    differ = told.select("host", "own", F.explode("held").alias("key")).groupBy("host", "key").agg(F.count_distinct("own").alias("differ"), F.count("*").alias("pages"))
+    fixed = same.join(differ, ["host", "key"]).where((F.col("n") >= PAGES) & (F.col("n") >= SAME * F.col("differ")) & (F.col("differ") >= VARIED * F.col("pages")))
+    template = materialize(fixed.groupBy("host").agg(F.collect_set("token").alias("template")))
+    voted = outlines.select("host", "texts", "ats", "chars", "places", "paths", "ups", "depths", "headings").join(template, "host", "left").mapInPandas(_voted, "host string, path long")
+    votes = voted.groupBy("host", "path").agg(F.count("*").alias("n")).where(F.col("n") >= VOTES)
+    paths = votes.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("found")).select("host", F.col("found.path").alias("paths"))
+    return paths.join(template, "host", "full")
 
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -300,12 +326,12 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     """
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host_of(F.col("url")))
     ship_package(pages.sparkSession)
-    known = materialize(wrappers(named)).where("path is not null or size(template) > 0").withColumnRenamed("host", "known_host")
-    joined = named.join(known, F.col("host") == F.col("known_host"), "left").select("page_id", "url", "html", "path", "template")
+    known = materialize(wrappers(named)).withColumnRenamed("host", "known_host")
+    joined = named.join(known, F.col("host") == F.col("known_host"), "left").select("page_id", "url", "html", "paths", "template")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = [extract(h, p, frozenset(() if t is None else t)) for h, p, t in zip(pdf["html"], pdf["path"], pdf["template"], strict=True)]
+            texts = [extract(h, None if p is None else list(p), frozenset(() if t is None else t)) for h, p, t in zip(pdf["html"], pdf["paths"], pdf["template"], strict=True)]
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return map_in_pandas(joined, run, "page_id long, url string, text string, n_chars long", key="page_id")

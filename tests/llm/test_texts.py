@@ -218,6 +218,22 @@ def test_the_hosts_wrapper_comes_before_the_article_tag(spark):
         assert got[i] == f"Title {i}\n\n" + (f"words{i} of story{i * 31} " * 20).strip() + f"\n\nend{i}"
 
 
+def test_all_pages_of_a_host_are_aligned_to_their_ends(spark):
+    common = "".join(f"<div class='c{chr(97 + k)}'>Standing text {k} of this place</div>" for k in range(10))
+    rows = [(i, f"http://s.example/{i}", page("<div class='story'>" + "".join(f"<p>own{i} part{k} word{i * 7 + k} of{i}</p>" for k in range(4)) + f"{common}</div>", n=i)) for i in range(40)]
+    # another layout in few of the pages, whose template comes late
+    rows += [(100 + i, f"http://s.example/b{i}", page(f"<section><div class='long'><p>" + f"tale{i} goes{i * 3} on{i} " * 12_000 + f"</p><p>fin{i}</p><div class='late'><p>The last of all words</p></div></div></section>", n=i)) for i in range(6)]
+    # near copies of one article
+    copy = [f"sentence {k} " + " ".join(f"x{k}y{j}" for j in range(40)) for k in range(10)]
+    rows += [(200 + i, f"http://n.example/{i}", page("<div class='story'>" + "".join(f"<p>{t if k != i else t + f' changed{i}'}</p>" for k, t in enumerate(copy)) + "</div>")) for i in range(6)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert got[i] == "\n\n".join(f"own{i} part{k} word{i * 7 + k} of{i}" for k in range(4))
+    for i in range(6):
+        assert got[100 + i] == (f"tale{i} goes{i * 3} on{i} " * 12_000).strip() + f"\n\nfin{i}"
+        assert got[200 + i] == "\n\n".join(t if k != i else t + f" changed{i}" for k, t in enumerate(copy))
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "http://a.b/c", "plain words"), (4, "http://a.b/d", "<p>x<p>y</div></p>"), (None, "http://A.b:80/e", "<article>" + "<div>" * 2000 + "deep" + "</div>" * 2000), (3, "http://a.b/c", "plain words"), (5, "http://a.b/f", "<article></article>")]
     df = spark.createDataFrame([(*r, 1, "z") for r in rows], "page_id long, url string, html string, text int, host string")
