@@ -2,12 +2,14 @@
 
 A benchmark item of m shingles is sought in windows of m shingles. Windows that hold no
 shingle of an item have similarity 0 with it, so fingerprints are taken of the windows
-around shared shingles only; nothing is lost. A window's fingerprint is the sign of the
-weighted sum of its shingles' bits, from running sums over the text. The index cuts 64 bits
+around shared shingles only; nothing is lost. A shingle weighs as often as it occurs, in
+items and windows alike: neither repeated nor templated items, nor the number of passes,
+change a similarity. A window's fingerprint is the sign of the sum of its shingles' bits,
+from running sums over the text. The index cuts 64 bits
 into 8 blocks and lists, for every value within 2 bits of an item's block, the item: of two
 fingerprints that differ in at most 23 bits some block differs in at most 2, so lookup
-finds all items within that radius. Candidates are verified by exact weighted-shingle
-similarity.
+finds all items within that radius. Candidates are verified by the exact similarity of
+shingle bags.
 """
 
 from __future__ import annotations
@@ -74,7 +76,7 @@ def signs(x: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints, as 8 bytes each, of rows of weighted bit sums."""
+    """64-bit fingerprints, as 8 bytes each, of rows of bit sums."""
     return np.packbits(sums > 0, axis=1)
 
 
@@ -84,15 +86,11 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], size: int) -> None:
         hashes = _WordHashes()
         self.size, self.items = size, []
-        counts: dict[int, Counter] = {}
         for item, text in items:
             words = word_hashes(text, hashes)
             if len(words):
                 n = min(size, len(words))
                 self.items.append((item, n, shingles(words, n)))
-        held: Counter = Counter(g for _, _, x in self.items for g in np.unique(x).tolist())
-        # a shingle of many items says less about each
-        self.weight = {g: 1.0 / n for g, n in held.items()}
         self.by_shingle: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         self.blocks: dict[tuple[int, int], list[dict[int, list[int]]]] = {}
         self.bags, self.prints = [], []
@@ -101,7 +99,7 @@ class Index:
             self.bags.append(Counter(x.tolist()))
             for g in set(x.tolist()):
                 self.by_shingle[n][g].append(i)
-            mark = fingerprints((signs(x) * self.weights(x)[:, None]).sum(axis=0)[None])[0]
+            mark = fingerprints(signs(x).sum(axis=0, dtype=np.int64)[None])[0]
             self.prints.append(mark)
             blocks = self.blocks.setdefault((n, len(x)), [defaultdict(list) for _ in range(BLOCKS)])
             for k in range(BLOCKS):
@@ -116,18 +114,11 @@ class Index:
             seen[(x & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
             self.filters[n] = seen
 
-    def weights(self, x: np.ndarray) -> np.ndarray:
-        return np.array([self.weight.get(g, 1.0) for g in x.tolist()])
-
     def similarity(self, item: int, window: np.ndarray) -> float:
-        """Weighted Jaccard of shingle bags."""
+        """Jaccard of shingle bags: a shingle weighs as often as it occurs."""
         a, b = self.bags[item], Counter(window.tolist())
-        both = any_ = 0.0
-        for g in a.keys() | b.keys():
-            w = self.weight.get(g, 1.0)
-            both += w * min(a[g], b[g])
-            any_ += w * max(a[g], b[g])
-        return both / any_
+        both = sum(min(n, b[g]) for g, n in a.items() if g in b)
+        return both / (a.total() + b.total() - both)
 
     def near(self, n: int, m: int, marks: np.ndarray) -> Iterator[tuple[int, int]]:
         """(window, item) pairs within RADIUS of rows of fingerprints."""
@@ -159,11 +150,11 @@ class Index:
                     low, high = some[0], some[-1] + m_
                     part = x[low:high]
                     if len(part) > 16 * 4096:  # far apart: each window by itself
-                        sums = np.array([(signs(x[s : s + m_]) * self.weights(x[s : s + m_])[:, None]).sum(axis=0) for s in some])
+                        sums = np.array([signs(x[s : s + m_]).sum(axis=0, dtype=np.int64) for s in some])
                     else:
-                        run = np.zeros((len(part) + 1, 64))
-                        np.cumsum(signs(part) * self.weights(part)[:, None], axis=0, out=run[1:])
-                        sums = np.round(run[some - low + m_] - run[some - low], 9)
+                        run = np.zeros((len(part) + 1, 64), np.int64)
+                        np.cumsum(signs(part), axis=0, out=run[1:])
+                        sums = run[some - low + m_] - run[some - low]
                     for w, i in self.near(n, m, fingerprints(sums)):
                         s = int(some[w])
                         value = self.similarity(i, x[s : s + m_])
@@ -175,8 +166,8 @@ class Index:
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", words: int = 5, similarity: float = 0.8, items_at_once: int = ITEMS_AT_ONCE, chars_at_once: int = CHARS_AT_ONCE) -> DataFrame:
     """Benchmark items found in documents: (doc_id, item_id, similarity, first_word, end_word).
 
-    A row for each document and item of which some window of the item's size has weighted
-    similarity `similarity` or more, with the most similar window. Null and empty texts and
+    A row for each document and item of which some window of the item's size has a
+    similarity of `similarity` or more, with the most similar window. Null and empty texts and
     items without a word match nothing; items of fewer than `words` words are one shingle,
     and a text shorter than an item is one window. Repeated rows repeat their matches; an
     empty table on either side gives no rows.

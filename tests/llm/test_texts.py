@@ -121,6 +121,20 @@ def test_benchmark_items_are_found(spark):
     assert decontam.contaminated(df.limit(0), bench).count() == 0 and decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_repeated_items_and_passes_change_no_similarity(spark):
+    words = [f"q{k}" for k in range(54)]  # 50 shingles
+    copy = " ".join([*words[:20], "new", *words[21:]])
+    framed = " ".join(words[:40])
+    items = [(1, " ".join(words)), *[(k, " ".join(words)) for k in range(2, 11)], *[(k, framed + " " + " ".join(f"own{k}x{j}" for j in range(14))) for k in range(20, 40)]]
+    leaks = [(1, copy), (2, items[10][1].replace("own20x7", "new"))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(leaks, "doc_id long, text string")
+    found = [sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontam.contaminated(docs, bench, items_at_once=n).collect()) for n in (100, 5)]
+    assert found[0] == [*[(1, k, round(45 / 55, 9)) for k in range(1, 11)], (2, 20, round(45 / 55, 9))]
+    assert found[1] == found[0]
+    assert decontam.clean_rows(docs, bench, items_at_once=5).count() == 0
+
+
 def test_windows_by_brute_force():
     """Every window of every text against every item, by exact similarity alone."""
     import random
