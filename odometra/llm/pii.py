@@ -1,12 +1,14 @@
 r"""Personal data by bootstrapped contextual extraction (operator 1).
 
 Base: four fixed expressions find the seeds, in one pass over whole texts that also notes
-every other identifier-like token (it holds a digit or @) with the words around it.
+every other identifier-like token (it holds a digit or @), run of short digit groups and address
+in words ("name at host dot org") with the words around it.
 Bootstrapping: contexts are lexical patterns (the word before; the two words before; the
 words on both sides), each with the token's shape. Patterns and instances form a bipartite
 graph, scored in turns: a pattern is trusted by the share of its distinct instances that are
-of a kind, an instance by the patterns that vouch for it. Tokens that trusted patterns place
-in a kind are further spans of that kind; base spans always stay.
+of a kind, an instance by the patterns that vouch for it. What trusted patterns place in a kind
+supports further patterns, until nothing is added, and its spans are further spans of that
+kind; base spans always stay.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from pyspark.sql import functions as F
 from .common import map_in_pandas, materialize, table
 
 KINDS = ("email", "ip", "card", "phone")
-#: Trust that a pattern and an instance need, seeds that a pattern needs, and turns.
-TRUST, SUPPORT, TURNS = 0.8, 3, 3
-#: Longest further identifier, in code points; longer tokens are no identifiers of a person.
+#: Trust that a pattern and an instance need, trusted instances that a pattern needs, and turns (None: until nothing is added).
+TRUST, SUPPORT, TURNS = 0.8, 3, None
+#: Longest value and context word, in code points, that is its own key; longer values go by their hash.
 LONGEST = 64
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,6 +36,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_GROUP = r"[+(]?[0-9]{1,4}(?:[)./-]+[0-9]{1,4})*\)?"
+_GROUPS = re.compile(rf"(?<![^\x20\x09-\x0D]){_GROUP}(?:[\x20\x09]{{1,2}}{_GROUP}(?![^\x20\x09-\x0D.,;:!?]))+")
+_DOT = re.compile(r"[\x20\x09]+(?:dot|\(dot\)|\[dot\])[\x20\x09]+[\w-]+", re.I)
+_AT = re.compile(r"(?<=[\x20\x09])(?:at|\(at\)|\[at\])[\x20\x09]+[\w-]+", re.I)
+_NAME = re.compile(r"[\w.+-]+(?=[\x20\x09]+\Z)")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&=_"
 
@@ -64,9 +71,25 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
     return [emails(text), ip, card, phone]
 
 
+def key(value: str) -> str:
+    return value if len(value) <= LONGEST else "#" + hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def groups(text: str) -> list[tuple[int, int]]:
+    """Spans of several words: runs of digit groups with 5 digits or more, and addresses in words."""
+    out = [m.span() for m in _GROUPS.finditer(text) if sum(c.isdigit() for c in m[0]) >= 5]
+    for m in _AT.finditer(text):
+        end = m.end()
+        while dot := _DOT.match(text, end):
+            end = dot.end()
+        if end > m.end() and (name := _NAME.search(text[max(0, m.start() - 4 * LONGEST) : m.start()])):
+            out.append((max(0, m.start() - 4 * LONGEST) + name.start(), end))
+    return out
+
+
 def shape(value: str) -> str:
-    """Letters as a, digits as 9, runs shortened; other characters stay."""
-    return re.sub(r"9+", "9", re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", value)))
+    """Letters as a, digits as 9, runs shortened; other characters stay. Long ones by their hash."""
+    return key(re.sub(r"9+", "9", re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", value))))
 
 
 def _word(text: str) -> str:
@@ -85,7 +108,7 @@ def instances(text: str, base: list[list[tuple[int, int]]]) -> list[tuple]:
     """(kind or None, start, end, value, shape, before2, before1, after) of base and other identifiers."""
     out, taken = [], sorted(s for spans in base for s in spans)
     for kind, spans in zip(KINDS, base, strict=True):
-        out += [(kind, s, e, text[s:e].lower()[:LONGEST], shape(text[s:e][:LONGEST]), *_around(text, s, e)) for s, e in spans]
+        out += [(kind, s, e, key(text[s:e].lower()), shape(text[s:e]), *_around(text, s, e)) for s, e in spans]
     k = reach = 0
     for m in _TOKEN.finditer(text):
         while k < len(taken) and taken[k][0] < m.end():
@@ -94,10 +117,18 @@ def instances(text: str, base: list[list[tuple[int, int]]]) -> list[tuple]:
         if reach > m.start():
             continue
         value = m[0].strip(_EDGE)
-        if not 5 <= len(value) <= LONGEST:
+        if len(value) < 5:
             continue
         start = m.start() + m[0].index(value)
-        out.append((None, start, start + len(value), value.lower(), shape(value), *_around(text, start, start + len(value))))
+        out.append((None, start, start + len(value), key(value.lower()), shape(value), *_around(text, start, start + len(value))))
+    k = reach = 0
+    for s, e in sorted(groups(text)):
+        while k < len(taken) and taken[k][0] < e:
+            reach = max(reach, taken[k][1])
+            k += 1
+        if reach <= s:
+            value = text[s:e].lower()
+            out.append((None, s, e, key(" ".join(value.split())), shape(value), *_around(text, s, e)))
     return out
 
 
@@ -113,11 +144,12 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([pdf[["doc_id", "row"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "found"])], axis=1)
 
 
-def discover(found: DataFrame, *, trust: float, support: int, turns: int) -> DataFrame:
+def discover(found: DataFrame, *, trust: float, support: int, turns: int | None) -> DataFrame:
     """(value, shape, kind) of identifiers that trusted patterns place in a kind.
 
     found has kind, value, shape, b2, b1, after. Edges are counted once per pattern and
-    value, so a context or a value that fills a third of the table weighs as one.
+    value, so a context or a value that fills a third of the table weighs as one. A discovered
+    identifier keeps the kind and score of its turn, so the turns only add and come to an end.
     """
     contexts = F.array(
         F.when(F.col("b1") != "", F.concat_ws("\t", F.lit("1"), "b1")),
@@ -128,25 +160,29 @@ def discover(found: DataFrame, *, trust: float, support: int, turns: int) -> Dat
     edges = materialize(edges.groupBy("context", "shape", "value").agg(F.max("kind").alias("kind")))
     # shapes that seeds of a kind have, or that differ from them by a prefix or an ending
     known = edges.select("value", "shape", F.col("kind").alias("best"), F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("score")).groupBy("value", "shape").agg(F.max("best").alias("best"), F.max("score").alias("score"))
-    for _ in range(turns):
+    reached, turn = known.where("score > 0").count(), 0
+    while turns is None or turn < turns:
         scored = edges.select("context", "value", "shape").join(known, ["value", "shape"])
         sizes = scored.groupBy("context").agg(F.count("*").alias("n"))
-        patterns = scored.where("best is not null").groupBy("context", "best").agg(F.sum("score").alias("good"), F.sum(F.when(F.col("score") >= 1, 1).otherwise(0)).alias("seeds"))
+        patterns = scored.where("best is not null").groupBy("context", "best").agg(F.sum("score").alias("good"), F.sum(F.when(F.col("score") >= trust, 1).otherwise(0)).alias("seeds"))
         trusted = patterns.join(sizes, "context").withColumn("trust", F.col("good") / F.col("n")).where((F.col("trust") >= trust) & (F.col("seeds") >= support)).select("context", F.col("best").alias("vouched"), "trust")
-        votes = scored.where("score < 1").join(trusted, "context").groupBy("value", "shape", "vouched").agg(F.least(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))), F.lit(0.999)).alias("vote"))  # 1 is for seeds
+        votes = scored.where("best is null").join(trusted, "context").groupBy("value", "shape", "vouched").agg(F.least(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))), F.lit(0.999)).alias("vote"))  # 1 is for seeds
         top = votes.groupBy("value", "shape").agg(F.max(F.struct("vote", "vouched")).alias("top")).select("value", "shape", F.col("top.vouched").alias("new"), F.col("top.vote").alias("vote"))
-        known = materialize(known.join(top, ["value", "shape"], "left").select("value", "shape", F.coalesce("best", "new").alias("best"), F.when(F.col("score") >= 1, F.col("score")).otherwise(F.coalesce("vote", "score")).alias("score")))
+        known = materialize(known.join(top, ["value", "shape"], "left").select("value", "shape", F.coalesce("best", "new").alias("best"), F.when(F.col("best").isNotNull(), F.col("score")).otherwise(F.coalesce("vote", "score")).alias("score")))
+        before, reached, turn = reached, known.where("score > 0").count(), turn + 1
+        if reached == before:
+            break
     return known.where((F.col("score") >= trust) & (F.col("score") < 1) & F.col("best").isNotNull()).select("value", "shape", F.col("best").alias("new_kind"))
 
 
-def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trust: float = TRUST, support: int = SUPPORT, turns: int = TURNS) -> DataFrame:
+def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trust: float = TRUST, support: int = SUPPORT, turns: int | None = TURNS) -> DataFrame:
     """Personal data of every whole text, a row per input row.
 
     (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added): counts and hash
     are those of the base spans; spans lists kind:start:end of base and discovered spans in
-    code points, end exclusive. Null and empty texts have none; rows that repeat an id keep
+    code points, end exclusive; of discovered spans inside one another the longest. Null and empty texts have none; rows that repeat an id keep
     their own spans; an empty table gives no rows. A discovered span never overlaps a base
-    span. A pattern below `support` seeds or below `trust` discovers nothing.
+    span. A pattern below `support` trusted instances or below `trust` discovers nothing.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     item = "struct<kind:string,start:long,end:long,value:string,shape:string,b2:string,b1:string,after:string>"
@@ -154,6 +190,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
     new = discover(found, trust=trust, support=support, turns=turns)
     added = found.where("kind is null").join(new, ["value", "shape"]).groupBy(F.col("row").alias("added_row")).agg(F.collect_set(F.struct(F.col("new_kind").alias("kind"), "start", "end")).alias("added"))
+    added = added.withColumn("added", F.filter("added", lambda a: ~F.exists("added", lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & (b["end"] - b["start"] > a["end"] - a["start"]))))
     joined = scanned.join(added, F.col("row") == F.col("added_row"), "left")
     rank = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
     base = F.transform(F.filter("found", lambda f: f["kind"].isNotNull()), lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")))

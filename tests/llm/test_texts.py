@@ -74,6 +74,22 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert pii.find_pii(df.limit(0)).count() == 0
 
 
+def test_groups_long_values_and_further_patterns(spark):
+    rows = [(i, f"please ring number: +49 30 12345{i:02} now") for i in range(12)]
+    rows += [(20, "please ring number: 030 123 4567 now"), (21, "please ring number: 4000 1234 5678 9013 now")]
+    rows += [(200 + i, f"write to mail: user{i}@mail.example.org today") for i in range(80)]
+    rows += [(70, "write to mail: jo at host dot org today"), (71, "write to mail: " + "x1" * 50 + "(at)host today")]
+    # identifiers known from the first pattern vouch for a second, which has no seed
+    rows += [(80 + i, f"write to mail: nick{i}_x today") for i in range(9)] + [(90 + i, f"handle is nick{i}_x here") for i in range(9)] + [(99, "handle is nick77_x here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+    for doc, kind, value in [(20, "phone", "030 123 4567"), (21, "phone", "4000 1234 5678 9013"), (70, "email", "jo at host dot org"), (71, "email", "x1" * 50 + "(at)host"), (80, "email", "nick0_x"), (99, "email", "nick77_x")]:
+        at = dict(rows)[doc].index(value)
+        assert got[doc] == f"{kind}:{at}:{at + len(value)}", doc
+    long = ["a" * 70 + f"{k}@host.org" for k in range(2)]
+    assert len({x[3] for t in long for x in pii.instances(t, pii.base_spans(t))}) == 2
+
+
 # -- tokens ----------------------------------------------------------------------------
 
 
