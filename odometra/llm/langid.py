@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import give_back, map_in_pandas, ship_package, table
 
-#: Bounds of what is learned: documents and code points per language, code points per document, languages.
-SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS, LANGUAGES = 96, 30_000, 20_000, 128
+#: Bounds of what is learned: documents and code points per language, code points per document.
+SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS = 96, 30_000, 20_000
 REMEMBER, BITS = 100_000, 40
 UNDETERMINED = "und"
 
@@ -128,11 +128,11 @@ def identifier_of(learned: tuple[tuple[str, str], ...]) -> Identifier:
 def learn(rows: DataFrame, *, id_col: str, text_col: str, lang_col: str, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
     """Labelled text per language, of a sample by hash of the id; rows without label or text teach nothing.
 
-    At most LANGUAGES languages (those with the most rows), sample_docs documents of at most
-    DOC_CHARS code points and sample_chars code points each reach the driver.
+    Every language is learned; of each, at most sample_docs documents of at most DOC_CHARS
+    code points and sample_chars code points are.
     """
     usable = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").collect()
     if not sizes:
         return ()
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 1.5 * sample_docs / r["n"]))])

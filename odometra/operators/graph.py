@@ -21,6 +21,7 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2", nodes
     Large-star and small-star steps in turn: per vertex a minimum (combined before the
     shuffle) and one join that a vertex with very many edges cannot make uneven, because both
     sides are plain exchanges. Edges are written out after each step and never collected.
+    Raises if the components aren't finished after `rounds`.
     """
     e = materialize(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before = None
@@ -34,6 +35,8 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2", nodes
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components aren't finished after {rounds} rounds")
     roots = e.groupBy("u").agg(F.min("v").alias("component"))
     tops = e.select(F.col("v").alias("u")).distinct().join(roots, "u", "left_anti").select("u", F.col("u").alias("component"))
     found = roots.unionByName(tops).withColumnRenamed("u", "node")

@@ -10,6 +10,7 @@ import pytest
 
 from odometra.llm import exactdup, linedup, neardup
 from odometra.llm.common import connected
+from odometra.operators.graph import connected_components
 
 SCHEMA = "doc_id long, text string, component_id string, kept int, key string, size int"
 
@@ -171,3 +172,9 @@ def test_connected_on_stars_and_paths(spark):
     edges = [(0, i) for i in range(1, 50)] + [(100 + i, 101 + i) for i in range(60)] + [(7, 7)]
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert {got[i] for i in range(50)} == {0} and {got[100 + i] for i in range(61)} == {100}
+
+
+def test_unfinished_components_are_an_error(spark):
+    path = spark.createDataFrame([(i * 7919 % 1009, (i + 1) * 7919 % 1009) for i in range(1000)], "id1 long, id2 long")
+    with pytest.raises(RuntimeError, match="finished"):
+        connected_components(path, rounds=1)

@@ -222,6 +222,15 @@ def test_languages(spark):
     assert {r.lang_pred for r in langid.identify(df, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(k, " ".join(letters[k // 26] + letters[k % 26] + x + letters[k % 26] for x in "aeiou"), f"l{k:03}") for k in range(140)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = langid.learn(df, id_col="doc_id", text_col="text", lang_col="lang")
+    assert [k for k, _ in learned] == [f"l{k:03}" for k in range(140)]
+    assert langid.Identifier(learned).predict(rows[139][1])[0] == "l139"
+
+
 # -- HTML ------------------------------------------------------------------------------
 
 
