@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..checkpoints import materialize
+from ..checkpoints import discard, materialize
 from .pairs import dense_ids
 
 
@@ -30,7 +30,9 @@ def connected_components(edges: DataFrame, a: str = "id1", b: str = "id2", nodes
         least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.where("u > m").select("u", F.col("m").alias("v"))).where("u > v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        e = materialize(large.join(down, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        following = materialize(large.join(down, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        discard(e, least)
+        e = following
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -85,6 +87,8 @@ def spanning_forest(edges: DataFrame, *, a: str = "id1", b: str = "id2", weight:
             break
         tree = best if tree is None else materialize(tree.unionByName(best))
         labels = materialize(connected_components(tree, nodes=labels.select("node")))
+    else:
+        raise RuntimeError(f"the forest isn't finished after {rounds} rounds")
     return tree if tree is not None else e.limit(0)
 
 
