@@ -7,6 +7,8 @@ those of other templates (</s>, [INST]) can occur inside a text; reading them ba
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +42,19 @@ def field_paths(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
+def paths_hash(paths) -> str:
+    """fingerprint() of given field paths."""
+    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
+
+
 def fingerprint(paths: Column) -> Column:
     """Hash of a record's sorted nested field paths."""
     return F.sha2(F.array_join(F.array_sort(F.array_distinct(paths)), "\n").cast("binary"), 256)
 
 
+NO_TURNS = "array<struct<role:string,text:string>>"
+
+
 def _turns(*pairs: tuple[str, Column]) -> Column:
     return F.filter(F.array(*[F.struct(F.lit(r).alias("role"), t.alias("text")) for r, t in pairs]), lambda t: t["text"].isNotNull())
 
@@ -58,6 +68,21 @@ def _list(json: Column, path: str, role: str, text: str) -> Column:
     return F.transform(got, lambda t: F.struct(F.coalesce(t[role], F.lit("")).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")))
 
 
+def _parts(json: Column) -> Column:
+    """Messages whose content is a string or a list of parts; texts of the parts are put one after the other."""
+
+    def joined(content: Column) -> Column:
+        parts = F.from_json(content, "array<struct<text string>>")
+        return F.when(content.startswith("["), F.coalesce(F.array_join(F.transform(parts, lambda p: p["text"]), ""), content)).otherwise(content)
+
+    return F.transform(_list(json, "messages", "role", "content"), lambda t: F.struct(t["role"].alias("role"), joined(t["text"]).alias("text")))
+
+
+def _people(json: Column) -> Column:
+    named = F.create_map(F.lit("human"), F.lit("user"), F.lit("gpt"), F.lit("assistant"))
+    return F.transform(_list(json, "conversations", "from", "value"), lambda t: F.struct(F.coalesce(named[t["role"]], t["role"]).alias("role"), t["text"].alias("text")))
+
+
 #: Layout by its field paths: how a JSON record of that layout becomes turns.
 LAYOUTS: dict[tuple[str, ...], object] = {
     ("prompt", "completion"): lambda j: _turns(("user", _get(j, "prompt")), ("assistant", _get(j, "completion"))),
@@ -67,39 +92,51 @@ LAYOUTS: dict[tuple[str, ...], object] = {
     ("instruction", "input", "output"): lambda j: _turns(("user", F.concat_ws("\n", _get(j, "instruction"), F.nullif(_get(j, "input"), F.lit("")))), ("assistant", _get(j, "output"))),
     ("system", "prompt", "response"): lambda j: _turns(("system", _get(j, "system")), ("user", _get(j, "prompt")), ("assistant", _get(j, "response"))),
     ("messages[].role", "messages[].content"): lambda j: _list(j, "messages", "role", "content"),
-    ("conversations[].from", "conversations[].value"): lambda j: F.transform(
-        _list(j, "conversations", "from", "value"),
-        lambda t: F.struct(F.coalesce(F.create_map(F.lit("human"), F.lit("user"), F.lit("gpt"), F.lit("assistant"))[t["role"]], t["role"]).alias("role"), t["text"].alias("text")),
-    ),
+    ("messages[].role", "messages[].content[].text"): _parts,
+    ("messages[].role", "messages[].content", "messages[].content[].text"): _parts,
+    ("conversations[].from", "conversations[].value"): _people,
 }
+#: Fields that some layout reads. Others (id, source, tool_calls, ...) aren't hashed: they change no mapping.
+KNOWN = tuple(sorted({p for paths in LAYOUTS for p in paths}))
+#: Lists in lists that paths are followed into.
+DEPTH = 3
 
 
 def json_paths(json: Column) -> Column:
-    """Field paths of a JSON record; those of the records in a list as key[].path."""
-    fields = F.from_json(json, "map<string,string>")
-    none = F.array().cast("array<string>")
+    """Field paths of a JSON record: of the records in a list, the union of all of them, as key[].path."""
 
-    def below(key: Column) -> Column:
-        first = F.coalesce(F.json_object_keys(F.get_json_object(fields[key], "$[0]")), none)
-        return F.when(F.size(first) > 0, F.transform(first, lambda k: F.concat(key, F.lit("[]."), k))).otherwise(F.array(key))
+    def below(record: Column, at: Column | None, depth: int) -> Column:
+        fields = F.from_json(record, "map<string,string>")
 
-    return F.coalesce(F.flatten(F.transform(F.map_keys(fields), below)), none)
+        def of(entry: Column) -> Column:
+            path = entry["key"] if at is None else F.concat(at, entry["key"])
+            inside = F.filter(F.from_json(entry["value"], "array<string>"), lambda x: x.startswith("{"))
+            listed = F.when(entry["value"].startswith("["), inside)
+            if depth == 1:
+                return F.array(path)
+            return F.when(F.size(listed) > 0, F.array_distinct(F.flatten(F.transform(listed, lambda x: below(x, F.concat(path, F.lit("[].")), depth - 1))))).otherwise(F.array(path))
+
+        return F.coalesce(F.flatten(F.transform(F.map_entries(fields), of)), F.array().cast("array<string>"))
+
+    return F.array_distinct(below(json, None, DEPTH))
 
 
 def canonical_turns(records: DataFrame, *, id_col: str, json_col: str) -> DataFrame:
     """(conv_id, layout, turns) of JSON records in any registered layout.
 
-    The hash of a record's nested field paths selects its mapping; an unknown layout, null
-    or broken JSON gives no turns and layout null, and is never dropped.
+    The hash of a record's nested field paths, as far as any layout knows them, selects its
+    mapping. A record without such fields, or with a mixture that no layout has, null and
+    broken JSON give no turns and layout null; they are never dropped.
     """
     out = records.select(F.col(id_col).alias("conv_id"), F.col(json_col).cast("string").alias("json"))
-    out = out.withColumn("print", fingerprint(json_paths(F.col("json"))))
-    turns, layout = F.lit(None).cast("array<struct<role:string,text:string>>"), F.lit(None).cast("string")
+    known = F.array(*[F.lit(p) for p in KNOWN])
+    out = out.withColumn("print", fingerprint(F.array_intersect(json_paths(F.col("json")), known)))
+    turns, layout = F.lit(None).cast(NO_TURNS), F.lit(None).cast("string")
     for paths, mapping in LAYOUTS.items():
         same = F.col("print") == fingerprint(F.array(*[F.lit(p) for p in paths]))
         turns = F.when(same, mapping(F.col("json"))).otherwise(turns)
         layout = F.when(same, F.lit("+".join(paths))).otherwise(layout)
-    return out.select("conv_id", layout.alias("layout"), F.coalesce(turns, F.array().cast("array<struct<role:string,text:string>>")).alias("turns"))
+    return out.select("conv_id", layout.alias("layout"), F.coalesce(turns, F.array().cast(NO_TURNS)).alias("turns"))
 
 
 #: Layout of tables with a row a turn: field paths to (conversation, order, role, text).
@@ -109,23 +146,36 @@ ROW_LAYOUTS: dict[tuple[str, ...], tuple[str, str, str, str]] = {
 }
 
 
-def row_turns(rows: DataFrame) -> DataFrame:
-    """(conv_id, turns) of a table with a row a turn; its columns' fingerprint selects the mapping.
+def row_layout(rows: DataFrame) -> tuple[str, str, str, str]:
+    """Columns (conversation, order, role, text): the hash of the table's field paths, as far as a layout knows them, selects the mapping."""
+    have = set(field_paths(rows.schema))
+    by_print = {paths_hash(paths): names for paths, names in ROW_LAYOUTS.items()}
+    for paths in ROW_LAYOUTS:
+        if (names := by_print.get(paths_hash(have.intersection(paths)))) is not None:
+            return names
+    raise ValueError(f"no layout has the fields {sorted(have)}")
+
+
+def row_records(rows: DataFrame) -> DataFrame:
+    """(conv_id, record): a table with a row a turn as a JSON record of messages per conversation.
 
     Columns beyond a layout's own are ignored. Turns are ordered by turn (null first), then
     role and text; null role and text count as empty; repeated rows are turns of their own.
     A conversation is one output text, so its turns meet in one row; conversations are
     spread over tasks by their id.
     """
-    have = set(field_paths(rows.schema))
-    names = next((m for paths, m in ROW_LAYOUTS.items() if set(paths) <= have), None)
-    if names is None:
-        raise ValueError(f"no layout has the fields {sorted(have)}")
+    names = row_layout(rows)
     conv, turn, role, text = (F.col(f"`{n}`") for n in names)
     one = F.struct(turn.alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     got = rows.groupBy(conv.alias("conv_id")).agg(F.array_sort(F.collect_list(one)).alias("t"))
     nulls_first = F.concat(F.filter("t", lambda t: t["turn"].isNull()), F.filter("t", lambda t: t["turn"].isNotNull()))
-    return got.select("conv_id", F.transform(nulls_first, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+    messages = F.transform(nulls_first, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    return got.select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+
+
+def row_turns(rows: DataFrame) -> DataFrame:
+    """(conv_id, turns) of a table with a row a turn, through the mapping that its records' fingerprint selects."""
+    return canonical_turns(row_records(rows), id_col="conv_id", json_col="record").select("conv_id", "turns")
 
 
 def render(turns: DataFrame, *, train_on: str = "assistant") -> DataFrame:
@@ -154,7 +204,8 @@ def sha(text: Column) -> Column:
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = table(spark, sf_dir, "conversations")
+    rows = rows.select(*row_layout(rows)).toDF("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     back = parse(render(row_turns(rows.unionByName(extra))))
     return back.select(

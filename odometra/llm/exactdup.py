@@ -14,20 +14,20 @@ PREFIX = 256
 def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX) -> DataFrame:
     """Groups of two or more equal texts (A-Z lower-cased): (text_sha256, keep_id, group_size).
 
-    Three steps, each on the survivors of the one before: rows of a shared length, then of
-    a shared hash of the first `prefix` code points too, and only for these the hash of the
-    whole text. Counts and the largest id are combined before each shuffle, so a group with
-    a third of all rows reaches a task as one row per partition.
+    Three steps, each on the survivors of the one before: rows of a shared length; of these,
+    rows of a shared hash of the first `prefix` code points too; and only of these the hash
+    of the whole text. Counts and the largest id are combined before each shuffle, so a group
+    with a third of all rows reaches a task as one row per partition.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    length, head = F.length(text), F.xxhash64(ascii_lower(F.substring(text, 1, prefix)))
-    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), length.alias("len"), head.alias("head"))
-    # length first, and inside a length the prefix: one pass finds both kinds of survivor
-    by_head = keyed.groupBy("len", "head").agg(F.count("*").alias("n"))
-    by_len = by_head.groupBy("len").agg(F.sum("n").alias("same_len")).where("same_len > 1")
-    alive = materialize(by_head.where("n > 1").join(by_len, "len", "left_semi").select("len", "head"))
-    rest = keyed.join(alive, ["len", "head"], "left_semi")
-    return rest.groupBy("len", "head", F.sha2(ascii_lower(F.col("text")).cast("binary"), 256).alias("text_sha256")).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1").select("text_sha256", "keep_id", "group_size")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.length(text).alias("len"))
+    same_length = materialize(rows.groupBy("len").agg(F.count("*").alias("n")).where("n > 1").select("len"))
+    rows = rows.join(same_length, "len", "left_semi")
+    headed = rows.withColumn("head", F.xxhash64(ascii_lower(F.substring("text", 1, prefix))))
+    same_head = materialize(headed.groupBy("len", "head").agg(F.count("*").alias("n")).where("n > 1").select("len", "head"))
+    rest = headed.join(same_head, ["len", "head"], "left_semi")
+    full = F.sha2(ascii_lower(F.col("text")).cast("binary"), 256).alias("text_sha256")
+    return rest.groupBy("len", "head", full).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1").select("text_sha256", "keep_id", "group_size")
 
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX) -> DataFrame:
@@ -36,6 +36,8 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     Null text equals empty text. Of equal texts the largest id stays; rows that repeat an
     id as well all count in group_size and all say kept. Null ids never stay unless a whole
     group has none; then keep_id is null and kept is true. An empty table gives no rows.
+    text_sha256 is a column of the result, so it is hashed for every row here; what is equal
+    is decided by copy_groups alone.
     """
     groups = copy_groups(docs, id_col=id_col, text_col=text_col, prefix=prefix).withColumnRenamed("text_sha256", "group_sha256")
     hashed = docs.select(F.col(id_col).alias("doc_id"), F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256).alias("text_sha256"))

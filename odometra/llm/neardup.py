@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected, give_back, map_in_pandas, materialize, table
+from .common import WordHashes, connected, discard, give_back, map_in_pandas, materialize, mix, shingle_run, table
 
 #: 64 bands of 8 hashes miss a pair of similarity 0.8 with probability 8e-6.
 BANDS, ROWS = 64, 8
@@ -40,33 +40,13 @@ _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**31, BANDS * ROWS,
 _MIX = np.random.default_rng(7).integers(1, 2**62, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _WordHashes(dict):
-    """64-bit hash of a word; forgets all when it has grown to a fixed number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingle_hashes(text: str | None, words: int, hashes: dict) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a whole text; the whole sequence if it has fewer words."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    n = min(words, len(found))
-    x = np.full(len(h) - n + 1, n, np.uint64)
-    for k in range(n):
-        x = _mix(x * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k])
-    return np.unique(x)
+    return np.unique(shingle_run(h, min(words, len(found))))
 
 
 def minhashes(shingles: np.ndarray) -> np.ndarray:
@@ -83,7 +63,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, set_hash, bands, sig) of (doc_id, text); null hashes for empty sets."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for pdf in batches:
             out: dict[str, list] = {"n_shingles": [], "set_hash": [], "bands": [], "sig": []}
             for text in pdf["text"]:
@@ -94,10 +74,10 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                         out[k].append(None)
                     continue
                 least = minhashes(s)
-                bands = _mix((least.reshape(BANDS, ROWS).astype(np.uint64) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+                bands = mix((least.reshape(BANDS, ROWS).astype(np.uint64) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
                 out["set_hash"].append(xxhash.xxh3_128_digest(s.tobytes()))
                 out["bands"].append(bands.view(np.int64))
-                out["sig"].append((_mix(least[:: len(least) // SIGNATURE].astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes())
+                out["sig"].append((mix(least[:: len(least) // SIGNATURE].astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], **out})
             del pdf, out
         hashes.clear()
@@ -241,7 +221,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = named.join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "shingles": [shingle_hashes(t, words, hashes).view(np.int64) for t in pdf["text"]]})
             del pdf

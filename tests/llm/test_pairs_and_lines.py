@@ -123,6 +123,16 @@ def test_exact_dedup(spark):
     assert exactdup.exact_dedup(table(spark, [])).count() == 0
 
 
+def test_each_step_of_exact_dedup_reads_the_survivors_of_the_one_before(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(exactdup, "materialize", lambda df: written.append([tuple(r) for r in df.collect()]) or df)
+    rows = [(1, "a" * 10), (2, "a" * 10), (3, "a" * 4 + "b" * 6), (4, "c" * 10), (5, "only one so long"), (6, "")]
+    groups = exactdup.copy_groups(table(spark, rows), prefix=4).collect()
+    assert written[0] == [(10,)]  # lengths 16 and 0 are out before anything is hashed
+    assert len(written[1]) == 1 and written[1][0][0] == 10  # ccc.. is out before a whole text is
+    assert [(g.keep_id, g.group_size) for g in groups] == [(2, 2)]
+
+
 def deleted(rows, least):
     """Lines of all runs of whole lines with `least` words or more that occur earlier too."""
     docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda d: (d[0] is not None, d[0] or 0))

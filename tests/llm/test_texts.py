@@ -348,10 +348,25 @@ def test_layouts(spark):
         (5, {"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}]}),
         (6, {"odd": 1}),
         (7, {"response": "r", "prompt": "p"}),
+        (10, {"id": 3, "source": {"name": "x"}, "prompt": "p", "completion": "c"}),
+        (11, {"messages": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "a", "tool_calls": [{"name": "f"}]}]}),
+        (12, {"messages": [{"role": "user", "content": [{"type": "text", "text": "one "}, {"type": "text", "text": "two"}]}, {"role": "assistant", "content": "[a]"}]}),
+        (13, {"prompt": "p", "answer": "a"}),
+        (14, {"messages": []}),
     ]
     df = spark.createDataFrame([(i, json.dumps(r)) for i, r in records] + [(8, "no json"), (9, None)], "id long, j string")
     got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat.canonical_turns(df, id_col="id", json_col="j").collect()}
-    assert got == {1: [("user", "p"), ("assistant", "c")], 2: [("user", "i\nn"), ("assistant", "o")], 3: [("user", "i"), ("assistant", "o")], 4: [("system", "s"), ("user", "u")], 5: [("user", "h"), ("assistant", "g")], 6: [], 7: [("user", "p"), ("assistant", "r")], 8: [], 9: []}
+    assert got == {1: [("user", "p"), ("assistant", "c")], 2: [("user", "i\nn"), ("assistant", "o")], 3: [("user", "i"), ("assistant", "o")], 4: [("system", "s"), ("user", "u")], 5: [("user", "h"), ("assistant", "g")], 6: [], 7: [("user", "p"), ("assistant", "r")], 8: [], 9: [], 10: [("user", "p"), ("assistant", "c")], 11: [("user", "u"), ("assistant", "a")], 12: [("user", "one two"), ("assistant", "[a]")], 13: [], 14: []}
+
+
+def test_the_fingerprint_selects_the_mapping(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "u", "x"), (1, 1, "assistant", "a", "y")], "conversation_id long, position long, speaker string, utterance string, source string")
+    assert [(t.role, t.text) for t in chat.row_turns(rows).first().turns] == [("user", "u"), ("assistant", "a")]
+    with pytest.raises(ValueError, match="no layout"):
+        chat.row_turns(rows.drop("speaker"))
+    plan = chat.row_turns(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and chat.paths_hash(("messages[].role", "messages[].content")) in plan
+    assert [r.layout for r in chat.canonical_turns(spark.createDataFrame([(1, '{"a": 1}')], "i long, j string"), id_col="i", json_col="j").collect()] == [None]
 
 
 # -- pipeline --------------------------------------------------------------------------
