@@ -133,7 +133,7 @@ def canonical_turns(records: DataFrame, *, id_col: str, json_col: str) -> DataFr
     out = out.withColumn("print", fingerprint(F.array_intersect(json_paths(F.col("json")), known)))
     turns, layout = F.lit(None).cast(NO_TURNS), F.lit(None).cast("string")
     for paths, mapping in LAYOUTS.items():
-        same = F.col("print") == fingerprint(F.array(*[F.lit(p) for p in paths]))
+        same = F.col("print") == paths_hash(paths)
         turns = F.when(same, mapping(F.col("json"))).otherwise(turns)
         layout = F.when(same, F.lit("+".join(paths))).otherwise(layout)
     return out.select("conv_id", layout.alias("layout"), F.coalesce(turns, F.array().cast(NO_TURNS)).alias("turns"))
