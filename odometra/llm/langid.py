@@ -1,21 +1,20 @@
 """Language identification by cross-parsing against suffix automata (operator 5).
 
-A bounded sample of labelled text per language becomes a suffix automaton. A text is parsed
-against each language: from left to right, each phrase is the longest match with the labelled
-text. Fewer phrases, normalised by log2 of the labelled length and the text's length, mean a
-lower cross-entropy; the language with the fewest wins. Phrases end at word boundaries (the
-unit is a word with a blank on both sides), so that a word's phrases can be remembered and
-the labelled text needs each of its words once.
+A bounded sample of labelled documents per language, as running text, becomes a suffix
+automaton. A text is parsed against each language from left to right, across words: each
+phrase is the longest match with the labelled text. Fewer phrases, normalised by log2 of
+the labelled length and the text's length, mean a lower cross-entropy; the language with
+the fewest wins. What is parsed is lower case, with one blank for whatever stands between
+two runs of letters.
 """
 
 from __future__ import annotations
 
+import gc
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import mul
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,130 +22,129 @@ from pyspark.sql import functions as F
 
 from .common import give_back, map_in_pandas, ship_package, table
 
-#: Bounds of what is learned: documents and code points per language, code points per document.
-SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS = 96, 30_000, 20_000
-REMEMBER, BITS = 100_000, 40
+#: Bounds of the labelled rows that are learned, per language: documents, taken whole, and their code points.
+SAMPLE_DOCS, SAMPLE_CHARS = 96, 40_000
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class SuffixAutomaton:
-    """Of one text; next[state] maps characters to states."""
+    """Of one text; a state is the dictionary of its steps, from characters to states."""
 
     def __init__(self, text: str) -> None:
-        self.next: list[dict[str, int]] = [{}]
-        link, size, last = [-1], [0], 0
+        self.root: dict[str, dict] = {}
+        states, link, size, last = [self.root], [-1], [0], 0
+        number = {id(self.root): 0}
+
+        def new(steps: dict, length: int, suffix: int) -> int:
+            states.append(steps)
+            size.append(length)
+            link.append(suffix)
+            number[id(steps)] = len(states) - 1
+            return len(states) - 1
+
         for c in text:
-            cur = len(self.next)
-            self.next.append({})
-            size.append(size[last] + 1)
-            link.append(0)
+            cur = new({}, size[last] + 1, 0)
             p = last
-            while p >= 0 and c not in self.next[p]:
-                self.next[p][c] = cur
+            while p >= 0 and c not in states[p]:
+                states[p][c] = states[cur]
                 p = link[p]
             if p >= 0:
-                q = self.next[p][c]
+                q = number[id(states[p][c])]
                 if size[p] + 1 == size[q]:
                     link[cur] = q
                 else:
-                    copy = len(self.next)
-                    self.next.append(dict(self.next[q]))
-                    size.append(size[p] + 1)
-                    link.append(link[q])
+                    copy = new(dict(states[q]), size[p] + 1, link[q])
                     link[q] = link[cur] = copy
-                    while p >= 0 and self.next[p].get(c) == q:
-                        self.next[p][c] = copy
+                    old = states[q]
+                    while p >= 0 and states[p].get(c) is old:
+                        states[p][c] = states[copy]
                         p = link[p]
             last = cur
 
-    def phrases(self, unit: str) -> int:
+    def phrases(self, text: str) -> int:
         """Phrases of the cross-parsing; an unseen character is one of its own."""
-        step, state, n = self.next, 0, 0
-        for c in unit:
-            to = step[state].get(c)
+        root = at = self.root
+        n = 0
+        for c in text:
+            to = at.get(c)
             if to is None:
-                if state:  # the phrase ends before c
+                if at is not root:  # the phrase ends before c
                     n += 1
-                    state = 0
-                    to = step[0].get(c)
+                    to = root.get(c)
                 if to is None:
                     n += 1
+                    at = root
                     continue
-            state = to
-        return n + (state != 0)
-
-
-def units(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
-
-
-class _Phrases(dict):
-    """Phrases of words in all languages, packed into one number of BITS bits each; forgets all when full."""
+            at = to
+        return n + (at is not root)
 
-    def __init__(self, automata: list[SuffixAutomaton]) -> None:
-        self.automata = automata
 
-    def __missing__(self, word: str) -> int:
-        unit, packed = f" {word} ", 0
-        for a in reversed(self.automata):
-            packed = packed << BITS | a.phrases(unit)
-        if len(word) <= 64:
-            if len(self) >= REMEMBER:
-                self.clear()
-            self[word] = packed
-        return packed
+def running(text: str) -> str:
+    """Runs of letters in lower case with a blank around each; empty without letters."""
+    found = _LETTERS.findall(text.lower())
+    return f" {' '.join(found)} " if found else ""
 
 
 class Identifier:
-    """learned: (language, labelled text), from the most to the fewest labelled rows."""
+    """learned: (language, labelled running text), from the most to the fewest labelled rows."""
 
     def __init__(self, learned: tuple[tuple[str, str], ...]) -> None:
         self.languages = [k for k, _ in learned]
-        self.seen = _Phrases([SuffixAutomaton(t) for _, t in learned])
+        self.automata = [SuffixAutomaton(t) for _, t in learned]
         self.scale = [math.log2(len(t) + 1) for _, t in learned]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score: how much longer the second best parse is, from 0.5 (as long) to 1; 0 for und."""
-        found = units(text or "")
-        if not found or not self.languages:
+        said = running(text or "")
+        if not said or not self.languages:
             return UNDETERMINED, 0.0
-        words = Counter(found)
-        packed = sum(map(mul, words.values(), map(self.seen.__getitem__, words)))
-        totals = [packed >> BITS * k & (1 << BITS) - 1 for k in range(len(self.languages))]
-        costs = sorted((t * s, k) for k, (t, s) in enumerate(zip(totals, self.scale, strict=True)))
+        costs = sorted((a.phrases(said) * s, k) for k, (a, s) in enumerate(zip(self.automata, self.scale, strict=True)))
         best, second = costs[0], costs[1] if len(costs) > 1 else (math.inf, 0)
         return self.languages[best[1]], 1.0 if second[0] == math.inf else second[0] / (best[0] + second[0])
 
 
 @lru_cache(maxsize=2)
 def identifier_of(learned: tuple[tuple[str, str], ...]) -> Identifier:
-    return Identifier(learned)
+    found = Identifier(learned)
+    gc.freeze()  # its many states are never garbage
+    return found
 
 
 def learn(rows: DataFrame, *, id_col: str, text_col: str, lang_col: str, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
     """Labelled text per language, of a sample by hash of the id; rows without label or text teach nothing.
 
-    Every language is learned; of each, at most sample_docs documents of at most DOC_CHARS
-    code points and sample_chars code points are.
+    Every language is learned, from whole documents in the order of the hash: at most
+    sample_docs of them, and as many as sample_chars code points hold. A language all of
+    whose documents are longer is learned from its shortest one.
     """
-    usable = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").collect()
+    usable = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    fits = F.length("text") <= sample_chars
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(fits).alias("fit"), F.min(F.when(~fits, F.length("text"))).alias("shortest")).orderBy(F.col("n").desc(), "lang").collect()
     if not sizes:
         return ()
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 1.5 * sample_docs / r["n"]))])
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 1.5 * sample_docs / r["fit"]) if r["fit"] else 0.0)])
     place: Column = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = usable.withColumn("place", place).where(F.col("place") < share[F.col("lang")]).select("lang", "place", F.substring("text", 1, DOC_CHARS).alias("text"))
+    placed = usable.withColumn("place", place)
+    drawn = placed.where(fits & (F.col("place") < share[F.col("lang")])).select("lang", "place", "text")
     sample: dict[str, list[tuple[float, str]]] = {}
     for r in drawn.orderBy("place", "text").limit(2 * sample_docs * len(sizes)).collect():
         sample.setdefault(r["lang"], []).append((r["place"], r["text"]))
+    if alone := [r for r in sizes if r["lang"] not in sample]:  # no document of theirs fits, or the draw took none
+        best = F.create_map(*[F.lit(x) for r in alone for x in (r["lang"], r["shortest"] if not r["fit"] else -1)])
+        wanted = placed.where(F.col("lang").isin([r["lang"] for r in alone])).where(fits | (F.length("text") == best[F.col("lang")]))
+        for r in wanted.groupBy("lang").agg(F.min(F.struct("place", "text")).alias("x")).collect():
+            sample[r["lang"]] = [(r["x"]["place"], r["x"]["text"])]
     learned = []
-    for lang, texts in ((r["lang"], sample[r["lang"]]) for r in sizes if r["lang"] in sample):
-        words = dict.fromkeys(w for _, t in sorted(texts)[:sample_docs] for w in units(t))
-        joined = f" {' '.join(words)} "[:sample_chars]
-        if joined.strip():
-            learned.append((lang, joined))
+    for lang in (r["lang"] for r in sizes):
+        taken, chars = [], 0
+        for _, text in sorted(sample[lang])[:sample_docs]:
+            if not taken or chars + len(text) <= sample_chars:
+                taken.append(running(text).strip())
+                chars += len(text)
+        if said := " ".join(filter(None, taken)):
+            learned.append((lang, f" {said} "))
     return tuple(learned)
 
 

@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from odometra.llm.common import WordHashes, shingle_run
 from odometra.llm import chat, decontam, html_text, langid, mixing, pii, tokens
 
 # -- personal data ---------------------------------------------------------------------
@@ -158,7 +159,7 @@ def test_windows_by_brute_force():
     rng = random.Random(5)
     vocabulary = [f"v{i}" for i in range(30)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 12, 25, 40])))) for k in range(12)]
-    index, hashes = decontam.Index(items, 5), decontam._WordHashes()
+    index, hashes = decontam.Index(items, 5), WordHashes()
     for _ in range(150):
         words = [rng.choice(vocabulary) for _ in range(rng.randrange(80))]
         for _ in range(2):
@@ -170,7 +171,7 @@ def test_windows_by_brute_force():
         h = decontam.word_hashes(" ".join(words), hashes)
         want = {}
         for i, (_, n, x) in enumerate(index.items):
-            s = decontam.shingles(h, n)
+            s = shingle_run(h, n)
             for k in range(max(1, len(s) - len(x) + 1)):
                 window = s[k : k + len(x)]
                 if len(window) and index.similarity(i, window) >= 0.8:
@@ -184,11 +185,31 @@ def test_blocks_hold_all_within_the_radius():
 
     index = decontam.Index([(1, ITEM)], 5)
     rng = np.random.default_rng(0)
-    n, m = index.items[0][1], len(index.items[0][2])
-    for bits in range(decontam.RADIUS + 1):
-        mark = np.unpackbits(index.prints[0])
-        mark[rng.choice(64, bits, replace=False)] ^= 1
-        assert list(index.near(n, m, np.packbits(mark)[None])) == [(0, 0)]
+    blocks, bits = index.blocks[index.items[0][1], len(index.items[0][2])], 16 * decontam.BLOCKS
+    for n in range(decontam.RADIUS + 1):
+        mark = np.unpackbits(index.mark(0).view(np.uint8))
+        mark[rng.choice(bits, n, replace=False)] ^= 1
+        rows, items = blocks.near(np.packbits(mark).view(np.uint16)[None])
+        assert (rows.tolist(), items.tolist()) == ([0], [0])
+
+
+@pytest.mark.parametrize("size", [10, 30, 100, 500])
+def test_recall_at_the_threshold_and_candidates_of_a_window(size):
+    """Copies of items at a similarity just above 0.8 among 4,000 items of one size."""
+    import numpy as np
+
+    rng = np.random.default_rng(size)
+    prints = np.stack([decontam.fingerprints(decontam.signs(rng.integers(0, 2**63, size, dtype=np.uint64)).sum(axis=0, dtype=np.int64)[None])[0] for _ in range(4000)])
+    blocks, found, seen, n = decontam.Blocks(list(range(4000)), prints), 0, 0, 200
+    rng = np.random.default_rng(size)
+    items = [rng.integers(0, 2**63, size, dtype=np.uint64) for _ in range(4000)][:n]
+    for i, x in enumerate(items):
+        other = x.copy()
+        changed = int(size / 9)  # (size - c) / (size + c) >= 0.8
+        other[rng.choice(size, changed, replace=False)] = rng.integers(0, 2**63, changed, dtype=np.uint64)
+        rows, hits = blocks.near(decontam.fingerprints(decontam.signs(other).sum(axis=0, dtype=np.int64)[None]))
+        found, seen = found + (i in hits.tolist()), seen + len(hits)
+    assert found >= 0.95 * n and seen / n < 0.01 * 4000
 
 
 # -- language --------------------------------------------------------------------------
@@ -231,6 +252,40 @@ def test_every_language_is_learned(spark):
     assert langid.Identifier(learned).predict(rows[139][1])[0] == "l139"
 
 
+def test_phrases_cross_words():
+    automaton = langid.SuffixAutomaton(langid.running("Over the hill, and far away"))
+    assert automaton.phrases(langid.running("the HILL and")) == 1 and automaton.phrases(langid.running("hill the")) == 2
+
+
+def test_languages_by_brute_force(spark):
+    """Every prediction against a parse by plain substring search."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(k, " ".join("".join(rng.choice(s) for _ in range(rng.randrange(1, 7))) for _ in range(30)), lang) for k, (lang, s) in enumerate([("x", "aabcd"), ("y", "abbcd"), ("z", "abccd")] * 8)]
+    rows += [(100, "a " * 40_000 + "b", "long"), (101, "a " * 30_000 + "bb", "long"), rows[0], (102, "éé ::", None), (None, "abab", "x")]
+    df = spark.createDataFrame([(*r, "x", 0.5) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double")
+    learned = langid.learn(df, id_col="doc_id", text_col="text", lang_col="lang")
+    assert {k for k, _ in learned} == {"x", "y", "z", "long"} and len(dict(learned)["long"]) == 60_004
+
+    def phrases(text, unit):
+        n = i = 0
+        while i < len(unit):
+            size = 1
+            while unit[i : i + size + 1] in text and i + size < len(unit):
+                size += 1
+            i, n = i + size, n + 1
+        return n
+
+    got = langid.identify(df, learned).collect()
+    assert len(got) == len(rows)
+    for (i, text, _), r in zip(sorted(rows, key=str), sorted(got, key=lambda r: str((r.doc_id, next(t for k, t, _ in rows if k == r.doc_id)))), strict=True):
+        if len(text) < 1000:
+            cost = [phrases(said, langid.running(text)) * math.log2(len(said) + 1) for _, said in learned]
+            assert r.lang_pred == learned[cost.index(min(cost))][0], (i, text)
+    assert langid.identify(df.limit(0), learned).count() == 0
+
+
 # -- HTML ------------------------------------------------------------------------------
 
 
