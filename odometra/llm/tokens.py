@@ -5,8 +5,9 @@ dynamic programming carries the best score and its piece count from left to righ
 are what the Metaspace rule splits a text into (spaces become U+2581, one is put in front,
 and a piece never spans two words), so equal words have equal counts: each worker remembers
 counts of words, in a table of fixed size. Tie rule of the unigram model: among equal scores
-the piece that starts first stays. A character that no single-character piece covers may be
-taken as unknown at the lowest score less 10, and counts as one piece for each UTF-8 byte
+the piece that starts first stays. Pieces match by type: normal ones at their score, those the
+user defined at the highest score for each of their bytes less 0.1, others never. A character that no single-character piece covers may be
+taken as unknown at the lowest normal score less 10, and counts as one piece for each UTF-8 byte
 (byte fallback) or, without byte pieces, one for a run of unknowns.
 """
 
@@ -30,7 +31,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBER = 200_000
-NORMAL, USER_DEFINED, UNUSED = 1, 4, 5
+NORMAL, USER_DEFINED = 1, 4
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int, object]]:
@@ -77,9 +78,12 @@ class UnigramCounter:
 
     def __init__(self, vocabulary: list[tuple[str, float, int]]) -> None:
         names = {p for p, _, _ in vocabulary}
-        # control and byte pieces never match text
-        scores = {p: s for p, s, kind in vocabulary if kind in (NORMAL, USER_DEFINED, UNUSED)}
-        self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+        # control, byte and unused pieces never match text; lowest and highest score are those of normal pieces
+        normal = [s for _, s, kind in vocabulary if kind == NORMAL]
+        self.unknown = min(normal, default=0.0) - UNKNOWN_PENALTY
+        top = max(normal, default=0.0)
+        scores = {p: s for p, s, kind in vocabulary if kind == NORMAL}
+        scores |= {p: len(p.encode("utf-8")) * top - 0.1 for p, _, kind in vocabulary if kind == USER_DEFINED}
         self.bytes = all(f"<0x{b:02X}>" in names for b in range(256))
         self.seen: dict[str, int] = {}
         self.automaton = ahocorasick.Automaton()

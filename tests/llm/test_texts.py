@@ -100,7 +100,8 @@ def test_counts_are_the_tokenizers():
     tk = models.Tokenizer(models.models.Unigram([(p, s) for p, s, _ in vocabulary], 0, True))
     tk.pre_tokenizer = models.pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="first", split=True)
     counter = tokens.UnigramCounter(vocabulary)
-    counter.unknown = -9.0 - tokens.UNKNOWN_PENALTY  # byte pieces count in that library's lowest score
+    # that library's lowest score is of all pieces, which here is one of the bytes; as a normal piece that occurs nowhere it counts in both
+    counter = tokens.UnigramCounter([*vocabulary, ("\x01", -9.0, 1)])
     import random
 
     rng = random.Random(0)
@@ -109,15 +110,38 @@ def test_counts_are_the_tokenizers():
         assert counter.count(text) == len(tk.encode(text).tokens), text
 
 
-def test_counts_with_the_real_vocabulary(spark):
-    models = pytest.importorskip("tokenizers")
-    pytest.importorskip("public_tokenizers")
+def unigram_models():
+    """The vocabulary file as a unigram model in two libraries: whole texts in double precision, and the best cut of a lattice."""
+    models, sp = pytest.importorskip("tokenizers"), pytest.importorskip("sentencepiece")
+    from sentencepiece import sentencepiece_model_pb2 as pb2
+
     v = tokens.read_vocabulary(tokens.VOCABULARY)
     tk = models.Tokenizer(models.models.Unigram([(p, s) for p, s, _ in v], 0, True))
     tk.pre_tokenizer = models.pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="first", split=True)
-    rows = [(1, "Hello  world, this is a test.\n\nÉté à la plage 123"), (2, None), (3, ""), (None, "x" * 5000), (4, "日本語 テスト 😀")]
-    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {i: len(tk.encode(t).tokens) if t else 0 for i, t in rows}
+    with open(tokens.VOCABULARY, "rb") as f:
+        proto = pb2.ModelProto.FromString(f.read())
+    proto.trainer_spec.model_type = 1
+    return tk, sp.SentencePieceProcessor(model_proto=proto.SerializeToString())
+
+
+def test_counts_with_the_real_vocabulary(spark):
+    tk, lattice = unigram_models()
+    rows = [(1, "Hello  world, this is a test.\n\nÉté à la plage 123"), (2, None), (3, ""), (None, "x" * 5000), (4, "日本語 テスト 😀"), (5, " lead and trail"), (5, " lead and trail"), (6, "a" * 200_000 + " end"), (7, "qz" * 40 + "\t")]
+    df = spark.createDataFrame([(*r, "n", 1.5) for r in rows], "doc_id long, text string, n_tokens string, n_chars double")
+    got = sorted((str(r.doc_id), r.n_chars, r.n_tokens) for r in tokens.count_tokens(df).collect())
+    assert got == sorted((str(i), len(t or ""), len(tk.encode(t).tokens) if t else 0) for i, t in rows)
+    assert tokens.count_tokens(df.limit(0)).count() == 0
+    counter = tokens.counter_of(tokens.VOCABULARY)
+    for word in "the then There walking beside Straßenbahn naïve 4711 e-mail, été日".split():
+        assert counter.count(word) == len(lattice.nbest_encode_as_pieces(word, 2)[0]), word
+
+
+def test_types_of_pieces():
+    vocabulary = [("<unk>", 0.0, 2), ("▁", -1.0, 1), ("a", -2.0, 1), ("b", -2.0, 1), ("ab", -1.0, 5), ("ba", -9.0, 4), ("</s>", 0.0, 3)]
+    counter = tokens.UnigramCounter(vocabulary)
+    assert counter.count("ab") == 3  # the unused piece never matches
+    assert counter.count("ba") == 2  # 2 * -1 - 0.1 is above -4
+    assert counter.unknown == -12.0 and counter.count("</s>") == 2  # one run of unknowns
 
 
 # -- decontamination -------------------------------------------------------------------
