@@ -2,31 +2,43 @@ r"""Personal data by bootstrapped contextual extraction (operator 1).
 
 Base: four fixed expressions find the seeds, in one pass over whole texts that also notes
 every other identifier-like token (it holds a digit or @), run of short digit groups and address
-in words ("name at host dot org") with the words around it.
-Bootstrapping: contexts are lexical patterns (the word before; the two words before; the
-words on both sides), each with the token's shape. Patterns and instances form a bipartite
-graph, scored in turns: a pattern is trusted by the share of its distinct instances that are
-of a kind, an instance by the patterns that vouch for it. What trusted patterns place in a kind
-supports further patterns, until nothing is added, and its spans are further spans of that
-kind; base spans always stay.
+in words ("name at host dot org"). Values of 16 or more letters and digits behind the name of
+a credential (token = "...") are seeds of a further kind, secret.
+Bootstrapping: what surrounds an identifier are its contexts: the word before; the two words
+before; the words on both sides; the name before = or :; the label that begins the line; the
+characters that touch it; and its own form (sizes of the last digit groups, or the alphabet
+and length of a key). A lexical pattern is a context together with a class of values
+(numbers, or values with letters). Patterns and instances form a bipartite graph, scored in turns: a
+pattern is trusted by the share of its distinct instances that are of a kind, an instance by
+the patterns that vouch for it. What trusted patterns place in a kind supports further
+patterns, until nothing is added, and its spans are further spans of that kind; base spans
+always stay.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_in_pandas, materialize, table
+from .common import discard, map_in_pandas, materialize, row_key, table
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds in the order of spans; a value that is a seed of several is of the first.
+ALL_KINDS = (*KINDS, "secret")
+SECRET = 4
+# Names of credentials.
+CREDENTIALS = frozenset("token secret password passwd pwd apikey api_key api-key accesskey access_key access-key auth auth_token auth-token private_key client_secret".split())
+#: Code points of the shortest token that is looked at; no kind has shorter ones.
+SHORTEST = 5
 #: Trust that a pattern and an instance need, trusted instances that a pattern needs, and turns (None: until nothing is added).
 TRUST, SUPPORT, TURNS = 0.8, 3, None
-#: Longest value and context word, in code points, that is its own key; longer values go by their hash.
+#: Longest value and context, in code points, that is its own key; longer ones go by their hash.
 LONGEST = 64
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -35,13 +47,16 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_PIECE = r"[^\x20\x09-\x0D<>\"'=\[\]{}|;,]"
+_TOKEN = re.compile(rf"{_PIECE}*[0-9@]{_PIECE}*")
+_SCHEME = re.compile(r"[A-Za-z]+:+(?=[^:])")
 _GROUP = r"[+(]?[0-9]{1,4}(?:[)./-]+[0-9]{1,4})*\)?"
 _GROUPS = re.compile(rf"(?<![^\x20\x09-\x0D]){_GROUP}(?:[\x20\x09]{{1,2}}{_GROUP}(?![^\x20\x09-\x0D.,;:!?]))+")
 _DOT = re.compile(r"[\x20\x09]+(?:dot|\(dot\)|\[dot\])[\x20\x09]+[\w-]+", re.I)
 _AT = re.compile(r"(?<=[\x20\x09])(?:at|\(at\)|\[at\])[\x20\x09]+[\w-]+", re.I)
-_NAME = re.compile(r"[\w.+-]+(?=[\x20\x09]+\Z)")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LABEL = re.compile(r"[\x20\t]*([^\s:=]{1,64}(?:[\x20\t][^\s:=]{1,64}){0,2})[\x20\t]*:")
+_QUOTES = "\"'`([{<*"
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&=_"
 
 
@@ -82,8 +97,14 @@ def groups(text: str) -> list[tuple[int, int]]:
         end = m.end()
         while dot := _DOT.match(text, end):
             end = dot.end()
-        if end > m.end() and (name := _NAME.search(text[max(0, m.start() - 4 * LONGEST) : m.start()])):
-            out.append((max(0, m.start() - 4 * LONGEST) + name.start(), end))
+        stop = m.start()
+        while stop and text[stop - 1] in " \t":
+            stop -= 1
+        start = stop
+        while start and (text[start - 1].isalnum() or text[start - 1] in "_.+-"):
+            start -= 1
+        if end > m.end() and start < stop:
+            out.append((start, end))
     return out
 
 
@@ -93,22 +114,88 @@ def shape(value: str) -> str:
 
 
 def _word(text: str) -> str:
-    return re.sub(r"[0-9]+", "0", text.strip(_EDGE + "\"").lower())[:LONGEST]
-
-
-def _around(text: str, start: int, end: int) -> tuple[str, str, str]:
-    """Two words before and one after, from a bounded stretch next to the token."""
-    before = _WORD.findall(text[max(0, start - 3 * LONGEST) : start])[-2:]
-    after = _WORD.search(text, end, min(len(text), end + 2 * LONGEST))
-    before = [""] * (2 - len(before)) + before
-    return _word(before[0]), _word(before[1]), _word(after[0]) if after else ""
+    return key(re.sub(r"[0-9]+", "0", text.strip(_EDGE + "\"").lower()))
+
+
+def value_class(value: str) -> str:
+    """Numbers and what has letters keep apart: a serial number behind a word says nothing of addresses behind it."""
+    return "t" if any(c.isalpha() for c in value) else "d"
+
+
+def form(value: str) -> str | None:
+    """Sizes of the last three digit groups, or alphabet and length of a key; none for other values."""
+    if not any(c.isalpha() for c in value):
+        sizes = [str(len(g)) for g in re.findall(r"[0-9]+", value)]
+        return ("." if "." in value else "") + ",".join(sizes[-3:])
+    if len(value) >= 16 and value.isalnum():
+        return f"{'hex' if re.fullmatch('[0-9a-f]+|[0-9A-F]+', value) else 'key'}{len(value)}"
+    return None
+
+
+class Surroundings:
+    """Contexts of spans of one text; its words and lines are told apart once."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.words = [m.span() for m in _WORD.finditer(text)]
+        self.starts = [s for s, _ in self.words]
+        self.lines = [0, *(m.end() for m in re.finditer("\n", text))]
+        self.labels: dict[int, str] = {}
+
+    def near(self, k: int, step: int) -> Iterator[str]:
+        """Words from the k-th on, those that are only punctuation left out; at most four are looked at."""
+        for j in range(k, k + 4 * step, step):
+            if 0 <= j < len(self.words) and (w := _word(self.text[slice(*self.words[j])])):
+                yield w
+
+    def name(self, start: int) -> str:
+        """The name in name = value or name: value."""
+        text, i = self.text, start
+        while i and (text[i - 1] in _QUOTES or text[i - 1] in " \t"):
+            i -= 1
+        if not i or text[i - 1] not in ":=":
+            return ""
+        i -= 1
+        while i and (text[i - 1] in _QUOTES or text[i - 1] in " \t"):
+            i -= 1
+        end = i
+        while i and (text[i - 1].isalnum() or text[i - 1] in "_-."):
+            i -= 1
+        return text[i:end].lower()
+
+    def label(self, start: int) -> str:
+        at = self.lines[bisect_right(self.lines, start) - 1]
+        if at not in self.labels:
+            m = _LABEL.match(self.text, at)
+            self.labels[at] = _word(m[1]) if m else ""
+        return self.labels[at]
+
+    def contexts(self, start: int, end: int) -> list[str]:
+        text = self.text
+        k = bisect_right(self.starts, start) - 1
+        last = bisect_right(self.starts, end - 1) - 1
+        before, after = list(self.near(k - 1, -1))[:2], next(self.near(last + 1, 1), "")
+        out = [f"f:{f}"] if (f := form(text[start:end])) else []
+        if before:
+            out.append(f"w:{before[0]}")
+            if len(before) > 1:
+                out.append(f"x:{before[1]} {before[0]}")
+            if after:
+                out.append(f"s:{before[0]}|{after}")
+        if name := self.name(start):
+            out.append(f"n:{_word(name)}")
+        if (label := self.label(start)) and self.lines[bisect_right(self.lines, start) - 1] + len(label) < start:
+            out.append(f"l:{label}")
+        left, right = text[self.starts[k] : start], text[end : self.words[last][1]]
+        if left or right:
+            out += [f"{side}:{key(re.sub('[0-9]+', '0', glue.lower()))}" for side, glue in (("gl", left), ("gr", right)) if glue.strip(_EDGE)]
+        return out
 
 
 def instances(text: str, base: list[list[tuple[int, int]]]) -> list[tuple]:
-    """(kind or None, start, end, value, shape, before2, before1, after) of base and other identifiers."""
+    """(kind or None, start, end, value, class, shape, contexts) of seeds and other identifiers."""
     out, taken = [], sorted(s for spans in base for s in spans)
-    for kind, spans in zip(KINDS, base, strict=True):
-        out += [(kind, s, e, key(text[s:e].lower()), shape(text[s:e]), *_around(text, s, e)) for s, e in spans]
+    spans = [(kind, s, e, text[s:e].lower()) for kind, found in enumerate(base) for s, e in found]
     k = reach = 0
     for m in _TOKEN.finditer(text):
         while k < len(taken) and taken[k][0] < m.end():
@@ -117,29 +204,37 @@ def instances(text: str, base: list[list[tuple[int, int]]]) -> list[tuple]:
         if reach > m.start():
             continue
         value = m[0].strip(_EDGE)
-        if len(value) < 5:
-            continue
         start = m.start() + m[0].index(value)
-        out.append((None, start, start + len(value), key(value.lower()), shape(value), *_around(text, start, start + len(value))))
+        if scheme := _SCHEME.match(value):  # tel:, mailto:
+            start, value = start + scheme.end(), value[scheme.end() :]
+        if len(value) >= SHORTEST:
+            spans.append((None, start, start + len(value), value.lower()))
     k = reach = 0
     for s, e in sorted(groups(text)):
         while k < len(taken) and taken[k][0] < e:
             reach = max(reach, taken[k][1])
             k += 1
         if reach <= s:
-            value = text[s:e].lower()
-            out.append((None, s, e, key(" ".join(value.split())), shape(value), *_around(text, s, e)))
+            spans.append((None, s, e, " ".join(text[s:e].lower().split())))
+    if not spans:
+        return out
+    around = Surroundings(text)
+    for kind, s, e, value in spans:
+        if kind is None and e - s >= 16 and value.isalnum() and not value.isalpha() and not value.isdigit() and around.name(s) in CREDENTIALS:
+            kind = SECRET
+        out.append((kind, s, e, key(value), value_class(text[s:e]), shape(text[s:e]), around.contexts(s, e)))
     return out
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ("kind", "start", "end", "value", "class", "shape", "contexts")
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
             text = text or ""
             base = base_spans(text)
             joined = ",".join(f"{k}:{s}:{e}" for k, spans in zip(KINDS, base, strict=True) for s, e in spans)
-            found = [dict(zip(("kind", "start", "end", "value", "shape", "b2", "b1", "after"), x, strict=True)) for x in instances(text, base)]
+            found = [dict(zip(names, x, strict=True)) for x in instances(text, base)]
             rows.append((*map(len, base), hashlib.sha256(joined.encode()).hexdigest(), found))
         yield pd.concat([pdf[["doc_id", "row"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "found"])], axis=1)
 
@@ -147,19 +242,14 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def discover(found: DataFrame, *, trust: float, support: int, turns: int | None) -> DataFrame:
     """(value, shape, kind) of identifiers that trusted patterns place in a kind.
 
-    found has kind, value, shape, b2, b1, after. Edges are counted once per pattern and
-    value, so a context or a value that fills a third of the table weighs as one. A discovered
-    identifier keeps the kind and score of its turn, so the turns only add and come to an end.
+    found has kind (a number in ALL_KINDS, null for none), value, class, shape, contexts. Edges
+    are counted once per pattern and value, so a context or a value that fills a third of the
+    table weighs as one. A discovered identifier keeps the kind and score of its turn, so the
+    turns only add and come to an end. Of equal votes the kind that is listed first wins.
     """
-    contexts = F.array(
-        F.when(F.col("b1") != "", F.concat_ws("\t", F.lit("1"), "b1")),
-        F.when(F.col("b2") != "", F.concat_ws("\t", F.lit("2"), "b2", "b1")),
-        F.when((F.col("b1") != "") & (F.col("after") != ""), F.concat_ws("\t", F.lit("3"), "b1", "after")),
-    )
-    edges = found.select(F.explode(F.filter(contexts, lambda c: c.isNotNull())).alias("context"), "shape", "value", "kind")
-    edges = materialize(edges.groupBy("context", "shape", "value").agg(F.max("kind").alias("kind")))
-    # shapes that seeds of a kind have, or that differ from them by a prefix or an ending
-    known = edges.select("value", "shape", F.col("kind").alias("best"), F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("score")).groupBy("value", "shape").agg(F.max("best").alias("best"), F.max("score").alias("score"))
+    edges = found.select(F.explode("contexts").alias("context"), F.col("class").alias("of"), "shape", "value", "kind")
+    edges = materialize(edges.groupBy(F.concat_ws("\t", "of", "context").alias("context"), "shape", "value").agg(F.min("kind").alias("kind")))
+    known = edges.select("value", "shape", F.col("kind").alias("best"), F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("score")).groupBy("value", "shape").agg(F.min("best").alias("best"), F.max("score").alias("score"))
     reached, turn = known.where("score > 0").count(), 0
     while turns is None or turn < turns:
         scored = edges.select("context", "value", "shape").join(known, ["value", "shape"])
@@ -167,8 +257,10 @@ def discover(found: DataFrame, *, trust: float, support: int, turns: int | None)
         patterns = scored.where("best is not null").groupBy("context", "best").agg(F.sum("score").alias("good"), F.sum(F.when(F.col("score") >= trust, 1).otherwise(0)).alias("seeds"))
         trusted = patterns.join(sizes, "context").withColumn("trust", F.col("good") / F.col("n")).where((F.col("trust") >= trust) & (F.col("seeds") >= support)).select("context", F.col("best").alias("vouched"), "trust")
         votes = scored.where("best is null").join(trusted, "context").groupBy("value", "shape", "vouched").agg(F.least(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))), F.lit(0.999)).alias("vote"))  # 1 is for seeds
-        top = votes.groupBy("value", "shape").agg(F.max(F.struct("vote", "vouched")).alias("top")).select("value", "shape", F.col("top.vouched").alias("new"), F.col("top.vote").alias("vote"))
-        known = materialize(known.join(top, ["value", "shape"], "left").select("value", "shape", F.coalesce("best", "new").alias("best"), F.when(F.col("best").isNotNull(), F.col("score")).otherwise(F.coalesce("vote", "score")).alias("score")))
+        top = votes.groupBy("value", "shape").agg(F.max(F.struct("vote", (-F.col("vouched")).alias("minus"))).alias("top")).select("value", "shape", (-F.col("top.minus")).alias("new"), F.col("top.vote").alias("vote"))
+        following = materialize(known.join(top, ["value", "shape"], "left").select("value", "shape", F.coalesce("best", "new").alias("best"), F.when(F.col("best").isNotNull(), F.col("score")).otherwise(F.coalesce("vote", "score")).alias("score")))
+        discard(known)
+        known = following
         before, reached, turn = reached, known.where("score > 0").count(), turn + 1
         if reached == before:
             break
@@ -178,25 +270,29 @@ def discover(found: DataFrame, *, trust: float, support: int, turns: int | None)
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trust: float = TRUST, support: int = SUPPORT, turns: int | None = TURNS) -> DataFrame:
     """Personal data of every whole text, a row per input row.
 
-    (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added): counts and hash
-    are those of the base spans; spans lists kind:start:end of base and discovered spans in
-    code points, end exclusive; of discovered spans inside one another the longest. Null and empty texts have none; rows that repeat an id keep
-    their own spans; an empty table gives no rows. A discovered span never overlaps a base
-    span. A pattern below `support` trusted instances or below `trust` discovers nothing.
+    (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans): counts and
+    hash are those of the base spans; spans lists kind:start:end of base, secret and discovered
+    spans in code points, end exclusive; of discovered spans inside one another the longest;
+    n_added counts those beyond the base and n_spans all. Null and empty texts have none; rows
+    that repeat an id keep their own spans; an empty table gives no rows. An added span never
+    overlaps a base span. A pattern below `support` trusted instances or below `trust`
+    discovers nothing.
     """
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
-    item = "struct<kind:string,start:long,end:long,value:string,shape:string,b2:string,b1:string,after:string>"
-    scanned = materialize(map_in_pandas(named, _scan, f"doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found array<{item}>"))
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", row_key(F.col("doc_id"), F.col("text")))
+    item = "struct<kind:int,start:long,end:long,value:string,class:string,shape:string,contexts:array<string>>"
+    scanned = materialize(map_in_pandas(named, _scan, f"doc_id long, row binary, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, found array<{item}>"))
     found = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
     new = discover(found, trust=trust, support=support, turns=turns)
+    span = "array<struct<kind:int,start:long,end:long>>"
     added = found.where("kind is null").join(new, ["value", "shape"]).groupBy(F.col("row").alias("added_row")).agg(F.collect_set(F.struct(F.col("new_kind").alias("kind"), "start", "end")).alias("added"))
     added = added.withColumn("added", F.filter("added", lambda a: ~F.exists("added", lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & (b["end"] - b["start"] > a["end"] - a["start"]))))
     joined = scanned.join(added, F.col("row") == F.col("added_row"), "left")
-    rank = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
-    base = F.transform(F.filter("found", lambda f: f["kind"].isNotNull()), lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")))
-    all_ = F.array_sort(F.transform(F.concat(base, F.coalesce("added", F.array().cast("array<struct<kind:string,start:long,end:long>>"))), lambda f: F.struct(rank[f["kind"]].alias("rank"), f["start"].alias("start"), f["end"].alias("end"), f["kind"].alias("kind"))))
-    shown = F.array_join(F.transform(all_, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
-    return joined.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", shown.alias("spans"), F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_added"))
+    seeds = F.transform(F.filter("found", lambda f: f["kind"].isNotNull()), lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")))
+    joined = joined.withColumn("all", F.array_sort(F.concat(seeds, F.coalesce("added", F.array().cast(span)))))
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
+    shown = F.array_join(F.transform("all", lambda f: F.concat_ws(":", F.get(names, f["kind"]), f["start"].cast("string"), f["end"].cast("string"))), ",")
+    n = F.size("all").cast("long")
+    return joined.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", shown.alias("spans"), (n - F.col("n_email") - F.col("n_ip") - F.col("n_card") - F.col("n_phone")).alias("n_added"), n.alias("n_spans"))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

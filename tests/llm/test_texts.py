@@ -91,6 +91,53 @@ def test_groups_long_values_and_further_patterns(spark):
     assert len({x[3] for t in long for x in pii.instances(t, pii.base_spans(t))}) == 2
 
 
+def test_recall_of_identifiers_held_out_from_the_seeds(spark):
+    """Contexts of every sort, planted in random words; of each, some identifiers are in forms that are no seeds."""
+    import random
+
+    rng = random.Random(3)
+    say = lambda n: " ".join("".join(rng.choice("aeiouthnr") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        d = number(15)
+        return next(d + c for c in "0123456789" if pii._luhn(d + c))
+
+    sorts = [  # kind, context, a seed, an identifier that is none
+        ("phone", "{} call {} now", lambda: f"+49 30 {number(6)}", lambda: f"030 {number(3)} {number(4)}"),
+        ("phone", '<a href="tel:{1}">{0}</a>', lambda: f"+1({number(3)}){number(7)}", lambda: f"00{number(9)}"),
+        ("email", "{} write to {} please", lambda: f"u{number(4)}@mail{number(3)}.org", lambda: f"u{number(4)}(at)mail{number(3)}"),
+        ("email", "{}\nContact: {}\n", lambda: f"v{number(4)}@host.org", lambda: f"v{number(4)}@localhost"),
+        ("ip", "{} client_ip={} {}", lambda: f"10.{rng.randrange(256)}.{rng.randrange(256)}.7", lambda: f"10.{rng.randrange(256, 999)}.{rng.randrange(256)}.7"),
+        ("card", "{} paid by card {} {}", card, lambda: next(c for c in iter(lambda: " ".join(number(4) for _ in range(4)), "") if not pii._luhn(digits(c)))),
+        ("secret", '{} token = "{}" {}', lambda: "a" + number(30) + "f", lambda: f"sk-{number(12)}-ab"),
+        ("phone", "{} {} {}", lambda: f"+1 ({number(3)}) {number(3)}-{number(4)}", lambda: f"({number(3)}) {number(3)}-{number(4)}"),  # by its form alone
+    ]
+    rows, want = [], {}
+    for k in range(30):
+        for kind, frame, seed, other in sorts:
+            value = (other if k % 5 == 0 else seed)()
+            text = say(6) + " " + frame.format(say(1), value, say(1)) + " " + say(8)
+            if k % 5 == 0:
+                at = text.index(value)
+                want[len(rows)] = f"{kind}:{at}:{at + len(value)}"
+            rows.append((len(rows), text))
+    rows += [(1000 + k, say(12) + f" room {rng.randrange(10_000, 99_999)} " + say(5)) for k in range(60)]
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = {i: want[i] in got[i].spans.split(",") for i in want}
+    by_sort = [sum(hit[i] for i in want if i % len(sorts) == k) / 6 for k in range(len(sorts))]
+    assert sum(hit.values()) >= 0.9 * len(want) and min(by_sort) >= 0.5, by_sort
+    assert all(got[1000 + k].n_spans == 0 for k in range(60))
+    assert {kind for i, r in got.items() if r.n_added for kind in [want.get(i, "secret").split(":")[0]]} == set(pii.ALL_KINDS)
+
+
+def test_ties_and_odd_texts_of_personal_data(spark):
+    # a value that is a seed of two kinds counts as the first; long words and very many instances in one line
+    rows = [(1, "ip 1.2.3.4 " * 3), (2, "x" * 300_000 + " +1 212 555 0199 " + "y" * 300_000), (3, " ".join(f"n{k}" * 3 for k in range(20_000))), (4, "token=" + "a1" * 20), (4, None)]
+    got = {(r.doc_id, r.n_spans) for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 3), (2, 1), (3, 0), (4, 1), (4, 0)}
+
+
 # -- tokens ----------------------------------------------------------------------------
 
 
