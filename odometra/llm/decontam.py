@@ -7,11 +7,11 @@ items and windows alike: neither repeated nor templated items, nor the number of
 change a similarity. A window's fingerprint is the sign of the sum of its shingles' bits,
 from running sums over the text (whole numbers, so the layout of a text changes nothing).
 
-The multi-index cuts 256 bits into 16 blocks of 16. Of two fingerprints that differ in at
-most 31 bits some block differs in at most one, so looking up each block's value and its 16
-neighbours finds all items within that radius, and among unrelated items 0.4 % of them. Two
-bags of similarity 0.8 differ in 39 of 256 bits on average, beyond the radius; still some
-block differs in at most one bit with probability 0.995, and all that the blocks return is
+The multi-index cuts 448 bits into 28 blocks of 16. Of two fingerprints that differ in at
+most 55 bits some block differs in at most one, so looking up each block's value and its 16
+neighbours finds all items within that radius, and among unrelated items 0.7 % of them. Two
+bags of similarity 0.8 differ in 68 of 448 bits on average, beyond the radius; still some
+block differs in at most one bit with probability 0.9999, and all that the blocks return is
 verified by the exact similarity of shingle bags.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, give_back, map_in_pandas, materialize, mix, shingle_run, ship_package, table
 
-BLOCKS = 16
+BLOCKS = 28
 #: Bits in which two fingerprints may differ to be found for certain.
 RADIUS = 2 * BLOCKS - 1
 #: Windows whose fingerprints are taken at once.

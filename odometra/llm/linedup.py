@@ -10,8 +10,11 @@ an unrepeated run repeats.
 
 A run counts from `min_words` words. The shortest such run from a position forward, and the
 one backward, have a length fixed by their own lines, so equal runs have equal lengths and
-are found by two overlapping ranks of one level. The lines of all maximal repeated runs of
-min_words or more are exactly those of these shortest runs; later copies are deleted.
+are found by two overlapping ranks of one level, and doubling stops at the longest of them.
+That loses nothing: of a later copy of any repeated run, a line outside the first copy lies in
+a shortest run, which occurs wherever the longer one does, and outside the first copy of that
+one too. So what the intervals of all depths delete is what those of the shortest runs delete.
+The tests hold this against a suffix array with its longest common prefixes and all intervals.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, table
+from .common import WORD, materialize, row_key, table, unused_name
 
 #: Words that a run of lines needs to count as a passage.
 MIN_WORDS = 50
@@ -97,18 +100,21 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     spans = materialize(spans)
     order = F.struct("doc_id", "row", "begin")
     first = materialize(spans.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1"))
-    later = spans.join(first, ["h1", "h2"]).where(order > F.col("first")).select("row", "begin", "end").distinct()
-    dead = later.select("row", F.explode(F.sequence("begin", "end")).alias("line")).distinct()
+    later = spans.join(first, ["h1", "h2"]).where(order > F.col("first"))
+    # of a copy that overlaps the first one, the lines of the first stay
+    begin = F.when(F.col("row") == F.col("first.row"), F.greatest("begin", F.col("first.begin") + F.col("end") - F.col("begin") + 1)).otherwise(F.col("begin"))
+    dead = later.select("row", begin.alias("begin"), "end").distinct().select("row", F.explode(F.sequence("begin", "end")).alias("line")).distinct()
     return level.join(dead, ["row", "line"], "left_semi").select("row", "at")
 
 
-def with_deduped(docs: DataFrame, *, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """docs, with all columns, and __line_dedup: struct(text, n_lines, n_removed)."""
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    dead = repeated_lines(docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), min_words)
-    dead = dead.groupBy(F.col("row").alias("__dead_row")).agg(F.collect_set("at").alias("__dead_at"))
-    joined = docs.join(dead, row == F.col("__dead_row"), "left")
-    text, gone = F.col(text_col), F.col("__dead_at")
+def with_deduped(docs: DataFrame, out: str, *, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """docs, with all columns, and out: struct(text, n_lines, n_removed)."""
+    row = row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    dead_row, dead_at = unused_name("dead_row", docs), unused_name("dead_at", docs)
+    dead = repeated_lines(docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), min_words)
+    dead = dead.groupBy(F.col("row").alias(dead_row)).agg(F.collect_set("at").alias(dead_at))
+    joined = docs.join(dead, row == F.col(dead_row), "left")
+    text, gone = F.col(f"`{text_col}`"), F.col(dead_at)
     lines = F.split(text, "\n")
     alive = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     left = F.array_join(F.transform(alive, lambda i: F.get(lines, i)), "\n")
@@ -117,7 +123,7 @@ def with_deduped(docs: DataFrame, *, id_col: str, text_col: str, min_words: int)
         F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed"),
     )
-    return joined.withColumn("__line_dedup", result).drop("__dead_row", "__dead_at")
+    return joined.withColumn(out, result).drop(dead_row, dead_at)
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -125,12 +131,12 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     A run of whole lines with min_words words or more in all that occurs again, in the same
     document or another, stays where it is first by (doc_id, text hash, line) and goes
-    elsewhere. Lines are equal after trimming ASCII white space; lines without a word never
+    elsewhere; lines of that first copy stay even where a later copy overlaps it. Lines are equal after trimming ASCII white space; lines without a word never
     break or count in a run and stay. Null text stays null with 0 lines; rows repeated in
     full are one document and keep the same lines; an empty table gives no rows.
     """
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return with_deduped(named, id_col="doc_id", text_col="text", min_words=min_words).select("doc_id", "__line_dedup.text", "__line_dedup.n_lines", "__line_dedup.n_removed")
+    return with_deduped(named, "out", id_col="doc_id", text_col="text", min_words=min_words).select("doc_id", "out.text", "out.n_lines", "out.n_removed")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

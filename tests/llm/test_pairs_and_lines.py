@@ -134,21 +134,51 @@ def test_each_step_of_exact_dedup_reads_the_survivors_of_the_one_before(spark, m
 
 
 def deleted(rows, least):
-    """Lines of all runs of whole lines with `least` words or more that occur earlier too."""
+    """Lines of later copies of all repeated runs, from the suffix array of all documents and its LCP intervals."""
     docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda d: (d[0] is not None, d[0] or 0))
-    seq = [[(at, s.strip(" \t\n\x0b\x0c\r")) for at, s in enumerate(t.split("\n")) if s.strip(" \t\n\x0b\x0c\r")] for _, t in docs]
-    first, gone = {}, defaultdict(set)
-    for d, lines in enumerate(seq):
-        for a in range(len(lines)):
-            for b in range(a, len(lines)):
-                run = tuple(s for _, s in lines[a : b + 1])
-                if sum(len(s.split()) for s in run) >= least:
-                    if first.setdefault(run, (d, a)) < (d, a):
-                        gone[docs[d]] |= {at for at, _ in lines[a : b + 1]}
+    places, ids, text = [], {}, []
+    for d, (_, t) in enumerate(docs):
+        for at, s in enumerate(t.split("\n")):
+            if s := s.strip(" \t\n\x0b\x0c\r"):
+                places.append((d, at, len(s.split())))
+                text.append(ids.setdefault(s, len(ids) + 1))
+        places.append((d, None, 0))
+        text.append(-d - 1)  # ends differ from document to document
+    array = sorted(range(len(text)), key=lambda p: text[p:])
+    common = [0]
+    for p, q in zip(array, array[1:], strict=False):
+        n = 0
+        while max(p, q) + n < len(text) and text[p + n] == text[q + n]:
+            n += 1
+        common.append(n)
+    gone = defaultdict(set)
+    for k in range(1, len(array)):
+        n = common[k]
+        if n and sum(w for _, _, w in places[array[k] : array[k] + n]) >= least:
+            low, high = k, k
+            while common[low - 1] >= n:
+                low -= 1
+            while high + 1 < len(array) and common[high + 1] >= n:
+                high += 1
+            copies = sorted(array[low - 1 : high + 1])
+            for size in range(1, n + 1):  # an interval has runs of all sizes above that of the interval around it
+                if sum(w for _, _, w in places[copies[0] : copies[0] + size]) >= least:
+                    kept = set(range(copies[0], copies[0] + size))
+                    for p in copies[1:]:
+                        for q in set(range(p, p + size)) - kept:
+                            gone[docs[places[q][0]]].add(places[q][1])
     return gone
 
 
-@pytest.mark.parametrize("seed", range(4))
+def test_the_first_copy_stays_whole(spark):
+    line = lambda k: " ".join(f"l{k}w{j}" for j in range(30))
+    rows = [(1, "\n".join([line(0)] * 3)), (2, "\n".join([line(k) for k in (1, 2, 3, 1, 2, 3, 1)])), (3, "\n".join([line(2), line(3), "own"]))]
+    got = {r.doc_id: r for r in linedup.dedup_lines(table(spark, rows)).collect()}
+    assert got[1].text == "\n".join([line(0)] * 2) and got[1].n_removed == 1
+    assert got[2].text == "\n".join([line(k) for k in (1, 2, 3)]) and got[3].text == "own"
+
+
+@pytest.mark.parametrize("seed", range(8))
 def test_line_dedup_is_brute_force(spark, seed):
     rng = random.Random(seed)
     pool = [" ".join(f"p{k}_{j}" for j in range(rng.choice([1, 2, 3, 6]))) for k in range(8)]
@@ -160,6 +190,8 @@ def test_line_dedup_is_brute_force(spark, seed):
             if rng.random() < 0.3:
                 k = rng.randrange(5)
                 lines += pool[k : k + 4]
+            if rng.random() < 0.15:  # a copy that overlaps the first
+                lines += (pool[:2] * 4)[: rng.randrange(3, 8)] if seed % 2 else [pool[3]] * rng.randrange(2, 6)
         rows.append((i, "\n".join(lines)))
     rows += [(50, None), (51, ""), rows[3]]
     want = deleted(rows, 8)
