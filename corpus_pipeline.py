@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odometra.llm import decontam, langid, linedup, mixing, neardup
-from odometra.llm.common import materialize, table
+from odometra.llm.common import discard, materialize, row_key, table, unused_name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of repeated line runs; a document of which no word is left goes. n_chars follows the text."""
-    done = linedup.with_deduped(docs, id_col="doc_id", text_col="text", min_words=linedup.MIN_WORDS)
-    removed, text = F.col("__line_dedup.n_removed") > 0, F.col("__line_dedup.text")
+    name = unused_name("line_dedup", docs)
+    done = linedup.with_deduped(docs, name, id_col="doc_id", text_col="text", min_words=linedup.MIN_WORDS)
+    removed, text = F.col(name)["n_removed"] > 0, F.col(name)["text"]
     done = done.where(~removed | text.rlike(r"[^\x20\x09-\x0D]")).withColumn("text", text)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(removed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
@@ -34,8 +35,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicates (five-word shingles, 0.8) the smallest doc_id stays; rows without an id stay."""
     found = neardup.near_duplicates(docs, words=5, percent=80)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = unused_name("gone", docs)
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +50,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     It is named mix, or mix_ and so on where documents have that column. Rows repeated in full are joined by one key and each say what the most taken of them says.
     """
-    row, name = F.xxhash64("doc_id", "source", "text"), "mix"
-    while name in docs.columns:
-        name += "_"
-    mixed = mixing.mix_sources(docs, row=row).where("taken > 0").groupBy(F.col("row").alias("__mix_row")).agg(F.max(F.struct("taken", "size", "source_size", "target")).alias(name))
-    return docs.join(mixed, row == F.col("__mix_row")).drop("__mix_row")
+    row, name, key = row_key(F.col("doc_id"), F.col("source"), F.col("text")), unused_name("mix", docs), unused_name("mix_row", docs)
+    mixed = mixing.mix_sources(docs, row=row).where("taken > 0").groupBy(F.col("row").alias(key)).agg(F.max(F.struct("taken", "size", "source_size", "target")).alias(name))
+    return docs.join(mixed, row == F.col(key)).drop(key)
 
 
 STAGES = [
@@ -71,5 +71,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, on documents."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        following = materialize(stage(spark, docs, sf_dir))
+        discard(docs)
+        docs = following
     return STAGES[-1][1](spark, docs, sf_dir)
