@@ -9,8 +9,10 @@ slots. Near copies of an article count as one page, or the article would look li
 pages are told apart by what is left without common texts and texts alike to them. In each
 page, the deepest node that holds nearly all of what varies, with the heading beside it, is
 a vote for its path. A page's text is that of the node with most votes that it has, without
-template and boilerplate nodes. Only a page without such a node falls back on <article>,
-<main>, or the whole body.
+template and without boilerplate: by its element (nav, footer, form, ...), or by a name in
+class, id or role (comments, related-posts) if nodes of that path recur in the host, so that
+a section of one article is never lost for its name. Only a page without such a node falls
+back on <article>, <main>, or the whole body, where such names count by themselves.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import re
 from binascii import crc32
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -42,8 +45,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn del em font
 DROPPED = frozenset("script style noscript template nav footer aside form iframe svg canvas object embed select button textarea input head title dialog menu audio video".split())
 HEADINGS = frozenset("h1 h2 h3 header hgroup".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-#: Words in class, id or role that mark what isn't the article.
+#: Names in class, id or role that mark what isn't the article: each of the first words, and names made of them and of the second.
 MARKS = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo promoted nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side widget related recommended share sharing social comment comments respond disqus replies cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login form search pagination pager toolbar skip complementary contentinfo".split())
+PLAIN = frozenset("site page main global top bottom left right primary secondary list item items box block bar area section wrap wrapper container inner outer content posts post articles links link buttons icons thread tree text row col".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACES = re.compile(r"\s+")
 
@@ -66,7 +70,7 @@ _paths = _Paths()
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "parent", "marked", "path", "depth")
+    __slots__ = ("tag", "label", "children", "parent", "dropped", "noted", "path", "depth")
 
     def __init__(self, tag: str, attrs: list[tuple[str, str | None]], parent: Node | None) -> None:
         named = {k: v or "" for k, v in attrs}
@@ -74,14 +78,25 @@ class Node:
         self.tag, self.parent, self.children = tag, parent, []
         self.label = tag + "".join(f".{w}" for w in sorted(set(words)))
         self.path, self.depth = (_paths[parent.path, self.label], parent.depth + 1) if parent else (0, 0)
-        self.marked = tag in DROPPED or bool(MARKS.intersection(words)) or "hidden" in named or named.get("aria-hidden") == "true"
+        self.dropped = tag in DROPPED or "hidden" in named or named.get("aria-hidden") == "true"
+        self.noted = any(map(is_mark, " ".join(named.get(k, "") for k in ("class", "id", "role")).lower().split()))
         if tag == "header":  # of an article it may hold the title
             up = parent
             while up is not None and up.tag not in ("article", "main"):
                 up = up.parent
-            self.marked |= up is None
+            self.dropped |= up is None
         if tag in ("html", "body", "article", "main"):
-            self.marked = "hidden" in named
+            self.dropped, self.noted = "hidden" in named, False
+
+    def out(self, slots: frozenset[int] | None) -> bool:
+        """Whether the node is boilerplate: by its element, or by a name that, where a wrapper is known, is one of its slots."""
+        return self.dropped or (self.noted and (slots is None or self.path in slots))
+
+
+@lru_cache(maxsize=100_000)
+def is_mark(name: str) -> bool:
+    words = set(filter(None, _SPLIT.split(name)))
+    return bool(words & MARKS) and words <= MARKS | PLAIN
 
 
 class _Builder(HTMLParser):
@@ -139,7 +154,7 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def placed(node: Node) -> Iterator[tuple[Node, str]]:
+def placed(node: Node, slots: frozenset[int] | None = None) -> Iterator[tuple[Node, str]]:
     """Blocks of a subtree in page order with the element that each is in, white space made one blank."""
     line: list[str] = []
     at, stack = node, [node]
@@ -157,7 +172,7 @@ def placed(node: Node) -> Iterator[tuple[Node, str]]:
             if t := text():
                 yield at, t
             at = x[0]
-        elif x is not node and x.marked:
+        elif x is not node and x.out(slots):
             if x.tag not in INLINE and (t := text()):
                 yield at, t
         elif x.tag in ("br", "wbr"):
@@ -174,11 +189,11 @@ def placed(node: Node) -> Iterator[tuple[Node, str]]:
         yield at, t
 
 
-def blocks(node: Node, template: frozenset[int] = frozenset()) -> list[str]:
+def blocks(node: Node, template: frozenset[int] = frozenset(), slots: frozenset[int] | None = None) -> list[str]:
     """Texts of the blocks of a subtree in page order, without those of the template."""
     if not template:
-        return [t for _, t in placed(node)]
-    return [t for at, t in placed(node) if (h := _hash(t)) not in template and _at(at.path, h) not in template]
+        return [t for _, t in placed(node, slots)]
+    return [t for at, t in placed(node, slots) if (h := _hash(t)) not in template and _at(at.path, h) not in template]
 
 
 def _at(path: int, text: int) -> int:
@@ -205,8 +220,15 @@ def sketches(texts: list[str]) -> list[list[int]]:
 
 
 def outline(html: str) -> tuple:
-    """What induction needs of a page: of its blocks the path, text, text at the path, two sketches and length; the paths above blocks with the parent's place and depth, and whether it is a heading."""
-    found = list(placed(parse(html)))
+    """What induction needs of a page: paths of its outermost nodes with a mark; of its blocks the path, text, text at the path, two sketches and length; the paths above blocks with the parent's place and depth, and whether it is a heading."""
+    root = parse(html)
+    found, noted, stack = list(placed(root)), set(), [root]
+    while stack:
+        x = stack.pop()
+        if x.noted:
+            noted.add(x.path)
+        elif not x.dropped:
+            stack.extend(c for c in x.children if isinstance(c, Node))
     paths = [at.path for at, _ in found]
     texts = [_hash(t) for _, t in found]
     ats = [_at(p, t) for p, t in zip(paths, texts, strict=True)]
@@ -224,10 +246,10 @@ def outline(html: str) -> tuple:
             ups.append(place[node.parent.path] if node.parent else -1)
             nodes.append(node)
     tokens = {(0, t) for t in (*texts, *first, *second)} | set(zip(paths, ats, strict=True))
-    return texts, ats, first, second, [len(t) for _, t in found], [place[p] for p in paths], [k for k, _ in tokens], [t for _, t in tokens], list({0, *paths}), list(place), ups, [n.depth for n in nodes], [n.tag in HEADINGS for n in nodes]
+    return list(noted), texts, ats, first, second, [len(t) for _, t in found], [place[p] for p in paths], [k for k, _ in tokens], [t for _, t in tokens], list({0, *paths}), list(place), ups, [n.depth for n in nodes], [n.tag in HEADINGS for n in nodes]
 
 
-_OUTLINE = "texts array<long>, ats array<long>, first array<long>, second array<long>, chars array<long>, places array<long>, keys array<long>, tokens array<long>, held array<long>, paths array<long>, ups array<long>, depths array<long>, headings array<boolean>"
+_OUTLINE = "noted array<long>, texts array<long>, ats array<long>, first array<long>, second array<long>, chars array<long>, places array<long>, keys array<long>, tokens array<long>, held array<long>, paths array<long>, ups array<long>, depths array<long>, headings array<boolean>"
 
 
 def vote(texts, ats, chars, places, paths, ups, depths, headings, template: frozenset[int]) -> int | None:
@@ -246,15 +268,15 @@ def vote(texts, ats, chars, places, paths, ups, depths, headings, template: froz
     return None if best is None else int(paths[best])
 
 
-def _find(node: Node, paths: list[int]) -> list[Node]:
+def _find(node: Node, paths: list[int], slots: frozenset[int]) -> list[Node]:
     """Nodes on the first of the paths that has text."""
     wanted, found, stack = set(paths), {}, [node]
     while stack:
         x = stack.pop()
         if x.path in wanted:
             found.setdefault(x.path, []).append(x)
-        stack.extend(c for c in reversed(x.children) if isinstance(c, Node) and not c.marked)
-    return next((some for p in paths if p in found and (some := [n for n in found[p] if next(placed(n), None)])), [])
+        stack.extend(c for c in reversed(x.children) if isinstance(c, Node) and not c.out(slots))
+    return next((some for p in paths if p in found and (some := [n for n in found[p] if next(placed(n, slots), None)])), [])
 
 
 def _all(node: Node, tag: str) -> list[Node]:
@@ -265,15 +287,17 @@ def _all(node: Node, tag: str) -> list[Node]:
         if x.tag == tag:
             out.append(x)
             continue
-        stack.extend(c for c in reversed(x.children) if isinstance(c, Node) and not c.marked)
+        stack.extend(c for c in reversed(x.children) if isinstance(c, Node) and not c.out(None))
     return out
 
 
-def extract(html: str | None, paths: list[int] | None, template: frozenset[int]) -> str:
+def extract(html: str | None, paths: list[int] | None, template: frozenset[int], slots: frozenset[int] = frozenset()) -> str:
+    """The text of the node on the first of a wrapper's paths; without one, of <article>, <main> or the body."""
     root = parse(html)
-    found = _find(root, paths) if paths else []
-    found = found or _all(root, "article") or _all(root, "main")
-    return "\n\n".join(t for n in found or [root] for t in blocks(n, template))
+    if paths and (found := _find(root, paths, slots)):
+        return "\n\n".join(t for n in found for t in blocks(n, template, slots))
+    found = _all(root, "article") or _all(root, "main") or [root]
+    return "\n\n".join(t for n in found for t in blocks(n, template))
 
 
 def host_of(url):
@@ -295,7 +319,7 @@ def _voted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, paths, template) of (host, html): content nodes by votes, and texts that are template.
+    """(host, paths, template, slots) of (host, html): content nodes by votes, texts that are template, marked nodes that recur.
 
     Every page counts, by its whole html. Counts are made per partition first, so that a host
     with a third of all pages is no group of one task.
@@ -315,7 +339,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
     voted = outlines.select("host", "texts", "ats", "chars", "places", "paths", "ups", "depths", "headings").join(template, "host", "left").mapInPandas(_voted, "host string, path long")
     votes = voted.groupBy("host", "path").agg(F.count("*").alias("n")).where(F.col("n") >= VOTES)
     paths = votes.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("found")).select("host", F.col("found.path").alias("paths"))
-    return paths.join(template, "host", "full")
+    slots = outlines.select("host", F.explode("noted").alias("path")).groupBy("host", "path").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES)
+    slots = slots.groupBy("host").agg(F.collect_set("path").alias("slots"))
+    return paths.join(template, "host", "full").join(slots, "host", "left")
 
 
 def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -327,11 +353,12 @@ def main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host_of(F.col("url")))
     ship_package(pages.sparkSession)
     known = materialize(wrappers(named)).withColumnRenamed("host", "known_host")
-    joined = named.join(known, F.col("host") == F.col("known_host"), "left").select("page_id", "url", "html", "paths", "template")
+    joined = named.join(known, F.col("host") == F.col("known_host"), "left").select("page_id", "url", "html", "paths", "template", "slots")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = [extract(h, None if p is None else list(p), frozenset(() if t is None else t)) for h, p, t in zip(pdf["html"], pdf["paths"], pdf["template"], strict=True)]
+            held = [[frozenset(() if x is None else x) for x in pdf[c]] for c in ("template", "slots")]
+            texts = [extract(h, None if p is None else list(p), t, n) for h, p, t, n in zip(pdf["html"], pdf["paths"], *held, strict=True)]
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     return map_in_pandas(joined, run, "page_id long, url string, text string, n_chars long", key="page_id")

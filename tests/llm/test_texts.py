@@ -383,6 +383,74 @@ def test_the_hosts_wrapper_comes_before_the_article_tag(spark):
         assert got[i] == f"Title {i}\n\n" + (f"words{i} of story{i * 31} " * 20).strip() + f"\n\nend{i}"
 
 
+def test_names_alone_drop_no_text_of_an_article(spark):
+    odd = "<article><p>Intro.</p><div class='search-algorithms'><p>Binary search.</p></div><section id='login-systems'><p>Keys.</p></section></article>"
+    assert html_text.extract(page(odd), None, frozenset()) == "Intro.\n\nBinary search.\n\nKeys."
+    # one section named like boilerplate is the article's; what recurs under such a name is not
+    story = "<div class='story'><p>own{0} text{1} of{0} page{1} and{0} more{1} words{0}</p>{2}<div class='comments'><p>reader{0} says{1}</p></div></div>"
+    rows = [(i, f"http://c.example/{i}", page(story.format(i, i * 7, "<div class='search'><p>How search works</p></div>" if i == 3 else ""), n=i)) for i in range(10)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(10):
+        assert got[i] == f"own{i} text{i * 7} of{i} page{i * 7} and{i} more{i * 7} words{i}" + ("\n\nHow search works" if i == 3 else "")
+
+
+def test_paths_align_what_simple_tree_matching_aligns():
+    import random
+
+    rng = random.Random(1)
+
+    def tree(depth=0):
+        return [(f"div class='n{k}'", tree(depth + 1)) for k in range(rng.randrange(1, 4))] if depth < 3 else []
+
+    def cut(nodes):
+        return [(label, cut(inner)) for label, inner in nodes if rng.random() < 0.8]
+
+    def markup(nodes):
+        return "".join(f"<{label}>{markup(inner) or f'text {rng.random()}'}</div>" for label, inner in nodes)
+
+    def kids(node):
+        return [c for c in node.children if isinstance(c, html_text.Node)]
+
+    def matched(a, b):
+        """Pairs of the best alignment of two trees whose roots match: simple tree matching, children in order."""
+        if a.label != b.label:
+            return []
+        x, y = kids(a), kids(b)
+        best = [[[] for _ in range(len(y) + 1)] for _ in range(len(x) + 1)]
+        for i in range(len(x)):
+            for j in range(len(y)):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + matched(x[i], y[j]), key=len)
+        return [(a, b), *best[-1][-1]]
+
+    def nodes(node):
+        return [node, *(n for c in kids(node) for n in nodes(c))]
+
+    for _ in range(200):
+        base = tree()
+        a, b = (html_text.parse(markup(cut(base))) for _ in range(2))
+        paths = {n.path for n in nodes(a)} & {n.path for n in nodes(b)}
+        pairs = matched(a, b)
+        assert all(p.path == q.path for p, q in pairs) and {p.path for p, _ in pairs} == paths
+
+
+def test_pages_without_article_tags_give_the_same_text(spark):
+    """Three hosts; the article tag and the names that tell adverts are taken away, so that only the wrapper can tell."""
+    import random
+
+    rng = random.Random(4)
+    say = lambda n: " ".join("".join(rng.choice("aeiouthnrsl") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+    rows, want = [], {}
+    for i in range(60):
+        said = [say(rng.randrange(8, 60)) for _ in range(rng.randrange(1, 6))]
+        want[i] = "\n\n".join(said)
+        body = f"<div class='q'>{rng.choice(['Buy now', 'Win this', 'Try me'])}</div><div class='x'>" + "".join(f"<p>{t}<p><b></b>" for t in said) + "</div><div class='z'>All rights kept</div>"
+        rows.append((i, f"http://h{i % 3}.example/{i}", page(body, n=i % 4)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+    assert all(html_text.extract(h, None, frozenset()) != want[i] for i, _, h in rows)  # without induction
+
+
 def test_all_pages_of_a_host_are_aligned_to_their_ends(spark):
     common = "".join(f"<div class='c{chr(97 + k)}'>Standing text {k} of this place</div>" for k in range(10))
     rows = [(i, f"http://s.example/{i}", page("<div class='story'>" + "".join(f"<p>own{i} part{k} word{i * 7 + k} of{i}</p>" for k in range(4)) + f"{common}</div>", n=i)) for i in range(40)]
