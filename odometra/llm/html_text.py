@@ -73,13 +73,11 @@ class Node:
     __slots__ = ("tag", "label", "children", "parent", "dropped", "noted", "path", "depth")
 
     def __init__(self, tag: str, attrs: list[tuple[str, str | None]], parent: Node | None) -> None:
-        named = {k: v or "" for k, v in attrs}
-        words = [w for k in ("class", "id", "role") for w in _SPLIT.split(named.get(k, "").lower()) if w and not w.isdigit()]
         self.tag, self.parent, self.children = tag, parent, []
-        self.label = tag + "".join(f".{w}" for w in sorted(set(words)))
+        named = dict(attrs)
+        self.label, self.noted = described(tag, named.get("class"), named.get("id"), named.get("role")) if named else (tag, False)
         self.path, self.depth = (_paths[parent.path, self.label], parent.depth + 1) if parent else (0, 0)
         self.dropped = tag in DROPPED or "hidden" in named or named.get("aria-hidden") == "true"
-        self.noted = any(map(is_mark, " ".join(named.get(k, "") for k in ("class", "id", "role")).lower().split()))
         if tag == "header":  # of an article it may hold the title
             up = parent
             while up is not None and up.tag not in ("article", "main"):
@@ -93,12 +91,19 @@ class Node:
         return self.dropped or (self.noted and (slots is None or self.path in slots))
 
 
-@lru_cache(maxsize=100_000)
 def is_mark(name: str) -> bool:
     words = set(filter(None, _SPLIT.split(name)))
     return bool(words & MARKS) and words <= MARKS | PLAIN
 
 
+@lru_cache(maxsize=100_000)
+def described(tag: str, *names: str | None) -> tuple[str, bool]:
+    """Label of an element with these class, id and role, and whether they mark what isn't the article."""
+    said = " ".join(filter(None, names)).lower()
+    words = {w for w in _SPLIT.split(said) if w and not w.isdigit()}
+    return tag + "".join(f".{w}" for w in sorted(words)), any(map(is_mark, said.split()))
+
+
 class _Builder(HTMLParser):
     """A tolerant tree builder: unknown end tags are skipped, open elements closed."""
 
@@ -129,6 +134,10 @@ class _Builder(HTMLParser):
         if tag not in VOID:
             self._close(tag, {"article", "table"} if tag in INLINE or tag == "p" else ())
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers aren't asked for."""
+        return j
+
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
 
