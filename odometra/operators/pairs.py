@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -91,6 +92,29 @@ def revisits(poses: DataFrame, *, by: Sequence[str], key: str, ts: str, xyz: Seq
     return timed.where(F.abs(F.col("tb") - F.col("ta")) / 1e9 >= min_gap).select(*by, "id_a", "id_b", F.sqrt("d2").alias("distance"))
 
 
+def _nearest(pdf: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
+    """The k nearest of the other rows for each row that asks; products of matrices find a few more candidates, whose distances are then exact."""
+    a, b = pdf[pdf["asks"]].sort_values("key"), pdf[~pdf["asks"]].sort_values("key")
+    out: list[pd.DataFrame] = []
+    if len(a) and len(b):
+        y, ids = np.stack(b["v"]), b["key"].to_numpy()
+        own = (y * y).sum(axis=1)
+        for first in range(0, len(a), 512):
+            part = a.iloc[first : first + 512]
+            x = np.stack(part["v"])
+            rough = own - 2 * x @ y.T
+            slack = 1e-9 * (own.max() + (x * x).sum(axis=1).max() + 1)  # products round; what is as near but for that stays a candidate
+            for i, name in enumerate(part["key"]):
+                most = min(k + exclude_self, len(b)) - 1
+                near = np.flatnonzero(rough[i] <= np.partition(rough[i], most)[most] + slack)
+                d2 = ((y[near] - x[i]) ** 2).sum(axis=1)
+                if exclude_self:
+                    near, d2 = near[ids[near] != name], d2[ids[near] != name]
+                best = np.lexsort((ids[near], d2))[:k]
+                out.append(pd.DataFrame({"query": name, "neighbor": ids[near[best]], "d2": d2[best]}))
+    return pd.concat(out) if out else pd.DataFrame({"query": [], "neighbor": [], "d2": []}).astype({"query": "int64", "neighbor": "int64", "d2": "float64"})
+
+
 #: Rows of the searched table that one block holds.
 KNN_BLOCK = 4096
 
@@ -109,27 +133,71 @@ def knn(queries: DataFrame, rows: DataFrame, *, key: str, vector: str, k: int, m
     q = queries.select(F.col(key).alias("key"), dense(), F.lit(True).alias("asks"), F.pmod(F.xxhash64(key), F.lit(groups)).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
     r = rows.select(F.col(key).alias("key"), dense(), F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.pmod(F.xxhash64(key), F.lit(blocks)).alias("b"))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["asks"]].sort_values("key"), pdf[~pdf["asks"]].sort_values("key")
-        out: list[pd.DataFrame] = []
-        if len(a) and len(b):
-            x, y, ids = np.stack(a["v"]), np.stack(b["v"]), b["key"].to_numpy()
-            for i, name in enumerate(a["key"]):
-                d2 = ((y - x[i]) ** 2).sum(axis=1)
-                if exclude_self:
-                    d2 = np.where(ids == name, np.inf, d2)
-                near = np.lexsort((ids, d2))[:k]
-                near = near[np.isfinite(d2[near])]
-                out.append(pd.DataFrame({"query": name, "neighbor": ids[near], "d2": d2[near]}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "neighbor": [], "d2": []}).astype({"query": "int64", "neighbor": "int64", "d2": "float64"})
-
-    some = q.unionByName(r).groupBy("g", "b").applyInPandas(compare, "query long, neighbor long, d2 double")
+    some = q.unionByName(r).groupBy("g", "b").applyInPandas(lambda pdf: _nearest(pdf, k, exclude_self), "query long, neighbor long, d2 double")
     out = some.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("d2", "neighbor"))).where(F.col("rank") <= k)
     if max_distance is not None:
         out = out.where((F.col("rank") <= min_neighbors) | (F.col("d2") <= max_distance * max_distance))
     return out
 
 
+#: Rows that train the cells of an index, cells at most, and rounds of training.
+INDEX_SAMPLE, INDEX_CELLS, INDEX_ROUNDS = 20_000, 1024, 10
+
+
+def train_cells(rows: DataFrame, *, key: str, vector: str, cells: int | None = None, sample: int = INDEX_SAMPLE, seed: int = 7) -> np.ndarray:
+    """Centres of a partition index, by k-means on a bounded sample of rows (those of the smallest key hashes); at most INDEX_CELLS of them."""
+    picked = rows.select(F.transform(vector, lambda v: v.cast("double")).alias("v"), F.xxhash64(F.lit(seed), key).alias("h"), F.col(key).alias("k")).orderBy("h", "k").limit(sample).collect()
+    if not picked:
+        return np.zeros((0, 0))
+    x = np.array([r["v"] for r in picked])
+    n = min(cells or max(1, round(math.sqrt(len(x)))), INDEX_CELLS, len(x))
+    centres = x[np.random.default_rng(seed).choice(len(x), n, replace=False)]
+    for _ in range(INDEX_ROUNDS):
+        nearest = _cell_distances(x, centres).argmin(axis=1)
+        for k in range(n):
+            if (mine := x[nearest == k]).size:
+                centres[k] = mine.mean(axis=0)
+    return centres
+
+
+def _cell_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)
+
+
+def indexed_knn(queries: DataFrame, rows: DataFrame, *, key: str, vector: str, k: int, centres: np.ndarray | None = None, probes: int = 8, exclude_self: bool = True) -> DataFrame:
+    """The k nearest rows (L2) among those of each query's `probes` nearest cells: (query, neighbor, d2, rank); ties to the smaller key.
+
+    Every row is indexed, in the cell of its nearest centre. A cell with more than KNN_BLOCK
+    rows is dealt into blocks, each of which a query visits, so no cell is one task. Distances
+    are exact; only cells that aren't visited can hold missed neighbours. With as many probes
+    as cells the result is that of knn().
+    """
+    ship_package(queries.sparkSession)
+    centres = train_cells(rows, key=key, vector=vector) if centres is None else centres
+    if not len(centres):
+        return knn(queries, rows, key=key, vector=vector, k=k, exclude_self=exclude_self)
+    held = queries.sparkSession.sparkContext.broadcast(centres)
+    visits = min(probes, len(centres))
+
+    def dealt(df: DataFrame, n: int) -> DataFrame:
+        def run(batches):
+            for pdf in batches:
+                if len(pdf):
+                    order = np.argsort(_cell_distances(np.stack(pdf["v"]), held.value), axis=1, kind="stable")[:, :n]
+                    pdf["cells"] = list(order.astype(np.int32))
+                    yield pdf
+
+        dense = df.select(F.col(key).alias("key"), F.transform(vector, lambda v: v.cast("double")).alias("v"))
+        return dense.mapInPandas(run, "key long, v array<double>, cells array<int>").select("key", "v", F.explode("cells").alias("cell"))
+
+    indexed = materialize(dealt(rows, 1))
+    blocks = indexed.groupBy("cell").agg(F.ceil(F.count("*") / KNN_BLOCK).cast("int").alias("blocks"))
+    r = indexed.join(blocks, "cell").select("key", "v", F.lit(False).alias("asks"), "cell", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("b"))
+    q = dealt(queries, visits).join(blocks, "cell").select("key", "v", F.lit(True).alias("asks"), "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    some = q.unionByName(r).groupBy("cell", "b").applyInPandas(lambda pdf: _nearest(pdf, k, exclude_self), "query long, neighbor long, d2 double")
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("d2", "neighbor"))).where(F.col("rank") <= k)
+
+
 def mutual_matches(left: DataFrame, right: DataFrame, *, key: str, vector: str, ratio: float = 0.8, max_distance: float = 0.7, cross_check: bool = True) -> DataFrame:
     """(left, right, distance): nearest neighbours that pass the ratio and distance tests, and are each other's best."""
     forward = knn(left, right, key=key, vector=vector, k=2, exclude_self=False)

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import materialize
 from ..shipping import ship_package
 from .stats import quantile, with_group
 
@@ -101,48 +102,75 @@ def fit_quality(pairs: DataFrame, fits: DataFrame, *, source: Sequence[str], tar
     return g.withColumn("confidence", confidence(F.col("inlier_ratio"), F.col("n")))
 
 
-def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str], by: Sequence[str], rounds: int = 1000, sample: int = 3, tolerance: float = 0.05, seed: int = 42) -> DataFrame:
+def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str], by: Sequence[str], order: Sequence[str], rounds: int = 1000, sample: int = 3, tolerance: float = 0.05, seed: int = 42) -> DataFrame:
     """(by, scale, inliers, n): the best median of `sample` ratios over seeded draws, the first of equals.
 
-    The draws index the ratios in their order; each group is one model's correspondences, of
-    which only the ratios travel. The share divides by all rows, invalid ones too.
+    A row is valid if both norms are positive; draws are places of valid rows in `order`, and
+    take what there is where fewer than `sample` are valid. A ratio is an inlier of a candidate
+    if it differs by less than `tolerance` of it. n and the share are of valid rows; groups of
+    fewer than three rows have scale 1 and no inliers. Only drawn ratios and, per group and
+    interval between the candidates' limits, counts of ratios leave the rows' partitions.
     """
     ship_package(pairs.sparkSession)
     c, w = norm(cam), norm(world)
-    ratio = F.when((c > 1e-12) & (w > 1e-12), w / F.when(c > 1e-12, c))
-    ratios = pairs.groupBy(*by).agg(F.array_sort(F.array_compact(F.collect_list(ratio))).alias("ratios"), F.count("*").alias("total"))
+    valid = pairs.withColumn("__c", c).withColumn("__w", w).where("__c > 0 and __w > 0")
+    ratios = materialize(valid.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).alias("__k"), (F.col("__w") / F.col("__c")).alias("ratio")))
+    totals = pairs.groupBy(*by).agg(F.count("*").alias("__total")).join(ratios.groupBy(*by).agg(F.count("*").alias("n")), list(by), "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    draws = totals.where("__total >= 3 and n > 0")
+    keys = ", ".join(f"{k} {t}" for k, t in pairs.select(*by).dtypes)
 
     def draw(batches):
         for pdf in batches:
-            got = []
-            for values, total in zip(pdf["ratios"], pdf["total"], strict=True):
-                r = np.asarray(values, float)
-                if len(r) < sample:
-                    got.append((1.0, 0, total))
-                    continue
+            for _, row in pdf.iterrows():
                 rng = np.random.default_rng(seed)
-                best = (0, 1.0)
-                for _ in range(rounds):
-                    s = float(np.median(r[rng.choice(len(r), sample, replace=False)]))
-                    k = int(np.searchsorted(r, s * (1 + tolerance), "left") - np.searchsorted(r, s * (1 - tolerance), "right"))
-                    if k > best[0]:
-                        best = (k, s)
-                got.append((best[1], best[0], total))
-            yield pd.concat([pdf[list(by)].reset_index(drop=True), pd.DataFrame(got, columns=["scale", "inliers", "n"])], axis=1)
+                places = np.array([rng.choice(row["n"], min(sample, row["n"]), replace=False) for _ in range(rounds)])
+                yield pd.DataFrame({**{k: [row[k]] * places.size for k in by}, "round": np.repeat(np.arange(rounds), places.shape[1]), "__k": places.ravel() + 1})
+
+    drawn = draws.select(*by, "n").mapInPandas(draw, f"{keys}, round int, __k int").join(ratios, [*by, "__k"])
+    candidates = materialize(drawn.groupBy(*by, "round").agg(F.percentile("ratio", F.lit(0.5)).alias("candidate")))
+    limits = candidates.groupBy(*by).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(F.col("candidate") * (1 - tolerance), F.col("candidate") * (1 + tolerance)))))).alias("limits"))
 
-    schema = ", ".join([f"{k} {v}" for k, v in pairs.select(*by).dtypes] + ["scale double", "inliers long", "n long"])
-    return ratios.mapInPandas(draw, schema)
+    def place(batches):
+        for pdf in batches:
+            at = [(np.searchsorted(x, r, "left"), np.searchsorted(x, r, "right")) for x, r in zip(pdf["limits"], pdf["ratio"], strict=True)]
+            yield pdf[list(by)].assign(left=[i for i, _ in at], right=[j for _, j in at])
 
+    placed = ratios.join(limits, list(by)).select(*by, "limits", "ratio").mapInPandas(place, f"{keys}, left int, right int")
+    # how many ratios are below a limit (right: limits at or below the ratio), and how many at or below it
+    counted = placed.groupBy(*by, "left", "right").agg(F.count("*").alias("m")).groupBy(*by).agg(F.collect_list(F.struct("left", "right", "m")).alias("counts"))
+    ready = candidates.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("round", "candidate"))).alias("c")).join(limits, list(by)).join(counted, list(by))
 
-def estimate_scale(pairs: DataFrame, *, method: str, cam: Sequence[str], world: Sequence[str], by: Sequence[str]) -> DataFrame:
+    def best(batches):
+        for pdf in batches:
+            got = []
+            for c, x, counts in zip(pdf["c"], pdf["limits"], pdf["counts"], strict=True):
+                x, size = np.asarray(x), len(x) + 1
+                left, right = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+                for k in counts:
+                    left[k["left"]] += k["m"]
+                    right[k["right"]] += k["m"]
+                at_most, below = np.cumsum(left), np.cumsum(right)  # ratios <= x[i], ratios < x[i]
+                values = np.array([k["candidate"] for k in c])
+                low, high = np.searchsorted(x, values * (1 - tolerance)), np.searchsorted(x, values * (1 + tolerance))
+                inliers = below[high] - at_most[low]
+                k = int(np.argmax(inliers))
+                got.append((values[k], inliers[k]) if inliers[k] > 0 else (1.0, 0))
+            yield pd.concat([pdf[list(by)].reset_index(drop=True), pd.DataFrame(got, columns=["scale", "inliers"])], axis=1)
+
+    found = ready.mapInPandas(best, f"{keys}, scale double, inliers long")
+    out = totals.join(found, list(by), "left")
+    return out.select(*by, F.coalesce("scale", F.lit(1.0)).alias("scale"), F.coalesce("inliers", F.lit(0)).cast("long").alias("inliers"), F.when(F.col("__total") >= 3, F.col("n")).otherwise(0).cast("long").alias("n"))
+
+
+def estimate_scale(pairs: DataFrame, *, method: str, cam: Sequence[str], world: Sequence[str], by: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """(by, scale, n, ..) by `median`, `umeyama` (the scale of a similarity fit) or `ransac`."""
     if method == "median":
         return scale_by_median(pairs, cam=cam, world=world, by=by)
     if method == "umeyama":
         return fit_quality(pairs, similarity_fit(pairs, source=cam, target=world, by=by), source=cam, target=world, by=by)
     if method == "ransac":
-        r = scale_by_ransac(pairs, cam=cam, world=world, by=by)
-        return r.withColumn("inlier_ratio", F.col("inliers") / F.col("n")).withColumn("confidence", confidence(F.col("inlier_ratio"), F.col("n")))
+        r = scale_by_ransac(pairs, cam=cam, world=world, by=by, order=order or [*cam, *world])
+        return r.withColumn("inlier_ratio", F.when(F.col("n") > 0, F.col("inliers") / F.col("n")).otherwise(0.0)).withColumn("confidence", confidence(F.col("inlier_ratio"), F.col("n")))
     raise ValueError(f"unknown method {method}")
 
 
@@ -202,78 +230,143 @@ def apply_segment_fits(rows: DataFrame, fits: DataFrame, *, by: Sequence[str], x
     return joined.drop("scale", *[f"r{i}" for i in range(9)], *[f"t{i}" for i in range(3)], *[f"__{i}" for i in range(3)])
 
 
-def chain_scales(segments: DataFrame, *, by: Sequence[str], order: str, value: str) -> DataFrame:
-    """Running product of a value along an ordered list of segments, as a fold over each group's array."""
-    g = segments.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("a"))
-    start = F.array().cast("array<struct<o:long,p:double>>")
-    run = F.aggregate("a", start, lambda acc, x: F.concat(acc, F.array(F.struct(x["o"].cast("long").alias("o"), (F.coalesce(F.get(acc, F.size(acc) - 1)["p"], F.lit(1.0)) * x["v"]).alias("p")))))
-    return g.select(*by, F.explode(run).alias("x")).select(*by, F.col("x.o").alias(order), F.col("x.p").alias("product"))
+def chain_transforms(segments: DataFrame, *, by: Sequence[str], order: str, first: Sequence[str], last: Sequence[str]) -> DataFrame:
+    """Each segment's similarity made to continue the one before: rows with r0..r8 and t0..t2 replaced, scale kept.
 
-
-def planar_bands(points: DataFrame, *, by: Sequence[str], xyz: Sequence[str] = ("x", "y", "z"), up: int = 1, bin_width: float = 0.1, max_bins: int = 5, max_residual: float = 0.10, min_verticality: float = 0.85, min_points: int = 300) -> DataFrame:
-    """(by, band, n, low, high, residual, verticality): horizontal planar clusters along the up axis.
-
-    Spark reduces points to sufficient statistics per height bin (count, sums, products); the
-    greedy growth over a model's bins only merges those. A band grows while the plane through
-    it fits within max_residual (root mean square) and is level enough.
+    segments: scale, r0..r8, t0..t2 of the own fit; first and last: the camera's place in the
+    segment's first and last pose before correction. A rigid motion after the own fit keeps
+    the original motion from the last pose of one segment to the first of the next. Then all
+    segments turn by the rotation of the first, and from segment to segment the shift grows
+    by that rotation of (s' - 1) * last' - (s - 1) * first, so a running sum chains them.
+    """
+    w = Window.partitionBy(*by).orderBy(order)
+    out = segments
+    for i in range(3):
+        step = (F.lag("scale").over(w) - 1) * F.lag(last[i]).over(w) - (F.col("scale") - 1) * F.col(first[i])
+        out = out.withColumn(f"__step{i}", F.coalesce(step, F.lit(0.0)))
+    for i in range(3):
+        out = out.withColumn(f"__d{i}", F.sum(f"__step{i}").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    for i in range(9):
+        out = out.withColumn(f"__r{i}", F.first(f"r{i}").over(w))
+    for i in range(3):
+        turned = sum((F.col(f"__r{3 * i + j}") * F.col(f"__d{j}") for j in range(3)), F.lit(0.0))
+        out = out.withColumn(f"__t{i}", F.first(f"t{i}").over(w) + turned)
+    made = {f"r{i}": F.col(f"__r{i}") for i in range(9)} | {f"t{i}": F.col(f"__t{i}") for i in range(3)}
+    return out.withColumns(made).drop(*[f"__{k}{i}" for k in ("step", "d", "t") for i in range(3)], *[f"__r{i}" for i in range(9)])
+
+
+def planar_bands(points: DataFrame, *, by: Sequence[str], xyz: Sequence[str] = ("x", "y", "z"), up: int = 1, bin_width: float = 0.05, max_height: float = 0.5, max_residual: float = 0.10, min_verticality: float = 0.85, min_points: int = 300) -> DataFrame:
+    """Horizontal planar clusters along the up axis, a row each: (by, band, n, low, high, height, residual, verticality, x0, x1, z0, z1).
+
+    low, high: extremes of its points on the up axis; height: their mean; x0..z1: the box on
+    the other two axes. The axis is cut into equal bins of at most bin_width from the lowest
+    point to the highest. From a bin with points on, a window grows up to max_height; the last
+    one of min_points or more whose plane fits within max_residual (root mean square) and is
+    level enough is a band, growth ends at the first that fails after one that passed, and the
+    search goes on behind the window that was tried last. Spark reduces points to sufficient
+    statistics per bin (counts, extremes, sums, products about the model's lowest corner); only
+    those of a model meet in one place.
     """
     ship_package(points.sparkSession)
     c = [F.col(x) for x in xyz]
-    stats = points.groupBy(*by, F.floor(c[up] / bin_width).alias("bin")).agg(F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(c)], *[F.sum(c[i] * c[j]).alias(f"q{i}{j}") for i in range(3) for j in range(i, 3)])
+    span = points.groupBy(*by).agg(*[F.min(x).alias(f"__o{i}") for i, x in enumerate(c)], F.max(c[up]).alias("__top"))
+    span = span.where(F.col("__top") > F.col(f"__o{up}")).withColumn("__bins", F.greatest(F.lit(1), F.ceil((F.col("__top") - F.col(f"__o{up}")) / bin_width)).cast("int"))
+    span = span.withColumn("__step", (F.col("__top") - F.col(f"__o{up}")) / F.col("__bins"))
+    j = points.join(span, list(by)) if by else points.crossJoin(span)
+    low = F.col(f"__o{up}")
+    k = F.floor((c[up] - low) / F.col("__step"))
+    k = F.when(c[up] < k * F.col("__step") + low, k - 1).when(c[up] >= (k + 1) * F.col("__step") + low, k + 1).otherwise(k)
+    d = [x - F.col(f"__o{i}") for i, x in enumerate(c)]
+    binned = j.withColumn("bin", F.greatest(F.lit(0), F.least(k, F.col("__bins") - 1)).cast("int"))
+    stats = binned.groupBy(*by, "bin").agg(
+        F.first("__bins").alias("bins"),
+        *[F.first(f"__o{i}").alias(f"o{i}") for i in range(3)],
+        F.count("*").alias("n"),
+        *[F.sum(x).alias(f"s{i}") for i, x in enumerate(d)],
+        *[F.sum(d[i] * d[m]).alias(f"q{i}{m}") for i in range(3) for m in range(i, 3)],
+        *[f(x).alias(f"{name}{i}") for i, x in enumerate(c) for f, name in ((F.min, "a"), (F.max, "b"))],
+    )
+    sides = [i for i in range(3) if i != up]
+    names = ["band", "n", "low", "high", "height", "residual", "verticality", "x0", "x1", "z0", "z1"]
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("bin")
-        bins = pdf["bin"].to_numpy()
-        rows = pdf[["n", "s0", "s1", "s2", "q00", "q01", "q02", "q11", "q12", "q22"]].to_numpy(float)
+        at = {b: i for i, b in enumerate(pdf["bin"])}
+        sums = pdf[["n", "s0", "s1", "s2", "q00", "q01", "q02", "q11", "q12", "q22"]].to_numpy(float)
+        least, most = pdf[["a0", "a1", "a2"]].to_numpy(float), pdf[["b0", "b1", "b2"]].to_numpy(float)
+        bins, origin = int(pdf["bins"].iloc[0]), float(pdf[f"o{up}"].iloc[0])
 
         def plane(s: np.ndarray) -> tuple[float, float]:
-            n, m = s[0], s[1:4] / s[0]
-            q = np.array([[s[4], s[5], s[6]], [s[5], s[7], s[8]], [s[6], s[8], s[9]]]) / n - np.outer(m, m)
+            m = s[1:4] / s[0]
+            q = np.array([[s[4], s[5], s[6]], [s[5], s[7], s[8]], [s[6], s[8], s[9]]]) / s[0] - np.outer(m, m)
             values, vectors = np.linalg.eigh(q)
             return float(np.sqrt(max(values[0], 0.0))), float(abs(vectors[up, 0]))
 
-        out, i = [], 0
-        while i < len(bins):
-            best = None
-            total = np.zeros(10)
-            for j in range(i, len(bins)):
-                if bins[j] - bins[i] >= max_bins:
-                    break
-                total = total + rows[j]
-                if total[0] >= max(min_points, 3):
+        out, b = [], 0
+        while b < bins:
+            if b not in at:
+                b += 1
+                continue
+            best, held, total, size = None, [], np.zeros(10), 1
+            while size <= max(1, round(max_height / bin_width)) and b + size <= bins:
+                if (i := at.get(b + size - 1)) is not None:
+                    held.append(i)
+                    total = total + sums[i]
+                if total[0] >= min_points:
                     residual, level = plane(total)
                     if residual <= max_residual and level >= min_verticality:
-                        best = (j, int(total[0]), residual, level)
-            if best:
-                out.append((len(out), best[1], bins[i] * bin_width, (bins[best[0]] + 1) * bin_width, best[2], best[3]))
-                i = best[0] + 1
+                        lo, hi = least[held].min(axis=0), most[held].max(axis=0)
+                        best = (int(total[0]), lo[up], hi[up], origin + total[1 + up] / total[0], residual, level, *[v for s in sides for v in (lo[s], hi[s])])
+                    elif best is not None:
+                        break
+                size += 1
+            if best is None:
+                b += 1
             else:
-                i += 1
-        got = pd.DataFrame(out, columns=["band", "n", "low", "high", "residual", "verticality"]).astype({"band": "int64", "n": "int64"})
-        for b in by:
-            got[b] = pdf[b].iloc[0]
+                out.append((len(out), *best))
+                b += size
+        got = pd.DataFrame(out, columns=names).astype({k: "int64" if k in ("band", "n") else "float64" for k in names})
+        for k in by:
+            got[k] = pdf[k].iloc[0]
         return got
 
-    schema = ", ".join(["band long", "n long", "low double", "high double", "residual double", "verticality double"] + [f"{k} {v}" for k, v in points.select(*by).dtypes])
+    schema = ", ".join([f"{k} {'long' if k in ('band', 'n') else 'double'}" for k in names] + [f"{k} {v}" for k, v in points.select(*by).dtypes])
     return stats.groupBy(*by).applyInPandas(grow, schema)
 
 
-def footprint_overlap(obs: DataFrame, *, cluster: str, image: str, u: str, v: str, width: float, height: float, cells: int = 32, min_frames: int = 5) -> DataFrame:
-    """(a, b, frames, overlap): mean share of a's occupied cells that b also has, over shared images; needs min_frames of them."""
-    cell = F.floor(F.col(u) / width * cells) * cells + F.floor(F.col(v) / height * cells)
-    d = obs.select(F.col(cluster).alias("k"), F.col(image).alias("i"), cell.alias("c")).distinct()
-    n = d.groupBy("k", "i").agg(F.count("*").alias("n"))
-    both = d.toDF("a", "i", "c").join(d.toDF("b", "i", "c"), ["i", "c"]).where("a < b").groupBy("a", "b", "i").agg(F.count("*").alias("m"))
-    shared = n.toDF("a", "i", "na").join(n.toDF("b", "i", "nb"), "i").where("a < b").select("a", "b", "i", "na")
-    per = shared.join(both, ["a", "b", "i"], "left").withColumn("share", F.coalesce("m", F.lit(0)) / F.col("na"))
-    return per.groupBy("a", "b").agg(F.count("*").alias("frames"), F.avg("share").alias("overlap")).where(F.col("frames") >= min_frames)
-
-
-def duplicate_surfaces(bands: DataFrame, overlap: DataFrame, *, band: str, height: str, low: str, high: str, min_gap: float, max_gap: float, min_overlap: float) -> DataFrame:
-    """Pairs of bands that look like one surface twice: heights apart within limits, not touching, seen at the same pixels."""
-    x = bands.select(F.col(band).alias("a"), F.col(height).alias("ha"), F.col(high).alias("top_a"), F.col(low).alias("low_a"))
-    y = bands.select(F.col(band).alias("b"), F.col(height).alias("hb"), F.col(high).alias("top_b"), F.col(low).alias("low_b"))
-    pairs = overlap.where(F.col("overlap") >= min_overlap).join(x, "a").join(y, "b")
-    gap = F.abs(F.col("ha") - F.col("hb"))
-    apart = F.greatest(F.col("low_a") - F.col("top_b"), F.col("low_b") - F.col("top_a")) > 0
-    return pairs.where(gap.between(min_gap, max_gap) & apart).select("a", "b", gap.alias("gap"), "frames", "overlap")
+def in_bands(points: DataFrame, bands: DataFrame, *, by: Sequence[str], up: str) -> DataFrame:
+    """points with the band of their model that they are in; a model has few bands, and bands share no height."""
+    limits = bands.groupBy(*by).agg(F.collect_list(F.struct("band", "low", "high")).alias("__bands"))
+    inside = F.filter("__bands", lambda b: F.col(up).between(b["low"], b["high"]))
+    return points.join(limits, list(by)).withColumn("band", F.get(inside, F.lit(0))["band"]).where("band is not null").drop("__bands")
+
+
+def footprint_overlap(obs: DataFrame, *, cluster: str, image: str, u: str, v: str, width: float, height: float, cells: int = 32, min_frames: int = 5, by: Sequence[str] = ()) -> DataFrame:
+    """(by, a, b, frames, overlap): mean share of a's occupied cells that b also has, over shared images; needs min_frames of them."""
+    place = lambda c, size: F.greatest(F.lit(0), F.least((F.col(c) / size * cells).cast("int"), F.lit(cells - 1)))
+    d = obs.select(*by, F.col(cluster).alias("a"), F.col(image).alias("__i"), (place(u, width) * cells + place(v, height)).alias("__c")).distinct()
+    n = d.groupBy(*by, "a", "__i").agg(F.count("*").alias("__n"))
+    both = d.join(d.withColumnRenamed("a", "b"), [*by, "__i", "__c"]).where("a < b").groupBy(*by, "a", "b", "__i").agg(F.count("*").alias("__m"))
+    shared = n.join(n.select(*by, F.col("a").alias("b"), "__i"), [*by, "__i"]).where("a < b")
+    per = shared.join(both, [*by, "a", "b", "__i"], "left").withColumn("__share", F.coalesce("__m", F.lit(0)) / F.col("__n"))
+    return per.groupBy(*by, "a", "b").agg(F.count("*").alias("frames"), F.avg("__share").alias("overlap")).where(F.col("frames") >= min_frames)
+
+
+def box_iou(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """Intersection over union of boxes (x0, x1, z0, z1); 0 where they don't overlap."""
+    wide, deep = F.least(a[1], b[1]) - F.greatest(a[0], b[0]), F.least(a[3], b[3]) - F.greatest(a[2], b[2])
+    area = lambda x: F.greatest(x[1] - x[0], F.lit(1e-9)) * F.greatest(x[3] - x[2], F.lit(1e-9))
+    return F.when((wide > 0) & (deep > 0), wide * deep / (area(a) + area(b) - wide * deep)).otherwise(0.0)
+
+
+def duplicate_surfaces(bands: DataFrame, overlap: DataFrame, *, by: Sequence[str] = (), min_separation: float = 0.2, max_separation: float = 3.0, min_gap: float = 0.12, min_iou: float = 0.25, min_overlap: float = 0.3) -> DataFrame:
+    """(by, a, b, separation, gap, iou, frames, overlap): pairs of planar_bands() that look like one surface twice.
+
+    Their mean heights are within limits of each other, their points min_gap apart at least,
+    their boxes overlap by min_iou, and they are seen at the same pixels (footprint_overlap()).
+    """
+    box = ("x0", "x1", "z0", "z1")
+    side = lambda name: bands.select(*by, F.col("band").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("height", "low", "high", *box)])
+    pairs = overlap.where(F.col("overlap") >= min_overlap).join(side("a"), [*by, "a"]).join(side("b"), [*by, "b"])
+    pairs = pairs.withColumn("separation", F.abs(F.col("height_a") - F.col("height_b"))).withColumn("gap", F.greatest("low_a", "low_b") - F.least("high_a", "high_b"))
+    pairs = pairs.withColumn("iou", box_iou([F.col(f"{c}_a") for c in box], [F.col(f"{c}_b") for c in box]))
+    return pairs.where(F.col("separation").between(min_separation, max_separation) & (F.col("gap") >= min_gap) & (F.col("iou") >= min_iou)).select(*by, "a", "b", "separation", "gap", "iou", "frames", "overlap")

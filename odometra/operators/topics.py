@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,50 +63,73 @@ def resolve(rows: DataFrame, profiles: DataFrame, *, key: str, value: str, fallb
     return joined.withColumn("provenance", source).withColumn(value, F.coalesce(value, fallback))
 
 
-def select_tracks(tracks: DataFrame, *, point: str, image: str, budget: int, by: Sequence[str] = ()) -> DataFrame:
-    """Points taken greedily, longest track first (ties to the smaller id), while one of their images has fewer than budget.
+def _of_model(pdf: pd.DataFrame, by: Sequence[str], points: list[int]) -> pd.DataFrame:
+    """Points with the keys of the model that pdf is of."""
+    return pd.DataFrame({**{b: np.repeat(pdf[b].to_numpy(dtype=object)[:1], len(points)) for b in by}, "point": np.array(points, np.int64)})
 
-    The fold is sequential within a model, so each model (by) is one group; without `by` the
-    tracks are one model. Points come as one row each with their images.
+
+def select_tracks(tracks: DataFrame, *, point: str, image: str, budget: int, max_tracks: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by, point): tracks taken longest first, of equals the larger id, while one of their images has at most `budget` of them.
+
+    It ends at max_tracks, or when every image has more than `budget`. A track's length is its
+    number of observations, and each of them counts for its image. What is taken depends on
+    all before it, so a model (by) is one group; models are dealt over the tasks.
     """
     ship_package(tracks.sparkSession)
-    rows = tracks.groupBy(*by, F.col(point).alias("point")).agg(F.array_sort(F.collect_set(F.col(image))).alias("images"))
+    rows = tracks.groupBy(*by, F.col(point).alias("point")).agg(F.array_sort(F.collect_list(F.col(image))).alias("images"))
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        held: dict[int, int] = {}
-        out = []
-        for p, images in sorted(zip(pdf["point"], pdf["images"], strict=True), key=lambda x: (-len(x[1]), x[0])):
-            if any(held.get(i, 0) < budget for i in images):
+        held: dict[int, int] = dict.fromkeys((i for images in pdf["images"] for i in images), 0)
+        wanting, out = len(held), []
+        for images, p in sorted(((list(x), p) for p, x in zip(pdf["point"], pdf["images"], strict=True)), key=lambda t: (len(t[0]), t[1]), reverse=True):
+            if not wanting or (max_tracks is not None and len(out) >= max_tracks):
+                break
+            if any(held[i] <= budget for i in images):
                 out.append(p)
                 for i in images:
-                    held[i] = held.get(i, 0) + 1
-        return pd.DataFrame({**{b: [pdf[b].iloc[0]] * len(out) for b in by}, "point": out}).astype({"point": "int64"})
+                    wanting -= held[i] == budget
+                    held[i] += 1
+        return _of_model(pdf, by, out)
 
     schema = ", ".join([f"{k} {t}" for k, t in tracks.select(*by).dtypes] + ["point long"]) if by else "point long"
     return rows.groupBy(*by).applyInPandas(greedy, schema)
 
 
-def prune_by_coverage(tracks: DataFrame, *, point: str, image: str, min_views: int, by: Sequence[str] = ()) -> DataFrame:
-    """(image, redundant): images that can go, fewest points first, while every point keeps min_views views (or all it had)."""
-    ship_package(tracks.sparkSession)
-    rows = tracks.groupBy(*by, F.col(image).alias("image")).agg(F.array_sort(F.collect_set(F.col(point))).alias("points"))
+def redundant_points(observations: DataFrame, *, point: str, image: str, x: str, y: str, width: float, height: float, min_gain: float, tiles: int = 8, by: Sequence[str] = ()) -> DataFrame:
+    """(by, point): points that add too little to the coverage of images by tiles.
 
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        views: dict[int, int] = {}
-        for points in pdf["points"]:
-            for p in points:
-                views[p] = views.get(p, 0) + 1
-        gone = []
-        for i, points in sorted(zip(pdf["image"], pdf["points"], strict=True), key=lambda x: (len(x[1]), x[0])):
-            free = all(views[p] > min_views for p in points)
-            gone.append((i, free))
-            if free:
-                for p in points:
-                    views[p] -= 1
-        out = pd.DataFrame(gone, columns=["image", "redundant"])
-        for b in by:
-            out[b] = pdf[b].iloc[0]
-        return out
-
-    schema = ", ".join(["image long", "redundant boolean"] + [f"{k} {t}" for k, t in tracks.select(*by).dtypes])
-    return rows.groupBy(*by).applyInPandas(greedy, schema)
+    Each image is cut into tiles * tiles. A point's gain is the sum over its observations of
+    1 / sqrt(n + 1) - 1 / sqrt(n + 2) with n selected points in the observation's tile. Points
+    are selected by gain, of equals the larger id, while it is above min_gain; the others are
+    redundant. Gains only fall, so a queue keeps old gains and renews the one at its head.
+    Each selection depends on all before it, so a model (by) is one group.
+    """
+    ship_package(observations.sparkSession)
+    tile = lambda c, size: F.least(F.greatest((F.col(c) * tiles / size).cast("int"), F.lit(0)), F.lit(tiles - 1))
+    seen = F.struct(F.col(image).alias("image"), (tile(x, width) * tiles + tile(y, height)).alias("tile"))
+    rows = observations.groupBy(*by, F.col(point).alias("point")).agg(F.array_sort(F.collect_list(seen)).alias("seen"))
+
+    def prune(pdf: pd.DataFrame) -> pd.DataFrame:
+        seen = {p: [(o["image"], o["tile"]) for o in found] for p, found in zip(pdf["point"], pdf["seen"], strict=True)}
+        held: dict[tuple[int, int], int] = {}
+
+        def gain(p: int) -> float:
+            return sum(1 / math.sqrt(n + 1) - 1 / math.sqrt(n + 2) for n in (held.get(o, 0) for o in seen[p]))
+
+        queue = [(-gain(p), -p) for p in seen]
+        heapq.heapify(queue)
+        left = set(seen)
+        while queue and -queue[0][0] > min_gain:
+            old, minus = queue[0]
+            now = gain(-minus)
+            if now < -old:
+                heapq.heapreplace(queue, (-now, minus))
+                continue
+            heapq.heappop(queue)
+            left.remove(-minus)
+            for o in seen[-minus]:
+                held[o] = held.get(o, 0) + 1
+        return _of_model(pdf, by, sorted(left))
+
+    schema = ", ".join([f"{k} {t}" for k, t in observations.select(*by).dtypes] + ["point long"]) if by else "point long"
+    return rows.groupBy(*by).applyInPandas(prune, schema)

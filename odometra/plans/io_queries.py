@@ -23,7 +23,7 @@ def model(spark, sf):
     cameras = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("camera_id"), F.lit("PINHOLE").alias("model"), F.lit(640).alias("width"), F.lit(480).alias("height"), F.array(F.lit(500.0), F.lit(500.0), F.lit(320.0), (F.col("n_nationkey") + 0.5)).alias("params"))
     one = F.lit(1.0)
     images = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("image_id"), one.alias("qw"), *[F.lit(0.0).alias(c) for c in ("qx", "qy", "qz")], F.col("s_acctbal").alias("tx"), F.lit(0.0).alias("ty"), F.lit(0.0).alias("tz"), F.col("s_nationkey").cast("long").alias("camera_id"), F.col("s_name").alias("name"))
-    li = table(spark, sf, "lineitem").where("l_orderkey % 4 = 0").dropDuplicates(["l_suppkey", "l_orderkey", "l_linenumber"])
+    li = table(spark, sf, "lineitem").dropDuplicates(["l_suppkey", "l_orderkey", "l_linenumber"])
     points2d = li.select(F.col("l_suppkey").alias("image_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int").alias("point2d_idx"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"), F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("point3d_id"))
     points = table(spark, sf, "orders").select(F.col("o_orderkey").alias("point3d_id"), F.col("o_totalprice").alias("x"), F.lit(1.0).alias("y"), F.lit(2.0).alias("z"), *[F.lit(7).alias(c) for c in "rgb"], F.lit(0.5).alias("error"))
     tracks = points2d.where("point3d_id is not null").select("point3d_id", "image_id", "point2d_idx")
@@ -42,14 +42,14 @@ def a05(spark, sf):
     return c.select("camera_id", "model", "width", "height", F.get("params", F.lit(3)).alias("cy"))
 
 
-@REGISTRY.add("a06_b06_images_text", "SELECT s_suppkey AS image_id, s_name AS name, s_acctbal AS tx, coalesce(n, 0) AS points, coalesce(linked, 0) AS linked FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, count(*) FILTER (l_linenumber != 7) AS linked FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 = 0) GROUP BY 1) ON l_suppkey = s_suppkey")
+@REGISTRY.add("a06_b06_images_text", "SELECT s_suppkey AS image_id, s_name AS name, s_acctbal AS tx, coalesce(n, 0) AS points, coalesce(linked, 0) AS linked FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, count(*) FILTER (l_linenumber != 7) AS linked FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) GROUP BY 1) ON l_suppkey = s_suppkey")
 def a06(spark, sf):
     m = _round_trip(spark, sf)
     n = m["points2d"].groupBy("image_id").agg(F.count("*").alias("points"), F.count("point3d_id").alias("linked"))
     return m["images"].join(n, "image_id", "left").select("image_id", "name", "tx", F.coalesce("points", F.lit(0)).alias("points"), F.coalesce("linked", F.lit(0)).alias("linked"))
 
 
-@REGISTRY.add("a07_b06_points_text", "SELECT o_orderkey AS point3d_id, o_totalprice AS x, coalesce(n, 0) AS track FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 = 0 AND l_linenumber != 7) GROUP BY 1) ON l_orderkey = o_orderkey")
+@REGISTRY.add("a07_b06_points_text", "SELECT o_orderkey AS point3d_id, o_totalprice AS x, coalesce(n, 0) AS track FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber != 7) GROUP BY 1) ON l_orderkey = o_orderkey")
 def a07(spark, sf):
     m = _round_trip(spark, sf)
     n = m["tracks"].groupBy("point3d_id").agg(F.count("*").alias("track"))
@@ -74,22 +74,22 @@ def a13(spark, sf):
 
 
 def _poses(spark, sf):
-    e = table(spark, sf, "events").where("user_id < 5")
+    e = table(spark, sf, "events")
     eye = F.array(*[F.lit(x) for x in (1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0)])
     return e.select(F.col("event_id").alias("frame_id"), (micros("ts") * 1000).alias("ts_ns"), eye.alias("R"), F.array(F.col("value"), F.lit(1.0), F.lit(2.0)).alias("t"))
 
 
-@REGISTRY.add("b03_tum_lines", "SELECT printf('%.6f %.6f 1.000000 2.000000 0.000000 0.000000 0.000000 1.000000', epoch_us(ts) * 1000 / 1e9, value) AS value FROM events WHERE user_id < 5")
+@REGISTRY.add("b03_tum_lines", "SELECT printf('%.6f %.6f 1.000000 2.000000 0.000000 0.000000 0.000000 1.000000', epoch_us(ts) * 1000 / 1e9, value) AS value FROM events")
 def b03(spark, sf):
     return sinks.tum_lines(_poses(spark, sf), ts="ts_ns")
 
 
-@REGISTRY.add("b04_trajectory_table", "SELECT event_id AS frame_id, value AS tx, 1.0::DOUBLE AS ty, 2.0::DOUBLE AS tz, 1.0::DOUBLE AS r00, -value AS cx FROM events WHERE user_id < 5")
+@REGISTRY.add("b04_trajectory_table", "SELECT event_id AS frame_id, value AS tx, 1.0::DOUBLE AS ty, 2.0::DOUBLE AS tz, 1.0::DOUBLE AS r00, -value AS cx FROM events")
 def b04(spark, sf):
     return sinks.trajectory_table(_poses(spark, sf), matrices=True, centres=True).select("frame_id", "tx", "ty", "tz", "r00", "cx")
 
 
-@REGISTRY.add("b05_kitti_lines", "SELECT printf('1.000000 0.000000 0.000000 %.6f 0.000000 1.000000 0.000000 1.000000 0.000000 0.000000 1.000000 2.000000', value) AS value FROM events WHERE user_id < 5")
+@REGISTRY.add("b05_kitti_lines", "SELECT printf('1.000000 0.000000 0.000000 %.6f 0.000000 1.000000 0.000000 1.000000 0.000000 0.000000 1.000000 2.000000', value) AS value FROM events")
 def b05(spark, sf):
     return sinks.kitti_lines(_poses(spark, sf), order="frame_id")
 
@@ -99,7 +99,7 @@ def b08(spark, sf):
     return sinks.report(table(spark, sf, "nation"), table(spark, sf, "supplier"), table(spark, sf, "orders"), spark.range(1).select(F.lit(1.5).alias("scale")))
 
 
-@REGISTRY.add("b09_processed_recording", "SELECT event_type AS topic, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT '/pose', count(*) FROM events WHERE user_id < 5 UNION ALL SELECT '/summary', 1")
+@REGISTRY.add("b09_processed_recording", "SELECT event_type AS topic, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT '/pose', count(*) FROM events UNION ALL SELECT '/summary', 1")
 def b09(spark, sf):
     m = table(spark, sf, "events").select(F.col("event_type").alias("topic"), (micros("ts") * 1000).alias("ts_ns"), F.lit("event").alias("msgtype"), F.col("props").cast("binary").alias("payload"))
     path = _folder(spark, "recording")

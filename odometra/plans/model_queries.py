@@ -9,6 +9,7 @@ from ..operators import pairs as P
 from ..operators import quality as Q
 from ..operators import retrieval as R
 from ..operators import topics as T
+from ..checkpoints import materialize
 from .common import TRACKS, Registry, r6, table, tracks
 
 REGISTRY = Registry()
@@ -90,13 +91,13 @@ def c14(spark, sf):
 
 @REGISTRY.add(
     "c15_frames_to_filter",
-    """SELECT frame, bogus, observations FROM (SELECT l_suppkey AS frame, bool_or(NOT (l_extendedprice / 640 BETWEEN 0.1 AND 150) OR abs(l_tax) > 0.079) AS bogus, sum(l_linenumber)::BIGINT AS observations FROM lineitem WHERE l_orderkey % 50 = 0 GROUP BY 1) WHERE bogus OR observations < 45""",
+    """SELECT frame, bogus, observations FROM (SELECT l_orderkey AS frame, bool_or(NOT (l_extendedprice / 640 BETWEEN 0.1 AND 150) OR abs(l_tax) > 0.079) AS bogus, sum(l_linenumber)::BIGINT AS observations FROM lineitem GROUP BY 1) WHERE bogus OR observations < 4""",
 )
 def c15(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_orderkey % 50 = 0")
+    li = table(spark, sf, "lineitem")
     b = Q.bogus_camera(F.lit(640), F.lit(480), F.col("l_extendedprice"), F.col("l_tax"), max_ratio=150.0, max_extra=0.079)
-    f = li.select(F.col("l_suppkey").alias("frame"), b.alias("bogus"), F.col("l_linenumber").alias("n"))
-    return Q.frames_to_filter(f, frame="frame", bogus="bogus", observations="n", min_observations=45)
+    f = li.select(F.col("l_orderkey").alias("frame"), b.alias("bogus"), F.col("l_linenumber").alias("n"))
+    return Q.frames_to_filter(f, frame="frame", bogus="bogus", observations="n", min_observations=4)
 
 
 @REGISTRY.add(
@@ -214,14 +215,21 @@ def f06(spark, sf):
     return Q.top_per_group(both.withColumn("level", level), by=["q"], order=["level", F.col("shared").desc(), "o"], k=5).select("q", "o", "shared", "rank")
 
 
+def nation_models(spark, sf):
+    """Observations of a model per nation: a customer's orders are points, suppliers images."""
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("point_id"), F.col("c_nationkey").alias("model"))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("point_id"), F.col("l_suppkey").alias("image_id"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"))
+    return li.join(o, "point_id")
+
+
 @REGISTRY.add("f07_track_selection")
 def f07(spark, sf):
-    return T.select_tracks(tracks(spark, sf), point="point_id", image="image_id", budget=60)
+    return T.select_tracks(nation_models(spark, sf), point="point_id", image="image_id", budget=6, by=["model"])
 
 
 @REGISTRY.add("f09_coverage_pruning")
 def f09(spark, sf):
-    return T.prune_by_coverage(tracks(spark, sf), point="point_id", image="image_id", min_views=2)
+    return T.redundant_points(nation_models(spark, sf), point="point_id", image="image_id", x="x", y="y", width=51.0, height=0.11, min_gain=0.5, by=["model"])
 
 
 @REGISTRY.add("f10_top_scale_features", "SELECT l_suppkey, l_orderkey, l_linenumber, rank FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS rank FROM (SELECT l_suppkey, l_orderkey, l_linenumber, l_quantity FROM lineitem)) WHERE rank <= 10")
@@ -247,10 +255,10 @@ def d23(spark, sf):
     return E.edge_errors(t, f, error=F.col("d") * 100)
 
 
-@REGISTRY.add("g03_frame_overlap", "WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_suppkey < 10), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_suppkey BETWEEN 10 AND 19) SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM a JOIN b USING (k)) AS n_both, round((SELECT count(*) FROM a JOIN b USING (k)) / (SELECT count(*) FROM a), 6) AS overlap")
+@REGISTRY.add("g03_frame_overlap", "WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_linestatus = 'F'), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_linestatus = 'O') SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM a JOIN b USING (k)) AS n_both, round((SELECT count(*) FROM a JOIN b USING (k)) / (SELECT count(*) FROM a), 6) AS overlap")
 def g03(spark, sf):
     li = table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "k")
-    return E.frame_overlap(li.where("l_suppkey < 10"), li.where("l_suppkey between 10 and 19"), ["k"]).withColumn("overlap", r6("overlap"))
+    return E.frame_overlap(li.where("l_linestatus = 'F'"), li.where("l_linestatus = 'O'"), ["k"]).withColumn("overlap", r6("overlap"))
 
 
 WORDS = r"""w AS (SELECT doc_id AS doc, unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS word FROM documents), p AS (SELECT doc, word, count(*) AS tf FROM w GROUP BY ALL)"""
@@ -264,8 +272,9 @@ def k01(spark, sf):
 
 
 def _index(spark, sf):
+    """Postings, written once for all that reads them, and their weights."""
     docs = table(spark, sf, "documents")
-    p = R.postings(docs, id_col="doc_id", text_col="text")
+    p = materialize(R.postings(docs, id_col="doc_id", text_col="text"))
     return p, R.idf_weights(p, docs.count())
 
 
@@ -302,13 +311,39 @@ BITS = ", ".join(f"median(embedding[{i + 1}]::DOUBLE) AS m{i}" for i in range(16
 SIGN = " + ".join(f"(CASE WHEN embedding[{i + 1}]::DOUBLE > m{i} THEN {2**i} ELSE 0 END)" for i in range(16))
 
 
-@REGISTRY.add("k05_hamming_embedding", f"WITH t AS (SELECT label, {BITS} FROM embeddings GROUP BY 1), s AS (SELECT vec_id, label, ({SIGN})::BIGINT AS bits FROM embeddings JOIN t USING (label)) SELECT a.vec_id AS id1, b.vec_id AS id2, bit_count(xor(a.bits, b.bits))::INT AS distance FROM s a JOIN s b ON a.label = b.label AND a.vec_id < b.vec_id WHERE a.vec_id % 10 = 0 AND bit_count(xor(a.bits, b.bits)) <= 4")
+@REGISTRY.add("k05_hamming_embedding", f"WITH t AS (SELECT label, {BITS} FROM embeddings GROUP BY 1), s AS (SELECT vec_id, label, ({SIGN})::BIGINT AS bits FROM embeddings JOIN t USING (label)) SELECT a.vec_id AS id1, b.vec_id AS id2, bit_count(xor(a.bits, b.bits))::INT AS distance FROM s a JOIN s b ON a.label = b.label AND a.vec_id != b.vec_id WHERE a.vec_id % 10 = 0 AND bit_count(xor(a.bits, b.bits)) <= 4")
 def k05(spark, sf):
     e = table(spark, sf, "embeddings")
     t = R.hamming_thresholds(e, by=["label"], vector="embedding", dims=16)
     s = e.join(t, "label").select("vec_id", "label", R.binary_signature("embedding", "thresholds", 16).alias("bits"))
     a, b = s.where("vec_id % 10 = 0").toDF("id1", "label", "x"), s.toDF("id2", "label", "y")
-    return a.join(b, "label").where("id1 < id2").select("id1", "id2", R.hamming(F.col("x"), F.col("y")).alias("distance")).where("distance <= 4")
+    return a.join(b, "label").where("id1 != id2").select("id1", "id2", R.hamming(F.col("x"), F.col("y")).alias("distance")).where("distance <= 4")
+
+
+def _features(spark, sf):
+    """Five vectors are the features of an image; their label is the word, their bits those over the word's medians."""
+    e = table(spark, sf, "embeddings")
+    t = R.hamming_thresholds(e, by=["label"], vector="embedding", dims=16)
+    return e.join(t, "label").select(F.floor(F.col("vec_id") / 5).alias("image"), F.col("vec_id").alias("feature"), F.col("label").alias("word"), R.binary_signature("embedding", "thresholds", 16).alias("bits"))
+
+
+@REGISTRY.add(
+    "k04_hamming_votes",
+    f"""WITH t AS (SELECT label, {BITS} FROM embeddings GROUP BY 1), f AS (SELECT vec_id // 5 AS image, vec_id AS feature, label AS word, ({SIGN})::BIGINT AS bits FROM embeddings JOIN t USING (label)),
+i AS (SELECT word, ln((SELECT count(DISTINCT image) FROM f) / count(DISTINCT image)) AS idf FROM f GROUP BY 1), n AS (SELECT image, CASE WHEN sum(idf * idf) > 0 THEN 1 / sqrt(sum(idf * idf)) ELSE 0 END AS norm FROM f JOIN i USING (word) GROUP BY 1),
+d AS (SELECT q.image AS query, q.feature, e.image, idf, bit_count(xor(q.bits, e.bits))::DOUBLE AS d FROM f q JOIN f e USING (word) JOIN i USING (word) WHERE q.image % 20 = 0),
+v AS (SELECT query, feature, image, sum(exp(-d * d / 16)) / sqrt(count(*)) * any_value(idf * idf) AS v FROM d WHERE d <= 6 GROUP BY ALL) SELECT query, v.image, round(sum(v) * any_value(a.norm) * any_value(b.norm), 6) AS score FROM v JOIN n a ON a.image = query JOIN n b ON b.image = v.image GROUP BY ALL""",
+)
+def k04_votes(spark, sf):
+    f = materialize(_features(spark, sf))
+    idf = f.groupBy("word").agg(F.count_distinct("image").alias("df")).crossJoin(f.agg(F.count_distinct("image").alias("n"))).select("word", F.ln(F.col("n") / F.col("df")).alias("idf"))
+    return R.hamming_votes(f.where("image % 20 = 0"), f, idf, sigma=4.0).withColumn("score", r6("score"))
+
+
+@REGISTRY.add("k08_indexed_neighbors")
+def k08(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return P.indexed_knn(e.where("vec_id % 100 = 0"), e, key="vec_id", vector="embedding", k=5).select("query", "neighbor", "rank")
 
 
 @REGISTRY.add("k07_descriptor_normalisation", "SELECT vec_id, round(list_sum(list_transform(embedding, lambda v: abs(v::DOUBLE))) / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))), 5) AS l1_of_l2, round(list_sum(list_transform(embedding, lambda v: sqrt(abs(v::DOUBLE)))) / sqrt(list_sum(list_transform(embedding, lambda v: abs(v::DOUBLE)))), 5) AS root_sum FROM embeddings")

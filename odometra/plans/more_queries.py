@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..checkpoints import shared_dir
+from ..checkpoints import materialize, shared_dir
 from ..functions import scalar as M
 from ..operators import pairs as P
 from ..operators import quality as Q
@@ -16,6 +16,7 @@ from ..operators import stats as St
 from ..operators import temporal as T
 from ..sources import sinks
 from .common import TRACKS, Registry, micros, r6, table, tracks
+from .similarity_queries import LAYERS, surface_points
 
 REGISTRY = Registry()
 
@@ -53,9 +54,9 @@ def o01(spark, sf):
     return li.withColumn("p", F.expr("pair_id(a, b)"))
 
 
-@REGISTRY.add("b02_associations_csv", "SELECT event_id::INT AS frame_id, epoch_us(ts) AS rgb_ts, CASE WHEN event_id % 3 != 0 THEN event_id END AS depth_ts FROM events WHERE user_id = 1")
+@REGISTRY.add("b02_associations_csv", "SELECT event_id::INT AS frame_id, epoch_us(ts) AS rgb_ts, CASE WHEN event_id % 3 != 0 THEN event_id END AS depth_ts FROM events")
 def b02(spark, sf):
-    a = table(spark, sf, "events").where("user_id = 1").select(F.col("event_id").cast("int").alias("frame_id"), micros("ts").alias("rgb_ts"), F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("depth_ts"))
+    a = table(spark, sf, "events").select(F.col("event_id").cast("int").alias("frame_id"), micros("ts").alias("rgb_ts"), F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("depth_ts"))
     path = f"{shared_dir(spark)}/odometra-assoc-{uuid.uuid4().hex}"
     sinks.associations_csv(a, path)
     return spark.read.schema("frame_id int, rgb_ts long, depth_ts long").csv(path, header=True)
@@ -84,19 +85,20 @@ def b16(spark, sf):
     return e.groupBy("user_id").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
 
 
-BANDS = """b AS (SELECT l_linenumber AS k, avg(l_linenumber) AS h, min(l_linenumber) - 0.25 AS lo, max(l_linenumber) + 0.25 AS hi FROM lineitem GROUP BY 1),
-d AS (SELECT DISTINCT l_linenumber AS k, l_suppkey AS i, floor(l_quantity / 51 * 8) * 8 + floor(l_discount / 0.11 * 8) AS c FROM lineitem), n AS (SELECT k, i, count(*) AS n FROM d GROUP BY ALL),
-m AS (SELECT a.k AS a, b.k AS b, i, count(*) AS m FROM d a JOIN d b USING (i, c) WHERE a.k < b.k GROUP BY ALL), s AS (SELECT x.k AS a, y.k AS b, x.i AS i, x.n AS na FROM n x JOIN n y ON x.i = y.i AND x.k < y.k),
-o AS (SELECT a, b, count(*) AS frames, avg(coalesce(m, 0) / na) AS overlap FROM s LEFT JOIN m USING (a, b, i) GROUP BY ALL HAVING count(*) >= 5)"""
+PAIRS_OF_BANDS = """d AS (SELECT DISTINCT model, band, image, least(7, floor(x / 51 * 8)) * 8 + least(7, floor(l_discount / 0.11 * 8)) AS c FROM o JOIN la USING (model, layer)), n AS (SELECT model, band, image, count(*) AS n FROM d GROUP BY ALL),
+m AS (SELECT model, a.band AS a, b.band AS b, image, count(*) AS m FROM d a JOIN d b USING (model, image, c) WHERE a.band < b.band GROUP BY ALL), s AS (SELECT model, x.band AS a, y.band AS b, image, x.n AS na FROM n x JOIN n y USING (model, image) WHERE x.band < y.band),
+ov AS (SELECT model, a, b, count(*) AS frames, avg(coalesce(m, 0) / na) AS overlap FROM s LEFT JOIN m USING (model, a, b, image) GROUP BY ALL HAVING count(*) >= 5),
+g AS (SELECT model, a, b, frames, overlap, abs(p.height - q.height) AS separation, greatest(p.low, q.low) - least(p.high, q.high) AS gap, greatest(0, least(p.x1, q.x1) - greatest(p.x0, q.x0)) * greatest(0, least(p.z1, q.z1) - greatest(p.z0, q.z0)) AS inter, (p.x1 - p.x0) * (p.z1 - p.z0) + (q.x1 - q.x0) * (q.z1 - q.z0) AS areas FROM ov JOIN la p USING (model) JOIN la q USING (model) WHERE p.band = a AND q.band = b)"""
 
 
-@REGISTRY.add("d27_i12_duplicate_surfaces", f"WITH {BANDS} SELECT a, b, abs(x.h - y.h) AS gap, frames, round(overlap, 6) AS overlap FROM o JOIN b x ON x.k = a JOIN b y ON y.k = b WHERE overlap >= 0.3 AND abs(x.h - y.h) BETWEEN 1 AND 2 AND greatest(x.lo - y.hi, y.lo - x.hi) > 0")
+@REGISTRY.add("d27_i12_duplicate_surfaces", f"WITH {LAYERS}, {PAIRS_OF_BANDS} SELECT model, a, b, round(separation, 6) AS separation, round(gap, 6) AS gap, round(inter / (areas - inter), 6) AS iou, frames, round(overlap, 6) AS overlap FROM g WHERE separation BETWEEN 0.2 AND 1.5 AND gap >= 0.12 AND inter / (areas - inter) >= 0.25 AND overlap >= 0.3")
 def d27(spark, sf):
-    li = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("k"), F.col("l_suppkey").alias("i"), F.col("l_quantity").alias("u"), F.col("l_discount").alias("v"))
-    o = S.footprint_overlap(li, cluster="k", image="i", u="u", v="v", width=51.0, height=0.11, cells=8)
-    b = li.groupBy("k").agg(F.avg("k").alias("h"), (F.min("k") - 0.25).alias("lo"), (F.max("k") + 0.25).alias("hi"))
-    got = S.duplicate_surfaces(b, o, band="k", height="h", low="lo", high="hi", min_gap=1, max_gap=2, min_overlap=0.3)
-    return got.withColumn("overlap", r6("overlap"))
+    points = surface_points(spark, sf)
+    bands = materialize(S.planar_bands(points, by=["model"], min_points=100))
+    seen = S.in_bands(points, bands, by=["model"], up="y")
+    overlap = S.footprint_overlap(seen, cluster="band", image="image", u="x", v="v", width=51.0, height=0.11, cells=8, by=["model"])
+    got = S.duplicate_surfaces(bands, overlap, by=["model"], max_separation=1.5)
+    return got.select("model", "a", "b", *[r6(c).alias(c) for c in ("separation", "gap", "iou")], "frames", r6("overlap").alias("overlap"))
 
 
 @REGISTRY.add("f03_group_stride", "SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS k FROM orders) WHERE k % 4 = 0")

@@ -125,7 +125,14 @@ def m16(spark, sf):
     return table(spark, sf, "events").select("event_id", j["k"].alias("k"), F.coalesce(j["missing"], F.lit("none")).alias("missing"))
 
 
-@REGISTRY.add("m18_pose_interpolation")
+SLERP = (
+    "e AS (SELECT vec_id, " + ", ".join(f"embedding[{i}]::DOUBLE / sqrt(" + " + ".join(f"embedding[{j}]::DOUBLE^2" for j in range(1, 5)) + f") AS q{i - 1}" for i in range(1, 5)) + ", " + ", ".join(f"embedding[{i + 5}]::DOUBLE AS t{i}" for i in range(3)) + " FROM embeddings), "
+    "d AS (SELECT a.vec_id, " + " + ".join(f"a.q{i} * b.q{i}" for i in range(4)) + " AS d FROM e a JOIN e b ON b.vec_id = a.vec_id + 1), "
+    "w AS (SELECT vec_id, CASE WHEN abs(d) > 1 - 1e-9 THEN 0.5 ELSE sin(0.5 * acos(least(1, abs(d)))) / sin(acos(least(1, abs(d)))) END AS w, CASE WHEN d < 0 THEN -1 ELSE 1 END AS side FROM d)"
+)
+
+
+@REGISTRY.add("m18_pose_interpolation", f"WITH {SLERP} SELECT vec_id, " + ", ".join(f"round(a.q{i} * w + b.q{i} * w * side, 6) AS q{i}" for i in range(4)) + ", " + ", ".join(f"round((a.t{i} + b.t{i}) / 2, 6) AS t{i}" for i in range(3)) + " FROM w JOIN e a USING (vec_id) JOIN e b ON b.vec_id = w.vec_id + 1")
 def m18(spark, sf):
     p = _poses(spark, sf)
     nxt = p.select((F.col("vec_id") - 1).alias("vec_id"), F.col("q").alias("q2"), F.col("t").alias("t2"))

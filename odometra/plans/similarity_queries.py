@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -40,7 +41,7 @@ def e10(spark, sf):
 
 @REGISTRY.add("e12_scale_ransac")
 def e12(spark, sf):
-    got = S.scale_by_ransac(vectors(spark, sf), cam=["e0", "e1", "e2"], world=["e3", "e4", "e5"], by=["label"])
+    got = S.scale_by_ransac(vectors(spark, sf), cam=["e0", "e1", "e2"], world=["e3", "e4", "e5"], by=["label"], order=["vec_id"])
     return got.withColumn("scale", r6("scale"))
 
 
@@ -100,8 +101,27 @@ def d10(spark, sf):
 
 @REGISTRY.add("h12_chained_products", "SELECT c_nationkey, c_custkey, round(exp(sum(ln(1 + (c_custkey % 7) / 100)) OVER (PARTITION BY c_nationkey ORDER BY c_custkey)), 6) AS product FROM customer")
 def h12(spark, sf):
-    c = table(spark, sf, "customer").withColumn("v", 1 + (F.col("c_custkey") % 7) / 100)
-    return S.chain_scales(c, by=["c_nationkey"], order="c_custkey", value="v").withColumn("product", r6("product"))
+    w = Window.partitionBy("c_nationkey").orderBy("c_custkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return table(spark, sf, "customer").select("c_nationkey", "c_custkey", r6(F.product(1 + (F.col("c_custkey") % 7) / 100).over(w)).alias("product"))
+
+
+#: Segments of one customer each that turn about z. The SQL follows the chain pose by pose: own fit, then the rigid motion that restores the step between the boundary poses.
+SEGMENTS = """g AS (SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i, c_custkey, 1 + (c_custkey % 7) / 100 AS s, (c_custkey % 11) / 10 AS f, (c_custkey % 5)::DOUBLE AS tx, (c_custkey % 3)::DOUBLE AS ty,
+c_acctbal / 1007 AS fx, (c_custkey % 13)::DOUBLE AS fy, c_acctbal / 1007 + 0.5 AS lx, (c_custkey % 13) + 0.25 AS ly FROM customer),
+h AS (SELECT k, i, s, f AS a, tx AS dx, ty AS dy, lx, ly FROM g WHERE i = 1
+UNION ALL SELECT k, i, s, a0, px + cos(a0 - f) * tx - sin(a0 - f) * ty - (cos(a0 - f) * cx - sin(a0 - f) * cy), py + sin(a0 - f) * tx + cos(a0 - f) * ty - (sin(a0 - f) * cx + cos(a0 - f) * cy), lx, ly FROM (
+SELECT g.k, g.i, g.s, g.f, g.tx, g.ty, g.lx, g.ly, h.a AS a0, h.s * (cos(h.a) * h.lx - sin(h.a) * h.ly) + h.dx + cos(h.a) * (fx - h.lx) - sin(h.a) * (fy - h.ly) AS px, h.s * (sin(h.a) * h.lx + cos(h.a) * h.ly) + h.dy + sin(h.a) * (fx - h.lx) + cos(h.a) * (fy - h.ly) AS py,
+g.s * (cos(g.f) * fx - sin(g.f) * fy) + g.tx AS cx, g.s * (sin(g.f) * fx + cos(g.f) * fy) + g.ty AS cy FROM h JOIN g ON g.k = h.k AND g.i = h.i + 1))"""
+
+
+@REGISTRY.add("h12_chained_transforms", f"WITH RECURSIVE {SEGMENTS} SELECT c_custkey, round(h.s, 6) AS scale, round(cos(a), 6) AS r0, round(sin(a), 6) AS r3, round(dx, 5) + 0.0 AS t0, round(dy, 5) + 0.0 AS t1 FROM h JOIN g USING (k, i)")
+def h12_transforms(spark, sf):
+    key, a = F.col("c_custkey"), F.col("c_custkey") % 11 / 10
+    turn = [F.cos(a), -F.sin(a), F.lit(0.0), F.sin(a), F.cos(a), F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)]
+    x, y = F.col("c_acctbal") / 1007, (key % 13).cast("double")
+    c = table(spark, sf, "customer").select("c_nationkey", "c_custkey", (1 + key % 7 / 100).alias("scale"), *[r.alias(f"r{i}") for i, r in enumerate(turn)], (key % 5).cast("double").alias("t0"), (key % 3).cast("double").alias("t1"), F.lit(1.0).alias("t2"), x.alias("fx"), y.alias("fy"), F.lit(2.0).alias("fz"), (x + 0.5).alias("lx"), (y + 0.25).alias("ly"), F.lit(2.0).alias("lz"))
+    got = S.chain_transforms(c, by=["c_nationkey"], order="c_custkey", first=["fx", "fy", "fz"], last=["lx", "ly", "lz"])
+    return got.select("c_custkey", *[r6(k).alias(k) for k in ("scale", "r0", "r3")], *[(F.round(k, 5) + 0.0).alias(k) for k in ("t0", "t1")])
 
 
 @REGISTRY.add("i06_i07_segment_correction", f"WITH {V} SELECT vec_id, round(-1.5 * e1 + label, 5) + 0.0 AS x, round(1.5 * e0 + 2, 5) + 0.0 AS y, round(1.5 * e2 - 1, 5) + 0.0 AS z FROM v")
@@ -119,13 +139,19 @@ def i08(spark, sf):
 
 
 def surface_points(spark, sf):
-    return table(spark, sf, "lineitem").select((F.col("l_suppkey") % 10).alias("model"), F.col("l_quantity").alias("x"), (F.floor(F.col("l_linenumber") / 3) + F.col("l_discount") / 5).alias("y"), (F.col("l_extendedprice") / 1000).alias("z"), F.col("l_suppkey").alias("image"))
+    return table(spark, sf, "lineitem").select((F.col("l_suppkey") % 10).alias("model"), F.col("l_quantity").alias("x"), (F.floor(F.col("l_linenumber") / 3) + F.col("l_discount") / 5).alias("y"), (F.col("l_extendedprice") / 1000).alias("z"), F.col("l_suppkey").alias("image"), F.col("l_discount").alias("v"))
+
+
+#: The layers that the heights are made of, as bands.
+LAYERS = """o AS (SELECT l_suppkey % 10 AS model, l_suppkey AS image, floor(l_linenumber / 3) AS layer, l_quantity AS x, floor(l_linenumber / 3) + l_discount / 5 AS y, l_extendedprice / 1000 AS z, l_discount FROM lineitem),
+la AS (SELECT model, layer, row_number() OVER (PARTITION BY model ORDER BY layer) - 1 AS band, count(*) AS n, min(y) AS low, max(y) AS high, avg(y) AS height, min(x) AS x0, max(x) AS x1, min(z) AS z0, max(z) AS z1 FROM o GROUP BY 1, 2 HAVING count(*) >= 100)"""
 
 
-@REGISTRY.add("i09_planar_bands")
+@REGISTRY.add("i09_planar_bands", f"WITH {LAYERS} SELECT model, band, n, round(low, 6) AS low, round(high, 6) AS high, round(height, 6) AS height, x0, x1, round(z0, 6) AS z0, round(z1, 6) AS z1, true AS level FROM la")
 def i09(spark, sf):
-    got = S.planar_bands(surface_points(spark, sf), by=["model"])
-    return got.select("model", "band", "n", *[r6(c).alias(c) for c in ("low", "high", "residual", "verticality")])
+    got = S.planar_bands(surface_points(spark, sf), by=["model"], min_points=100)
+    flat = (F.col("residual") < 0.01) & (F.col("verticality") > 0.999)
+    return got.select("model", "band", "n", *[r6(c).alias(c) for c in ("low", "high", "height")], "x0", "x1", r6("z0").alias("z0"), r6("z1").alias("z1"), flat.alias("level"))
 
 
 @REGISTRY.add(

@@ -153,7 +153,17 @@ def e27(spark, sf):
     return images.crossJoin(table(spark, sf, "lineitem").agg(F.count("*").alias("n_keypoints"), F.sum("l_linenumber").alias("sum_rows"), F.max("l_linenumber").alias("max_rows")))
 
 
-@REGISTRY.add("e36_mean_direction")
+#: Largest eigenvalue of a symmetric 3 x 3 matrix in closed form; its vector is the longest cross product of two rows of M - value.
+TOP_DIRECTION = """u AS (SELECT label, e[1] / n AS x, e[2] / n AS y, e[3] / n AS z FROM (SELECT label, embedding[1:3]::DOUBLE[] AS e, sqrt(embedding[1]::DOUBLE^2 + embedding[2]::DOUBLE^2 + embedding[3]::DOUBLE^2) AS n FROM embeddings) WHERE n > 0),
+m AS (SELECT label, sum(x * x) AS a, sum(y * y) AS b, sum(z * z) AS c, sum(x * y) AS d, sum(y * z) AS e, sum(x * z) AS f, sum(x) AS sx, sum(y) AS sy, sum(z) AS sz, count(*) / 3 AS q FROM u GROUP BY 1),
+p AS (SELECT *, sqrt(((a - q)^2 + (b - q)^2 + (c - q)^2 + 2 * (d * d + e * e + f * f)) / 6) AS p FROM m),
+r AS (SELECT *, ((a - q) * ((b - q) * (c - q) - e * e) - d * (d * (c - q) - e * f) + f * (d * e - (b - q) * f)) / (2 * p^3) AS r FROM p),
+l AS (SELECT *, q + 2 * p * cos(acos(greatest(-1, least(1, r))) / 3) AS l FROM r),
+v AS (SELECT label, sx, sy, sz, unnest([[d * e - f * (b - l), f * d - (a - l) * e, (a - l) * (b - l) - d * d], [d * (c - l) - f * e, f * f - (a - l) * (c - l), (a - l) * e - d * f], [(b - l) * (c - l) - e * e, e * f - d * (c - l), d * e - (b - l) * f]]) AS v FROM l),
+w AS (SELECT label, v, sqrt(v[1]^2 + v[2]^2 + v[3]^2) AS n, CASE WHEN v[1] * sx + v[2] * sy + v[3] * sz < 0 THEN -1 ELSE 1 END AS side FROM v QUALIFY row_number() OVER (PARTITION BY label ORDER BY v[1]^2 + v[2]^2 + v[3]^2 DESC) = 1)"""
+
+
+@REGISTRY.add("e36_mean_direction", f"WITH {TOP_DIRECTION} SELECT label, " + ", ".join(f"round(v[{i + 1}] / n * side, 6) AS u{i}" for i in range(3)) + " FROM w")
 def e36(spark, sf):
     e = table(spark, sf, "embeddings").select("label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"v{i}") for i in range(3)])
     m = S.mean_unit_vector(e, by=["label"], vector=["v0", "v1", "v2"])

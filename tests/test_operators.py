@@ -122,19 +122,120 @@ def test_scale_estimates(spark):
     df = spark.createDataFrame([("m", *map(float, x), *map(float, y)) for x, y in zip(a, noisy, strict=True)], "k string, a0 double, a1 double, a2 double, b0 double, b1 double, b2 double")
     m = S.scale_by_median(df, cam=["a0", "a1", "a2"], world=["b0", "b1", "b2"], by=["k"]).first()
     assert m.scale == pytest.approx(2.5, rel=0.05) and 0.5 < m.inlier_ratio < 1
-    r = S.scale_by_ransac(df, cam=["a0", "a1", "a2"], world=["b0", "b1", "b2"], by=["k"]).first()
+    r = S.scale_by_ransac(df, cam=["a0", "a1", "a2"], world=["b0", "b1", "b2"], by=["k"], order=["a0"]).first()
     assert r.scale == pytest.approx(2.5, rel=0.05) and r.inliers >= 85
     few = S.scale_by_median(df.limit(2), cam=["a0", "a1", "a2"], world=["b0", "b1", "b2"], by=["k"]).first()
     assert (few.scale, few.confidence) == (1.0, 0.0)
 
 
+def bands_by_definition(xyz, width=0.05, most=0.5, least=300, residual=0.10, level=0.85):
+    """Windows of bins over all points, each fitted anew by singular values."""
+    y = xyz[:, 1]
+    n = max(1, math.ceil((y.max() - y.min()) / width))
+    bins = np.clip(np.digitize(y, np.linspace(y.min(), y.max(), n + 1)) - 1, 0, n - 1)
+    out, b = [], 0
+    while b < n:
+        best, size = None, 1
+        while (bins == b).any() and size <= round(most / width) and b + size <= n:
+            some = xyz[(bins >= b) & (bins < b + size)]
+            if len(some) >= least:
+                normal = np.linalg.svd(some - some.mean(axis=0))[2][-1]
+                if ((some - some.mean(axis=0)) @ normal).std() <= residual and abs(normal[1]) >= level:
+                    best = (len(some), some[:, 1].min(), some[:, 1].max(), some[:, 1].mean())
+                elif best:
+                    break
+            size += 1
+        out += [best] if best else []
+        b += size if best else 1
+    return out
+
+
 def test_planar_bands(spark):
     rng = np.random.default_rng(0)
-    floor = [("m", float(x), 0.02 * float(n), float(z)) for x, z, n in zip(rng.uniform(0, 10, 500), rng.uniform(0, 10, 500), rng.normal(size=500), strict=True)]
-    upper = [(k, x, y + 1.0, z) for k, x, y, z in floor]
-    one = S.planar_bands(spark.createDataFrame(floor, "k string, x double, y double, z double"), by=["k"]).collect()
-    two = S.planar_bands(spark.createDataFrame(floor + upper, "k string, x double, y double, z double"), by=["k"]).collect()
-    assert len(one) == 1 and len(two) == 2 and one[0].n > 450
+    for k in range(4):
+        layers = [np.c_[rng.uniform(0, 10, 600), h + 0.03 * rng.normal(size=600), rng.uniform(0, 8, 600)] for h in (0.0, 0.4, 1.3, 3.0)[: k + 1]]
+        wall = np.c_[rng.uniform(0, 0.1, 500), rng.uniform(0, 3, 500), rng.uniform(0, 8, 500)]
+        xyz = np.concatenate([*layers, wall])
+        df = spark.createDataFrame([("m", *map(float, p)) for p in xyz], "k string, x double, y double, z double").repartition(5)
+        got = S.planar_bands(df, by=["k"]).orderBy("band").collect()
+        want = bands_by_definition(xyz)
+        assert [r.n for r in got] == [w[0] for w in want] and len(want) >= 1
+        assert np.allclose([(r.low, r.high, r.height) for r in got], [w[1:] for w in want])
+    flat = spark.createDataFrame([("m", 1.0, 2.0, 3.0)] * 400, "k string, x double, y double, z double")
+    assert S.planar_bands(flat, by=["k"]).count() == 0  # no height at all
+
+
+def test_duplicate_surfaces(spark):
+    """One floor isn't flagged, the same floor twice is, and neither are bands that touch or lie beside each other."""
+    rng = np.random.default_rng(1)
+
+    def scene(name, layers):
+        points, obs = [], []
+        for height, shift in layers:
+            for _ in range(500):
+                x, z = rng.uniform(0, 5), rng.uniform(0, 5)
+                points.append((name, len(points), x + shift, height + 0.01 * rng.normal(), z))
+                obs += [(name, i, x / 5 * 600, z / 5 * 460, points[-1][1]) for i in range(6)]
+        return points, obs
+
+    scenes = {"one": [(0.0, 0)], "two": [(0.0, 0), (0.6, 0)], "near": [(0.0, 0), (0.12, 0)], "beside": [(0.0, 0), (0.6, 20.0)]}
+    points, obs = map(list, zip(*[scene(k, v) for k, v in scenes.items()], strict=True))
+    p = spark.createDataFrame([x for part in points for x in part], "m string, point long, x double, y double, z double")
+    o = spark.createDataFrame([x for part in obs for x in part], "m string, image long, u double, v double, point long")
+    bands = S.planar_bands(p, by=["m"])
+    seen = o.join(S.in_bands(p, bands, by=["m"], up="y").select("m", "point", "band"), ["m", "point"])
+    overlap = S.footprint_overlap(seen, cluster="band", image="image", u="u", v="v", width=640.0, height=480.0, by=["m"])
+    got = S.duplicate_surfaces(bands, overlap, by=["m"]).collect()
+    assert [(r.m, r.a, r.b, r.frames) for r in got] == [("two", 0, 1, 6)] and got[0].separation == pytest.approx(0.6, abs=0.01) and got[0].iou > 0.9
+
+
+def test_chained_transforms_keep_the_motion_between_segments(spark):
+    rng = np.random.default_rng(5)
+
+    def turn():
+        q, _ = np.linalg.qr(rng.normal(size=(3, 3)))
+        return q * np.sign(np.linalg.det(q))
+
+    segments = [(rng.uniform(0.5, 2), turn(), rng.normal(size=3), rng.normal(size=3), rng.normal(size=3), turn(), turn()) for _ in range(6)]
+    rows = [("m", k, s, *map(float, r.ravel()), *map(float, (*t, *first, *last))) for k, (s, r, t, first, last, _, _) in enumerate(segments)]
+    names = ", ".join([f"r{i} double" for i in range(9)] + [f"{c}{i} double" for c in "tfl" for i in range(3)])
+    got = S.chain_transforms(spark.createDataFrame(rows, f"m string, seg int, scale double, {names}"), by=["m"], order="seg", first=["f0", "f1", "f2"], last=["l0", "l1", "l2"]).orderBy("seg").collect()
+    chain = None  # pose by pose: the own fit, then the rigid motion that restores the step between boundary poses
+    for (s, r, t, first, last, r_first, r_last), g in zip(segments, got, strict=True):
+        if chain is None:
+            chain = (s, r, t)
+        else:
+            (s0, r0, t0), (last0, r_last0) = chain, before
+            pose, place = r0 @ r_last0, s0 * r0 @ last0 + t0
+            target, goal = pose @ r_last0.T @ r_first, pose @ r_last0.T @ (first - last0) + place
+            extra = target @ (r @ r_first).T
+            chain = (s, extra @ r, extra @ t + goal - extra @ (s * r @ first + t))
+        before = (last, r_last)
+        assert g.scale == pytest.approx(chain[0]) and np.allclose([g[f"r{i}"] for i in range(9)], chain[1].ravel()) and np.allclose([g[f"t{i}"] for i in range(3)], chain[2])
+
+
+def test_ransac_scale_by_definition(spark):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for k, n in (("many", 80), ("some", 5), ("two", 2), ("none", 4)):
+        cam, world = np.abs(rng.normal(size=n)) + 0.1, None
+        world = cam * np.where(rng.random(n) < 0.7, 1.7, rng.uniform(0.2, 5, n))
+        cam[0] = 0 if n > 3 else cam[0]
+        cam = cam * 0 if k == "none" else cam
+        rows += [(k, i, float(a), float(b)) for i, (a, b) in enumerate(zip(cam, world, strict=True))]
+        valid = (cam > 0) & (world > 0)
+        best = (1.0, 0)
+        if n >= 3 and valid.any():
+            ratio, draw = world[valid] / cam[valid], np.random.default_rng(42)
+            for _ in range(1000):
+                c = np.median(ratio[draw.choice(len(ratio), min(3, len(ratio)), replace=False)])
+                m = int((np.abs(ratio - c) / c < 0.05).sum())
+                best = (c, m) if m > best[1] else best
+        want[k] = (best[0], best[1], int(valid.sum()) if n >= 3 else 0)
+    df = spark.createDataFrame(rows, "k string, i int, a double, b double").repartition(4)
+    got = {r.k: (r.scale, r.inliers, r.n) for r in S.scale_by_ransac(df, cam=["a"], world=["b"], by=["k"], order=["i"]).collect()}
+    assert {k: v[1:] for k, v in got.items()} == {k: v[1:] for k, v in want.items()}
+    assert all(got[k][0] == pytest.approx(want[k][0]) for k in want)
 
 
 def test_statistics(spark):
@@ -188,12 +289,59 @@ def test_topics(spark):
     assert best == {"rgb": "/mine", "depth": "/cam/depth/image/compressed"}
 
 
-def test_selections(spark):
-    t = spark.createDataFrame([(p, i) for p, images in ((1, (1, 2, 3)), (2, (1, 2)), (3, (3,)), (4, (1,))) for i in images], "p long, i long")
-    assert {r.point for r in T.select_tracks(t, point="p", image="i", budget=1).collect()} == {1}
-    assert {r.point for r in T.select_tracks(t, point="p", image="i", budget=2).collect()} == {1, 2, 3}
-    gone = {r.image: r.redundant for r in T.prune_by_coverage(t, point="p", image="i", min_views=1).collect()}
-    assert sum(gone.values()) == 1
+def test_track_selection_by_definition(spark):
+    rng = np.random.default_rng(3)
+    for budget, most in ((0, None), (1, None), (2, 7), (5, None)):
+        tracks = {p: sorted(map(int, rng.choice(8, rng.integers(1, 6)))) for p in range(30)}
+        counts, left, want = dict.fromkeys({i for x in tracks.values() for i in x}, 0), None, []
+        left = len(counts)
+        for _, p in sorted(((len(x), p) for p, x in tracks.items()), reverse=True):
+            if most is not None and len(want) >= most:
+                break
+            if any(counts[i] <= budget for i in tracks[p]):
+                for i in tracks[p]:
+                    left -= counts[i] == budget
+                    counts[i] += 1
+                want.append(p)
+                if left == 0:
+                    break
+        df = spark.createDataFrame([("m", p, i) for p, x in tracks.items() for i in x], "m string, p long, i long")
+        assert sorted(r.point for r in T.select_tracks(df, point="p", image="i", budget=budget, max_tracks=most, by=["m"]).collect()) == sorted(want)
+
+
+def test_redundant_points_by_definition(spark):
+    """Each time the point of the largest gain, all gains taken anew."""
+    rng = np.random.default_rng(4)
+    for least in (0.0, 0.2, 0.6):
+        seen = {p: [(int(i), float(x), float(y)) for i, x, y in zip(rng.choice(4, 3), rng.uniform(-1, 11, 3), rng.uniform(0, 5, 3), strict=True)] for p in range(25)}
+        tile = lambda o: (o[0], min(max(int(8 * o[1] / 10), 0), 7), min(max(int(8 * o[2] / 5), 0), 7))
+        held, left = {}, set(seen)
+        while left:
+            gain, p = max((sum(1 / math.sqrt(1 + held.get(tile(o), 0)) - 1 / math.sqrt(2 + held.get(tile(o), 0)) for o in sorted(seen[q], key=tile)), q) for q in left)
+            if gain <= least:
+                break
+            left.remove(p)
+            for o in seen[p]:
+                held[tile(o)] = held.get(tile(o), 0) + 1
+        df = spark.createDataFrame([("m", p, *o) for p, x in seen.items() for o in x], "m string, p long, i long, x double, y double")
+        got = T.redundant_points(df, point="p", image="i", x="x", y="y", width=10.0, height=5.0, min_gain=least, by=["m"]).collect()
+        assert {r.point for r in got} == left
+
+
+def test_indexed_neighbours(spark):
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(30, 16)) * 3
+    x = middle[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    asks = df.where("id % 100 = 0")
+    exact = {(r.query, r.neighbor) for r in P.knn(asks, df, key="id", vector="v", k=10).collect()}
+    d = ((x[::100, None] - x[None]) ** 2).sum(axis=2)
+    assert exact == {(100 * i, int(j)) for i, row in enumerate(d) for j in np.argsort(row)[1:11]}
+    found = {(r.query, r.neighbor) for r in P.indexed_knn(asks, df, key="id", vector="v", k=10).collect()}
+    assert len(found & exact) >= 0.9 * len(exact) and len(found) == len(exact)
+    centres = P.train_cells(df, key="id", vector="v", cells=7)
+    assert {(r.query, r.neighbor) for r in P.indexed_knn(asks, df, key="id", vector="v", k=10, centres=centres, probes=7).collect()} == exact
+    assert P.indexed_knn(asks.limit(0), df.limit(0), key="id", vector="v", k=3).count() == 0
 
 
 def test_dense_ids(spark):
