@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import give_back, map_in_pandas, ship_package, table
 
 #: Bounds of the labelled rows that are learned, per language: documents, taken whole, and their code points.
-SAMPLE_DOCS, SAMPLE_CHARS = 96, 40_000
+SAMPLE_DOCS, SAMPLE_CHARS = 96, 20_000
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -105,7 +105,7 @@ class Identifier:
         return self.languages[best[1]], 1.0 if second[0] == math.inf else second[0] / (best[0] + second[0])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def identifier_of(learned: tuple[tuple[str, str], ...]) -> Identifier:
     found = Identifier(learned)
     gc.freeze()  # its many states are never garbage
