@@ -70,26 +70,28 @@ def transitive(pairs: DataFrame, rounds: int = 1) -> DataFrame:
     return known.join(first, ["id1", "id2"], "left_anti")
 
 
-def within_radius(a: DataFrame, b: DataFrame, *, xyz: Sequence[str], radius: float, id_a: str, id_b: str, by: Sequence[str] = ()) -> DataFrame:
-    """Pairs (by, id_a, id_b, d2) at most radius apart, by an equi-join on grid cells of the radius."""
+def within_radius(a: DataFrame, b: DataFrame, *, xyz: Sequence[str], radius: float, id_a: str, id_b: str, by: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
+    """Pairs (by, id_a, id_b, d2) at most radius apart, by an equi-join on grid cells of the radius; columns to carry come as c_a and c_b."""
     n = len(xyz)
     shifts = [[]]
     for _ in range(n):
         shifts = [[*s, d] for s in shifts for d in (-1, 0, 1)]
     cell = [F.floor(F.col(c) / radius) for c in xyz]
     moves = F.explode(F.array(*[F.struct(*[(cell[i] + d).alias(f"c{i}") for i, d in enumerate(s)]) for s in shifts])).alias("__c")
-    left = a.select(*by, F.col(id_a).alias("id_a"), *[F.col(c).alias(f"__a{i}") for i, c in enumerate(xyz)], moves).select("*", *[F.col(f"__c.c{i}").alias(f"__k{i}") for i in range(n)])
-    right = b.select(*by, F.col(id_b).alias("id_b"), *[F.col(c).alias(f"__b{i}") for i, c in enumerate(xyz)], *[c.alias(f"__k{i}") for i, c in enumerate(cell)])
+    left = a.select(*by, F.col(id_a).alias("id_a"), *[F.col(c).alias(f"{c}_a") for c in carry], *[F.col(c).alias(f"__a{i}") for i, c in enumerate(xyz)], moves).select("*", *[F.col(f"__c.c{i}").alias(f"__k{i}") for i in range(n)])
+    right = b.select(*by, F.col(id_b).alias("id_b"), *[F.col(c).alias(f"{c}_b") for c in carry], *[F.col(c).alias(f"__b{i}") for i, c in enumerate(xyz)], *[c.alias(f"__k{i}") for i, c in enumerate(cell)])
     d2 = sum(((F.col(f"__a{i}") - F.col(f"__b{i}")) * (F.col(f"__a{i}") - F.col(f"__b{i}")) for i in range(n)), F.lit(0.0))
-    return left.join(right, [*by, *[f"__k{i}" for i in range(n)]]).withColumn("d2", d2).where(F.col("d2") <= radius * radius).select(*by, "id_a", "id_b", "d2")
+    return left.join(right, [*by, *[f"__k{i}" for i in range(n)]]).withColumn("d2", d2).where(F.col("d2") <= radius * radius).select(*by, "id_a", "id_b", "d2", *[f"{c}_{side}" for c in carry for side in "ab"])
 
 
 def revisits(poses: DataFrame, *, by: Sequence[str], key: str, ts: str, xyz: Sequence[str], radius: float, min_gap: float) -> DataFrame:
     """Pairs of poses of a trajectory within radius whose times differ by min_gap seconds or more."""
-    pairs = within_radius(poses, poses, xyz=xyz, radius=radius, id_a=key, id_b=key, by=by).where("id_a < id_b")
-    t = poses.select(*by, F.col(key), F.col(ts).alias("__t"))
-    timed = pairs.join(t.withColumnRenamed(key, "id_a").withColumnRenamed("__t", "ta"), [*by, "id_a"]).join(t.withColumnRenamed(key, "id_b").withColumnRenamed("__t", "tb"), [*by, "id_b"])
-    return timed.where(F.abs(F.col("tb") - F.col("ta")) / 1e9 >= min_gap).select(*by, "id_a", "id_b", F.sqrt("d2").alias("distance"))
+    pairs = within_radius(poses, poses, xyz=xyz, radius=radius, id_a=key, id_b=key, by=by, carry=[ts]).where("id_a < id_b")
+    return pairs.where(F.abs(F.col(f"{ts}_b") - F.col(f"{ts}_a")) / 1e9 >= min_gap).select(*by, "id_a", "id_b", F.sqrt("d2").alias("distance"))
+
+
+#: Rows of the searched table that one block holds.
+KNN_BLOCK = 4096
 
 
 def _nearest(pdf: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
@@ -115,10 +117,6 @@ def _nearest(pdf: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame({"query": [], "neighbor": [], "d2": []}).astype({"query": "int64", "neighbor": "int64", "d2": "float64"})
 
 
-#: Rows of the searched table that one block holds.
-KNN_BLOCK = 4096
-
-
 def knn(queries: DataFrame, rows: DataFrame, *, key: str, vector: str, k: int, max_distance: float | None = None, min_neighbors: int = 0, exclude_self: bool = True) -> DataFrame:
     """The k nearest rows (L2) of each query: (query, neighbor, d2, rank); ties to the smaller key.
 
