@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -113,16 +113,14 @@ def scale_diagnostics(frames: DataFrame, *, by: Sequence[str], scale: str, n: st
 def trimmed_box(points: DataFrame, *, by: Sequence[str], xyz: Sequence[str], low: float, high: float) -> DataFrame:
     """Per axis the order statistics at ranks floor(low * (n - 1)) and ceil(high * (n - 1)), and the mean between them.
 
-    Sorted values per group and axis come from an aggregate of the group's column, never from
-    a join; groups here are models, each of a bounded number of points.
+    Axes are rows of their own, so that each is sorted by itself, on disk where it is large.
     """
-    sorted_ = points.groupBy(*by).agg(F.count("*").alias("n"), *[F.array_sort(F.collect_list(c)).alias(f"__{c}") for c in xyz])
-    first, last = F.floor(F.lit(low) * (F.col("n") - 1)).cast("int"), F.ceil(F.lit(high) * (F.col("n") - 1)).cast("int")
-    out = []
-    for c in xyz:
-        part = F.slice(f"__{c}", first + 1, last - first + 1)
-        out += [F.get(f"__{c}", first).alias(f"min_{c}"), F.get(f"__{c}", last).alias(f"max_{c}"), (F.aggregate(part, F.lit(0.0), lambda s, v: s + v) / (last - first + 1)).alias(f"mean_{c}")]
-    return sorted_.select(*by, "n", *out)
+    long = points.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("v")) for c in xyz])).alias("__x")).select(*by, "__x.axis", "__x.v").where("v is not null")
+    w = Window.partitionBy(*by, "axis")
+    placed = long.withColumn("n", F.count("*").over(w)).withColumn("k", F.row_number().over(w.orderBy("v")) - 1)
+    inside = placed.where(F.col("k").between(F.floor(F.lit(low) * (F.col("n") - 1)), F.ceil(F.lit(high) * (F.col("n") - 1))))
+    kinds = {"min": F.min, "max": F.max, "mean": F.avg}
+    return inside.groupBy(*by).agg(F.max("n").alias("n"), *[f(F.when(F.col("axis") == c, F.col("v"))).alias(f"{name}_{c}") for c in xyz for name, f in kinds.items()])
 
 
 def error_summary(rows: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
