@@ -370,3 +370,32 @@ def duplicate_surfaces(bands: DataFrame, overlap: DataFrame, *, by: Sequence[str
     pairs = pairs.withColumn("separation", F.abs(F.col("height_a") - F.col("height_b"))).withColumn("gap", F.greatest("low_a", "low_b") - F.least("high_a", "high_b"))
     pairs = pairs.withColumn("iou", box_iou([F.col(f"{c}_a") for c in box], [F.col(f"{c}_b") for c in box]))
     return pairs.where(F.col("separation").between(min_separation, max_separation) & (F.col("gap") >= min_gap) & (F.col("iou") >= min_iou)).select(*by, "a", "b", "separation", "gap", "iou", "frames", "overlap")
+
+
+def align_models(source: DataFrame, target: DataFrame, *, key: str, xyz: Sequence[str]) -> DataFrame:
+    """(n, scale, r0..r8, t0..t2): the similarity that takes one model's places to those of another, by what both have under one key (an image's name)."""
+    a, b = [f"__from{i}" for i in range(3)], [f"__to{i}" for i in range(3)]
+    pairs = source.select(key, *[F.col(c).alias(n) for c, n in zip(xyz, a, strict=True)]).join(target.select(key, *[F.col(c).alias(n) for c, n in zip(xyz, b, strict=True)]), key)
+    return similarity_fit(pairs, source=a, target=b)
+
+
+def transform_model(rows: DataFrame, fit: DataFrame, *, xyz: Sequence[str]) -> DataFrame:
+    """rows moved by one similarity (a single row)."""
+    joined = rows.crossJoin(F.broadcast(fit.drop("n")))  # one row
+    return joined.withColumns(dict(zip(xyz, moved(xyz), strict=True))).drop("scale", *[f"r{i}" for i in range(9)], *[f"t{i}" for i in range(3)])
+
+
+def merge_models(first: DataFrame, second: DataFrame, *, key: str, xyz: Sequence[str]) -> DataFrame:
+    """Rows of the first model, and those of the second under keys that the first lacks, moved into the first one's frame; with merged_from, 1 or 2."""
+    moved_rows = transform_model(second.join(first.select(key), key, "left_anti"), align_models(second, first, key=key, xyz=xyz), xyz=xyz)
+    return first.withColumn("merged_from", F.lit(1)).unionByName(moved_rows.withColumn("merged_from", F.lit(2)))
+
+
+def orient_model(rows: DataFrame, *, xyz: Sequence[str], up: Sequence[float]) -> DataFrame:
+    """rows turned so that the direction `up` becomes the z axis, by the shortest turn; a direction straight down turns about x."""
+    u = np.asarray(up, float) / np.linalg.norm(up)
+    v, c = np.cross(u, [0.0, 0.0, 1.0]), float(u[2])
+    k = np.array([[0, -v[2], v[1]], [v[2], 0, -v[0]], [-v[1], v[0], 0]])
+    turn = np.diag([1.0, -1.0, -1.0]) if c < -1 + 1e-12 else np.eye(3) + k + k @ k / (1 + c)
+    p = [F.col(x) for x in xyz]
+    return rows.withColumns({x: sum((float(turn[i, j]) * p[j] for j in range(3)), F.lit(0.0)) for i, x in enumerate(xyz)})

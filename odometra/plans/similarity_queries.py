@@ -165,6 +165,16 @@ def i11(spark, sf):
     return S.footprint_overlap(li, cluster="k", image="i", u="u", v="v", width=51.0, height=0.11, cells=8).withColumn("overlap", r6("overlap"))
 
 
+@REGISTRY.add("l07_align_merge", "SELECT c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS merged_from, round(c_nationkey, 4) + 0.0 AS x, round(-c_acctbal / 1007, 4) + 0.0 AS y, round(c_custkey % 13, 4) + 0.0 AS z FROM customer")
+def l07(spark, sf):
+    """Two models of customers as images, a third of them in both; the second is half as large, turned a quarter about z and moved. The merged one is turned to have x upwards."""
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), (F.col("c_custkey") % 13).cast("double").alias("x"), (-F.col("c_acctbal") / 1007).alias("y"), (-F.col("c_nationkey")).cast("double").alias("z"))
+    first = c.where("c_custkey % 3 != 0").drop("c_custkey")
+    second = c.where("c_custkey % 3 != 1").select("name", (F.col("y") * -0.5 + 7).alias("x"), (F.col("x") * 0.5 - 2).alias("y"), (F.col("z") * 0.5 + 1).alias("z"))
+    merged = S.orient_model(S.merge_models(first, second, key="name", xyz=["x", "y", "z"]), xyz=["x", "y", "z"], up=[1.0, 0.0, 0.0])
+    return merged.select("name", "merged_from", *[(F.round(k, 4) + 0.0).alias(k) for k in "xyz"])
+
+
 @REGISTRY.add("l08_normalised_extent", "WITH g AS (SELECT c_nationkey, min(c_acctbal) AS a, max(c_acctbal) AS b FROM customer GROUP BY 1) SELECT c_custkey, round((c_acctbal - (a + b) / 2) / (b - a) * 10, 6) AS x FROM customer JOIN g USING (c_nationkey)")
 def l08(spark, sf):
     c = table(spark, sf, "customer")
