@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import camera_to_world, frame_number, rotation_of
+from ..operators.pairs import dense_ids
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -103,3 +104,24 @@ def trajectory(images: DataFrame) -> DataFrame:
     posed = images.select("name", q.alias("qvec_w2c"), t.alias("tvec_w2c")).withColumn("__R", rotation_of("qvec_w2c"))
     r, c = camera_to_world("__R", "tvec_w2c")
     return posed.select(frame_number("name").alias("frame_id"), F.col("name").alias("image_name"), r.alias("R"), c.alias("t"), "qvec_w2c", "tvec_w2c").orderBy("image_name")
+
+
+def read_ply(spark: SparkSession, path: str) -> DataFrame:
+    """Points of an ASCII PLY file as points3D: ids from 1 in the order of the file, colours 0 and error -1 where it has none.
+
+    Only the header's lines reach the driver; vertex lines are split by Spark. Files with
+    other elements than vertices, and binary ones, are refused.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.trim("value").alias("line")).where("line != ''")
+    heads = F.col("line").rlike("^(ply|format|comment|obj_info|element|property|end_header)( |$)")
+    header = [r["line"].split() for r in lines.where(heads & ~F.col("line").rlike("^(comment|obj_info)")).orderBy("block", "at").collect()]
+    if ["format", "ascii", "1.0"] not in header:
+        raise ValueError(f"{path} isn't an ASCII PLY file")
+    if any(h[0] == "element" and h[1] != "vertex" and h[2] != "0" for h in header):
+        raise ValueError(f"{path} has elements other than vertices")
+    first = next(i for i, h in enumerate(header) if h[:2] == ["element", "vertex"])
+    names = [h[-1] for h in header[first + 1 : next((i for i in range(first + 1, len(header)) if header[i][0] != "property"), len(header))]]
+    parts = F.split("line", r"\s+")
+    value = lambda name, kind, default: _num(parts, names.index(name), kind) if name in names else F.lit(default).cast(kind)
+    points = dense_ids(lines.where(~heads), ["block", "at"], out="point3d_id")
+    return points.select("point3d_id", *[value(c, "double", None).alias(c) for c in "xyz"], *[value(name, "int", 0).alias(c) for c, name in zip("rgb", ("red", "green", "blue"), strict=True)], F.lit(-1.0).alias("error"))

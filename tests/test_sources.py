@@ -1,5 +1,6 @@
 import sqlite3
 
+import pytest
 from pyspark.sql import functions as F
 
 from odometra.functions.scalar import PAIR_BASE
@@ -23,6 +24,19 @@ def test_text_model_round_trip(spark, tmp_path):
     assert text_model.registered_images(spark, str(tmp_path / "images.txt")) == 2
 
 
+def test_ply_points(spark, tmp_path):
+    head = "ply\nformat ascii 1.0\ncomment made by hand\nelement vertex {}\nproperty float x\nproperty float y\nproperty float z\n{}end_header\n"
+    (tmp_path / "a.ply").write_text(head.format(300, "property float nx\nproperty uchar red\nproperty uchar green\nproperty uchar blue\n") + "".join(f"{k} {k + 0.5} -{k} 0 {k % 256} 2 3\n" for k in range(300)))
+    got = text_model.read_ply(spark, str(tmp_path / "a.ply")).orderBy("point3d_id").collect()
+    assert [tuple(r) for r in got] == [(k + 1, float(k), k + 0.5, float(-k), k % 256, 2, 3, -1.0) for k in range(300)]
+    (tmp_path / "b.ply").write_text(head.format(1, "") + "1 2 3\n")
+    assert [tuple(r) for r in text_model.read_ply(spark, str(tmp_path / "b.ply")).collect()] == [(1, 1.0, 2.0, 3.0, 0, 0, 0, -1.0)]
+    for bad in (head.replace("ascii", "binary_little_endian").format(1, ""), head.format(1, "element face 1\nproperty list uchar int i\n")):
+        (tmp_path / "c.ply").write_text(bad + "1 2 3\n")
+        with pytest.raises(ValueError, match="PLY|elements"):
+            text_model.read_ply(spark, str(tmp_path / "c.ply"))
+
+
 def test_match_database(spark, tmp_path):
     path = str(tmp_path / "database.db")
     with sqlite3.connect(path) as db:
