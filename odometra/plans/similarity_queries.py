@@ -165,7 +165,7 @@ def i11(spark, sf):
     return S.footprint_overlap(li, cluster="k", image="i", u="u", v="v", width=51.0, height=0.11, cells=8).withColumn("overlap", r6("overlap"))
 
 
-@REGISTRY.add("l07_align_merge", "SELECT c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS merged_from, round(c_nationkey, 4) + 0.0 AS x, round(-c_acctbal / 1007, 4) + 0.0 AS y, round(c_custkey % 13, 4) + 0.0 AS z FROM customer")
+@REGISTRY.add("l07_align_merge", "SELECT c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS merged_from, c_nationkey::DOUBLE AS x, round(-c_acctbal / 1007, 4) + 0.0 AS y, (c_custkey % 13)::DOUBLE AS z FROM customer")
 def l07(spark, sf):
     """Two models of customers as images, a third of them in both; the second is half as large, turned a quarter about z and moved. The merged one is turned to have x upwards."""
     c = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), (F.col("c_custkey") % 13).cast("double").alias("x"), (-F.col("c_acctbal") / 1007).alias("y"), (-F.col("c_nationkey")).cast("double").alias("z"))
