@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, exactdup, html_text, langid, linedup, mixing, neardup, pii, tokens
+from . import chat, decontam, exactdup, html_text, langid, linedup, merkle, mixing, neardup, pii, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exactdup.op8_exact_dedup,
     "op9_line_dedup": linedup.op9_line_dedup,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op7_mix_sources": mixing.ORACLE,
     "op8_exact_dedup": exactdup.ORACLE,
     "op10_chat_format": chat.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
