@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, exactdup, hardneg, html_text, langid, linedup, merkle, mixing, neardup, pii, tokens
+from . import chat, decontam, exactdup, hardneg, html_text, langid, linedup, merkle, mixing, neardup, pii, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": linedup.op9_line_dedup,
     "op10_chat_format": chat.op10_chat_format,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_quality_classifier": quality.op12_quality_classifier,
     "op13_hard_negatives": hardneg.op13_hard_negatives,
 }
 
