@@ -42,7 +42,7 @@ COMMON = 1e-3
 HIDDEN, EPOCHS, STEP_ROWS, RATE, DECAY, HELD = 32, 40, 256, 2e-3, 1e-4, 0.2
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-FEATURES = 3 * WIDTH + 5
+FEATURES = 3 * WIDTH + 7
 
 
 class _Buckets(dict):
@@ -151,11 +151,12 @@ class Vectors:
         self.vectors = (mean / np.maximum(size, 1e-9)).astype(np.float32)
 
     def pooled(self, text: str | None, buckets: dict) -> np.ndarray:
-        """Features of a whole text: mean, largest and smallest component over segments, size, repetition."""
+        """Features of a whole text: mean, largest and smallest component over segments, size, repetition in all and close by."""
         out = np.zeros(FEATURES, np.float32)
         total, weight, n = np.zeros(WIDTH), 0.0, 0
         repeated, most, sum_ = np.zeros(WIDTH), 0.0, 0.0
         high, low, segments = np.full(WIDTH, -np.inf), np.full(WIDTH, np.inf), 0
+        alike, most_alike = 0, 0.0
         for ids in tokens(text, buckets):
             if not len(ids):
                 continue
@@ -167,6 +168,11 @@ class Vectors:
             sizes = np.diff(np.r_[starts, len(ids)])
             means = sums / ws[:, None]
             again = (signs * signs).sum(axis=1) / (WIDTH * sizes * sizes)
+            near = np.zeros(len(ids), bool)
+            for k in range(1, REACH + 1):
+                near[k:] |= ids[k:] == ids[:-k]
+            near_sums = np.add.reduceat(near, starts, dtype=np.int64)
+            alike, most_alike = alike + int(near_sums.sum()), max(most_alike, float((near_sums / np.maximum(sizes, SEGMENT // 4)).max()))
             if len(sizes) > 1 and sizes[-1] < SEGMENT // 2:  # a short rest is no segment of its own
                 means, again = means[:-1], again[:-1]
             high, low = np.maximum(high, means.max(axis=0)), np.minimum(low, means.min(axis=0))
@@ -174,7 +180,7 @@ class Vectors:
             total, weight, repeated, n = total + sums.sum(axis=0), weight + ws.sum(), repeated + signs.sum(axis=0), n + len(ids)
         if n:
             out[:WIDTH], out[WIDTH : 2 * WIDTH], out[2 * WIDTH : 3 * WIDTH] = total / weight, high, low
-            out[3 * WIDTH :] = np.log1p(n), (repeated @ repeated) / (WIDTH * n * n), most, sum_ / segments, weight / n
+            out[3 * WIDTH :] = np.log1p(n), (repeated @ repeated) / (WIDTH * n * n), most, sum_ / segments, weight / n, alike / n, most_alike
         return out
 
 
