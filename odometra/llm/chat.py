@@ -59,31 +59,40 @@ def _turns(*pairs: tuple[str, Column]) -> Column:
     return F.filter(F.array(*[F.struct(F.lit(r).alias("role"), t.alias("text")) for r, t in pairs]), lambda t: t["text"].isNotNull())
 
 
-def _get(json: Column, path: str) -> Column:
-    return F.get_json_object(json, f"$.{path}")
+def _get(record: Column, path: str, kind: str = "string") -> Column:
+    """What a variant has at a path, as a type; null where it is something else."""
+    return F.try_variant_get(record, f"$.{path}", kind)
 
 
-def _list(json: Column, path: str, role: str, text: str) -> Column:
-    got = F.from_json(_get(json, path), f"array<struct<`{role}` string, `{text}` string>>")
-    return F.transform(got, lambda t: F.struct(F.coalesce(t[role], F.lit("")).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")))
+def _elements(value: Column) -> Column:
+    """Elements of a variant that is a list; null for all others, strings that look like lists included."""
+    return F.when(F.schema_of_variant(value).startswith("ARRAY<"), F.try_variant_get(value, "$", "array<variant>"))
 
 
-def _parts(json: Column) -> Column:
+def _list(record: Column, path: str, role: str, text: str, read=None) -> Column:
+    said = read or (lambda content: F.try_variant_get(content, "$", "string"))
+    return F.transform(
+        _elements(_get(record, path, "variant")),
+        lambda t: F.struct(F.coalesce(_get(t, role), F.lit("")).alias("role"), F.coalesce(said(_get(t, text, "variant")), F.lit("")).alias("text")),
+    )
+
+
+def _parts(record: Column) -> Column:
     """Messages whose content is a string or a list of parts; texts of the parts are put one after the other."""
 
     def joined(content: Column) -> Column:
-        parts = F.from_json(content, "array<struct<text string>>")
-        return F.when(content.startswith("["), F.coalesce(F.array_join(F.transform(parts, lambda p: p["text"]), ""), content)).otherwise(content)
+        parts = F.transform(_elements(content), lambda p: _get(p, "text"))
+        return F.coalesce(F.array_join(parts, ""), F.try_variant_get(content, "$", "string"))
 
-    return F.transform(_list(json, "messages", "role", "content"), lambda t: F.struct(t["role"].alias("role"), joined(t["text"]).alias("text")))
+    return _list(record, "messages", "role", "content", joined)
 
 
-def _people(json: Column) -> Column:
+def _people(record: Column) -> Column:
     named = F.create_map(F.lit("human"), F.lit("user"), F.lit("gpt"), F.lit("assistant"))
-    return F.transform(_list(json, "conversations", "from", "value"), lambda t: F.struct(F.coalesce(named[t["role"]], t["role"]).alias("role"), t["text"].alias("text")))
+    return F.transform(_list(record, "conversations", "from", "value"), lambda t: F.struct(F.coalesce(named[t["role"]], t["role"]).alias("role"), t["text"].alias("text")))
 
 
-#: Layout by its field paths: how a JSON record of that layout becomes turns.
+#: Layout by its field paths: how a record of that layout (a variant) becomes turns.
 LAYOUTS: dict[tuple[str, ...], object] = {
     ("prompt", "completion"): lambda j: _turns(("user", _get(j, "prompt")), ("assistant", _get(j, "completion"))),
     ("prompt", "response"): lambda j: _turns(("user", _get(j, "prompt")), ("assistant", _get(j, "response"))),
@@ -102,23 +111,30 @@ KNOWN = tuple(sorted({p for paths in LAYOUTS for p in paths}))
 DEPTH = 3
 
 
-def json_paths(json: Column) -> Column:
-    """Field paths of a JSON record: of the records in a list, the union of all of them, as key[].path."""
+#: Code points of a string that the JSON reader takes; its own limit is 20 million.
+LONGEST_STRING = 2**31 - 1
+
+
+def record_of(json: Column) -> Column:
+    """JSON as a variant, which keeps strings and lists apart; null where it is broken."""
+    return F.from_json(json, "variant", {"maxStringLen": str(LONGEST_STRING)})
 
-    def below(record: Column, at: Column | None, depth: int) -> Column:
-        fields = F.from_json(record, "map<string,string>")
 
+def record_paths(record: Column) -> Column:
+    """Field paths of a variant: of the records in a list, the union of all of them, as key[].path."""
+
+    def below(value: Column, at: Column | None, depth: int) -> Column:
         def of(entry: Column) -> Column:
             path = entry["key"] if at is None else F.concat(at, entry["key"])
-            inside = F.filter(F.from_json(entry["value"], "array<string>"), lambda x: x.startswith("{"))
-            listed = F.when(entry["value"].startswith("["), inside)
             if depth == 1:
                 return F.array(path)
+            listed = F.filter(_elements(entry["value"]), lambda x: F.schema_of_variant(x).startswith("OBJECT<"))
             return F.when(F.size(listed) > 0, F.array_distinct(F.flatten(F.transform(listed, lambda x: below(x, F.concat(path, F.lit("[].")), depth - 1))))).otherwise(F.array(path))
 
+        fields = F.try_variant_get(value, "$", "map<string,variant>")
         return F.coalesce(F.flatten(F.transform(F.map_entries(fields), of)), F.array().cast("array<string>"))
 
-    return F.array_distinct(below(json, None, DEPTH))
+    return F.array_distinct(below(record, None, DEPTH))
 
 
 def canonical_turns(records: DataFrame, *, id_col: str, json_col: str) -> DataFrame:
@@ -126,15 +142,16 @@ def canonical_turns(records: DataFrame, *, id_col: str, json_col: str) -> DataFr
 
     The hash of a record's nested field paths, as far as any layout knows them, selects its
     mapping. A record without such fields, or with a mixture that no layout has, null and
-    broken JSON give no turns and layout null; they are never dropped.
+    broken JSON give no turns and layout null; they are never dropped. A string is a text
+    whatever it looks like: only lists in the JSON itself are lists.
     """
-    out = records.select(F.col(id_col).alias("conv_id"), F.col(json_col).cast("string").alias("json"))
+    out = records.select(F.col(id_col).alias("conv_id"), record_of(F.col(json_col).cast("string")).alias("record"))
     known = F.array(*[F.lit(p) for p in KNOWN])
-    out = out.withColumn("print", fingerprint(F.array_intersect(json_paths(F.col("json")), known)))
+    out = out.withColumn("print", fingerprint(F.array_intersect(record_paths(F.col("record")), known)))
     turns, layout = F.lit(None).cast(NO_TURNS), F.lit(None).cast("string")
     for paths, mapping in LAYOUTS.items():
         same = F.col("print") == paths_hash(paths)
-        turns = F.when(same, mapping(F.col("json"))).otherwise(turns)
+        turns = F.when(same, mapping(F.col("record"))).otherwise(turns)
         layout = F.when(same, F.lit("+".join(paths))).otherwise(layout)
     return out.select("conv_id", layout.alias("layout"), F.coalesce(turns, F.array().cast(NO_TURNS)).alias("turns"))
 
@@ -156,26 +173,20 @@ def row_layout(rows: DataFrame) -> tuple[str, str, str, str]:
     raise ValueError(f"no layout has the fields {sorted(have)}")
 
 
-def row_records(rows: DataFrame) -> DataFrame:
-    """(conv_id, record): a table with a row a turn as a JSON record of messages per conversation.
+def row_turns(rows: DataFrame) -> DataFrame:
+    """(conv_id, turns) of a table with a row a turn; its fields are typed, so no text is read as anything else.
 
-    Columns beyond a layout's own are ignored. Turns are ordered by turn (null first), then
-    role and text; null role and text count as empty; repeated rows are turns of their own.
-    A conversation is one output text, so its turns meet in one row; conversations are
-    spread over tasks by their id.
+    The hash of the table's field paths selects the mapping; columns beyond a layout's own are
+    ignored. Turns are ordered by turn (null first), then role and text; null role and text
+    count as empty; repeated rows are turns of their own. A conversation is one output text,
+    so its turns meet in one row; conversations are spread over tasks by their id.
     """
     names = row_layout(rows)
     conv, turn, role, text = (F.col(f"`{n}`") for n in names)
     one = F.struct(turn.alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     got = rows.groupBy(conv.alias("conv_id")).agg(F.array_sort(F.collect_list(one)).alias("t"))
     nulls_first = F.concat(F.filter("t", lambda t: t["turn"].isNull()), F.filter("t", lambda t: t["turn"].isNotNull()))
-    messages = F.transform(nulls_first, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
-    return got.select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
-
-
-def row_turns(rows: DataFrame) -> DataFrame:
-    """(conv_id, turns) of a table with a row a turn, through the mapping that its records' fingerprint selects."""
-    return canonical_turns(row_records(rows), id_col="conv_id", json_col="record").select("conv_id", "turns")
+    return got.select("conv_id", F.transform(nulls_first, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
 def render(turns: DataFrame, *, train_on: str = "assistant") -> DataFrame:

@@ -558,11 +558,35 @@ def test_the_fingerprint_selects_the_mapping(spark):
     assert [(t.role, t.text) for t in chat.row_turns(rows).first().turns] == [("user", "u"), ("assistant", "a")]
     with pytest.raises(ValueError, match="no layout"):
         chat.row_turns(rows.drop("speaker"))
-    plan = chat.row_turns(rows)._jdf.queryExecution().optimizedPlan().toString()
-    assert "sha2" in plan and chat.paths_hash(("messages[].role", "messages[].content")) in plan
+    assert chat.row_layout(rows) == ("conversation_id", "position", "speaker", "utterance")
     assert [r.layout for r in chat.canonical_turns(spark.createDataFrame([(1, '{"a": 1}')], "i long, j string"), id_col="i", json_col="j").collect()] == [None]
 
 
+LIKE_JSON = ['[{"text": "hello"}]', '[{"text": "a"}, {"text": "b"}]', '[{"foo": "x"}]', "[1, [2, [3]]]", '{"messages": [{"role": "user", "content": "x"}]}', "[]", "[", '"', "null", " [ "]
+
+
+def test_texts_that_look_like_json_stay(spark):
+    df = spark.createDataFrame([(k, 0, "user", t) for k, t in enumerate(LIKE_JSON)], "conv_id long, turn long, role string, text string")
+    back = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat.parse(chat.render(chat.row_turns(df))).collect()}
+    assert back == {k: [("user", t)] for k, t in enumerate(LIKE_JSON)}
+    records = [json.dumps({"messages": [{"role": "user", "content": t}]}) for t in LIKE_JSON] + [json.dumps({"prompt": t, "response": t}) for t in LIKE_JSON]
+    got = {r.conv_id: [t.text for t in r.turns] for r in chat.canonical_turns(spark.createDataFrame(list(enumerate(records)), "id long, j string"), id_col="id", json_col="j").collect()}
+    n = len(LIKE_JSON)
+    assert got == {k: [t] for k, t in enumerate(LIKE_JSON)} | {n + k: [t, t] for k, t in enumerate(LIKE_JSON)}
+
+
+def test_turns_of_over_twenty_million_characters(spark):
+    """Beyond the JSON reader's own limit, in a table and as JSON."""
+    n = 21_000_000
+    one = spark.range(1).select(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"), F.repeat(F.lit("[{'é|"), n // 5).alias("text"))
+    sha = hashlib.sha256(("[{'é|" * (n // 5)).encode()).hexdigest()
+    row = chat.parse(chat.render(chat.row_turns(one))).select(F.size("turns").alias("n"), F.length("loss_text").alias("chars"), chat.sha(F.col("loss_text")).alias("sha")).first()
+    assert (row.n, row.chars, row.sha) == (1, n, sha)
+    record = one.select("conv_id", F.to_json(F.struct(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages"))).alias("j"))
+    got = chat.canonical_turns(record, id_col="conv_id", json_col="j").select("layout", chat.sha(F.get("turns", F.lit(0))["text"]).alias("sha")).first()
+    assert got.layout == "messages[].role+messages[].content" and got.sha == sha
+
+
 # -- pipeline --------------------------------------------------------------------------
 
 
