@@ -6,7 +6,7 @@ in words ("name at host dot org"). Values of 16 or more letters and digits behin
 a credential (token = "...") are seeds of a further kind, secret.
 Bootstrapping: what surrounds an identifier are its contexts: the word before; the two words
 before; the words on both sides; the name before = or :; the label that begins the line; the
-characters that touch it; and its own form (sizes of the last digit groups, or the alphabet
+characters that touch it, as far as 64; and its own form (sizes of the last digit groups, or the alphabet
 and length of a key). A lexical pattern is a context together with a class of values
 (numbers, or values with letters). Patterns and instances form a bipartite graph, scored in turns: a
 pattern is trusted by the share of its distinct instances that are of a kind, an instance by
@@ -23,7 +23,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, map_in_pandas, materialize, row_key, table
@@ -48,7 +48,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _PIECE = r"[^\x20\x09-\x0D<>\"'=\[\]{}|;,]"
-_TOKEN = re.compile(rf"{_PIECE}*[0-9@]{_PIECE}*")
+_TOKEN_END = re.compile(rf"[0-9@]{_PIECE}*")
+_APART = frozenset(" \t\n\x0b\x0c\r<>\"'=[]{}|;,")
 _SCHEME = re.compile(r"[A-Za-z]+:+(?=[^:])")
 _GROUP = r"[+(]?[0-9]{1,4}(?:[)./-]+[0-9]{1,4})*\)?"
 _GROUPS = re.compile(rf"(?<![^\x20\x09-\x0D]){_GROUP}(?:[\x20\x09]{{1,2}}{_GROUP}(?![^\x20\x09-\x0D.,;:!?]))+")
@@ -108,6 +109,17 @@ def groups(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the runs of pieces that hold a digit or @, found from the first of these outward: linear in the text."""
+    end = 0
+    for m in _TOKEN_END.finditer(text):
+        start = m.start()
+        while start > end and text[start - 1] not in _APART:
+            start -= 1
+        end = m.end()
+        yield start, end
+
+
 def shape(value: str) -> str:
     """Letters as a, digits as 9, runs shortened; other characters stay. Long ones by their hash."""
     return key(re.sub(r"9+", "9", re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", value))))
@@ -141,12 +153,16 @@ class Surroundings:
         self.starts = [s for s, _ in self.words]
         self.lines = [0, *(m.end() for m in re.finditer("\n", text))]
         self.labels: dict[int, str] = {}
+        self.said: dict[int, str] = {}
 
     def near(self, k: int, step: int) -> Iterator[str]:
         """Words from the k-th on, those that are only punctuation left out; at most four are looked at."""
         for j in range(k, k + 4 * step, step):
-            if 0 <= j < len(self.words) and (w := _word(self.text[slice(*self.words[j])])):
-                yield w
+            if 0 <= j < len(self.words):
+                if j not in self.said:  # many identifiers can stand beside one long word
+                    self.said[j] = _word(self.text[slice(*self.words[j])])
+                if self.said[j]:
+                    yield self.said[j]
 
     def name(self, start: int) -> str:
         """The name in name = value or name: value."""
@@ -186,7 +202,7 @@ class Surroundings:
             out.append(f"n:{_word(name)}")
         if (label := self.label(start)) and self.lines[bisect_right(self.lines, start) - 1] + len(label) < start:
             out.append(f"l:{label}")
-        left, right = text[self.starts[k] : start], text[end : self.words[last][1]]
+        left, right = text[max(self.starts[k], start - LONGEST) : start], text[end : min(self.words[last][1], end + LONGEST)]
         if left or right:
             out += [f"{side}:{key(re.sub('[0-9]+', '0', glue.lower()))}" for side, glue in (("gl", left), ("gr", right)) if glue.strip(_EDGE)]
         return out
@@ -197,14 +213,15 @@ def instances(text: str, base: list[list[tuple[int, int]]]) -> list[tuple]:
     out, taken = [], sorted(s for spans in base for s in spans)
     spans = [(kind, s, e, text[s:e].lower()) for kind, found in enumerate(base) for s, e in found]
     k = reach = 0
-    for m in _TOKEN.finditer(text):
-        while k < len(taken) and taken[k][0] < m.end():
+    for first, end in tokens(text):
+        while k < len(taken) and taken[k][0] < end:
             reach = max(reach, taken[k][1])
             k += 1
-        if reach > m.start():
+        if reach > first:
             continue
-        value = m[0].strip(_EDGE)
-        start = m.start() + m[0].index(value)
+        token = text[first:end]
+        value = token.strip(_EDGE)
+        start = first + token.index(value)
         if scheme := _SCHEME.match(value):  # tel:, mailto:
             start, value = start + scheme.end(), value[scheme.end() :]
         if len(value) >= SHORTEST:
@@ -284,8 +301,11 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
     new = discover(found, trust=trust, support=support, turns=turns)
     span = "array<struct<kind:int,start:long,end:long>>"
-    added = found.where("kind is null").join(new, ["value", "shape"]).groupBy(F.col("row").alias("added_row")).agg(F.collect_set(F.struct(F.col("new_kind").alias("kind"), "start", "end")).alias("added"))
-    added = added.withColumn("added", F.filter("added", lambda a: ~F.exists("added", lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & (b["end"] - b["start"] > a["end"] - a["start"]))))
+    added = found.where("kind is null").join(new, ["value", "shape"]).groupBy("row", "start", "end").agg(F.collect_set("new_kind").alias("kinds"))
+    # what holds a span begins before it, or there and ends later
+    before = Window.partitionBy("row").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    added = added.withColumn("reach", F.max("end").over(before)).where(F.col("reach").isNull() | (F.col("reach") < F.col("end")))
+    added = added.select("row", F.explode("kinds").alias("kind"), "start", "end").groupBy(F.col("row").alias("added_row")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
     joined = scanned.join(added, F.col("row") == F.col("added_row"), "left")
     seeds = F.transform(F.filter("found", lambda f: f["kind"].isNotNull()), lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")))
     joined = joined.withColumn("all", F.array_sort(F.concat(seeds, F.coalesce("added", F.array().cast(span)))))

@@ -138,6 +138,80 @@ def test_ties_and_odd_texts_of_personal_data(spark):
     assert got == {(1, 3), (2, 1), (3, 0), (4, 1), (4, 0)}
 
 
+LONG_RUNS = {
+    "Chinese": "\u5b57" * 1_000_000 + " 1.2.3.4",
+    "pieces of one word": ",".join(f"k{i}" for i in range(150_000)),
+    "names": "=".join("n" * 6 + str(i % 10) for i in range(100_000)),
+    "digits": "1" * 1_000_000,
+    "ats": "a@" * 300_000,
+    "pluses": "+1(" * 300_000,
+    "groups": "12 " * 300_000 + "x",
+    "blanks": " " * 500_000 + "at" + " " * 500_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_RUNS)
+def test_long_runs_take_linear_time(name):
+    import time
+
+    text = LONG_RUNS[name]
+    began = time.process_time()
+    pii.instances(text, pii.base_spans(text))
+    assert time.process_time() - began < 30
+
+
+def test_tokens_are_the_runs_that_hold_a_digit_or_at():
+    import random
+
+    rng, token = random.Random(1), re.compile(r"""[^\x20\x09-\x0D<>"'=\[\]{}|;,]*[0-9@][^\x20\x09-\x0D<>"'=\[\]{}|;,]*""")
+    for _ in range(3000):
+        text = "".join(rng.choice("0@ab, =|é\n<") for _ in range(rng.randrange(40)))
+        assert list(pii.tokens(text)) == [m.span() for m in token.finditer(text)], text
+
+
+def discovered(found, trust, support):
+    """The pattern graph scored turn by turn, with dictionaries."""
+    edges, best, score = {}, {}, {}
+    for kind, value, of, shape, contexts in found:
+        for c in contexts:
+            edges.setdefault((of, c), set()).add((value, shape))
+            if kind is not None:
+                best[value, shape] = min(kind, best.get((value, shape), 9))
+                score[value, shape] = 1.0
+    while True:
+        votes = {}
+        for members in edges.values():
+            for kind in {best[v] for v in members if v in best}:
+                good = [score[v] for v in members if best.get(v) == kind]
+                share = sum(good) / len(members)
+                if share >= trust and sum(s >= trust for s in good) >= support:
+                    for v in members:
+                        if v not in best:
+                            votes.setdefault(v, {}).setdefault(kind, []).append(share)
+        new = {}
+        for v, kinds in votes.items():
+            at = {k: min(0.999, 1 - math.prod(max(1 - t, 1e-6) for t in sorted(shares))) for k, shares in kinds.items()}
+            kind = max(at, key=lambda k: (round(at[k], 12), -k))
+            new[v] = (kind, at[kind])
+        if not new:
+            return {(*v, best[v]) for v in best if trust <= score[v] < 1}
+        for v, (kind, s) in new.items():
+            best[v], score[v] = kind, s
+
+
+def test_the_pattern_graph_against_brute_force(spark):
+    import random
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        values = [(f"v{i}", rng.choice("td"), "s" + str(i % 3), rng.choice([None, None, None, 0, 1, 3])) for i in range(60)]
+        found = [(kind, v, of, shape, [f"c{rng.choice([int(v[1:]) % 7, int(v[1:]) % 7, rng.randrange(12)])}" for _ in range(rng.randrange(1, 4))]) for v, of, shape, kind in values for _ in range(2)]
+        df = spark.createDataFrame(found, "kind int, value string, class string, shape string, contexts array<string>")
+        for trust, support in ((0.5, 2), (0.3, 1)):
+            got = {tuple(r) for r in pii.discover(df, trust=trust, support=support, turns=None).collect()}
+            assert got == discovered(found, trust, support)
+
+
 # -- tokens ----------------------------------------------------------------------------
 
 
