@@ -5,7 +5,8 @@ shingle of an item have similarity 0 with it, so fingerprints are taken of the w
 around shared shingles only; nothing is lost. A shingle weighs as often as it occurs, in
 items and windows alike: neither repeated nor templated items, nor the number of passes,
 change a similarity. A window's fingerprint is the sign of the sum of its shingles' bits,
-from running sums over the text (whole numbers, so the layout of a text changes nothing).
+from running sums over the text (whole numbers, so the layout of a text changes nothing;
+taken in pieces, so that long items and windows need no more memory than short ones).
 
 The multi-index cuts 448 bits into 28 blocks of 16. Of two fingerprints that differ in at
 most 55 bits some block differs in at most one, so looking up each block's value and its 16
@@ -33,7 +34,9 @@ BLOCKS = 28
 #: Bits in which two fingerprints may differ to be found for certain.
 RADIUS = 2 * BLOCKS - 1
 #: Windows whose fingerprints are taken at once.
-WINDOWS = 2048
+WINDOWS = 512
+#: Shingles whose bits are spread out at once, in windows and items of any length.
+PIECE = 4096
 #: Items that one broadcast index holds; a larger benchmark is taken in several passes.
 ITEMS_AT_ONCE = 20_000
 #: Code points of item text that one index holds.
@@ -55,8 +58,31 @@ _NEIGHBOURS = np.array([0, *(1 << b for b in range(16))], np.uint16)
 
 
 def signs(x: np.ndarray) -> np.ndarray:
-    """Bits of shingles as +1 and -1, a row of 16 * BLOCKS each."""
-    return np.unpackbits(mix(x[:, None] * _LANES).view(np.uint8), axis=1).astype(np.int8) * 2 - 1
+    """Bits of shingles as plus and minus a weight, a row of 16 * BLOCKS each.
+
+    A shingle's weight is one of 8 to 15, by its hash: with equal weights a few shingles often
+    sum to 0, all such bits fall on one side, and unrelated items get alike.
+    """
+    weight = (mix(x) >> np.uint64(61)).astype(np.int8) + np.int8(8)
+    return (np.unpackbits(mix(x[:, None] * _LANES).view(np.uint8), axis=1).astype(np.int8) * 2 - 1) * weight[:, None]
+
+
+def total(x: np.ndarray) -> np.ndarray:
+    """Sum of the shingles' bits, PIECE of them at a time."""
+    return sum((signs(x[k : k + PIECE]).sum(axis=0, dtype=np.int64) for k in range(0, len(x), PIECE)), np.zeros(16 * BLOCKS, np.int64))
+
+
+def window_sums(x: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    """Bit sums of the windows of m shingles from each start (in order); only sums between ends of windows are kept."""
+    cuts = np.unique(np.concatenate([starts, starts + m]))
+    sums = np.zeros((len(cuts), 16 * BLOCKS), np.int32)
+    for low in range(int(cuts[0]), int(cuts[-1]), PIECE):
+        high = min(low + PIECE, int(cuts[-1]))
+        first, end = np.searchsorted(cuts, [low, high], "right")
+        running = np.cumsum(signs(x[low:high]), axis=0, dtype=np.int32)
+        sums[first:end] += running[cuts[first:end] - low - 1]
+        sums[end:] += running[-1]
+    return sums[np.searchsorted(cuts, starts + m)] - sums[np.searchsorted(cuts, starts)]
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
@@ -121,7 +147,7 @@ class Index:
             self.filters[n] = seen
 
     def mark(self, item: int) -> np.ndarray:
-        return fingerprints(signs(self.items[item][2]).sum(axis=0, dtype=np.int64)[None])[0]
+        return fingerprints(total(self.items[item][2])[None])[0]
 
     def similarity(self, item: int, window: np.ndarray) -> float:
         """Jaccard of shingle bags: a shingle weighs as often as it occurs."""
@@ -153,9 +179,7 @@ class Index:
                     some = starts[first : first + WINDOWS]
                     for low, high in stretches(some, m_):
                         part = some[low:high]
-                        run = np.zeros((part[-1] + m_ - part[0] + 1, 16 * BLOCKS), np.int32)
-                        np.cumsum(signs(x[part[0] : part[-1] + m_]), axis=0, dtype=np.int32, out=run[1:])
-                        rows, items = self.blocks[n, m].near(fingerprints(run[part - part[0] + m_] - run[part - part[0]]))
+                        rows, items = self.blocks[n, m].near(fingerprints(window_sums(x, part, m_)))
                         for w, i in zip(rows.tolist(), items.tolist(), strict=True):
                             s = int(part[w])
                             value = self.similarity(i, x[s : s + m_])

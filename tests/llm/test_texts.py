@@ -357,6 +357,19 @@ def test_recall_at_the_threshold_and_candidates_of_a_window(size):
     assert found >= 0.95 * n and seen / n < 0.01 * 4000
 
 
+def test_sums_of_windows_in_pieces(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    monkeypatch.setattr(decontam, "PIECE", 64)
+    for m in (1, 7, 63, 64, 65, 1000, 2500):
+        starts = np.unique(rng.integers(0, 3000 - m, 50))
+        want = np.stack([decontam.signs(x[s : s + m]).sum(axis=0, dtype=np.int64) for s in starts])
+        assert (decontam.window_sums(x, starts, m) == want).all()
+    assert (decontam.total(x) == decontam.signs(x).sum(axis=0, dtype=np.int64)).all()
+
+
 # -- language --------------------------------------------------------------------------
 
 
