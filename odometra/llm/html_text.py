@@ -9,7 +9,8 @@ slots. Near copies of an article count as one page, or the article would look li
 pages are told apart by what is left without common texts and texts alike to them. In each
 page, the deepest node that holds nearly all of what varies, with the heading beside it, is
 a vote for its path. A page's text is that of the node with most votes that it has, without
-template and without boilerplate: by its element (nav, footer, form, ...), or by a name in
+containers in it that are all template (the article's own headings, paragraphs, quotes and
+lists stay even where they recur) and without boilerplate: by its element (nav, footer, form, ...), or by a name in
 class, id or role (comments, related-posts) if nodes of that path recur in the host, so that
 a section of one article is never lost for its name. Only a page without such a node falls
 back on <article>, <main>, or the whole body, where such names count by themselves.
@@ -45,6 +46,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn del em font
 DROPPED = frozenset("script style noscript template nav footer aside form iframe svg canvas object embed select button textarea input head title dialog menu audio video".split())
 HEADINGS = frozenset("h1 h2 h3 header hgroup".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+PROSE = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol li dl dt dd table caption colgroup thead tbody tfoot tr td th figure figcaption address details summary center".split())
 #: Names in class, id or role that mark what isn't the article: each of the first words, and names made of them and of the second.
 MARKS = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo promoted nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar side widget related recommended share sharing social comment comments respond disqus replies cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login form search pagination pager toolbar skip complementary contentinfo".split())
 PLAIN = frozenset("site page main global top bottom left right primary secondary list item items box block bar area section wrap wrapper container inner outer content posts post articles links link buttons icons thread tree text row col".split())
@@ -199,10 +201,27 @@ def placed(node: Node, slots: frozenset[int] | None = None) -> Iterator[tuple[No
 
 
 def blocks(node: Node, template: frozenset[int] = frozenset(), slots: frozenset[int] | None = None) -> list[str]:
-    """Texts of the blocks of a subtree in page order, without those of the template."""
+    """Texts of the blocks of a subtree in page order, without template containers.
+
+    A container is an element below the node that isn't prose itself (div, section, ...). It is
+    template if all of its blocks are. Headings, paragraphs, quotes and lists stay wherever
+    they recur, unless they are in such a container: articles may end alike.
+    """
+    found = list(placed(node, slots))
     if not template:
-        return [t for _, t in placed(node, slots)]
-    return [t for at, t in placed(node, slots) if (h := _hash(t)) not in template and _at(at.path, h) not in template]
+        return [t for _, t in found]
+    varies: set[int] = set()
+    holders: list[list[int]] = []
+    for at, t in found:
+        above, x = [], at
+        while x is not None and x is not node:
+            if x.tag not in PROSE:
+                above.append(id(x))
+            x = x.parent
+        holders.append(above)
+        if (h := _hash(t)) not in template and _at(at.path, h) not in template:
+            varies.update(above)
+    return [t for (_, t), above in zip(found, holders, strict=True) if varies.issuperset(above)]
 
 
 def _at(path: int, text: int) -> int:

@@ -457,12 +457,24 @@ def test_article_with_boilerplate_inside():
 
 
 def test_wrapper_of_pages_without_article(spark):
-    body = "<div class='top'>Always the same</div><div id='x{0}' class='story'><h2>Title {0}</h2><p>" + "text number {0} with words {0}" * 3 + "</p><p>Share this page</p></div><div class='notice'>cookie {0}</div>"
+    body = "<div class='top'>Always the same</div><div id='x{0}' class='story'><h2>Title {0}</h2><p>" + "text number {0} with words {0}" * 3 + "</p><div class='tools'><p>Share this page</p></div></div><div class='notice'>cookie {0}</div>"
     rows = [(i, f"http://h.example/{i}", page(body.format(f"q{i * 7919 % 1000}"), n=i)) for i in range(12)]
     got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[3].startswith("Title q757\n\ntext number") and "Always" not in got[3] and "cookie" not in got[3] and "menu" not in got[3] and "Share" not in got[3]
 
 
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_headings_closing_lines_and_quotes_that_recur_stay(spark, holder):
+    """Twelve articles of one host that share a heading, a quote, a list and a closing line, with and without a marked article."""
+    own = lambda i: [f"word{i} of text{i * 31 % 17} " * 12 + f"line{k}" for k in range(3)]
+    body = lambda i: f"<{holder} class='entry'><h1>Title {i * 7}</h1><p>{own(i)[0]}</p><blockquote><p>All things pass.</p></blockquote><ul><li>Flour</li><li>own {i}</li></ul><div class='tools'><p>Print this</p></div><p>{own(i)[1]}</p><h2>Conclusion</h2><p>{own(i)[2]}</p><p>Thank you for reading.</p></{holder}><div class='more'>Always here</div>"
+    rows = [(i, f"http://c.example/{i}", page(body(i), n=i)) for i in range(12)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(12):
+        a, b, c = own(i)
+        assert got[i].split("\n\n") == [f"Title {i * 7}", a, "All things pass.", "Flour", f"own {i}", b, "Conclusion", c, "Thank you for reading."]
+
+
 def test_the_hosts_wrapper_comes_before_the_article_tag(spark):
     rows = [(i, f"http://w.example/{i}", page(f"<article><p>Subscribe to us</p></article><div class='box'><div class='story'><h2>Title {i}</h2><div class='text'><p>" + f"words{i} of story{i * 31} " * 20 + f"</p><p>end{i}</p></div></div></div>", n=i)) for i in range(10)]
     got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
