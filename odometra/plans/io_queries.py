@@ -117,3 +117,21 @@ def b13(spark, sf):
 def n01(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("v"))
     return keyframes.select_keyframes(e, by=["label"], order="vec_id", vector="v", rule=keyframes.Rule(min_similarity=0.05, max_gap=5)).select("vec_id", "label")
+
+
+@REGISTRY.add(
+    "n02_event_time_keyframes",
+    """WITH RECURSIVE w AS (SELECT (max(epoch_us(ts)) // 1000 - 600000) * 1000 AS passed FROM events),
+e AS (SELECT user_id, event_id, epoch_us(ts) AS us, cos(value) AS x, sin(value) AS y, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events, w WHERE epoch_us(ts) <= passed),
+f AS (SELECT user_id, event_id, i, us, x, y, 0 AS gap, true AS chosen FROM e WHERE i = 1
+  UNION ALL SELECT n.user_id, n.event_id, n.i, n.us, CASE WHEN s THEN n.x ELSE n.lx END, CASE WHEN s THEN n.y ELSE n.ly END, CASE WHEN s THEN 0 ELSE n.gap END, s FROM (
+    SELECT e.*, f.x AS lx, f.y AS ly, f.gap + 1 AS gap, e.us - f.us > 86400000000 OR f.gap + 1 >= 10 OR e.x * f.x + e.y * f.y < 0.75 AS s FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1) n)
+SELECT user_id, event_id FROM f WHERE chosen""",
+)
+def n02(spark, sf):
+    """The events as a stream, in event time: what the watermark has passed at its end."""
+    static = table(spark, sf, "events")
+    stream = spark.readStream.schema(static.schema).parquet(f"{sf}/events.parquet*").select("user_id", "event_id", F.timestamp_micros(micros("ts")).alias("ts"), F.array(F.cos("value"), F.sin("value")).alias("v"))
+    rule = keyframes.Rule(min_similarity=0.75, max_gap=10)
+    chosen = keyframes.stream_keyframes(stream, by=["user_id"], time="ts", order=["event_id"], vector="v", rule=rule, lateness="10 minutes", idle=86400)
+    return keyframes.finished(chosen.select("user_id", "event_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -9,8 +10,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..checkpoints import shared_dir
 from ..shipping import ship_package
 
 
@@ -29,47 +32,143 @@ class Rule:
         return size == 0 or float(vector @ last) / size < self.min_similarity
 
 
-def _fold(rows: pd.DataFrame, rule: Rule, order: str, vector: str, last: np.ndarray | None, gap: int) -> tuple[list[int], np.ndarray | None, int]:
-    chosen = []
-    rows = rows.sort_values(order, kind="stable")
-    for place, v in zip(rows.index, rows[vector], strict=True):
-        v = np.asarray(v, float)
-        gap += 1
-        if rule.select(v, last, gap):
-            chosen.append(place)
-            last, gap = v, 0
-    return chosen, last, gap
+@dataclass
+class Series:
+    """Where a fold stands: the last selected vector, the rows since, and the time of the last row."""
 
+    last: np.ndarray | None = None
+    gap: int = 0
+    time: int | None = None
 
-def select_keyframes(rows: DataFrame, *, by: Sequence[str], order: str, vector: str, rule: Rule = Rule()) -> DataFrame:
-    """Selected rows of each group's series, all columns. A series is one group: the fold needs its order."""
+    def take(self, vector, time: int | None, rule: Rule, idle: int | None) -> bool:
+        """Whether the next row is selected. More than `idle` after the row before, the series begins anew."""
+        if idle is not None and self.time is not None and time - self.time > idle:
+            self.last, self.gap = None, 0
+        v = np.zeros(0) if vector is None else np.asarray(vector, float)
+        self.time, self.gap = time, self.gap + 1
+        if chosen := rule.select(v, self.last, self.gap):
+            self.last, self.gap = v, 0
+        return chosen
+
+
+#: Microseconds since 1970 of a row's event time, whatever the session's time zone.
+_MICROS = "__us"
+
+
+def select_keyframes(rows: DataFrame, *, by: Sequence[str], order: str | Sequence[str], vector: str, rule: Rule = Rule(), time: str | None = None, idle: float | None = None) -> DataFrame:
+    """Selected rows of each group's series, all columns. A series is one group: the fold needs its order.
+
+    With idle, a row whose time is more than so many seconds after the row before begins the
+    series anew. Null vectors have no features.
+    """
     ship_package(rows.sparkSession)
+    keys, schema = [order] if isinstance(order, str) else list(order), rows.schema
+    limit = None if idle is None else round(idle * 1e6)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        return pdf.loc[_fold(pdf, rule, order, vector, None, 0)[0]]
+        pdf, series = pdf.sort_values(keys, kind="stable"), Series()
+        times = pdf[_MICROS] if limit is not None else [None] * len(pdf)
+        return pdf[[series.take(v, t, rule, limit) for v, t in zip(pdf[vector], times, strict=True)]][schema.names]
 
-    return rows.groupBy(*by).applyInPandas(run, rows.schema)
+    return (rows if limit is None else rows.withColumn(_MICROS, F.unix_micros(time))).groupBy(*by).applyInPandas(run, schema)
 
 
-def stream_keyframes(rows: DataFrame, *, by: Sequence[str], order: str, vector: str, rule: Rule = Rule()) -> DataFrame:
-    """The same on a stream: state per key is the last selected vector and the rows since.
+class KeyframeProcessor(StatefulProcessor):
+    """Rows wait in state until the watermark has passed them, and are then folded in the order of their time.
 
-    Rows of one micro-batch are taken in order; the source must deliver batches in time order.
+    State of a key: waiting rows (list), and where its fold stands (value). A timer is set at
+    the first waiting row; when it fires, all rows up to the watermark are folded, and the
+    next timer is set. With nothing waiting and the watermark more than idle behind the last
+    row, the key's state is cleared.
     """
-    ship_package(rows.sparkSession)
 
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, gap = None, 0
-        if state.exists:
-            kept, gap = state.get
-            last = np.asarray(kept, float)
-        pdf = pd.concat(list(frames), ignore_index=True)
-        chosen, last, gap = _fold(pdf, rule, order, vector, last, gap)
-        state.update(([] if last is None else [float(x) for x in last], gap))
-        yield pdf.loc[chosen]
-
-    return rows.groupBy(*by).applyInPandasWithState(run, rows.schema, "last array<double>, gap long", "append", GroupStateTimeout.NoTimeout)
+    def __init__(self, schema: T.StructType, order: Sequence[str], vector: str, rule: Rule, idle: int) -> None:
+        self.schema, self.order, self.vector, self.rule, self.idle = schema, list(order), vector, rule, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.schema)
+        self.series = handle.getValueState("series", T.StructType([T.StructField("last", T.ArrayType(T.DoubleType())), T.StructField("gap", T.LongType()), T.StructField("time", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for pdf in rows:
+            if len(pdf):
+                pdf.columns = self.schema.names  # on the way here some names are replaced
+                self.waiting.appendList([tuple(map(_plain, r)) for r in pdf.itertuples(index=False, name=None)])
+                first = int(pdf[_MICROS].min()) if first is None else min(first, int(pdf[_MICROS].min()))
+        if first is not None:
+            self._wake(first)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = pd.DataFrame(list(self.waiting.get()) if self.waiting.exists() else [], columns=self.schema.names)
+        ready = rows[rows[_MICROS] <= passed].sort_values([_MICROS, *self.order], kind="stable")
+        later = rows[rows[_MICROS] > passed]
+        series = Series()
+        if self.series.exists():
+            last, gap, time = self.series.get()
+            series = Series(np.asarray(last, float), gap, time)
+        chosen = [series.take(v, int(t), self.rule, self.idle) for v, t in zip(ready[self.vector], ready[_MICROS], strict=True)]
+        if len(later):
+            self.waiting.put([tuple(map(_plain, r)) for r in later.itertuples(index=False, name=None)])
+            self._wake(int(later[_MICROS].min()))
+        else:
+            self.waiting.clear()
+        if not len(later) and (series.time is None or series.time + self.idle < passed):
+            self.series.clear()
+        elif series.time is not None:
+            self.series.update(([float(x) for x in series.last], series.gap, series.time))
+            self._wake(series.time + self.idle + 1000)
+        if any(chosen):
+            yield ready[chosen].drop(columns=[_MICROS]).reset_index(drop=True)
+
+    def _wake(self, micros: int) -> None:
+        self.handle.registerTimer(-(-micros // 1000))
+
+    def close(self) -> None:
+        return
+
+
+def _plain(value):
+    """What the state's encoder takes."""
+    if isinstance(value, np.ndarray):
+        return [_plain(v) for v in value]
+    if isinstance(value, np.generic):
+        return value.item()
+    if isinstance(value, pd.Timestamp):
+        return value.to_pydatetime()
+    return None if value is pd.NaT else value
+
+
+#: The state store that list states and timers need.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_keyframes(rows: DataFrame, *, by: Sequence[str], time: str, vector: str, order: Sequence[str] = (), rule: Rule = Rule(), lateness: str = "10 seconds", idle: float = 3600.0) -> DataFrame:
+    """select_keyframes on a stream, in event time: rows may come in any order within `lateness`.
+
+    The result is that of the table of all rows that aren't late, up to the watermark, in the
+    order of time and then of the columns `order`; rows later than the watermark are dropped,
+    as are rows without a time. State is dropped `idle` seconds of event time after a key's
+    last row, where the series ends by definition. Sets the session's state store to RocksDB.
+    """
+    spark = rows.sparkSession
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    timed = rows.where(F.col(time).isNotNull()).withColumn(_MICROS, F.unix_micros(time)).withWatermark(time, lateness)
+    processor = KeyframeProcessor(timed.schema, order, vector, rule, round(idle * 1e6))
+    return timed.groupBy(*by).transformWithStateInPandas(processor, rows.schema, "Append", "EventTime")
+
+
+def finished(stream: DataFrame) -> DataFrame:
+    """What a stream in append mode gives for all input that is there now, as a table in the shared folder."""
+    spark = stream.sparkSession
+    path = f"{shared_dir(spark)}/odometra-{uuid.uuid4().hex}"
+    query = stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
 def stream_nearest_asof(left: DataFrame, right: DataFrame, *, left_ts: str, right_ts: str, key: Sequence[str], id_col: str, tolerance: str, lateness: str) -> DataFrame:

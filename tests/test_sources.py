@@ -81,15 +81,61 @@ def test_keyframes_batch(spark):
     assert sorted(r.i for r in got.collect()) == [0, 2, 5]
 
 
-def test_keyframes_stream_equals_batch(spark, tmp_path):
-    schema = "k string, i int, v array<double>"
-    for part, rows in enumerate((vectors()[:3], vectors()[3:])):
-        spark.createDataFrame([("a", i, v) for i, v in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / str(part)))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
-    out = keyframes.stream_keyframes(stream, by=["k"], order="i", vector="v", rule=RULE)
-    query = out.writeStream.format("memory").queryName("keyframes").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    assert sorted(r.i for r in spark.table("keyframes").collect()) == [0, 2, 5]
+STREAM = "k string, ts timestamp, i int, v array<double>"
+
+
+def keyframe_rows(n=240, keys=3):
+    """Series of turning vectors, one row every 10 seconds; the keys pause for two hours halfway."""
+    import datetime
+    import math
+
+    start = datetime.datetime(2024, 5, 1)
+    out = []
+    for k in range(keys):
+        for i in range(n):
+            angle = 0.07 * i * (k + 1) + (i % 7 == 0) * 0.9
+            ts = start + datetime.timedelta(seconds=10 * i + (7200 if i >= n // 2 else 0), microseconds=k)
+            out.append((f"k{k}", ts, i, None if i % 61 == 60 else [math.cos(angle), math.sin(angle)]))
+    return out
+
+
+def run_stream(spark, tmp_path, source, name):
+    stream = spark.readStream.schema(STREAM).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    out = keyframes.stream_keyframes(stream, by=["k"], time="ts", order=["i"], vector="v", rule=RULE, lateness="5 minutes", idle=1800)
+    query = out.writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination(300)
+    assert query.exception() is None
+
+
+def write_parts(spark, source, parts, first=0):
+    for k, rows in enumerate(parts):
+        spark.createDataFrame(rows, STREAM).coalesce(1).write.parquet(f"{source}/{first + k:03}")
+
+
+def test_shuffled_stream_equals_batch_after_a_restart_and_leaves_no_state(spark, tmp_path):
+    import datetime
+    import random
+
+    rows, rng = keyframe_rows(), random.Random(4)
+    # every row up to four minutes late, so that files overlap in time; 8 files before the restart and the rest behind
+    shuffled = sorted(rows, key=lambda r: r[1] + datetime.timedelta(seconds=rng.uniform(0, 240)))
+    parts = [shuffled[j : j + 60] for j in range(0, len(shuffled), 60)]
+    source = str(tmp_path / "in")
+    write_parts(spark, source, parts[:8])
+    run_stream(spark, tmp_path, source, "out")
+    before = spark.read.parquet(str(tmp_path / "out")).count()
+    end = (max(r[1] for r in rows) + datetime.timedelta(hours=3)).replace(microsecond=0)
+    late = [("k0", rows[0][1] - datetime.timedelta(days=1), -1, [1.0, 0.0])]
+    write_parts(spark, source, [*parts[8:], [("end", end, 0, [1.0, 0.0])], late], first=8)
+    run_stream(spark, tmp_path, source, "out")
+    got = sorted((r.k, r.i, r.v) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    want = sorted((r.k, r.i, r.v) for r in keyframes.select_keyframes(spark.createDataFrame(rows, STREAM), by=["k"], order=["ts", "i"], vector="v", rule=RULE, time="ts", idle=1800).collect())
+    assert got == want and 0 < before < len(want)
+    assert ("k0", 120, want[[x[:2] for x in want].index(("k0", 120))][2]) in want  # the first row behind the pause
+    # only the last key's waiting row and its timer are left: the others' states have gone
+    states = spark.read.format("statestore").option("path", str(tmp_path / "c")).option("stateVarName", "series").load()
+    waiting = spark.read.format("statestore").option("path", str(tmp_path / "c")).option("stateVarName", "waiting").load()
+    assert states.count() == 0 and [r.key.k for r in waiting.collect()] == ["end"]
 
 
 def test_stream_asof(spark, tmp_path):
