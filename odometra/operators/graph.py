@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..checkpoints import discard, materialize
-from .pairs import dense_ids
+from .pairs import dense_ids, running_sum
 
 
 def symmetric(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
@@ -92,6 +92,72 @@ def spanning_forest(edges: DataFrame, *, a: str = "id1", b: str = "id2", weight:
     return tree if tree is not None else e.limit(0)
 
 
+def rooted_forest(edges: DataFrame, *, a: str = "id1", b: str = "id2", roots: DataFrame | None = None, nodes: DataFrame | None = None) -> DataFrame:
+    """(node, parent, depth, root) of a forest's edges; a root is its own parent, at depth 0.
+
+    roots: (node), the smallest of a tree's counts; by default each tree's smallest id. Nodes
+    of trees without a root, and nodes without edges that aren't roots, have nulls. Raises
+    ValueError if the edges have a cycle within reach of a root.
+
+    By the Euler tour: every edge is two arcs, the arc after (u, v) is that from v to the
+    neighbour that follows u, and the tour is cut before the root's first arc. Pointer
+    doubling gives each arc its distance from the end, so rounds grow with the logarithm of
+    the arcs, however deep the tree is; the earlier arc of an edge leads down. Depths are
+    running sums over the tour. Neighbours follow one another in a range-sorted numbering of
+    all arcs, so that no node's neighbours meet in one task.
+    """
+    e = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    arcs = materialize(dense_ids(both, ["u", "v"], out="k", start=0))
+    everyone = arcs.select(F.col("u").alias("node")).distinct()
+    if nodes is not None:
+        everyone = everyone.unionByName(nodes.toDF("node")).distinct()
+    tops = None if roots is None else materialize(roots.toDF("node").where("node is not null").distinct())
+    if tops is None:
+        parts = connected_components(edges, a, b, nodes=nodes)
+        tops = parts.select(F.col("component").alias("node")).distinct()
+    elif tops.count() > 1:
+        parts = connected_components(edges, a, b, nodes=nodes).join(tops, "node")
+        tops = parts.groupBy("component").agg(F.min("node").alias("node")).select("node").unionByName(tops.join(everyone, "node", "left_anti"))
+    tops = materialize(tops)
+    ends = materialize(arcs.groupBy("u").agg(F.min("k").alias("first"), F.max("k").alias("last")))
+    starts = ends.join(tops, F.col("u") == F.col("node")).select(F.col("first").alias("start"), F.col("node").alias("root"))
+    back = arcs.select(F.col("u").alias("v"), F.col("v").alias("u"), F.col("k").alias("back"))
+    paired = arcs.join(back, ["u", "v"]).join(ends.select(F.col("u").alias("v"), "first", "last"), "v")
+    following = F.when(F.col("back") < F.col("last"), F.col("back") + 1).otherwise(F.col("first"))
+    paired = materialize(paired.select("k", "u", "v", "back", following.alias("next")))
+    cut = paired.join(starts, F.col("next") == F.col("start"), "left")
+    # to: the arc that steps lead to, and root where that is the last of a tour
+    ranked = materialize(cut.select("k", F.when(F.col("root").isNull(), F.col("next")).alias("to"), "root", F.lit(0).cast("long").alias("steps")))
+    ranked = _rank(ranked, arcs.count())
+    place = ranked.where("root is not null").select("k", "root", "steps")
+    toured = paired.join(place, "k").join(place.select(F.col("k").alias("back"), F.col("steps").alias("back_steps")), "back", "left")
+    toured = materialize(toured.select("u", "v", "root", "steps", F.col("back_steps").isNull().alias("open"), F.when(F.col("steps") > F.col("back_steps"), 1).otherwise(-1).alias("step")))
+    if not toured.where("open").isEmpty():
+        raise ValueError("the edges have a cycle")
+    deep = running_sum(toured.withColumn("from_end", -F.col("steps")), ["root", "from_end"], "step", "depth").where("step = 1")
+    found = deep.select(F.col("v").alias("node"), F.col("u").alias("parent"), F.col("depth").cast("long").alias("depth"), "root")
+    own = tops.select("node", F.col("node").alias("parent"), F.lit(0).cast("long").alias("depth"), F.col("node").alias("root"))
+    found = materialize(found.unionByName(own))
+    nothing = F.lit(None).cast(arcs.schema["u"].dataType)
+    rest = everyone.join(found.select("node"), "node", "left_anti")
+    return found.unionByName(rest.select("node", nothing.alias("parent"), F.lit(None).cast("long").alias("depth"), nothing.alias("root")))
+
+
+def _rank(ranked: DataFrame, arcs: int) -> DataFrame:
+    """Pointer doubling of (k, to, root, steps): after r rounds a pointer spans 2^r arcs; what isn't at an end then is on a circle."""
+    for _ in range(max(1, arcs).bit_length() + 1):
+        on = ranked.where("to is not null")
+        ahead = ranked.select(F.col("k").alias("to"), F.col("to").alias("next"), F.col("root").alias("next_root"), F.col("steps").alias("more"))
+        moved = on.join(ahead, "to").select("k", F.col("next").alias("to"), F.col("next_root").alias("root"), (F.col("steps") + F.col("more") + 1).alias("steps"))
+        following = materialize(ranked.where("to is null").unionByName(moved))
+        discard(ranked)
+        ranked = following
+        if ranked.where("to is not null").isEmpty():
+            break
+    return ranked
+
+
 def degrees(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
     return symmetric(edges, a, b).groupBy("src").agg(F.count("*").alias("degree")).withColumnRenamed("src", "node")
 

@@ -263,6 +263,16 @@ def dense_ids(rows: DataFrame, order: Sequence[str], out: str = "dense_id", star
     return parts.join(F.broadcast(before), "__part").withColumn(out, (F.col("__before") + place - 1 + start).cast("long")).drop("__part", "__before")
 
 
+def running_sum(rows: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Sum of a column up to each row in an order, the row included, by range-sorted parts as in dense_ids; rows equal in the order have no set place."""
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = materialize(rows.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
+    sums = parts.groupBy("__part").agg(F.sum(value).alias("__s"))
+    before = sums.select("__part", F.coalesce(F.sum("__s").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    inside = F.sum(value).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return parts.join(F.broadcast(before), "__part").withColumn(out, F.col("__before") + inside).drop("__part", "__before")
+
+
 def shared_names(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
     return a.select(name).intersect(b.select(name))
 

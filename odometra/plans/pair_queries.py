@@ -222,6 +222,16 @@ def j05(spark, sf):
     return G.spanning_forest(supplier_pairs(spark, sf), weight="shared")
 
 
+@REGISTRY.add(
+    "j05_rooted_tree",
+    f"""WITH RECURSIVE {TRACKS}, {KRUSKAL}, tr AS (SELECT id1, id2 FROM st JOIN ed USING (k) WHERE taken), d AS (SELECT id1 AS u, id2 AS v FROM tr UNION ALL SELECT id2, id1 FROM tr),
+r AS (SELECT DISTINCT u AS root, u AS node, u AS parent, 0::BIGINT AS depth FROM d UNION ALL SELECT root, d.v, d.u, depth + 1 FROM r JOIN d ON d.u = r.node AND d.v != r.parent)
+SELECT node, parent, depth, root FROM r QUALIFY root = min(root) OVER (PARTITION BY node)""",
+)
+def j05_rooted(spark, sf):
+    return G.rooted_forest(G.spanning_forest(supplier_pairs(spark, sf), weight="shared"))
+
+
 @REGISTRY.add(
     "j06_track_establishment",
     f"""WITH RECURSIVE {COMPONENTS}, f AS (SELECT node, component AS track, node % 13 AS image, (node * 31 % 17)::DOUBLE AS x, (node * 37 % 19)::DOUBLE AS y FROM c),

@@ -348,3 +348,53 @@ def test_dense_ids(spark):
     rows = spark.range(100).select((F.col("id") * 37 % 1000).alias("k")).repartition(7)
     got = P.dense_ids(rows, ["k"]).orderBy("k").collect()
     assert [r.dense_id for r in got] == list(range(1, 101))
+
+
+def test_rooted_forest_against_a_walk(spark):
+    import random
+
+
+    for seed in range(2):
+        rng = random.Random(seed)
+        n = 40
+        # 25 begins another tree
+        edges = [(i, rng.randrange(25 * (i > 25) if seed else i - 1, i)) for i in range(1, n) if i != 25]
+        df = spark.createDataFrame([e if rng.random() < 0.5 else e[::-1] for e in edges], "id1 long, id2 long")
+        near = {}
+        for u, v in edges:
+            near.setdefault(u, set()).add(v)
+            near.setdefault(v, set()).add(u)
+
+        def walk(root):
+            out, front = {root: (root, 0, root)}, [root]
+            for u in front:
+                for v in near.get(u, ()):
+                    if v not in out:
+                        out[v] = (u, out[u][1] + 1, root)
+                        front.append(v)
+            return out
+
+        got = {r.node: (r.parent, r.depth, r.root) for r in G.rooted_forest(df).collect()}
+        assert got == walk(0) | walk(25)
+        roots = spark.createDataFrame([(7,), (9,)], "node long")
+        one = {r.node: (r.parent, r.depth, r.root) for r in G.rooted_forest(df, roots=roots.where("node = 9")).collect()}
+        assert one == {k: (None, None, None) for k in range(n) if k in near} | walk(9)
+        nodes = spark.createDataFrame([(99,), (3,), (100,)], "node long")
+        both = {r.node: (r.parent, r.depth, r.root) for r in G.rooted_forest(df, roots=roots.union(nodes.where("node = 99")), nodes=nodes).collect()}
+        assert both == {k: (None, None, None) for k in (*near, 100)} | walk(7) | {99: (99, 0, 99)}
+    assert G.rooted_forest(df.limit(0)).count() == 0
+    ring = spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 3)], "id1 long, id2 long")
+    with pytest.raises(ValueError, match="cycle"):
+        G.rooted_forest(ring)
+
+
+def test_a_path_of_100000_nodes_is_rooted_in_logarithmic_rounds(spark, monkeypatch):
+    written, kept = [], G.materialize
+    monkeypatch.setattr(G, "materialize", lambda df: written.append(1) or kept(df))
+    n = 100_000
+    path = spark.range(n - 1).select(((F.col("id") * 7919 + 13) % n).alias("id1"), (((F.col("id") + 1) * 7919 + 13) % n).alias("id2"))
+    got = G.rooted_forest(path, roots=spark.createDataFrame([(13,)], "node long"))
+    place = F.pmod((F.col("node") - 13) * 17679, F.lit(n))  # 17679 * 7919 = 1 (mod 100000)
+    row = got.agg(F.count("*").alias("n"), F.count_if(F.col("depth") != place).alias("wrong"), F.max("depth").alias("deepest"), F.count_if(F.col("parent") == F.col("node")).alias("tops")).first()
+    assert (row.n, row.wrong, row.deepest, row.tops) == (n, 0, n - 1, 1)
+    assert len(written) < 30
