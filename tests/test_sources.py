@@ -3,8 +3,9 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
+from odometra import schemas
 from odometra.functions.scalar import PAIR_BASE
-from odometra.sources import match_database, sinks, tables, text_model
+from odometra.sources import binary_model, files, match_database, sinks, tables, text_model, transactional
 from odometra.streaming import keyframes
 
 
@@ -158,3 +159,82 @@ def test_recording(spark, tmp_path):
     got = tables.topic_list(tables.read_messages(spark, str(tmp_path / "bag")))
     assert {r.topic: r.msgcount for r in got.collect()} == {"/a": 1, "/b": 1, "/pose": 2, "/s": 1}
     assert tables.read_messages(spark, str(tmp_path / "bag"), "/pose").agg(F.max("ts_ns")).first()[0] == 6
+
+
+# -- binary models and versioned tables --------------------------------------------------
+
+
+def small_model(spark):
+    cameras = spark.createDataFrame([(1, "PINHOLE", 640, 480, [500.0, 501.0, 320.0, 240.5]), (7, "FULL_OPENCV", 4, 3, [float(i) for i in range(12)])], schemas.CAMERAS)
+    images = spark.createDataFrame([(i, 1.0, 0.0, 0.5, -0.25, i / 7, 2.0, 3.0, 1, f"im ä {i}.png") for i in range(1, 60)], schemas.IMAGES)
+    points2d = spark.createDataFrame([(i, j, i + j / 3, j / 7, None if j % 3 == 0 else j) for i in range(1, 60) if i != 5 for j in range(i % 11)], schemas.POINTS2D)
+    points3d = spark.createDataFrame([(k, k / 3, -1.0, 1e-9, 1, 2, 255, 0.5) for k in range(1, 40)], schemas.POINTS3D)
+    tracks = spark.createDataFrame([(k, i, j) for i in range(1, 60) if i != 5 for j, k in ((j, j) for j in range(i % 11)) if j % 3], schemas.TRACKS)
+    return {"cameras": cameras, "images": images, "points2d": points2d, "points3d": points3d, "tracks": tracks}
+
+
+def sorted_rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_binary_model_equals_text_model(spark, tmp_path):
+    model = small_model(spark)
+    text_model.write_model(model, str(tmp_path / "text"))
+    binary_model.write_model(model, str(tmp_path / "bin"))
+    text, read = text_model.read_model(spark, str(tmp_path / "text")), binary_model.read_model(spark, str(tmp_path / "bin"), records=8)
+    for name in binary_model.TABLES:
+        assert sorted_rows(read[name]) == sorted_rows(text[name].select(*read[name].columns)), name
+        assert read[name].dtypes == text[name].select(*read[name].columns).dtypes
+    assert binary_model.registered_images(str(tmp_path / "bin")) == 59
+
+
+def one_file(spark, tmp_path, name="one"):
+    """The images of the small model in one file, as other programs write it."""
+    binary_model.write_model({k: v.coalesce(1) for k, v in small_model(spark).items()}, str(tmp_path / name))
+    parts = [open(p, "rb").read() for p in binary_model.data_files(f"{tmp_path}/{name}/images.bin/{binary_model.current_version(f'{tmp_path}/{name}/images.bin')}")]
+    n = sum(int.from_bytes(p[:8], "little") for p in parts)
+    return n.to_bytes(8, "little") + b"".join(p[8:] for p in parts)
+
+
+def test_one_binary_file_feeds_several_tasks_and_damage_is_an_error(spark, tmp_path):
+    whole = one_file(spark, tmp_path)
+    path = tmp_path / "images.bin"
+    path.write_bytes(whole)
+    df = binary_model.read_table(spark, str(path), "points2d", records=10)
+    assert df.rdd.getNumPartitions() == 6 and sorted_rows(df) == sorted_rows(small_model(spark)["points2d"])
+    assert binary_model.read_table(spark, f"file://{path}", "images", records=10).count() == 59
+    assert {r.name for r in binary_model.read_table(spark, str(path), "images", records=10).collect()} == {f"im ä {i}.png" for i in range(1, 60)}
+    for damaged in (whole[:-1], whole[:-24], whole + b"\0", (58).to_bytes(8, "little") + whole[8:], (60).to_bytes(8, "little") + whole[8:], b"abc"):
+        path.write_bytes(damaged)
+        with pytest.raises(Exception, match="ends inside a record|goes on for"):
+            binary_model.read_table(spark, str(path), "images").count()
+    path.write_bytes((0).to_bytes(8, "little"))
+    assert binary_model.read_table(spark, str(path), "images").count() == 0
+
+
+def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k long, v string"
+    first = spark.createDataFrame([(i, f"v{i}") for i in range(100)] + [(None, "null")], schema)
+    assert transactional.read(spark, path, schema).count() == 0
+    transactional.replace(first.repartition(4), path)
+    before, version = sorted_rows(transactional.read(spark, path, schema)), transactional.current_version(path)
+
+    @F.udf("string")
+    def killed(k):
+        import os
+
+        if k == 57:
+            os._exit(1)  # the worker dies in the middle of its part
+        return str(k)
+
+    with pytest.raises(Exception):
+        transactional.replace(spark.range(100).repartition(4).select(F.col("id").alias("k"), killed("id").alias("v")), path)
+    assert transactional.current_version(path) == version and sorted_rows(transactional.read(spark, path, schema)) == before
+    assert [p.name for p in (tmp_path / "table").iterdir() if p.is_dir()] == [version]  # what was staged has gone
+    reader = transactional.read(spark, path, schema)  # opened before the next commit
+    left = transactional.delete_keys(spark, path, schema, spark.createDataFrame([(i,) for i in range(0, 100, 2)] * 2, "k long"), ["k"])
+    assert left == 51 and sorted_rows(reader) == before
+    assert {r.k for r in transactional.read(spark, path, schema).collect()} == {None, *range(1, 100, 2)}
+    assert len(files.vacuum(path)) == 1 and transactional.read(spark, path, schema).count() == 51
+    transactional.replace(first.limit(0), path)
+    assert transactional.read(spark, path, schema).count() == 0
