@@ -263,14 +263,17 @@ def dense_ids(rows: DataFrame, order: Sequence[str], out: str = "dense_id", star
     return parts.join(F.broadcast(before), "__part").withColumn(out, (F.col("__before") + place - 1 + start).cast("long")).drop("__part", "__before")
 
 
-def running_sum(rows: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
-    """Sum of a column up to each row in an order, the row included, by range-sorted parts as in dense_ids; rows equal in the order have no set place."""
+def running_sum(rows: DataFrame, order: Sequence[str], value: str | Sequence[str], out: str | Sequence[str]) -> DataFrame:
+    """Sums of columns up to each row in an order, the row included, by range-sorted parts as in dense_ids; rows equal in the order have no set place."""
+    values, outs = ([value], [out]) if isinstance(value, str) else (list(value), list(out))
     n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = materialize(rows.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
-    sums = parts.groupBy("__part").agg(F.sum(value).alias("__s"))
-    before = sums.select("__part", F.coalesce(F.sum("__s").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    inside = F.sum(value).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return parts.join(F.broadcast(before), "__part").withColumn(out, F.col("__before") + inside).drop("__part", "__before")
+    sums = parts.groupBy("__part").agg(*[F.sum(v).alias(f"__s{i}") for i, v in enumerate(values)])
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("__part", *[F.coalesce(F.sum(f"__s{i}").over(earlier), F.lit(0)).alias(f"__before{i}") for i in range(len(values))])
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = parts.join(F.broadcast(before), "__part").select("*", *[(F.col(f"__before{i}") + F.sum(v).over(inside)).alias(o) for i, (v, o) in enumerate(zip(values, outs, strict=True))])
+    return summed.drop("__part", *[f"__before{i}" for i in range(len(values))])
 
 
 def shared_names(a: DataFrame, b: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..checkpoints import shared_dir
-from ..sources import sinks, tables, text_model
+from ..sources import binary_model, sinks, tables, text_model, transactional
 from ..streaming import keyframes
 from .common import Registry, micros, r6, table
 
@@ -56,6 +56,40 @@ def a07(spark, sf):
     return m["points3d"].join(n, "point3d_id", "left").select("point3d_id", "x", F.coalesce("track", F.lit(0)).alias("track"))
 
 
+def _binary_round_trip(spark, sf):
+    folder = _folder(spark, "model")
+    binary_model.write_model(model(spark, sf), folder)
+    return binary_model.read_model(spark, folder)
+
+
+@REGISTRY.add("a08_a19_cameras_binary", "SELECT n_nationkey::BIGINT AS camera_id, 'PINHOLE' AS model, 640 AS width, 480 AS height, n_nationkey + 0.5::DOUBLE AS cy FROM nation")
+def a08(spark, sf):
+    return _binary_round_trip(spark, sf)["cameras"].select("camera_id", "model", "width", "height", F.get("params", F.lit(3)).alias("cy"))
+
+
+@REGISTRY.add("a19_b06_images_binary", "SELECT s_suppkey AS image_id, s_name AS name, s_acctbal AS tx, coalesce(n, 0) AS points, coalesce(linked, 0) AS linked FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n, count(*) FILTER (l_linenumber != 7) AS linked FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) GROUP BY 1) ON l_suppkey = s_suppkey")
+def a19(spark, sf):
+    m = _binary_round_trip(spark, sf)
+    n = m["points2d"].groupBy("image_id").agg(F.count("*").alias("points"), F.count("point3d_id").alias("linked"))
+    return m["images"].join(n, "image_id", "left").select("image_id", "name", "tx", F.coalesce("points", F.lit(0)).alias("points"), F.coalesce("linked", F.lit(0)).alias("linked"))
+
+
+@REGISTRY.add("a19_b06_points_binary", "SELECT o_orderkey AS point3d_id, o_totalprice AS x, coalesce(n, 0) AS track, coalesce(images, 0) AS images FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, sum(l_suppkey) AS images FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber != 7) GROUP BY 1) ON l_orderkey = o_orderkey")
+def a19_points(spark, sf):
+    m = _binary_round_trip(spark, sf)
+    n = m["tracks"].groupBy("point3d_id").agg(F.count("*").alias("track"), F.sum("image_id").alias("images"))
+    return m["points3d"].join(n, "point3d_id", "left").select("point3d_id", "x", F.coalesce("track", F.lit(0)).alias("track"), F.coalesce("images", F.lit(0)).alias("images"))
+
+
+@REGISTRY.add("b10_b11_versioned_delete", "SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) GROUP BY 1")
+def b10_versioned(spark, sf):
+    """Rows of images that go are deleted by key from a written table, which is replaced as a whole."""
+    rows, path = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity"), _folder(spark, "versions")
+    transactional.replace(rows, path)
+    transactional.delete_keys(spark, path, rows.schema, table(spark, sf, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("l_suppkey")), ["l_suppkey"])
+    return transactional.read(spark, path, rows.schema).groupBy("l_suppkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
 @REGISTRY.add("a12_b01_timestamps_csv", "SELECT event_id::INT AS frame_id, epoch_us(ts) * 1000 AS ts_ns FROM events WHERE event_type = 'view'")
 def a12(spark, sf):
     f = table(spark, sf, "events").where("event_type = 'view'").select((micros("ts") * 1000).alias("ts_ns"), F.format_string("%09d.png", "event_id").alias("filename"))

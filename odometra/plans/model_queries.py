@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import clusters as C
 from ..operators import evaluation as E
 from ..operators import pairs as P
 from ..operators import quality as Q
 from ..operators import retrieval as R
+from ..operators import spatial as V
 from ..operators import topics as T
 from ..checkpoints import materialize
 from .common import TRACKS, Registry, r6, table, tracks
@@ -346,6 +348,37 @@ def k08(spark, sf):
     return P.indexed_knn(e.where("vec_id % 100 = 0"), e, key="vec_id", vector="embedding", k=5).select("query", "neighbor", "rank")
 
 
+#: Line items as feature matches of pairs of images.
+FEATURES = ("l_quantity * 10", "l_discount * 5000", "1.0 + l_linenumber", "(l_orderkey % 13 - 6) / 10.0", "l_quantity * 11 + l_partkey % 50", "l_discount * 5500 + l_suppkey % 40", "1.1 + l_orderkey % 9", "(l_partkey % 17 - 8) / 10.0")
+FEATURE_NAMES = ("x1", "y1", "scale1", "angle1", "x2", "y2", "scale2", "angle2")
+
+
+def feature_matches(spark, sf):
+    return table(spark, sf, "lineitem").select((F.col("l_suppkey") % 5).alias("query"), (F.col("l_partkey") % 20).alias("image"), *[F.expr(e).cast("double").alias(n) for e, n in zip(FEATURES, FEATURE_NAMES, strict=True)])
+
+
+@REGISTRY.add(
+    "k06_votes",
+    f"""WITH m AS (SELECT l_suppkey % 5 AS query, l_partkey % 20 AS image, {", ".join(f"({e})::DOUBLE AS {n}" for e, n in zip(FEATURES, FEATURE_NAMES, strict=True))} FROM lineitem),
+t AS (SELECT query, image, scale2 / scale1 AS scale, angle2 - angle1 AS angle, x2 - scale2 / scale1 * (cos(angle2 - angle1) * x1 - sin(angle2 - angle1) * y1) AS tx, y2 - scale2 / scale1 * (sin(angle2 - angle1) * x1 + cos(angle2 - angle1) * y1) AS ty FROM m),
+v AS (SELECT *, least(floor((angle + pi()) / (2 * pi()) * 8), 7)::INT AS na, least(floor((log2(scale) + log2(10)) / (2 * log2(10)) * 32), 31)::INT AS ns, least(floor((tx + 4096) / 8192 * 64), 63)::INT AS nx, least(floor((ty + 4096) / 8192 * 64), 63)::INT AS ny
+  FROM t WHERE abs(tx) <= 4096 AND abs(ty) <= 4096 AND abs(log2(scale)) <= log2(10)),
+b AS (SELECT query, image, na, ns, nx, ny, count(*) AS votes, avg(scale) AS scale, avg(angle) AS angle FROM v GROUP BY ALL),
+s AS (SELECT *, votes + 0.5 * sum(votes) OVER (PARTITION BY query, image, na >> 1, ns >> 1, nx >> 1, ny >> 1) + 0.25 * sum(votes) OVER (PARTITION BY query, image, na >> 2, ns >> 2, nx >> 2, ny >> 2) AS score FROM b)
+SELECT query, image, na, ns, nx, ny, votes, score::DOUBLE AS score, round(scale, 6) AS scale, round(angle, 6) AS angle, (row_number() OVER w - 1)::INT AS rank FROM s
+WINDOW w AS (PARTITION BY query, image ORDER BY score DESC, ny, nx, ns, na) QUALIFY row_number() OVER w <= 10""",
+)
+def k06(spark, sf):
+    by = ["query", "image"]
+    top = V.best_bins(V.hough_bins(V.transforms(feature_matches(spark, sf)), by), by)
+    return top.select(*by, "na", "ns", "nx", "ny", "votes", "score", r6("scale").alias("scale"), r6("angle").alias("angle"), "rank")
+
+
+@REGISTRY.add("k06_vote_and_verify")
+def k06_verified(spark, sf):
+    return V.vote_and_verify(feature_matches(spark, sf), ["query", "image"])
+
+
 @REGISTRY.add("k07_descriptor_normalisation", "SELECT vec_id, round(list_sum(list_transform(embedding, lambda v: abs(v::DOUBLE))) / sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE))), 5) AS l1_of_l2, round(list_sum(list_transform(embedding, lambda v: sqrt(abs(v::DOUBLE)))) / sqrt(list_sum(list_transform(embedding, lambda v: abs(v::DOUBLE)))), 5) AS root_sum FROM embeddings")
 def k07(spark, sf):
     total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + F.abs(x))
@@ -405,6 +438,13 @@ def l07(spark, sf):
     return table(spark, sf, "customer").groupBy(F.floor((F.col("c_acctbal") + 1000) / 2500).alias("tx"), F.floor(F.col("c_custkey") / 500).alias("ty")).agg(F.count("*").alias("n"))
 
 
+@REGISTRY.add("l07_scene_clusters")
+def l07_clusters(spark, sf):
+    """Suppliers as images, the orders that two share as weights."""
+    pairs = P.covisible(tracks(spark, sf), point="point_id", image="image_id", min_track=2).withColumnRenamed("shared", "weight")
+    return C.scene_clusters(pairs, max_images=30, overlap=5)
+
+
 @REGISTRY.add("l09_calibrated_cameras", "WITH p AS (SELECT l_suppkey % 40 AS a, l_partkey % 40 AS b, l_returnflag = 'A' AS ok FROM lineitem), e AS (SELECT a AS camera, ok FROM p UNION ALL SELECT b, ok FROM p WHERE a != b) SELECT camera, count(*) FILTER (ok) AS votes, count(*) AS n, count(*) FILTER (ok) / count(*) > 0.333 AS calibrated FROM e GROUP BY 1")
 def l09(spark, sf):
     p = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 40).alias("camera1"), (F.col("l_partkey") % 40).alias("camera2"), (F.col("l_returnflag") == "A").alias("calibrated"))
