@@ -11,6 +11,7 @@ from ..operators import quality as Q
 from ..operators import retrieval as R
 from ..operators import spatial as V
 from ..operators import topics as T
+from ..operators import vocabulary as Y
 from ..checkpoints import materialize
 from .common import TRACKS, Registry, r6, table, tracks
 
@@ -348,6 +349,14 @@ def k08(spark, sf):
     return P.indexed_knn(e.where("vec_id % 100 = 0"), e, key="vec_id", vector="embedding", k=5).select("query", "neighbor", "rank")
 
 
+@REGISTRY.add("k01_vocabulary_words")
+def k01_vocabulary(spark, sf):
+    """Words of all embeddings by a tree that is trained on all of them."""
+    e = table(spark, sf, "embeddings")
+    tree = Y.train_vocabulary(e, key="vec_id", vector="embedding", dims=64, branching=6, depth=2, rounds=4)
+    return Y.assign_words(e, tree, key="vec_id", vector="embedding", depth=2).select(F.col("key").alias("vec_id"), "word", r6("d2").alias("d2"))
+
+
 #: Line items as feature matches of pairs of images.
 FEATURES = ("l_quantity * 10", "l_discount * 5000", "1.0 + l_linenumber", "(l_orderkey % 13 - 6) / 10.0", "l_quantity * 11 + l_partkey % 50", "l_discount * 5500 + l_suppkey % 40", "1.1 + l_orderkey % 9", "(l_partkey % 17 - 8) / 10.0")
 FEATURE_NAMES = ("x1", "y1", "scale1", "angle1", "x2", "y2", "scale2", "angle2")
