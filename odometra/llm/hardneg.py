@@ -29,8 +29,8 @@ from .common import discard, materialize, ship_package, table
 BLOCK, ASKING = 1024, 512
 #: Pivots at most, rows per pivot in the sample that places them, rounds of placing, and cells of keys a pivot.
 PIVOTS, SAMPLE, ROUNDS, CELLS = 512, 16, 8, 64
-#: A radius grows by this factor where too few rows were found.
-GROWTH = 1.3
+#: A radius grows by these factors where too few rows were found, the first time and later.
+GROWTH = (1.3, 2.0)
 #: Relative room for rounding in distances.
 SLACK = 1e-9
 
@@ -264,7 +264,7 @@ def mine(rows: DataFrame, anchors: DataFrame, *, positives: int = 5, negatives:
         last = found.groupBy("class").agg(F.count("*").alias("n"), F.min("score").alias("worst")).withColumnRenamed("class", "of")
         state = asking.join(last, F.col("class") == F.col("of"), "left")
         enough = F.coalesce(F.col("n"), F.lit(0)) >= positives + 1
-        following = F.when(enough, reach(F.col("worst"))).otherwise(F.least(everything, F.col("radius") * GROWTH + 1))
+        following = F.when(enough, reach(F.col("worst"))).otherwise(F.least(everything, F.col("radius") * F.when(F.col("before").isNull(), GROWTH[0]).otherwise(GROWTH[1]) + 1))
         state = state.withColumn("next", following).where((F.col("radius") < F.col("next")) & (F.col("radius") < everything))
         return state.select("class", "label", "vector", "square", F.col("next").alias("radius"), F.col("radius").alias("before"), "beyond")
 
@@ -276,10 +276,10 @@ def mine(rows: DataFrame, anchors: DataFrame, *, positives: int = 5, negatives:
 
     def more_negatives(asking: DataFrame, found: DataFrame) -> DataFrame:
         last = found.groupBy("class", "wanted").agg(F.count("*").alias("n"), F.min("score").alias("worst")).select(F.col("class").alias("of"), F.col("wanted").alias("t"), "n", "worst")
-        each = asking.select("class", "square", "radius", F.explode("wanted").alias("target"))
+        each = asking.select("class", "square", "radius", "before", F.explode("wanted").alias("target"))
         state = each.join(last, (F.col("class") == F.col("of")) & (F.col("target") == F.col("t")), "left")
         floor = reach(F.col("target") * low / 100)
-        following = F.when(F.coalesce(F.col("n"), F.lit(0)) >= negatives, reach(F.col("worst"))).otherwise(F.least(floor, F.col("radius") * 1.05 + 1))
+        following = F.when(F.coalesce(F.col("n"), F.lit(0)) >= negatives, reach(F.col("worst"))).otherwise(F.when(F.col("before").isNull(), F.least(floor, F.col("radius") * 1.05 + 1)).otherwise(floor))
         open_ = state.withColumn("next", following).where((F.col("radius") < F.col("next")) & (F.col("radius") < floor))
         grown = open_.groupBy(F.col("class").alias("open")).agg(F.max("next").alias("next"))
         return asking.join(grown, F.col("class") == F.col("open")).select("class", "label", "vector", "square", "wanted", F.col("next").alias("radius"), F.col("radius").alias("before"), "beyond")
