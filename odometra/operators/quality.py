@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import materialize
+
 
 def drop_short_tracks(tracks: DataFrame, *, point: str, min_length: int) -> DataFrame:
     """Observations of points with min_length or more; sizes are counted before the shuffle."""
@@ -54,6 +56,63 @@ def stationary(matches: DataFrame, *, x1: str, y1: str, x2: str, y2: str, max_di
     return matches.where(~(dx * dx + dy * dy <= max_distance * max_distance))
 
 
+#: Shifts of a pair that are checked against all of its matches.
+SHIFTS = 4
+
+
+def border_ratio(matches: DataFrame, by: Sequence[str], *, border: float = 0.1) -> DataFrame:
+    """(by, matches, border_ratio): the share of matches that lie in the border of both images, border * diagonal wide.
+
+    matches: x1, y1, x2, y2 and the images' width1, height1, width2, height2. A point on the
+    edge of the inner box is inside it.
+    """
+
+    def outside(k: int) -> Column:
+        x, y, w, h = (F.col(f"{c}{k}") for c in ("x", "y", "width", "height"))
+        margin = border * F.sqrt(w * w + h * h)
+        return ~(x.between(margin, w - margin) & y.between(margin, h - margin))
+
+    inside_both = F.count_if(outside(1) & outside(2))
+    return matches.groupBy(*by).agg(F.count("*").alias("matches"), (inside_both / F.count("*")).alias("border_ratio"))
+
+
+def watermarks(matches: DataFrame, by: Sequence[str], *, border: float = 0.1, min_ratio: float = 0.7, max_error: float = 4.0, shifts: int = SHIFTS) -> DataFrame:
+    """(by, matches, border_ratio, shift_ratio, dx, dy, watermark): pairs whose matches are a mark that both images carry.
+
+    A watermark lies in the border of both images and moves by one shift between them. Pairs
+    with a border_ratio below min_ratio aren't looked at further (shift_ratio null). For the
+    others every match votes for its shift, in cells of max_error; a cell counts with the eight
+    around it, and the mean shifts of the best such neighbourhoods are checked against all
+    matches of the pair, and once more after moving to the mean of the matches within
+    max_error. The best one's share of matches is shift_ratio. Votes are counted per cell
+    before they meet, so that thousands of equal shifts cost as much as one.
+    """
+    by = list(by)
+    ratios = materialize(border_ratio(matches, by, border=border))
+    asked = ratios.where(F.col("border_ratio") >= min_ratio).select(*by)
+    moves = materialize(matches.join(asked, by, "left_semi").select(*by, (F.col("x2") - F.col("x1")).alias("mx"), (F.col("y2") - F.col("y1")).alias("my")))
+    cell = lambda c: F.floor(F.col(c) / max_error)
+    cells = moves.groupBy(*by, cell("mx").alias("cx"), cell("my").alias("cy")).agg(F.count("*").alias("n"), F.sum("mx").alias("sx"), F.sum("my").alias("sy"))
+    around = F.explode(F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    spread = cells.select(*by, "n", "sx", "sy", around.alias("c")).groupBy(*by, F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy")).agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy")])
+    order = Window.partitionBy(*by).orderBy(F.col("n").desc(), "cx", "cy")
+    tried = spread.withColumn("k", F.row_number().over(order)).where(F.col("k") <= shifts).select(*by, "k", (F.col("sx") / F.col("n")).alias("dx"), (F.col("sy") / F.col("n")).alias("dy"))
+
+    def support(candidates: DataFrame) -> DataFrame:
+        """Matches near each shift, and their mean."""
+        ex, ey = F.col("mx") - F.col("dx"), F.col("my") - F.col("dy")
+        near = moves.join(candidates, by).where(ex * ex + ey * ey <= max_error * max_error)
+        return near.groupBy(*by, "k", "dx", "dy").agg(F.count("*").alias("n"), F.avg("mx").alias("ax"), F.avg("my").alias("ay"))
+
+    first = materialize(support(tried))
+    again = support(first.select(*by, "k", F.col("ax").alias("dx"), F.col("ay").alias("dy")))
+    both = first.unionByName(again)
+    best = both.groupBy(*by).agg(F.max(F.struct("n", (-F.col("k")).alias("k"), "dx", "dy")).alias("b"))
+    out = ratios.join(best.select(*by, F.col("b.n").alias("__n"), "b.dx", "b.dy"), by, "left")
+    share = F.when(F.col("border_ratio") >= min_ratio, F.coalesce(F.col("__n"), F.lit(0)) / F.col("matches"))
+    return out.select(*by, "matches", "border_ratio", share.alias("shift_ratio"), "dx", "dy", F.coalesce(share >= min_ratio, F.lit(False)).alias("watermark"))
+
+
 def model_statistics(cameras: DataFrame, images: DataFrame, points: DataFrame, obs: DataFrame, *, error: str | None = None) -> DataFrame:
     """One row: counts, mean track length, mean observations per image, mean error of points that have one."""
     n = lambda df, name: df.agg(F.count("*").alias(name))

@@ -442,6 +442,30 @@ def l06(spark, sf):
     return Q.stationary(li, x1="l_quantity", y1="l_linenumber", x2="cx", y2="cy", max_distance=10).select("l_orderkey", "l_linenumber")
 
 
+#: Line items as matches of pairs of images that move little, on images of 60 by 40.
+MARKS = ("l_suppkey % 7", "l_quantity + 5", "l_linenumber * 5", "l_quantity + 5 + l_tax * 10", "l_linenumber * 5 + l_discount * 10")
+
+
+@REGISTRY.add(
+    "l06_watermark_ratio",
+    f"""WITH m AS (SELECT {", ".join(f"{e} AS {n}" for e, n in zip(MARKS, ("pair", "x1", "y1", "x2", "y2"), strict=True))}, 0.1 * sqrt(60 * 60 + 40 * 40) AS b FROM lineitem)
+SELECT pair, count(*) AS matches, count(*) FILTER (NOT (x1 BETWEEN b AND 60 - b AND y1 BETWEEN b AND 40 - b) AND NOT (x2 BETWEEN b AND 60 - b AND y2 BETWEEN b AND 40 - b)) / count(*) AS border_ratio FROM m GROUP BY 1""",
+)
+def l06_ratio(spark, sf):
+    return Q.border_ratio(marked_matches(spark, sf), ["pair"])
+
+
+@REGISTRY.add("l06_watermarks")
+def l06_watermarks(spark, sf):
+    w = Q.watermarks(marked_matches(spark, sf), ["pair"], min_ratio=0.3)
+    return w.select("pair", "matches", "border_ratio", "shift_ratio", r6("dx").alias("dx"), r6("dy").alias("dy"), "watermark")
+
+
+def marked_matches(spark, sf):
+    size = [F.lit(v).alias(f"{c}{k}") for k in (1, 2) for c, v in (("width", 60), ("height", 40))]
+    return table(spark, sf, "lineitem").select(*[F.expr(e).alias(n) for e, n in zip(MARKS, ("pair", "x1", "y1", "x2", "y2"), strict=True)], *size)
+
+
 @REGISTRY.add("l07_tile_split", "SELECT floor((c_acctbal + 1000) / 2500)::BIGINT AS tx, floor(c_custkey / 500)::BIGINT AS ty, count(*) AS n FROM customer GROUP BY ALL")
 def l07(spark, sf):
     return table(spark, sf, "customer").groupBy(F.floor((F.col("c_acctbal") + 1000) / 2500).alias("tx"), F.floor(F.col("c_custkey") / 500).alias("ty")).agg(F.count("*").alias("n"))

@@ -398,3 +398,38 @@ def test_a_path_of_100000_nodes_is_rooted_in_logarithmic_rounds(spark, monkeypat
     row = got.agg(F.count("*").alias("n"), F.count_if(F.col("depth") != place).alias("wrong"), F.max("depth").alias("deepest"), F.count_if(F.col("parent") == F.col("node")).alias("tops")).first()
     assert (row.n, row.wrong, row.deepest, row.tops) == (n, 0, n - 1, 1)
     assert len(written) < 30
+
+
+def test_watermarks(spark):
+    """Planted marks in the border under noise and other matches, against scenes, one shift in the middle, and border matches without a shift."""
+    import random
+
+    rng, rows, want = random.Random(6), [], {}
+    edge = lambda: rng.choice([(rng.uniform(0, 60), rng.uniform(0, 480)), (rng.uniform(0, 640), rng.uniform(420, 480))])
+    anywhere = lambda: (rng.uniform(0, 640), rng.uniform(0, 480))
+    for k in range(40):
+        kind = k % 4
+        shift = (rng.uniform(-3, 3), rng.uniform(-3, 3))
+        for _ in range(30 + 2000 * (k == 4)):
+            if kind in (0, 3) and rng.random() < 0.9:
+                x, y = edge()
+            else:
+                x, y = anywhere()
+            if kind == 0 or kind == 1:
+                moved = (x + shift[0] + rng.gauss(0, 0.7), y + shift[1] + rng.gauss(0, 0.7)) if rng.random() < 0.95 else anywhere()
+            else:
+                moved = edge() if kind == 3 else anywhere()
+            rows.append((k, x, y, *moved, 640, 480, 640, 480))
+        want[k] = kind == 0
+    df = spark.createDataFrame(rows, "pair long, x1 double, y1 double, x2 double, y2 double, width1 int, height1 int, width2 int, height2 int")
+    got = {r.pair: r for r in Q.watermarks(df, ["pair"]).collect()}
+    assert {k: r.watermark for k, r in got.items()} == want
+    for k, r in got.items():
+        mine = [x for x in rows if x[0] == k]
+        outside = lambda x, y: not (80 <= x <= 560 and 80 <= y <= 400)
+        assert r.border_ratio == pytest.approx(sum(outside(*x[1:3]) and outside(*x[3:5]) for x in mine) / len(mine))
+        if r.shift_ratio is not None:
+            near = sum((x[3] - x[1] - r.dx) ** 2 + (x[4] - x[2] - r.dy) ** 2 <= 16 for x in mine)
+            most = max(sum((x[3] - x[1] - a) ** 2 + (x[4] - x[2] - b) ** 2 <= 16 for x in mine) for a, b in [(y[3] - y[1], y[4] - y[2]) for y in mine[:60]])
+            assert r.shift_ratio == pytest.approx(near / len(mine)) and near >= 0.95 * most - 1
+    assert Q.watermarks(df.limit(0), ["pair"]).count() == 0
