@@ -7,7 +7,25 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualNullSafe,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    IsNotNull,
+    IsNull,
+    LessThan,
+    LessThanOrEqual,
+    Not,
+    StringContains,
+    StringEndsWith,
+    StringStartsWith,
+)
 
 from ..shipping import ship_package
 
@@ -22,6 +40,44 @@ TABLES = {
 }
 
 
+#: Filters that the database decides as Spark would: the comparison, and how often it needs the value.
+CLAUSES = {
+    EqualTo: "{c} = ?",
+    EqualNullSafe: "{c} IS ?",
+    GreaterThan: "{c} > ?",
+    GreaterThanOrEqual: "{c} >= ?",
+    LessThan: "{c} < ?",
+    LessThanOrEqual: "{c} <= ?",
+    StringStartsWith: "substr({c}, 1, length(?)) = ?",
+    StringEndsWith: "({c} IS NOT NULL AND length({c}) >= length(?) AND substr({c}, length({c}) - length(?) + 1) = ?)",
+    StringContains: "instr({c}, ?) > 0",
+}
+#: Values of an IN list that are sent along.
+LONGEST_LIST = 500
+
+
+def where_clause(f: Filter, columns: dict[str, str]) -> tuple[str, list] | None:
+    """SQL of a filter and its values; none if Spark has to decide it. columns: name to Spark type."""
+    if isinstance(f, Not):
+        inner = where_clause(f.child, columns)
+        return inner and (f"NOT ({inner[0]})", inner[1])
+    name = f.attribute[0]
+    if len(f.attribute) != 1 or columns.get(name) not in ("bigint", "int", "string"):
+        return None
+    if isinstance(f, IsNull | IsNotNull):
+        return f"{name} IS {'NOT ' if isinstance(f, IsNotNull) else ''}NULL", []
+    text = columns[name] == "string"
+    fits = lambda v: v is None or (isinstance(v, str) if text else isinstance(v, int) and not isinstance(v, bool))
+    if isinstance(f, In):
+        if len(f.value) > LONGEST_LIST or not all(map(fits, f.value)):
+            return None
+        return f"{name} IN ({', '.join('?' * len(f.value))})", list(f.value)
+    clause = CLAUSES.get(type(f))
+    if clause is None or not fits(f.value) or (f.value is None and not isinstance(f, EqualNullSafe)):
+        return None
+    return clause.format(c=name), [f.value] * clause.count("?")
+
+
 class _Rows(InputPartition):
     def __init__(self, low: int, high: int) -> None:
         self.low, self.high = low, high
@@ -31,14 +87,29 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict, columns: list[str]) -> None:
         self.path, self.table, self.columns = options["path"], options["table"], columns
         self.parts = int(options.get("partitions", "8"))
+        self.clauses: list[str] = []
+        self.values: list = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Take what the database can decide; the rest goes back to Spark."""
+        columns = dict(c.split() for c in TABLES[self.table].split(", "))
+        for f in filters:
+            if (found := where_clause(f, columns)) is None:
+                yield f
+            else:
+                self.clauses.append(found[0])
+                self.values += found[1]
+
+    def _where(self) -> str:
+        return "".join(f" AND ({c})" for c in self.clauses)
 
     def _open(self) -> sqlite3.Connection:
         return sqlite3.connect(f"file:{self.path}?mode=ro", uri=True)
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of rowid; a range is read by one task through the table's own index."""
+        """Ranges of rowid, of the rows that the filters leave; a range is read by one task through the table's own index."""
         with self._open() as db:
-            low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {self.table}").fetchone()
+            low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {self.table} WHERE true{self._where()}", self.values).fetchone()
         if low is None:
             return [_Rows(0, -1)]
         step = max(1, -(-(high - low + 1) // self.parts))
@@ -46,11 +117,15 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _Rows) -> Iterator[tuple]:
         with self._open() as db:
-            yield from db.execute(f"SELECT {', '.join(self.columns)} FROM {self.table} WHERE rowid BETWEEN ? AND ?", (partition.low, partition.high))
+            yield from db.execute(f"SELECT {', '.join(self.columns)} FROM {self.table} WHERE rowid BETWEEN ? AND ?{self._where()}", (partition.low, partition.high, *self.values))
 
 
 class MatchDatabase(DataSource):
-    """spark.read.format("match_database").option("path", ..).option("table", ..). The file must be where every worker finds it."""
+    """spark.read.format("match_database").option("path", ..).option("table", ..). The file must be where every worker finds it.
+
+    Comparisons, IN lists, null tests and their negations on numbers and names are decided by
+    the database, if spark.sql.python.filterPushdown.enabled is set (read_table does).
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -64,9 +139,11 @@ class MatchDatabase(DataSource):
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table of the database; filters on it are pushed into the scan."""
     if table not in TABLES:
         raise ValueError(f"unknown table {table}; there are {sorted(TABLES)}")
     ship_package(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(MatchDatabase)
     return spark.read.format("match_database").option("path", path).option("table", table).load()
 

@@ -238,3 +238,45 @@ def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
     assert len(files.vacuum(path)) == 1 and transactional.read(spark, path, schema).count() == 51
     transactional.replace(first.limit(0), path)
     assert transactional.read(spark, path, schema).count() == 0
+
+
+# -- filters of the match database -------------------------------------------------------
+
+CONDITIONS = [
+    "image_id = 7", "image_id > 40", "image_id >= 40", "image_id < 5", "image_id <= 5", "image_id <=> 9", "image_id IN (3, 5, 99)", "image_id NOT IN (3, 5)", "NOT (image_id = 7)",
+    "camera_id IS NULL", "camera_id IS NOT NULL", "camera_id <=> NULL", "camera_id != 2", "camera_id IN (1, NULL)", "NOT (camera_id > 1)", "name = 'b ä 5.png'", "name LIKE 'a%'", "name LIKE '%7.png'", "name LIKE '%ä%'",
+    "NOT (name LIKE 'a%')", "name > 'b'", "image_id > 10 AND name LIKE 'b%' AND camera_id = 1", "image_id % 3 = 1", "image_id = 3 OR name = 'x'", "length(name) > 9 AND image_id < 30", "name = ''", "image_id > 10000000000",
+]
+
+
+@pytest.fixture(scope="module")
+def database(tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("db") / "m.db")
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE images (image_id INTEGER PRIMARY KEY, name TEXT, camera_id INTEGER)")
+        db.executemany("INSERT INTO images VALUES (?, ?, ?)", [(i, None if i == 50 else "" if i == 51 else f"{'ab'[i % 2]} ä {i}.png", None if i % 5 == 0 else i % 4) for i in range(1, 60)])
+    return path
+
+
+def test_filters_give_what_spark_gives(spark, database):
+    plain = match_database.read_table(spark, database, "images").collect()
+    table = spark.createDataFrame(plain, "image_id long, name string, camera_id long")
+    for c in CONDITIONS:
+        got, want = match_database.read_table(spark, database, "images").where(c), table.where(c)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), c
+
+
+def test_filters_are_decided_in_the_source(spark, database):
+    def left_source(condition):
+        df = match_database.read_table(spark, database, "images").where(condition)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        while not plan.nodeName().startswith("BatchScan"):
+            plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.children().head()
+        return plan.metrics().get("numOutputRows").get().value(), df.count()
+
+    for condition in ("image_id = 7", "image_id IN (3, 5, 99)", "name LIKE 'a%'", "camera_id IS NULL", "NOT (camera_id > 1)", "image_id > 10 AND name LIKE 'b%' AND camera_id = 1"):
+        out, kept = left_source(condition)
+        assert out == kept < 59, condition
+    out, kept = left_source("image_id < 30 AND length(name) > 9")  # one part is Spark's
+    assert kept < out == 29
