@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import materialize
 from ..shipping import ship_package
-from .stats import quantile, with_group
+from .stats import progressive_draws, quantile, with_group
 
 _AXES = ("x", "y", "z")
 
@@ -102,15 +102,20 @@ def fit_quality(pairs: DataFrame, fits: DataFrame, *, source: Sequence[str], tar
     return g.withColumn("confidence", confidence(F.col("inlier_ratio"), F.col("n")))
 
 
-def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str], by: Sequence[str], order: Sequence[str], rounds: int = 1000, sample: int = 3, tolerance: float = 0.05, seed: int = 42) -> DataFrame:
+def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str], by: Sequence[str], order: Sequence[str], rounds: int = 1000, sample: int = 3, tolerance: float = 0.05, seed: int = 42, sampler: str = "random") -> DataFrame:
     """(by, scale, inliers, n): the best median of `sample` ratios over seeded draws, the first of equals.
 
+    With the sampler "progressive", order is that of quality, the best first: draws come from a
+    pool of the best rows that grows with the rounds. No row leaves for it but those drawn.
+
     A row is valid if both norms are positive; draws are places of valid rows in `order`, and
     take what there is where fewer than `sample` are valid. A ratio is an inlier of a candidate
     if it differs by less than `tolerance` of it. n and the share are of valid rows; groups of
     fewer than three rows have scale 1 and no inliers. Only drawn ratios and, per group and
     interval between the candidates' limits, counts of ratios leave the rows' partitions.
     """
+    if sampler not in ("random", "progressive"):
+        raise ValueError(f"unknown sampler {sampler}")
     ship_package(pairs.sparkSession)
     c, w = norm(cam), norm(world)
     valid = pairs.withColumn("__c", c).withColumn("__w", w).where("__c > 0 and __w > 0")
@@ -122,8 +127,11 @@ def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str
     def draw(batches):
         for pdf in batches:
             for _, row in pdf.iterrows():
-                rng = np.random.default_rng(seed)
-                places = np.array([rng.choice(row["n"], min(sample, row["n"]), replace=False) for _ in range(rounds)])
+                if sampler == "progressive":
+                    places = progressive_draws(row["n"], sample, rounds, seed)
+                else:
+                    rng = np.random.default_rng(seed)
+                    places = np.array([rng.choice(row["n"], min(sample, row["n"]), replace=False) for _ in range(rounds)])
                 yield pd.DataFrame({**{k: [row[k]] * places.size for k in by}, "round": np.repeat(np.arange(rounds), places.shape[1]), "__k": places.ravel() + 1})
 
     drawn = draws.select(*by, "n").mapInPandas(draw, f"{keys}, round int, __k int").join(ratios, [*by, "__k"])

@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import discard, materialize
+from ..shipping import ship_package
+
 
 def quantile(x: str | Column, q: float) -> Column:
     """Exact, with linear interpolation."""
@@ -178,3 +181,120 @@ def combinations(items: DataFrame, key: str, k: int, by: Sequence[str] = ()) ->
         step = items.select(*by, F.col(key).alias(f"c{i}"))
         out = (out.join(step, list(by)) if by else out.crossJoin(step)).where(F.col(f"c{i}") > F.col(f"c{i - 1}"))
     return out
+
+
+def least_absolute(rows: DataFrame, *, by: Sequence[str], features: Sequence[str], target: str, rho: float = 1.0, alpha: float = 1.0, rounds: int = 1000, absolute: float = 1e-4, relative: float = 1e-2, ridge: float = 0.0) -> DataFrame:
+    """(by, x, loss, rounds, converged): per group the x that makes the sum of |features . x - target| least.
+
+    By the alternating direction method: the normal equations of a group are summed and
+    inverted once; each round then is one sum per group, whose product with that inverse is x,
+    and a shrink step that stays with the rows. Groups leave when the primal and the dual
+    residual are within the absolute and relative tolerance. Rows with a null take no part;
+    groups with fewer rows than features, or whose equations have no single solution, have x null.
+    """
+    by, k = list(by), len(features)
+    a = F.array(*[F.col(f).cast("double") for f in features])
+    held = rows.select(*by, a.alias("a"), F.col(target).cast("double").alias("b")).where(~F.exists("a", lambda v: v.isNull()) & F.col("b").isNotNull())
+    ship_package(rows.sparkSession)
+    sums = held.groupBy(*by).agg(F.count("*").alias("n"), F.sqrt(F.sum(F.col("b") * F.col("b"))).alias("b_norm"), *[F.sum(F.get("a", F.lit(i)) * F.get("a", F.lit(j))).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)])
+
+    def inverted(batches):
+        for pdf in batches:
+            m = np.zeros((len(pdf), k, k))
+            for i in range(k):
+                for j in range(i, k):
+                    m[:, i, j] = m[:, j, i] = pdf[f"m{i}_{j}"]
+            out = []
+            for n, one in zip(pdf["n"], m + ridge * np.eye(k), strict=True):
+                fits = n >= k and np.isfinite(one).all() and np.linalg.matrix_rank(one, hermitian=True) == k
+                out.append(np.linalg.inv(one).ravel().tolist() if fits else None)
+            yield pdf[[*by, "n", "b_norm"]].assign(inverse=out)
+
+    kinds = ", ".join(f"{c} {t}" for c, t in rows.select(*by).dtypes)
+    groups = materialize(sums.mapInPandas(inverted, f"{kinds}, n long, b_norm double, inverse array<double>"))
+    state = materialize(held.join(groups.where("inverse is not null").select(*by), by, "left_semi").withColumn("z", F.lit(0.0)).withColumn("u", F.lit(0.0)))
+    found = None
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    each = lambda value: F.array(*[F.sum(F.get("a", F.lit(i)) * value) for i in range(k)])
+    size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    for step in range(1, rounds + 1):
+        right = state.groupBy(*by).agg(each(F.col("b") + F.col("z") - F.col("u")).alias("right")).join(groups.select(*by, "inverse"), by)
+        x = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: dot(F.slice("inverse", i * k + 1, F.lit(k)), F.col("right")))
+        moved = state.select(*by, "a", "b", "z", "u").join(right.select(*by, x.alias("x")), by).withColumn("ax", dot(F.col("a"), F.col("x")))
+        relaxed = alpha * F.col("ax") + (1 - alpha) * (F.col("z") + F.col("b"))
+        gap = relaxed - F.col("b") + F.col("u")
+        new = F.least(gap + 1 / rho, F.lit(0.0)) + F.greatest(gap - 1 / rho, F.lit(0.0))
+        following = materialize(moved.select(*by, "a", "b", "x", "ax", F.col("z").alias("z0"), new.alias("z"), (gap - new).alias("u")))
+        left = F.col("ax") - F.col("z") - F.col("b")
+        norms = following.groupBy(*by).agg(
+            F.first("x").alias("x"), F.sum(F.abs(F.col("ax") - F.col("b"))).alias("loss"), F.sqrt(F.sum(left * left)).alias("r"), F.sqrt(F.sum(F.col("ax") * F.col("ax"))).alias("ax_norm"), F.sqrt(F.sum(F.col("z") * F.col("z"))).alias("z_norm"), each(F.col("z") - F.col("z0")).alias("dz"), each(F.col("u")).alias("au")
+        ).join(groups.select(*by, "n", "b_norm"), by)
+        near = (F.col("r") < F.sqrt("n") * absolute + relative * F.greatest("ax_norm", "z_norm", "b_norm")) & (rho * size(F.col("dz")) < k**0.5 * absolute + relative * rho * size(F.col("au")))
+        judged = materialize(norms.select(*by, "x", "loss", F.lit(step).alias("rounds"), near.alias("converged")))
+        discard(state)
+        done = judged if step == rounds else judged.where("converged")
+        if not done.isEmpty():
+            found = done if found is None else found.unionByName(done)
+            state = materialize(following.select(*by, "a", "b", "z", "u").join(done.select(*by), by, "left_anti"))
+            discard(following)
+            if state.isEmpty():
+                break
+        elif judged.isEmpty():
+            break
+        else:
+            state = following
+    results = groups.select(*by) if found is None else groups.select(*by).join(found, by, "left")
+    if found is None:
+        results = results.select(*by, F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("double").alias("loss"), F.lit(None).cast("int").alias("rounds"), F.lit(None).cast("boolean").alias("converged"))
+    return results.withColumn("converged", F.coalesce("converged", F.lit(False)))
+
+
+#: Draws after which the whole table is the pool.
+PROGRESSIVE_DRAWS = 200_000
+
+
+def progressive_pools(total: int, sample: int, rounds: int, draws: int = PROGRESSIVE_DRAWS) -> tuple[np.ndarray, np.ndarray]:
+    """(pool, newest) of each round: the first so many rows by quality are drawn from, and whether the one behind them must be in the sample.
+
+    The pool grows by a row when the draws that its size is worth are used up: a sample within
+    the first n of all rows comes as often as it would among `draws` samples of all.
+    """
+    worth = draws * float(np.prod([(sample - i) / (total - i) for i in range(sample)]))
+    pool, until = sample, 1.0
+    pools, newest = np.zeros(rounds, np.int64), np.zeros(rounds, bool)
+    for t in range(1, rounds + 1):
+        if t == until and pool < total:
+            more = worth * (pool + 1) / (pool + 1 - sample)
+            until += np.ceil(more - worth)
+            worth, pool = more, pool + 1
+        pools[t - 1], newest[t - 1] = pool, until >= t
+    return pools, newest
+
+
+def sampling_pools(rows: DataFrame, *, by: Sequence[str], sample: int, rounds: int) -> DataFrame:
+    """(by, round, pool, newest) of the progressive sampler for groups of rows; groups smaller than a sample have none."""
+    ship_package(rows.sparkSession)
+    kinds = ", ".join(f"{c} {t}" for c, t in rows.select(*by).dtypes)
+
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                pools, newest = progressive_pools(r["total"], sample, rounds)
+                yield pd.DataFrame({**{c: [r[c]] * rounds for c in by}, "round": np.arange(1, rounds + 1, dtype=np.int32), "pool": pools, "newest": newest})
+
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("total")).where(F.col("total") >= sample)
+    return sizes.mapInPandas(run, f"{kinds}, round int, pool long, newest boolean")
+
+
+def progressive_draws(total: int, sample: int, rounds: int, seed: int) -> np.ndarray:
+    """Places (from 0, by quality) of each round's sample: a row a round. Fewer rows than a sample are all taken."""
+    if total <= sample:
+        return np.tile(np.arange(total), (rounds, 1))
+    rng, out = np.random.default_rng(seed), np.zeros((rounds, sample), np.int64)
+    for t, (pool, newest) in enumerate(zip(*progressive_pools(total, sample, rounds), strict=True)):
+        if newest:
+            out[t, :-1] = rng.choice(pool - 1, sample - 1, replace=False)
+            out[t, -1] = min(pool, total - 1)
+        else:
+            out[t] = rng.choice(pool, sample, replace=False)
+    return out

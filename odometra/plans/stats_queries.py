@@ -170,6 +170,27 @@ def e36(spark, sf):
     return m.select("label", *[r6(f"u{i}").alias(f"u{i}") for i in range(3)])
 
 
+@REGISTRY.add("e38_least_absolute")
+def e38(spark, sf):
+    """Per return flag and status: price per piece and what is left, least absolute deviations."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", F.lit(1.0).alias("one"), (F.col("l_quantity") / 50).alias("quantity"), (F.col("l_extendedprice") / 100000).alias("price"))
+    got = S.least_absolute(li, by=["l_returnflag", "l_linestatus"], features=["one", "quantity"], target="price", rho=10.0, rounds=15)
+    return got.select("l_returnflag", "l_linestatus", *[r6(F.get("x", F.lit(i))).alias(f"x{i}") for i in range(2)], r6("loss").alias("loss"), "converged")
+
+
+#: Rounds of progressive draws, and the pool in each, by its definition.
+POOLS = """WITH RECURSIVE n AS (SELECT n_regionkey AS g, count(*)::INT AS total FROM nation GROUP BY 1),
+p AS (SELECT g, total, 1 AS t, 3 AS pool, 1.0::DOUBLE AS until, 200000.0::DOUBLE * 6 / (total * (total - 1) * (total - 2)) AS worth FROM n
+  UNION ALL SELECT g, total, t + 1, CASE WHEN t + 1 = until AND pool < total THEN pool + 1 ELSE pool END,
+    CASE WHEN t + 1 = until AND pool < total THEN until + ceil(worth * (pool + 1) / (pool - 2) - worth) ELSE until END,
+    CASE WHEN t + 1 = until AND pool < total THEN worth * (pool + 1) / (pool - 2) ELSE worth END FROM p WHERE t < 40)"""
+
+
+@REGISTRY.add("e37_progressive", POOLS + " SELECT g AS region, t AS round, pool::BIGINT AS pool, until >= t AS newest FROM p")
+def e37_progressive(spark, sf):
+    return S.sampling_pools(table(spark, sf, "nation").withColumnRenamed("n_regionkey", "region"), by=["region"], sample=3, rounds=40)
+
+
 @REGISTRY.add("e37_sample_combinations", "SELECT a.n_regionkey, a.n_nationkey AS c0, b.n_nationkey AS c1, c.n_nationkey AS c2 FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND b.n_nationkey > a.n_nationkey JOIN nation c ON c.n_regionkey = a.n_regionkey AND c.n_nationkey > b.n_nationkey")
 def e37(spark, sf):
     return S.combinations(table(spark, sf, "nation"), "n_nationkey", 3, ["n_regionkey"])

@@ -433,3 +433,54 @@ def test_watermarks(spark):
             most = max(sum((x[3] - x[1] - a) ** 2 + (x[4] - x[2] - b) ** 2 <= 16 for x in mine) for a, b in [(y[3] - y[1], y[4] - y[2]) for y in mine[:60]])
             assert r.shift_ratio == pytest.approx(near / len(mine)) and near >= 0.95 * most - 1
     assert Q.watermarks(df.limit(0), ["pair"]).count() == 0
+
+
+def test_least_absolute_deviations_against_all_corners(spark):
+    """The best x goes through as many rows as it has parts: all such corners are tried."""
+    import itertools
+
+    rng = np.random.default_rng(4)
+    groups = {}
+    for g in range(6):
+        k, n = 2, 9 + g
+        a = np.c_[np.ones(n), rng.normal(size=n) * 2]
+        b = a @ rng.normal(size=k) + rng.normal(size=n) * 0.05 + (rng.random(n) < 0.2) * 8
+        groups[g] = (a, b)
+    rows = [(g, *map(float, r), float(y)) for g, (a, b) in groups.items() for r, y in zip(a, b, strict=True)]
+    rows += [(50, 1.0, 2.0, 3.0), (51, 1.0, 2.0, 3.0), (51, 2.0, 4.0, 1.0), (52, None, 1.0, 1.0), (0, 1.0, None, 9.0)]
+    df = spark.createDataFrame(rows, "g long, p double, q double, y double")
+    got = {r.g: r for r in St.least_absolute(df, by=["g"], features=["p", "q"], target="y", relative=1e-4, absolute=1e-6, rounds=60, alpha=1.5, rho=1.0).collect()}
+    assert set(got) == {*groups, 50, 51} and got[50].x is None and got[51].x is None
+    for g, (a, b) in groups.items():
+        best = min(np.abs(a @ np.linalg.solve(a[list(c)], b[list(c)]) - b).sum() for c in itertools.combinations(range(len(b)), 2))
+        assert best - 1e-9 <= got[g].loss <= 1.02 * best + 1e-3 and np.abs(a @ np.array(got[g].x) - b).sum() == pytest.approx(got[g].loss)
+    assert St.least_absolute(df.limit(0), by=["g"], features=["p", "q"], target="y").count() == 0
+
+
+def test_progressive_draws_follow_their_definition(spark):
+    """Chum and Matas' growth function, written out with exact numbers."""
+    from fractions import Fraction
+
+    for total, sample, draws in ((30, 3, 1000), (12, 4, 200000), (9, 2, 50)):
+        worth = Fraction(draws)
+        for i in range(sample):
+            worth *= Fraction(sample - i, total - i)
+        pool, until, want = sample, 1, []
+        for t in range(1, 301):
+            if t == until and pool < total:
+                more = worth * (pool + 1) / (pool + 1 - sample)
+                until, worth, pool = until + math.ceil(float(more - worth)), more, pool + 1
+            want.append((pool, until >= t))
+        pools, newest = St.progressive_pools(total, sample, 300, draws)
+        assert list(zip(pools.tolist(), newest.tolist(), strict=True)) == want
+    places = St.progressive_draws(100, 3, 400, 1)
+    pools, newest = St.progressive_pools(100, 3, 400)
+    assert all(len(set(p)) == 3 for p in places.tolist()) and all(max(p) <= n for p, n in zip(places.tolist(), pools.tolist(), strict=True))
+    assert (places == St.progressive_draws(100, 3, 400, 1)).all() and St.progressive_draws(2, 3, 4, 1).tolist() == [[0, 1]] * 4
+    # ratios in order of quality: the good ones first, most of all others wrong
+    rows = [(0, i, 1.0, 2.0 + 0.001 * (i % 5)) for i in range(12)] + [(0, i, 1.0, 3.0 + i * 0.37) for i in range(12, 150)]
+    df = spark.createDataFrame(rows, "g long, i long, c double, w double")
+    got = S.scale_by_ransac(df, cam=["c"], world=["w"], by=["g"], order=["i"], rounds=5, sampler="progressive").first()
+    assert got.scale == pytest.approx(2.0, abs=0.01) and got.inliers == 12 and got.n == 150
+    with pytest.raises(ValueError):
+        S.scale_by_ransac(df, cam=["c"], world=["w"], by=["g"], order=["i"], sampler="other")
