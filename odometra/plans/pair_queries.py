@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from ..checkpoints import shared_dir
 from ..functions import scalar as M
 from ..operators import graph as G
 from ..operators import pairs as P
 from ..operators import quality as Q
+from ..sources import transactional
 from .common import TRACKS, TRAJ, Registry, r6, table, tracks, trajectories
 
 REGISTRY = Registry()
@@ -148,10 +153,10 @@ def d21(spark, sf):
     return P.associate_points(s, t, image="image", slot="slot", point="point")
 
 
-@REGISTRY.add("d22_pose_prior_join", "SELECT o_orderkey, c_nationkey, c_acctbal FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT'")
+@REGISTRY.add("d22_pose_prior_join", "SELECT o_orderkey, c_nationkey, c_acctbal FROM orders JOIN customer ON c_custkey = o_custkey")
 def d22(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal")
-    return table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey").join(c, "o_custkey").select("o_orderkey", "c_nationkey", "c_acctbal")
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(c, "o_custkey").select("o_orderkey", "c_nationkey", "c_acctbal")
 
 
 @REGISTRY.add("d24_covisibility_filter", f"WITH {PAIRS} SELECT id1, id2, shared FROM cov WHERE shared >= 25")
@@ -309,9 +314,18 @@ def g06(spark, sf):
     return table(spark, sf, "part").select("p_partkey").join(used, "p_partkey", "left_anti")
 
 
-@REGISTRY.add("g07_database_clean", "SELECT * FROM region WHERE false")
+#: A database of line items and orders; its matches are cleaned.
+DATABASE = {"images": ("supplier", "s_suppkey"), "keypoints": ("part", "p_partkey"), "matches": ("lineitem", "l_orderkey"), "two_view_geometries": ("orders", "o_orderkey")}
+
+
+@REGISTRY.add("g07_database_clean", " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) FILTER ({str(name in ('images', 'keypoints')).lower()}) AS n, coalesce(sum({key}) FILTER ({str(name in ('images', 'keypoints')).lower()}), 0)::BIGINT AS keys FROM {source}" for name, (source, key) in DATABASE.items()))
 def g07(spark, sf):
-    return table(spark, sf, "region").limit(0)
+    folder = f"{shared_dir(spark)}/odometra-database-{uuid.uuid4().hex}"
+    tables = {name: table(spark, sf, source).select(F.col(key).alias("key")) for name, (source, key) in DATABASE.items()}
+    transactional.write_database(tables, folder)
+    transactional.clean_database(spark, folder, "matches", {name: t.schema for name, t in tables.items()})
+    left = [transactional.read(spark, f"{folder}/{name}", t.schema).agg(F.lit(name).alias("table_name"), F.count("*").alias("n"), F.coalesce(F.sum("key"), F.lit(0)).alias("keys")) for name, t in tables.items()]
+    return reduce(lambda x, y: x.unionByName(y), left)
 
 
 @REGISTRY.add("d06_connected_images", f"WITH {PAIRS}, ok AS (SELECT * FROM cov WHERE (id1 + id2) % 10 != 7 AND shared >= 36), i AS (SELECT id1 AS image_id FROM ok UNION SELECT id2 FROM ok) SELECT image_id FROM i")

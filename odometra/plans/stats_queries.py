@@ -180,13 +180,13 @@ def e38(spark, sf):
 
 #: Rounds of progressive draws, and the pool in each, by its definition.
 POOLS = """WITH RECURSIVE n AS (SELECT n_regionkey AS g, count(*)::INT AS total FROM nation GROUP BY 1),
-p AS (SELECT g, total, 1 AS t, 3 AS pool, 1.0::DOUBLE AS until, 200000.0::DOUBLE * 6 / (total * (total - 1) * (total - 2)) AS worth FROM n
+p AS (SELECT g, total, 0 AS t, 3 AS pool, 1.0::DOUBLE AS until, 200000.0::DOUBLE * 6 / (total * (total - 1) * (total - 2)) AS worth FROM n
   UNION ALL SELECT g, total, t + 1, CASE WHEN t + 1 = until AND pool < total THEN pool + 1 ELSE pool END,
     CASE WHEN t + 1 = until AND pool < total THEN until + ceil(worth * (pool + 1) / (pool - 2) - worth) ELSE until END,
     CASE WHEN t + 1 = until AND pool < total THEN worth * (pool + 1) / (pool - 2) ELSE worth END FROM p WHERE t < 40)"""
 
 
-@REGISTRY.add("e37_progressive", POOLS + " SELECT g AS region, t AS round, pool::BIGINT AS pool, until >= t AS newest FROM p")
+@REGISTRY.add("e37_progressive", POOLS + " SELECT g AS region, t AS round, pool::BIGINT AS pool, until >= t AS newest FROM p WHERE t > 0")
 def e37_progressive(spark, sf):
     return S.sampling_pools(table(spark, sf, "nation").withColumnRenamed("n_regionkey", "region"), by=["region"], sample=3, rounds=40)
 

@@ -45,11 +45,11 @@ def d02(spark, sf):
 
 @REGISTRY.add(
     "d03_rekey_by_time",
-    """WITH a AS (SELECT o_orderdate AS d, max(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+    """WITH a AS (SELECT o_orderdate AS d, max(o_orderkey) AS k FROM orders GROUP BY 1)
 SELECT l_orderkey, l_linenumber, k AS o_orderkey FROM lineitem JOIN a ON l_shipdate = d""",
 )
 def d03(spark, sf):
-    assoc = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_orderdate")
+    assoc = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return T.rekey_by_time(items, assoc, item_ts="l_shipdate", assoc_ts="o_orderdate", key="o_orderkey", order="o_orderkey").select("l_orderkey", "l_linenumber", "o_orderkey")
 

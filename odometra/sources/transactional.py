@@ -91,3 +91,31 @@ def delete_keys(spark: SparkSession, path: str, schema, keys: DataFrame, on: lis
     """Rewrite the table without the rows of the keys; how many rows are left. Rows with a null key stay."""
     replace(read(spark, path, schema).join(keys.select(*on).distinct(), on, "left_anti"), path)
     return read(spark, path, schema).count()
+
+
+# Groups of tables that are emptied together.
+GROUPS = {
+    "images": ("images", "matches", "two_view_geometries"),
+    "features": ("descriptors", "keypoints", "matches", "two_view_geometries"),
+    "matches": ("matches", "two_view_geometries"),
+    "two_view_geometries": ("two_view_geometries",),
+}
+
+
+def write_database(tables: dict[str, DataFrame], folder: str) -> None:
+    """A folder of versioned tables by name."""
+    for name, rows in tables.items():
+        replace(rows, f"{folder}/{name}")
+
+
+def clean_database(spark: SparkSession, folder: str, group: str, schemas: dict) -> list[str]:
+    """Empty the tables of a group ("all": all of them) that the database has; the names of those. Others stay untouched, versions included.
+
+    schemas: the database's tables with their schemas. An unknown group is an error and changes nothing.
+    """
+    if group != "all" and group not in GROUPS:
+        raise ValueError(f"unknown group {group}; there are {['all', *GROUPS]}")
+    emptied = [name for name in schemas if (group == "all" or name in GROUPS[group]) and current_version(f"{folder}/{name}") is not None]
+    for name in emptied:
+        replace(spark.createDataFrame([], schemas[name]), f"{folder}/{name}")
+    return emptied

@@ -240,6 +240,22 @@ def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
     assert transactional.read(spark, path, schema).count() == 0
 
 
+def test_a_group_of_tables_is_emptied(spark, tmp_path):
+    folder = str(tmp_path / "db")
+    tables = {name: spark.range(5).select(F.lit(name).alias("t"), "id") for name in ("images", "keypoints", "matches", "two_view_geometries")}
+    kinds = {name: t.schema for name, t in tables.items()}
+    transactional.write_database(tables, folder)
+    count = lambda: {name: transactional.read(spark, f"{folder}/{name}", kinds[name]).count() for name in tables}
+    version = transactional.current_version(f"{folder}/images")
+    with pytest.raises(ValueError):
+        transactional.clean_database(spark, folder, "everything", kinds)
+    assert transactional.clean_database(spark, folder, "two_view_geometries", kinds) == ["two_view_geometries"] and count() == {"images": 5, "keypoints": 5, "matches": 5, "two_view_geometries": 0}
+    assert transactional.clean_database(spark, folder, "features", kinds) == ["keypoints", "matches", "two_view_geometries"]
+    assert count() == {"images": 5, "keypoints": 0, "matches": 0, "two_view_geometries": 0} and transactional.current_version(f"{folder}/images") == version
+    transactional.clean_database(spark, folder, "all", kinds)
+    assert sum(count().values()) == 0
+
+
 # -- filters of the match database -------------------------------------------------------
 
 CONDITIONS = [
