@@ -196,14 +196,24 @@ def indexed_knn(queries: DataFrame, rows: DataFrame, *, key: str, vector: str, k
     return some.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("d2", "neighbor"))).where(F.col("rank") <= k)
 
 
-def mutual_matches(left: DataFrame, right: DataFrame, *, key: str, vector: str, ratio: float = 0.8, max_distance: float = 0.7, cross_check: bool = True) -> DataFrame:
-    """(left, right, distance): nearest neighbours that pass the ratio and distance tests, and are each other's best."""
-    forward = knn(left, right, key=key, vector=vector, k=2, exclude_self=False)
+def mutual_matches(left: DataFrame, right: DataFrame, *, key: str, vector: str, ratio: float = 0.8, max_distance: float = 0.7, cross_check: bool = True, probes: int | None = None) -> DataFrame:
+    """(left, right, distance): nearest neighbours that pass the ratio and distance tests, and are each other's best.
+
+    Exact by default, every block of one side against every block of the other. With probes,
+    neighbours come from an index of either side, of which each vector visits so many cells.
+    """
+
+    def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+        if probes is None:
+            return knn(queries, rows, key=key, vector=vector, k=k, exclude_self=False)
+        return indexed_knn(queries, rows, key=key, vector=vector, k=k, probes=probes, exclude_self=False)
+
+    forward = nearest(left, right, 2)
     pairs = forward.groupBy("query").agg(F.min_by("neighbor", "rank").alias("best"), F.min("d2").alias("d1"), F.max(F.when(F.col("rank") == 2, F.col("d2"))).alias("d2"))
     good = pairs.where((F.sqrt("d1") <= max_distance) & (F.col("d2").isNull() | (F.sqrt("d1") < ratio * F.sqrt("d2"))))
     out = good.select(F.col("query").alias("left"), F.col("best").alias("right"), F.sqrt("d1").alias("distance"))
     if cross_check:
-        back = knn(right, left, key=key, vector=vector, k=1, exclude_self=False).select(F.col("query").alias("right"), F.col("neighbor").alias("left"))
+        back = nearest(right, left, 1).select(F.col("query").alias("right"), F.col("neighbor").alias("left"))
         out = out.join(back, ["left", "right"], "left_semi")
     return out
 

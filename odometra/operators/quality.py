@@ -35,14 +35,28 @@ def drop_behind(obs: DataFrame, *, z: str) -> DataFrame:
 def drop_small_angles(obs: DataFrame, *, point: str, rays: Sequence[str], min_angle: float) -> DataFrame:
     """Observations of points seen under min_angle degrees or more by some pair of views; rays are unit vectors.
 
-    Each point's views are folded as one array, first with first come, so no pairs become rows.
+    First by the cone around a point's mean ray. If a ray is min_angle (up to 90) off the mean,
+    some other ray is as far from it; if all are within half of min_angle, no pair is so wide.
+    Only points between the two compare rays, and of these only rays that could be one side of
+    a wide pair with the outermost: pairs as rows, which the join can split.
     """
-    ray = F.array(*[F.col(c) for c in rays])
-    views = obs.groupBy(point).agg(F.collect_list(ray).alias("__r"))
-    cosine = F.array_min(F.flatten(F.transform("__r", lambda a: F.transform("__r", lambda b: a[0] * b[0] + a[1] * b[1] + a[2] * b[2]))))
-    angle = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
-    wide = views.where((F.size("__r") > 1) & (angle >= min_angle)).select(point)
-    return obs.join(wide, point, "left_semi")
+    x, y, z = (F.col(c) for c in rays)
+    sums = obs.groupBy(F.col(point).alias("__of")).agg(*[F.sum(c).alias(f"__s{i}") for i, c in enumerate(rays)], F.count("*").alias("__n"))
+    length = F.sqrt(sum((F.col(f"__s{i}") * F.col(f"__s{i}") for i in range(3)), F.lit(0.0)))
+    degrees = lambda cosine: F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+    off = F.when(length > 1e-9, degrees((x * F.col("__s0") + y * F.col("__s1") + z * F.col("__s2")) / F.when(length > 1e-9, length)))
+    views = materialize(obs.join(sums, F.col(point) == F.col("__of")).where("__n > 1").select(F.col(point).alias("__of"), x.alias("__x"), y.alias("__y"), z.alias("__z"), off.alias("__off")))
+    cones = materialize(views.groupBy("__of").agg(F.max("__off").alias("__most"), F.count("__off").alias("__known"), F.count("*").alias("__n")).withColumn("__sure", (F.col("__known") == F.col("__n"))))
+    slack = 1e-6
+    wide = F.col("__sure") & (F.col("__most") >= min_angle + slack) if min_angle <= 90 else F.lit(False)
+    narrow = F.col("__sure") & (2 * F.col("__most") < min_angle - slack)
+    kept = cones.where(wide).select("__of")
+    open_ = cones.where(~F.coalesce(wide, F.lit(False)) & ~F.coalesce(narrow, F.lit(False))).select("__of", "__most")
+    asked = materialize(views.join(open_, "__of").where(F.col("__off").isNull() | F.col("__most").isNull() | (F.col("__off") >= min_angle - F.col("__most") - slack)).select("__of", "__x", "__y", "__z"))
+    other = asked.toDF("__of", "__u", "__v", "__w")
+    angle = degrees(F.col("__x") * F.col("__u") + F.col("__y") * F.col("__v") + F.col("__z") * F.col("__w"))
+    kept = kept.unionByName(asked.join(other, "__of").where(angle >= min_angle).select("__of").distinct())
+    return obs.join(kept, F.col(point) == F.col("__of"), "left_semi")
 
 
 def filter_points(obs: DataFrame, *, point: str, error: str, rays: Sequence[str], max_error: float, min_angle: float) -> DataFrame:

@@ -484,3 +484,33 @@ def test_progressive_draws_follow_their_definition(spark):
     assert got.scale == pytest.approx(2.0, abs=0.01) and got.inliers == 12 and got.n == 150
     with pytest.raises(ValueError):
         S.scale_by_ransac(df, cam=["c"], world=["w"], by=["g"], order=["i"], sampler="other")
+
+
+def test_wide_points_against_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    rows, want = [], {a: set() for a in (1.5, 40.0, 90.0, 120.0)}
+    for p in range(150):
+        n, spread = int(rng.integers(1, 9)), float(rng.choice([0.01, 0.02, 0.4, 1.0, 3.0]))
+        v = np.array([0.0, 0.0, 1.0]) + rng.normal(size=(n, 3)) * spread
+        v /= np.linalg.norm(v, axis=1)[:, None]
+        if p == 7:
+            v = np.array([[1.0, 0, 0], [-1.0, 0, 0]])
+        rows += [(p, *map(float, r)) for r in v]
+        angles = np.degrees(np.arccos(np.clip(v @ v.T, -1, 1)))
+        for a, found in want.items():
+            if len(v) > 1 and angles.max() >= a:
+                found.add(p)
+    df = spark.createDataFrame(rows, "p long, x double, y double, z double")
+    for a, found in want.items():
+        assert {r.p for r in Q.drop_small_angles(df, point="p", rays=["x", "y", "z"], min_angle=a).select("p").distinct().collect()} == found, a
+
+
+def test_mutual_matches_through_the_index(spark):
+    rng = np.random.default_rng(10)
+    base = rng.normal(size=(1500, 16))
+    left = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(base)], "k long, v array<double>")
+    right = spark.createDataFrame([(10_000 + i, (r + rng.normal(size=16) * 0.15).tolist()) for i, r in enumerate(base[:1000])], "k long, v array<double>")
+    exact = {(r.left, r.right) for r in P.mutual_matches(left, right, key="k", vector="v", max_distance=2.0).collect()}
+    found = {(r.left, r.right) for r in P.mutual_matches(left, right, key="k", vector="v", max_distance=2.0, probes=8).collect()}
+    assert len(exact) > 900 and len(found & exact) >= 0.9 * len(exact)
+    assert {(r.left, r.right) for r in P.mutual_matches(left, right, key="k", vector="v", max_distance=2.0, probes=1024).collect()} == exact
