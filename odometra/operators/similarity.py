@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..checkpoints import materialize
 from ..shipping import ship_package
+from .pairs import dense_ids
 from .stats import progressive_draws, quantile, with_group
 
 _AXES = ("x", "y", "z")
@@ -119,7 +120,11 @@ def scale_by_ransac(pairs: DataFrame, *, cam: Sequence[str], world: Sequence[str
     ship_package(pairs.sparkSession)
     c, w = norm(cam), norm(world)
     valid = pairs.withColumn("__c", c).withColumn("__w", w).where("__c > 0 and __w > 0")
-    ratios = materialize(valid.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).alias("__k"), (F.col("__w") / F.col("__c")).alias("ratio")))
+    # places in a group from one range-sorted numbering of all rows: no group is sorted in one task
+    kept = materialize(valid.select(*by, F.struct(*order).alias("__order"), (F.col("__w") / F.col("__c")).alias("ratio")))
+    numbered = materialize(dense_ids(kept, [*by, "__order"], out="__k"))
+    firsts = numbered.groupBy(*by).agg((F.min("__k") - 1).alias("__before"))
+    ratios = materialize(numbered.join(firsts, list(by)).select(*by, (F.col("__k") - F.col("__before")).cast("int").alias("__k"), "ratio"))
     totals = pairs.groupBy(*by).agg(F.count("*").alias("__total")).join(ratios.groupBy(*by).agg(F.count("*").alias("n")), list(by), "left").withColumn("n", F.coalesce("n", F.lit(0)))
     draws = totals.where("__total >= 3 and n > 0")
     keys = ", ".join(f"{k} {t}" for k, t in pairs.select(*by).dtypes)
