@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import at, path_segments
 from ..shipping import ship_package
+from .graph import connected_components
 
 # Path segments that name a colour stream, message types that are images.
 COLOUR = ("rgb", "color", "colour", "left", "image_color")
@@ -68,21 +69,35 @@ def _of_model(pdf: pd.DataFrame, by: Sequence[str], points: list[int]) -> pd.Dat
     return pd.DataFrame({**{b: np.repeat(pdf[b].to_numpy(dtype=object)[:1], len(points)) for b in by}, "point": np.array(points, np.int64)})
 
 
-def select_tracks(tracks: DataFrame, *, point: str, image: str, budget: int, max_tracks: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+def _parts(seen: DataFrame, by: Sequence[str], place: Column) -> DataFrame:
+    """seen with the connected part of its points and places as __part: what is selected in one changes nothing in another."""
+    model = F.concat_ws("\t", *[F.coalesce(F.concat(F.lit("="), F.col(b).cast("string")), F.lit("-")) for b in by]) if by else F.lit("")
+    named = seen.withColumn("__node", F.concat(F.lit("p"), F.col("point").cast("string"), F.lit("\n"), model))
+    edges = named.select("__node", F.concat(F.lit("i"), place.cast("string"), F.lit("\n"), model).alias("__place"))
+    parts = connected_components(edges, "__node", "__place").select(F.col("node").alias("__node"), F.col("component").alias("__part"))
+    return named.join(parts, "__node").drop("__node")
+
+
+def select_tracks(tracks: DataFrame, *, point: str, image: str, budget: int, max_tracks: int | None = None, by: Sequence[str] = (), split: bool = False) -> DataFrame:
     """(by, point): tracks taken longest first, of equals the larger id, while one of their images has at most `budget` of them.
 
     It ends at max_tracks, or when every image has more than `budget`. A track's length is its
     number of observations, and each of them counts for its image. What is taken depends on
-    all before it, so a model (by) is one group; models are dealt over the tasks.
+    all before it, so a model (by) is one group; models are dealt over the tasks. With split, a
+    group is a connected part of a model's tracks and images, which gives the same; of the parts'
+    tracks the first max_tracks then stay.
     """
     ship_package(tracks.sparkSession)
-    rows = tracks.groupBy(*by, F.col(point).alias("point")).agg(F.array_sort(F.collect_list(F.col(image))).alias("images"))
+    named = tracks.select(*by, F.col(point).alias("point"), F.col(image).alias("image"))
+    inner, taken, models = ["__part"] if split else [], None if split else max_tracks, list(by)
+    by = [*by, *inner]
+    rows = (_parts(named, models, F.col("image")) if split else named).groupBy(*by, "point").agg(F.array_sort(F.collect_list("image")).alias("images"))
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         held: dict[int, int] = dict.fromkeys((i for images in pdf["images"] for i in images), 0)
         wanting, out = len(held), []
         for images, p in sorted(((list(x), p) for p, x in zip(pdf["point"], pdf["images"], strict=True)), key=lambda t: (len(t[0]), t[1]), reverse=True):
-            if not wanting or (max_tracks is not None and len(out) >= max_tracks):
+            if not wanting or (taken is not None and len(out) >= taken):
                 break
             if any(held[i] <= budget for i in images):
                 out.append(p)
@@ -91,23 +106,33 @@ def select_tracks(tracks: DataFrame, *, point: str, image: str, budget: int, max
                     held[i] += 1
         return _of_model(pdf, by, out)
 
-    schema = ", ".join([f"{k} {t}" for k, t in tracks.select(*by).dtypes] + ["point long"]) if by else "point long"
-    return rows.groupBy(*by).applyInPandas(greedy, schema)
+    schema = ", ".join([f"{k} {t}" for k, t in rows.select(*by).dtypes] + ["point long"]) if by else "point long"
+    found = rows.groupBy(*by).applyInPandas(greedy, schema).drop(*inner)
+    if split and max_tracks is not None:
+        lengths = rows.select(*models, F.col("point"), F.size("images").alias("__length"))
+        order = Window.partitionBy(*models).orderBy(F.col("__length").desc(), F.col("point").desc())
+        found = found.join(lengths, [*models, "point"]).withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= max_tracks).select(*models, "point")
+    return found
 
 
-def redundant_points(observations: DataFrame, *, point: str, image: str, x: str, y: str, width: float, height: float, min_gain: float, tiles: int = 8, by: Sequence[str] = ()) -> DataFrame:
+def redundant_points(observations: DataFrame, *, point: str, image: str, x: str, y: str, width: float, height: float, min_gain: float, tiles: int = 8, by: Sequence[str] = (), split: bool = False) -> DataFrame:
     """(by, point): points that add too little to the coverage of images by tiles.
 
     Each image is cut into tiles * tiles. A point's gain is the sum over its observations of
     1 / sqrt(n + 1) - 1 / sqrt(n + 2) with n selected points in the observation's tile. Points
     are selected by gain, of equals the larger id, while it is above min_gain; the others are
     redundant. Gains only fall, so a queue keeps old gains and renews the one at its head.
-    Each selection depends on all before it, so a model (by) is one group.
+    Each selection depends on all before it, so a model (by) is one group; with split, a
+    connected part of a model's points and tiles, which gives the same.
     """
     ship_package(observations.sparkSession)
     tile = lambda c, size: F.least(F.greatest((F.col(c) * tiles / size).cast("int"), F.lit(0)), F.lit(tiles - 1))
     seen = F.struct(F.col(image).alias("image"), (tile(x, width) * tiles + tile(y, height)).alias("tile"))
-    rows = observations.groupBy(*by, F.col(point).alias("point")).agg(F.array_sort(F.collect_list(seen)).alias("seen"))
+    named = observations.select(*by, F.col(point).alias("point"), seen.alias("seen"))
+    inner, models = ["__part"] if split else [], list(by)
+    by = [*by, *inner]
+    where = F.concat_ws(":", F.col("seen.image").cast("string"), F.col("seen.tile").cast("string"))
+    rows = (_parts(named, models, where) if split else named).groupBy(*by, "point").agg(F.array_sort(F.collect_list("seen")).alias("seen"))
 
     def prune(pdf: pd.DataFrame) -> pd.DataFrame:
         seen = {p: [(o["image"], o["tile"]) for o in found] for p, found in zip(pdf["point"], pdf["seen"], strict=True)}
@@ -131,5 +156,5 @@ def redundant_points(observations: DataFrame, *, point: str, image: str, x: str,
                 held[o] = held.get(o, 0) + 1
         return _of_model(pdf, by, sorted(left))
 
-    schema = ", ".join([f"{k} {t}" for k, t in observations.select(*by).dtypes] + ["point long"]) if by else "point long"
-    return rows.groupBy(*by).applyInPandas(prune, schema)
+    schema = ", ".join([f"{k} {t}" for k, t in rows.select(*by).dtypes] + ["point long"]) if by else "point long"
+    return rows.groupBy(*by).applyInPandas(prune, schema).drop(*inner)

@@ -514,3 +514,15 @@ def test_mutual_matches_through_the_index(spark):
     found = {(r.left, r.right) for r in P.mutual_matches(left, right, key="k", vector="v", max_distance=2.0, probes=8).collect()}
     assert len(exact) > 900 and len(found & exact) >= 0.9 * len(exact)
     assert {(r.left, r.right) for r in P.mutual_matches(left, right, key="k", vector="v", max_distance=2.0, probes=1024).collect()} == exact
+
+
+def test_selections_by_connected_parts_are_those_of_whole_models(spark):
+    rng = np.random.default_rng(12)
+    # points of a part share its images; two models, of which one has tracks without a common image
+    rows = [(m, 100 * part + p, 10 * part + int(i), float(rng.uniform(0, 10)), float(rng.uniform(0, 5))) for m in "ab" for part in range(4 if m == "a" else 1) for p in range(18) for i in rng.choice(4, int(rng.integers(1, 4)), replace=False)]
+    df = spark.createDataFrame(rows, "m string, p long, i long, x double, y double")
+    for most in (None, 7, 25):
+        plain, split = ({(r.m, r.point) for r in T.select_tracks(df, point="p", image="i", budget=2, max_tracks=most, by=["m"], split=s).collect()} for s in (False, True))
+        assert plain == split and plain
+    plain, split = ({(r.m, r.point) for r in T.redundant_points(df, point="p", image="i", x="x", y="y", width=10.0, height=5.0, min_gain=0.35, by=["m"], split=s).collect()} for s in (False, True))
+    assert plain == split and plain
