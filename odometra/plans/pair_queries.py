@@ -20,6 +20,9 @@ RANKS = "ranks AS (SELECT l_suppkey AS image_id, row_number() OVER (ORDER BY l_s
 PAIRS = f"""{TRACKS}, cov AS (SELECT a.image_id AS id1, b.image_id AS id2, count(*) AS shared FROM tracks a JOIN tracks b ON a.point_id = b.point_id AND a.image_id < b.image_id GROUP BY ALL)"""
 
 
+EDGES = "e AS (SELECT DISTINCT o_custkey AS id1, 100000 + (o_orderkey * 7919) % 14723 AS id2 FROM orders)"
+
+
 def supplier_pairs(spark, sf, min_track=2):
     return P.covisible(tracks(spark, sf), point="point_id", image="image_id", min_track=min_track)
 
@@ -93,14 +96,11 @@ def d14(spark, sf):
 
 @REGISTRY.add(
     "d15_transitive_pairs",
-    """WITH p AS (SELECT DISTINCT s_nationkey AS id1, (s_nationkey * 3 + 1) % 25 AS id2 FROM supplier WHERE s_nationkey != (s_nationkey * 3 + 1) % 25),
-u AS (SELECT least(id1, id2) AS id1, greatest(id1, id2) AS id2 FROM p GROUP BY ALL), s AS (SELECT id1 AS a, id2 AS b FROM u UNION SELECT id2, id1 FROM u)
-SELECT DISTINCT x.a AS id1, y.b AS id2 FROM s x JOIN s y ON x.b = y.a WHERE x.a < y.b AND NOT EXISTS (SELECT 1 FROM u WHERE u.id1 = x.a AND u.id2 = y.b)""",
+    f"""WITH {EDGES}, s AS (SELECT id1 AS a, id2 AS b FROM e UNION SELECT id2, id1 FROM e)
+SELECT DISTINCT x.a AS id1, y.b AS id2 FROM s x JOIN s y ON x.b = y.a WHERE x.a < y.b AND NOT EXISTS (SELECT 1 FROM s u WHERE u.a = x.a AND u.b = y.b)""",
 )
 def d15(spark, sf):
-    n = F.col("s_nationkey")
-    p = table(spark, sf, "supplier").select(n.alias("id1"), ((n * 3 + 1) % 25).alias("id2")).where("id1 != id2")
-    return P.transitive(p)
+    return P.transitive(order_edges(spark, sf))
 
 
 @REGISTRY.add("d16_imported_pairs", "SELECT DISTINCT least(l_suppkey, l_partkey) AS id1, greatest(l_suppkey, l_partkey) AS id2 FROM lineitem WHERE l_suppkey != l_partkey")
@@ -124,14 +124,13 @@ def d18(spark, sf):
 
 @REGISTRY.add(
     "d19_transitive_correspondences",
-    """WITH RECURSIVE e AS (SELECT DISTINCT n_nationkey AS a, (n_nationkey * 2 + 3) % 25 AS b FROM nation), s AS (SELECT a, b FROM e WHERE a != b UNION SELECT b, a FROM e WHERE a != b),
-r AS (SELECT n_nationkey AS origin, n_nationkey AS node, 0 AS d FROM nation WHERE n_nationkey % 5 = 0 UNION SELECT origin, s.b, d + 1 FROM r JOIN s ON s.a = node WHERE d < 3)
+    f"""WITH RECURSIVE {EDGES}, s AS (SELECT id1 AS a, id2 AS b FROM e UNION SELECT id2, id1 FROM e),
+r AS (SELECT c_custkey AS origin, c_custkey AS node, 0 AS d FROM customer WHERE c_nationkey = 7 UNION SELECT origin, s.b, d + 1 FROM r JOIN s ON s.a = node WHERE d < 3)
 SELECT DISTINCT origin, node FROM r WHERE node != origin""",
 )
 def d19(spark, sf):
-    n = table(spark, sf, "nation")
-    e = n.select(F.col("n_nationkey").alias("id1"), ((F.col("n_nationkey") * 2 + 3) % 25).alias("id2"))
-    return G.transitive_correspondences(e, n.where("n_nationkey % 5 = 0").select("n_nationkey"), 3)
+    """From the customers of one nation, which ask, over all orders."""
+    return G.transitive_correspondences(order_edges(spark, sf), table(spark, sf, "customer").where("c_nationkey = 7").select("c_custkey"), 3)
 
 
 @REGISTRY.add("d20_common_by_name", "SELECT a.p_name AS name, count(*) AS n FROM part a JOIN (SELECT DISTINCT p_name FROM part WHERE p_size > 40) b USING (p_name) WHERE a.p_size <= 10 GROUP BY 1")
@@ -192,7 +191,6 @@ def e24(spark, sf):
     return P.covisible(tracks(spark, sf), point="point_id", image="image_id", min_track=3, min_shared=20)
 
 
-EDGES = "e AS (SELECT DISTINCT o_custkey AS id1, 100000 + (o_orderkey * 7919) % 14723 AS id2 FROM orders)"
 COMPONENTS = f"""{EDGES}, s AS (SELECT id1 AS a, id2 AS b FROM e UNION SELECT id2, id1 FROM e), r AS (SELECT a AS node, b AS other FROM s UNION SELECT r.node, s.b FROM r JOIN s ON s.a = r.other), c AS (SELECT node, least(node, min(other)) AS component FROM r GROUP BY 1)"""
 
 
