@@ -59,14 +59,33 @@ def loop_filter(pairs: DataFrame, *, inliers: str, matches: str, min_inliers: in
     return pairs.withColumn("ratio", ratio).withColumn("keep", F.col("sequential") | ~((F.col(inliers) < min_inliers) | (ratio < min_ratio)))
 
 
+#: Items of a key that one task pairs with as many others.
+TOGETHER = 2048
+
+
+def pairs_within(items: DataFrame, key: str, item: str, together: int = TOGETHER) -> DataFrame:
+    """(key, id1, id2) with id1 < id2: all pairs of the distinct items (key, item) of a key.
+
+    The items of a key with more than `together` are dealt into parts by their hash, and each
+    pair of parts is a join key of its own, so that no task has more than about together^2
+    pairs, however many items a key has. The pairs themselves are the result.
+    """
+    sizes = items.groupBy(key).agg(F.ceil(F.count("*") / together).cast("int").alias("__k"))
+    dealt = items.join(sizes, key).select(key, F.col(item).alias("__i"), "__k", F.pmod(F.xxhash64(item), F.col("__k")).cast("int").alias("__own"))
+    others = F.explode(F.sequence(F.lit(0), F.col("__k") - 1)).alias("__other")
+    a = dealt.select(key, F.col("__i").alias("id1"), F.col("__own").alias("__a"), others).withColumnRenamed("__other", "__b")
+    b = dealt.select(key, F.col("__i").alias("id2"), F.col("__own").alias("__b"), others).withColumnRenamed("__other", "__a")
+    return a.join(b, [key, "__a", "__b"]).where("id1 < id2").select(key, "id1", "id2")
+
+
 def transitive(pairs: DataFrame, rounds: int = 1) -> DataFrame:
     """New pairs (a, c) with (a, b) and (b, c) present and (a, c) not; each round starts from all pairs so far."""
     known = pairs.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2")).distinct()
     first = known
     for _ in range(rounds):
         both = known.unionByName(known.select(F.col("id2").alias("id1"), F.col("id1").alias("id2")))
-        a, b = both.toDF("mid", "id1"), both.toDF("mid", "id2")
-        known = known.unionByName(a.join(b, "mid").where("id1 < id2").select("id1", "id2")).distinct()
+        near = pairs_within(both.toDF("mid", "near"), "mid", "near").select("id1", "id2").distinct()
+        known = known.unionByName(near).distinct()
     return known.join(first, ["id1", "id2"], "left_anti")
 
 
@@ -221,15 +240,12 @@ def mutual_matches(left: DataFrame, right: DataFrame, *, key: str, vector: str,
 def covisible(tracks: DataFrame, *, point: str, image: str, min_track: int = 3, min_shared: int = 1) -> DataFrame:
     """(id1, id2, shared): images that see min_shared or more common points of tracks of min_track or more images.
 
-    Pairs are made within a point's track, whose length bounds them, and counted before the
-    shuffle on the pair; both sides of the join can be split where a track is very long.
+    Pairs are made within a point's track, long ones in parts, and counted before the shuffle
+    on the pair.
     """
     t = tracks.select(F.col(point).alias("p"), F.col(image).alias("i")).distinct()
     n = t.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") >= min_track)
-    long = t.join(n, "p")
-    a = long.select("p", F.col("i").alias("id1"))
-    b = long.select("p", F.col("i").alias("id2"))
-    pairs = a.join(b, "p").where("id1 < id2")
+    pairs = pairs_within(t.join(n.select("p"), "p", "left_semi"), "p", "i")
     return pairs.groupBy("id1", "id2").agg(F.count("*").alias("shared")).where(F.col("shared") >= min_shared)
 
 

@@ -526,3 +526,12 @@ def test_selections_by_connected_parts_are_those_of_whole_models(spark):
         assert plain == split and plain
     plain, split = ({(r.m, r.point) for r in T.redundant_points(df, point="p", image="i", x="x", y="y", width=10.0, height=5.0, min_gain=0.35, by=["m"], split=s).collect()} for s in (False, True))
     assert plain == split and plain
+
+
+def test_pairs_within_a_key_in_parts(spark):
+    rows = [("hub", i) for i in range(57)] + [("a", i) for i in (3, 9, 4)] + [("one", 5)]
+    df = spark.createDataFrame(rows, "k string, i long")
+    want = {(k, x, y) for k, x in rows for k2, y in rows if k == k2 and x < y}
+    for together in (5, 2048):
+        got = [(r.k, r.id1, r.id2) for r in P.pairs_within(df, "k", "i", together).collect()]
+        assert len(got) == len(want) and set(got) == want
