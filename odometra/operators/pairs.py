@@ -40,15 +40,18 @@ def sequential(items: DataFrame, *, key: str, order: Sequence[str], by: Sequence
     return a.join(b, [*by, "rank"]).select(*by, "id1", "id2")
 
 
-def classify_pairs(pairs: DataFrame, ranks: DataFrame, *, key: str, overlap: int, quadratic: bool = True) -> DataFrame:
-    """sequential: the ranks differ by at most overlap, or by overlap * 2^k; else the pair closes a loop."""
+def classify_pairs(pairs: DataFrame, ranks: DataFrame, *, key: str, overlap: int, quadratic: bool = True, doublings: int | None = None) -> DataFrame:
+    """sequential: the ranks differ by at most overlap, or by overlap * 2^k; else the pair closes a loop.
+
+    k goes up to doublings, by default without end.
+    """
     r = ranks.select(F.col(key).alias("__k"), F.col("rank").alias("__r"))
     both = pairs.join(r.toDF("id1", "rank1"), "id1").join(r.toDF("id2", "rank2"), "id2")
     gap = F.abs(F.col("rank2") - F.col("rank1"))
     near = gap <= overlap
     if quadratic:
-        k = F.log2(gap / float(overlap))
-        near = near | ((gap % overlap == 0) & (k == F.rint(k)))
+        step = (gap % overlap == 0) & (F.bit_count(F.floor(gap / overlap)) == 1)
+        near = near | (step if doublings is None else step & (gap <= overlap * 2**doublings))
     return both.withColumn("gap", gap).withColumn("sequential", near)
 
 
