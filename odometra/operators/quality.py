@@ -32,6 +32,12 @@ def drop_behind(obs: DataFrame, *, z: str) -> DataFrame:
     return obs.where(F.col(z) > 0)
 
 
+def _degrees_between(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """Angle of two vectors by sine and cosine, exact for small angles, where the cosine alone has no digits left."""
+    crossed = [a[i] * b[j] - a[j] * b[i] for i, j in ((1, 2), (2, 0), (0, 1))]
+    return F.degrees(F.atan2(F.sqrt(sum((c * c for c in crossed), F.lit(0.0))), sum((u * v for u, v in zip(a, b, strict=True)), F.lit(0.0))))
+
+
 def drop_small_angles(obs: DataFrame, *, point: str, rays: Sequence[str], min_angle: float) -> DataFrame:
     """Observations of points seen under min_angle degrees or more by some pair of views; rays are unit vectors.
 
@@ -43,8 +49,8 @@ def drop_small_angles(obs: DataFrame, *, point: str, rays: Sequence[str], min_an
     x, y, z = (F.col(c) for c in rays)
     sums = obs.groupBy(F.col(point).alias("__of")).agg(*[F.sum(c).alias(f"__s{i}") for i, c in enumerate(rays)], F.count("*").alias("__n"))
     length = F.sqrt(sum((F.col(f"__s{i}") * F.col(f"__s{i}") for i in range(3)), F.lit(0.0)))
-    degrees = lambda cosine: F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
-    off = F.when(length > 1e-9, degrees((x * F.col("__s0") + y * F.col("__s1") + z * F.col("__s2")) / F.when(length > 1e-9, length)))
+    mean = [F.col(f"__s{i}") / F.when(length > 1e-9, length) for i in range(3)]
+    off = F.when(length > 1e-9, _degrees_between((x, y, z), mean))
     views = materialize(obs.join(sums, F.col(point) == F.col("__of")).where("__n > 1").select(F.col(point).alias("__of"), x.alias("__x"), y.alias("__y"), z.alias("__z"), off.alias("__off")))
     cones = materialize(views.groupBy("__of").agg(F.max("__off").alias("__most"), F.count("__off").alias("__known"), F.count("*").alias("__n")).withColumn("__sure", (F.col("__known") == F.col("__n"))))
     slack = 1e-6
@@ -54,7 +60,7 @@ def drop_small_angles(obs: DataFrame, *, point: str, rays: Sequence[str], min_an
     open_ = cones.where(~F.coalesce(wide, F.lit(False)) & ~F.coalesce(narrow, F.lit(False))).select("__of", "__most")
     asked = materialize(views.join(open_, "__of").where(F.col("__off").isNull() | F.col("__most").isNull() | (F.col("__off") >= min_angle - F.col("__most") - slack)).select("__of", "__x", "__y", "__z"))
     other = asked.toDF("__of", "__u", "__v", "__w")
-    angle = degrees(F.col("__x") * F.col("__u") + F.col("__y") * F.col("__v") + F.col("__z") * F.col("__w"))
+    angle = _degrees_between([F.col(c) for c in ("__x", "__y", "__z")], [F.col(c) for c in ("__u", "__v", "__w")])
     kept = kept.unionByName(asked.join(other, "__of").where(angle >= min_angle).select("__of").distinct())
     return obs.join(kept, F.col(point) == F.col("__of"), "left_semi")
 
