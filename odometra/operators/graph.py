@@ -9,9 +9,9 @@ from ..checkpoints import discard, materialize
 from .pairs import dense_ids, running_sum
 
 
-def symmetric(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
-    """Each edge in both directions, once, without loops."""
-    e = edges.where(F.col(a) != F.col(b))
+def symmetric(edges: DataFrame, a: str = "id1", b: str = "id2", loops: bool = False) -> DataFrame:
+    """Each edge in both directions, once; loops, which are the same both ways, only if asked for."""
+    e = edges if loops else edges.where(F.col(a) != F.col(b))
     return e.select(F.col(a).alias("src"), F.col(b).alias("dst")).unionByName(e.select(F.col(b).alias("src"), F.col(a).alias("dst"))).distinct()
 
 
@@ -158,13 +158,14 @@ def _rank(ranked: DataFrame, arcs: int) -> DataFrame:
     return ranked
 
 
-def degrees(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
-    return symmetric(edges, a, b).groupBy("src").agg(F.count("*").alias("degree")).withColumnRenamed("src", "node")
+def degrees(edges: DataFrame, a: str = "id1", b: str = "id2", loops: bool = False) -> DataFrame:
+    """(node, degree): distinct neighbours; a node with a loop is a neighbour of its own, if loops count."""
+    return symmetric(edges, a, b, loops).groupBy("src").agg(F.count("*").alias("degree")).withColumnRenamed("src", "node")
 
 
-def two_view_observations(edges: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:
-    """Edges whose both ends have no other edge."""
-    d = degrees(edges, a, b).where("degree = 1")
+def two_view_observations(edges: DataFrame, a: str = "id1", b: str = "id2", loops: bool = False) -> DataFrame:
+    """Edges whose both ends have no other edge; loops are edges only if they count."""
+    d = degrees(edges, a, b, loops).where("degree = 1")
     return edges_within(edges, d.select("node"), a, b)
 
 
