@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,25 +73,31 @@ def spanning_forest(edges: DataFrame, *, a: str = "id1", b: str = "id2", weight:
     """Edges (id1, id2, weight) of a maximum (or minimum) spanning forest; ties to the smaller pair of ids.
 
     Boruvka: in each round every component takes its best outgoing edge; components at least
-    halve, so the rounds are a logarithm of the vertices.
+    halve, so the rounds are a logarithm of the vertices. Between two components only the best
+    edge goes on to the next round, so that rounds shrink quickly, and components are those of
+    the edges that were just taken.
     """
     side = -1 if largest else 1
-    e = materialize(edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("id1"), F.greatest(a, b).alias("id2"), F.col(weight).alias("weight")).groupBy("id1", "id2").agg((F.max if largest else F.min)("weight").alias("weight")))
-    labels = e.select(F.col("id1").alias("node")).unionByName(e.select(F.col("id2").alias("node"))).distinct().withColumn("component", F.col("node"))
-    tree = None
+    e = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("id1"), F.greatest(a, b).alias("id2"), F.col(weight).alias("weight")).groupBy("id1", "id2").agg((F.max if largest else F.min)("weight").alias("weight"))
+    # c1, c2: the components that an edge joins, at first its ends
+    crossing = materialize(e.select(F.col("id1").alias("c1"), F.col("id2").alias("c2"), F.struct((F.col("weight") * side).alias("w"), "id1", "id2", "weight").alias("r")))
+    tree = []
     for _ in range(rounds):
-        l1, l2 = labels.toDF("id1", "c1"), labels.toDF("id2", "c2")
-        crossing = materialize(e.join(l1, "id1").join(l2, "id2").where("c1 != c2"))
-        rank = F.struct((F.col("weight") * side).alias("w"), "id1", "id2", "weight")
-        out = crossing.select(F.col("c1").alias("c"), rank.alias("r")).unionByName(crossing.select(F.col("c2").alias("c"), rank.alias("r")))
-        best = materialize(out.groupBy("c").agg(F.min("r").alias("r")).select("r.id1", "r.id2", "r.weight").distinct())
+        edge = F.struct("r", "c1", "c2")
+        out = crossing.select(F.col("c1").alias("c"), edge.alias("e")).unionByName(crossing.select(F.col("c2").alias("c"), edge.alias("e")))
+        best = materialize(out.groupBy("c").agg(F.min("e").alias("e")).select("e.r.id1", "e.r.id2", "e.r.weight", "e.c1", "e.c2").distinct())
         if best.isEmpty():
             break
-        tree = best if tree is None else materialize(tree.unionByName(best))
-        labels = materialize(connected_components(tree, nodes=labels.select("node")))
+        tree.append(best.select("id1", "id2", "weight"))
+        labels = materialize(connected_components(best, "c1", "c2"))
+        l1, l2 = labels.toDF("c1", "n1"), labels.toDF("c2", "n2")
+        left = crossing.join(l1, "c1").join(l2, "c2").where("n1 != n2").groupBy(F.least("n1", "n2").alias("c1"), F.greatest("n1", "n2").alias("c2")).agg(F.min("r").alias("r"))
+        following = materialize(left)
+        discard(crossing, labels)
+        crossing = following
     else:
         raise RuntimeError(f"the forest isn't finished after {rounds} rounds")
-    return tree if tree is not None else e.limit(0)
+    return reduce(DataFrame.unionByName, tree) if tree else crossing.select("r.id1", "r.id2", "r.weight")
 
 
 def rooted_forest(edges: DataFrame, *, a: str = "id1", b: str = "id2", roots: DataFrame | None = None, nodes: DataFrame | None = None) -> DataFrame:
