@@ -7,9 +7,11 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.scalar import at, path_segments
 from ..shipping import ship_package
@@ -64,9 +66,36 @@ def resolve(rows: DataFrame, profiles: DataFrame, *, key: str, value: str, fallb
     return joined.withColumn("provenance", source).withColumn(value, F.coalesce(value, fallback))
 
 
-def _of_model(pdf: pd.DataFrame, by: Sequence[str], points: list[int]) -> pd.DataFrame:
-    """Points with the keys of the model that pdf is of."""
-    return pd.DataFrame({**{b: np.repeat(pdf[b].to_numpy(dtype=object)[:1], len(points)) for b in by}, "point": np.array(points, np.int64)})
+def _of_model(model: pa.Table, schema: pa.Schema, points: Sequence[int]) -> pa.Table:
+    """Points with the keys of the model that the table is of."""
+    keys = [pa.array([model.column(f.name)[0].as_py()] * len(points), f.type) for f in schema if f.name != "point"]
+    return pa.Table.from_arrays([*keys, pa.array(points, pa.int64())], schema=schema)
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """Values as numbers from 1 in their order; 0 for null."""
+    known = column.is_valid().to_numpy()
+    out = np.zeros(len(column), np.int64)
+    out[known] = np.unique(column.drop_null().to_numpy(), return_inverse=True)[1] + 1
+    return out
+
+
+def _by_point(point: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(points, starts, places, n) of observations: what points[k] is seen at is places[starts[k]:starts[k + 1]], in order, of numbers below n.
+
+    An observation takes some tens of bytes and no Python object.
+    """
+    names, place = np.unique(place, return_inverse=True)
+    order = np.lexsort((place, point))
+    points, starts = np.unique(point[order], return_index=True)
+    return points, np.append(starts, len(order)), place[order].astype(np.int32), len(names)
+
+
+def _selected(rows: DataFrame, by: Sequence[str], select) -> DataFrame:
+    """(by, point): the points that select() gives for the table of a model."""
+    schema = StructType([*rows.select(*by).schema, StructField("point", LongType())])
+    types = to_arrow_schema(schema)
+    return rows.groupBy(*by).applyInArrow(lambda model: _of_model(model, types, select(model)), schema)
 
 
 def _parts(seen: DataFrame, by: Sequence[str], place: Column) -> DataFrame:
@@ -91,25 +120,25 @@ def select_tracks(tracks: DataFrame, *, point: str, image: str, budget: int, max
     named = tracks.select(*by, F.col(point).alias("point"), F.col(image).alias("image"))
     inner, taken, models = ["__part"] if split else [], None if split else max_tracks, list(by)
     by = [*by, *inner]
-    rows = (_parts(named, models, F.col("image")) if split else named).groupBy(*by, "point").agg(F.array_sort(F.collect_list("image")).alias("images"))
+    rows = (_parts(named, models, F.col("image")) if split else named).where("image is not null").select(*by, "point", "image")
 
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        held: dict[int, int] = dict.fromkeys((i for images in pdf["images"] for i in images), 0)
-        wanting, out = len(held), []
-        for images, p in sorted(((list(x), p) for p, x in zip(pdf["point"], pdf["images"], strict=True)), key=lambda t: (len(t[0]), t[1]), reverse=True):
+    def greedy(model: pa.Table) -> list[int]:
+        points, starts, places, n = _by_point(model["point"].to_numpy(), _numbers(model["image"]))
+        held, wanting, out = [0] * n, n, []
+        for k in np.lexsort((points, np.diff(starts)))[::-1].tolist():
             if not wanting or (taken is not None and len(out) >= taken):
                 break
+            images = places[starts[k] : starts[k + 1]].tolist()
             if any(held[i] <= budget for i in images):
-                out.append(p)
+                out.append(int(points[k]))
                 for i in images:
                     wanting -= held[i] == budget
                     held[i] += 1
-        return _of_model(pdf, by, out)
+        return out
 
-    schema = ", ".join([f"{k} {t}" for k, t in rows.select(*by).dtypes] + ["point long"]) if by else "point long"
-    found = rows.groupBy(*by).applyInPandas(greedy, schema).drop(*inner)
+    found = _selected(rows, by, greedy).drop(*inner)
     if split and max_tracks is not None:
-        lengths = rows.select(*models, F.col("point"), F.size("images").alias("__length"))
+        lengths = rows.groupBy(*models, "point").agg(F.count("*").alias("__length"))
         order = Window.partitionBy(*models).orderBy(F.col("__length").desc(), F.col("point").desc())
         found = found.join(lengths, [*models, "point"]).withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= max_tracks).select(*models, "point")
     return found
@@ -127,23 +156,22 @@ def redundant_points(observations: DataFrame, *, point: str, image: str, x: str,
     """
     ship_package(observations.sparkSession)
     tile = lambda c, size: F.least(F.greatest((F.col(c) * tiles / size).cast("int"), F.lit(0)), F.lit(tiles - 1))
-    seen = F.struct(F.col(image).alias("image"), (tile(x, width) * tiles + tile(y, height)).alias("tile"))
-    named = observations.select(*by, F.col(point).alias("point"), seen.alias("seen"))
+    named = observations.select(*by, F.col(point).alias("point"), F.col(image).alias("image"), (tile(x, width) * tiles + tile(y, height)).alias("tile"))
     inner, models = ["__part"] if split else [], list(by)
     by = [*by, *inner]
-    where = F.concat_ws(":", F.col("seen.image").cast("string"), F.col("seen.tile").cast("string"))
-    rows = (_parts(named, models, where) if split else named).groupBy(*by, "point").agg(F.array_sort(F.collect_list("seen")).alias("seen"))
+    where = F.concat_ws(":", F.col("image").cast("string"), F.col("tile").cast("string"))
+    rows = (_parts(named, models, where) if split else named).select(*by, "point", "image", "tile")
 
-    def prune(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen = {p: [(o["image"], o["tile"]) for o in found] for p, found in zip(pdf["point"], pdf["seen"], strict=True)}
-        held: dict[tuple[int, int], int] = {}
+    def prune(model: pa.Table) -> np.ndarray:
+        points, starts, places, n = _by_point(model["point"].to_numpy(), _numbers(model["image"]) * tiles**2 + model["tile"].to_numpy())
+        held, left = [0] * n, np.ones(len(points), bool)
 
-        def gain(p: int) -> float:
-            return sum(1 / math.sqrt(n + 1) - 1 / math.sqrt(n + 2) for n in (held.get(o, 0) for o in seen[p]))
+        def gain(k: int) -> float:
+            return sum(1 / math.sqrt(m + 1) - 1 / math.sqrt(m + 2) for m in map(held.__getitem__, places[starts[k] : starts[k + 1]].tolist()))
 
-        queue = [(-gain(p), -p) for p in seen]
+        # of equal gains the larger id, which is the later place
+        queue = [(-gain(k), -k) for k in range(len(points))]
         heapq.heapify(queue)
-        left = set(seen)
         while queue and -queue[0][0] > min_gain:
             old, minus = queue[0]
             now = gain(-minus)
@@ -151,10 +179,9 @@ def redundant_points(observations: DataFrame, *, point: str, image: str, x: str,
                 heapq.heapreplace(queue, (-now, minus))
                 continue
             heapq.heappop(queue)
-            left.remove(-minus)
-            for o in seen[-minus]:
-                held[o] = held.get(o, 0) + 1
-        return _of_model(pdf, by, sorted(left))
+            left[-minus] = False
+            for place in places[starts[-minus] : starts[-minus + 1]].tolist():
+                held[place] += 1
+        return points[left]
 
-    schema = ", ".join([f"{k} {t}" for k, t in rows.select(*by).dtypes] + ["point long"]) if by else "point long"
-    return rows.groupBy(*by).applyInPandas(prune, schema).drop(*inner)
+    return _selected(rows, by, prune).drop(*inner)
