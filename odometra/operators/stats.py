@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -183,12 +184,17 @@ def combinations(items: DataFrame, key: str, k: int, by: Sequence[str] = ()) ->
     return out
 
 
+#: Rounds of least absolute deviations after which the rows' state is written.
+WRITTEN = 5
+
+
 def least_absolute(rows: DataFrame, *, by: Sequence[str], features: Sequence[str], target: str, rho: float = 1.0, alpha: float = 1.0, rounds: int = 1000, absolute: float = 1e-4, relative: float = 1e-2, ridge: float = 0.0) -> DataFrame:
     """(by, x, loss, rounds, converged): per group the x that makes the sum of |features . x - target| least.
 
     By the alternating direction method: the normal equations of a group are summed and
-    inverted once; each round then is one sum per group, whose product with that inverse is x,
-    and a shrink step that stays with the rows. Groups leave when the primal and the dual
+    inverted once; each round then is one pass over the rows, whose sums per group give x by
+    that inverse, and a shrink step that stays with the rows. What rows hold follows from the x
+    of the rounds before, and is written every WRITTEN rounds only. Groups leave when the primal and the dual
     residual are within the absolute and relative tolerance. Rows with a null take no part;
     groups with fewer rows than features, or whose equations have no single solution, have x null.
     """
@@ -212,37 +218,45 @@ def least_absolute(rows: DataFrame, *, by: Sequence[str], features: Sequence[str
 
     kinds = ", ".join(f"{c} {t}" for c, t in rows.select(*by).dtypes)
     groups = materialize(sums.mapInPandas(inverted, f"{kinds}, n long, b_norm double, inverse array<double>"))
-    state = materialize(held.join(groups.where("inverse is not null").select(*by), by, "left_semi").withColumn("z", F.lit(0.0)).withColumn("u", F.lit(0.0)))
-    found = None
+    row = [*by, *[F.get("a", F.lit(i)).alias(f"a{i}") for i in range(k)], "b"]
+    state = materialize(held.join(groups.where("inverse is not null").select(*by), by, "left_semi").select(*row, F.lit(0.0).alias("z"), F.lit(0.0).alias("u")))
+    found, pending = None, []
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    each = lambda value: F.array(*[F.sum(F.get("a", F.lit(i)) * value) for i in range(k)])
+    each = lambda value: [F.sum(F.col(f"a{i}") * value) for i in range(k)]
     size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+
+    def stepped(rows: DataFrame, x: DataFrame) -> DataFrame:
+        """rows after a round with the x of their groups."""
+        moved = rows.join(x.select(*by, *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(k)]), by).withColumn("ax", sum((F.col(f"a{i}") * F.col(f"x{i}") for i in range(k)), F.lit(0.0)))
+        gap = alpha * F.col("ax") + (1 - alpha) * (F.col("z") + F.col("b")) - F.col("b") + F.col("u")
+        new = F.least(gap + 1 / rho, F.lit(0.0)) + F.greatest(gap - 1 / rho, F.lit(0.0))
+        return moved.withColumn("gap", gap).withColumn("new", new).select(*by, *[f"a{i}" for i in range(k)], "b", "ax", F.col("z").alias("z0"), F.col("new").alias("z"), (F.col("gap") - F.col("new")).alias("u"))
+
+    right = state.groupBy(*by).agg(F.array(*each(F.col("b"))).alias("right"))
     for step in range(1, rounds + 1):
-        right = state.groupBy(*by).agg(each(F.col("b") + F.col("z") - F.col("u")).alias("right")).join(groups.select(*by, "inverse"), by)
         x = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: dot(F.slice("inverse", i * k + 1, F.lit(k)), F.col("right")))
-        moved = state.select(*by, "a", "b", "z", "u").join(right.select(*by, x.alias("x")), by).withColumn("ax", dot(F.col("a"), F.col("x")))
-        relaxed = alpha * F.col("ax") + (1 - alpha) * (F.col("z") + F.col("b"))
-        gap = relaxed - F.col("b") + F.col("u")
-        new = F.least(gap + 1 / rho, F.lit(0.0)) + F.greatest(gap - 1 / rho, F.lit(0.0))
-        following = materialize(moved.select(*by, "a", "b", "x", "ax", F.col("z").alias("z0"), new.alias("z"), (gap - new).alias("u")))
+        pending.append(materialize(right.join(groups.select(*by, "inverse"), by).select(*by, x.alias("x"))))
+        following = reduce(stepped, pending, state)
         left = F.col("ax") - F.col("z") - F.col("b")
         norms = following.groupBy(*by).agg(
-            F.first("x").alias("x"), F.sum(F.abs(F.col("ax") - F.col("b"))).alias("loss"), F.sqrt(F.sum(left * left)).alias("r"), F.sqrt(F.sum(F.col("ax") * F.col("ax"))).alias("ax_norm"), F.sqrt(F.sum(F.col("z") * F.col("z"))).alias("z_norm"), each(F.col("z") - F.col("z0")).alias("dz"), each(F.col("u")).alias("au")
-        ).join(groups.select(*by, "n", "b_norm"), by)
+            F.sum(F.abs(F.col("ax") - F.col("b"))).alias("loss"), F.sqrt(F.sum(left * left)).alias("r"), F.sqrt(F.sum(F.col("ax") * F.col("ax"))).alias("ax_norm"), F.sqrt(F.sum(F.col("z") * F.col("z"))).alias("z_norm"),
+            F.array(*each(F.col("z") - F.col("z0"))).alias("dz"), F.array(*each(F.col("u"))).alias("au"), F.array(*each(F.col("b") + F.col("z") - F.col("u"))).alias("right")
+        ).join(groups.select(*by, "n", "b_norm"), by).join(pending[-1], by)
         near = (F.col("r") < F.sqrt("n") * absolute + relative * F.greatest("ax_norm", "z_norm", "b_norm")) & (rho * size(F.col("dz")) < k**0.5 * absolute + relative * rho * size(F.col("au")))
-        judged = materialize(norms.select(*by, "x", "loss", F.lit(step).alias("rounds"), near.alias("converged")))
-        discard(state)
+        judged = materialize(norms.select(*by, "x", "loss", F.lit(step).alias("rounds"), near.alias("converged"), "right"))
         done = judged if step == rounds else judged.where("converged")
-        if not done.isEmpty():
+        some = not done.isEmpty()
+        if some:
+            done = done.drop("right")
             found = done if found is None else found.unionByName(done)
-            state = materialize(following.select(*by, "a", "b", "z", "u").join(done.select(*by), by, "left_anti"))
-            discard(following)
-            if state.isEmpty():
-                break
-        elif judged.isEmpty():
+        right = judged.where("not converged").select(*by, "right")
+        if step == rounds or right.isEmpty():
             break
-        else:
-            state = following
+        if some or len(pending) == WRITTEN:
+            written = materialize(following.select(*state.columns).join(right.select(*by), by, "left_semi"))
+            discard(state, *pending)
+            state, pending = written, []
+    discard(state)
     results = groups.select(*by) if found is None else groups.select(*by).join(found, by, "left")
     if found is None:
         results = results.select(*by, F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("double").alias("loss"), F.lit(None).cast("int").alias("rounds"), F.lit(None).cast("boolean").alias("converged"))
