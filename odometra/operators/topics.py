@@ -75,7 +75,7 @@ def _of_model(model: pa.Table, schema: pa.Schema, points: Sequence[int]) -> pa.T
 def _numbers(column: pa.ChunkedArray) -> np.ndarray:
     """Values as numbers from 1 in their order; 0 for null."""
     known = column.is_valid().to_numpy()
-    out = np.zeros(len(column), np.int64)
+    out = np.zeros(len(column), np.int32)
     out[known] = np.unique(column.drop_null().to_numpy(), return_inverse=True)[1] + 1
     return out
 
@@ -86,9 +86,12 @@ def _by_point(point: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndar
     An observation takes some tens of bytes and no Python object.
     """
     names, place = np.unique(place, return_inverse=True)
+    place = place.astype(np.int32)
     order = np.lexsort((place, point))
-    points, starts = np.unique(point[order], return_index=True)
-    return points, np.append(starts, len(order)), place[order].astype(np.int32), len(names)
+    place, point = place[order], point[order]
+    del order
+    starts = np.flatnonzero(np.append(True, point[1:] != point[:-1])) if len(point) else np.zeros(0, np.int64)
+    return point[starts], np.append(starts, len(point)), place, len(names)
 
 
 def _selected(rows: DataFrame, by: Sequence[str], select) -> DataFrame:
@@ -163,7 +166,11 @@ def redundant_points(observations: DataFrame, *, point: str, image: str, x: str,
     rows = (_parts(named, models, where) if split else named).select(*by, "point", "image", "tile")
 
     def prune(model: pa.Table) -> np.ndarray:
-        points, starts, places, n = _by_point(model["point"].to_numpy(), _numbers(model["image"]) * tiles**2 + model["tile"].to_numpy())
+        image = _numbers(model["image"])
+        if len(image) and (int(image.max()) + 1) * tiles**2 >= 2**31:
+            image = image.astype(np.int64)
+        points, starts, places, n = _by_point(model["point"].to_numpy(), image * tiles**2 + model["tile"].to_numpy())
+        del image
         held, left = [0] * n, np.ones(len(points), bool)
 
         def gain(k: int) -> float:
