@@ -26,10 +26,11 @@ def transforms(matches: DataFrame) -> DataFrame:
 
     Matches with a null, or with a scale that isn't positive, give none and are left out.
     """
-    m = matches.withColumn("scale", F.when(F.col("scale1") > 0, F.col("scale2") / F.when(F.col("scale1") > 0, F.col("scale1")))).withColumn("angle", F.col("angle2") - F.col("angle1"))
-    c, s = F.col("scale") * F.cos("angle"), F.col("scale") * F.sin("angle")
-    m = m.withColumn("tx", F.col("x2") - (c * F.col("x1") - s * F.col("y1"))).withColumn("ty", F.col("y2") - (s * F.col("x1") + c * F.col("y1")))
-    return m.where((F.col("scale") > 0) & F.col("tx").isNotNull() & F.col("ty").isNotNull())
+    scale, angle = F.when(F.col("scale1") > 0, F.col("scale2") / F.when(F.col("scale1") > 0, F.col("scale1"))), F.col("angle2") - F.col("angle1")
+    # out of a list of one, so that conditions on what follows don't work these out again each
+    m = matches.select("*", F.inline(F.array(F.struct(scale.alias("scale"), angle.alias("angle"), (scale * F.cos(angle)).alias("__c"), (scale * F.sin(angle)).alias("__s")))))
+    m = m.withColumn("tx", F.col("x2") - (F.col("__c") * F.col("x1") - F.col("__s") * F.col("y1"))).withColumn("ty", F.col("y2") - (F.col("__s") * F.col("x1") + F.col("__c") * F.col("y1")))
+    return m.where((F.col("scale") > 0) & F.col("tx").isNotNull() & F.col("ty").isNotNull()).drop("__c", "__s")
 
 
 def hough_bins(moved: DataFrame, by: Sequence[str], *, levels: int = LEVELS, translation_bins: int = TRANSLATION_BINS, scale_bins: int = SCALE_BINS, angle_bins: int = ANGLE_BINS, max_image: float = MAX_IMAGE) -> DataFrame:
@@ -66,7 +67,8 @@ def hough_bins(moved: DataFrame, by: Sequence[str], *, levels: int = LEVELS, tra
 def best_bins(bins: DataFrame, by: Sequence[str], k: int = BEST) -> DataFrame:
     """The k bins of the highest score with their rank from 0; ties to the smaller bin."""
     order = Window.partitionBy(*by).orderBy(F.col("score").desc(), "ny", "nx", "ns", "na")
-    return bins.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < k)
+    # compared as it is numbered, so that the planner keeps the first k before the shuffle
+    return bins.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).withColumn("rank", F.col("rank") - 1)
 
 
 def _inlier(a: Column, b: Column, c: Column, d: Column, tx: Column, ty: Column, max_transfer: float, max_area: float) -> Column:
