@@ -96,12 +96,13 @@ def vote_and_verify(matches: DataFrame, by: Sequence[str], *, best: int = BEST,
     by = list(by)
     moved = materialize(transforms(matches))
     sizes = moved.groupBy(*by).agg(F.count("*").alias("matches"))
-    top = materialize(best_bins(hough_bins(moved, by), by, best))
-    c, s = F.col("t.scale") * F.cos("t.angle"), F.col("t.scale") * F.sin("t.angle")
+    turned = F.struct((F.col("scale") * F.cos("angle")).alias("c"), (F.col("scale") * F.sin("angle")).alias("s"), "tx", "ty").alias("t")
+    top = materialize(best_bins(hough_bins(moved, by), by, best).select(*by, "rank", turned))
+    c, s = F.col("t.c"), F.col("t.s")
     similar = _inlier(c, -s, s, c, F.col("t.tx"), F.col("t.ty"), max_transfer, max_area)
     given = moved.drop("scale", "angle", "tx", "ty")
-    tested = given.join(top.select(*by, "rank", F.struct("scale", "angle", "tx", "ty").alias("t")), by)
-    counted = tested.groupBy(*by, "rank").agg(F.count_if(similar).alias("inliers"), F.first("t").alias("t"))
+    # numbers only, as an aggregate that keeps structs sorts its rows
+    counted = given.join(top, by).groupBy(*by, "rank").agg(F.count_if(similar).alias("inliers")).join(top, [*by, "rank"])
     listed = counted.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("rank", "inliers", "t"))).alias("tried")).join(sizes, by)
 
     nothing = F.struct(F.lit(0).cast("long").alias("inliers"), F.lit(-1).alias("rank"), F.lit(2**62).cast("long").alias("trials"))
