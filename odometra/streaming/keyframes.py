@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +77,8 @@ def select_keyframes(rows: DataFrame, *, by: Sequence[str], order: str | Sequenc
 class KeyframeProcessor(StatefulProcessor):
     """Rows wait in state until the watermark has passed them, and are then folded in the order of their time.
 
-    State of a key: waiting rows (list), and where its fold stands (value). A timer is set at
+    State of a key: waiting rows (list, an entry per batch of rows as one Arrow stream, so that
+    rows aren't written and read one by one), and where its fold stands (value). A timer is set at
     the first waiting row; when it fires, all rows up to the watermark are folded, and the
     next timer is set. With nothing waiting and the watermark more than idle behind the last
     row, the key's state is cleared.
@@ -87,7 +89,7 @@ class KeyframeProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("rows", T.BinaryType())]))
         self.series = handle.getValueState("series", T.StructType([T.StructField("last", T.ArrayType(T.DoubleType())), T.StructField("gap", T.LongType()), T.StructField("time", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -95,7 +97,7 @@ class KeyframeProcessor(StatefulProcessor):
         for pdf in rows:
             if len(pdf):
                 pdf.columns = self.schema.names  # on the way here some names are replaced
-                self.waiting.appendList([tuple(map(_plain, r)) for r in pdf.itertuples(index=False, name=None)])
+                self.waiting.appendValue((_packed(pdf),))
                 first = int(pdf[_MICROS].min()) if first is None else min(first, int(pdf[_MICROS].min()))
         if first is not None:
             self._wake(first)
@@ -103,18 +105,18 @@ class KeyframeProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = pd.DataFrame(list(self.waiting.get()) if self.waiting.exists() else [], columns=self.schema.names)
+        rows = _unpacked([bytes(r[0]) for r in self.waiting.get()], self.schema.names)
         ready = rows[rows[_MICROS] <= passed].sort_values([_MICROS, *self.order], kind="stable")
         later = rows[rows[_MICROS] > passed]
         series = Series()
-        if self.series.exists():
-            last, gap, time = self.series.get()
+        if (held := self.series.get()) is not None:
+            last, gap, time = held
             series = Series(np.asarray(last, float), gap, time)
         chosen = [series.take(v, int(t), self.rule, self.idle) for v, t in zip(ready[self.vector], ready[_MICROS], strict=True)]
         if len(later):
-            self.waiting.put([tuple(map(_plain, r)) for r in later.itertuples(index=False, name=None)])
+            self.waiting.put([(_packed(later),)])
             self._wake(int(later[_MICROS].min()))
-        else:
+        elif len(ready):
             self.waiting.clear()
         if not len(later) and (series.time is None or series.time + self.idle < passed):
             self.series.clear()
@@ -131,15 +133,17 @@ class KeyframeProcessor(StatefulProcessor):
         return
 
 
-def _plain(value):
-    """What the state's encoder takes."""
-    if isinstance(value, np.ndarray):
-        return [_plain(v) for v in value]
-    if isinstance(value, np.generic):
-        return value.item()
-    if isinstance(value, pd.Timestamp):
-        return value.to_pydatetime()
-    return None if value is pd.NaT else value
+def _packed(rows: pd.DataFrame) -> bytes:
+    """Rows as one value of the state."""
+    table, out = pa.Table.from_pandas(rows, preserve_index=False).replace_schema_metadata(), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        stream.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(parts: list[bytes], names: Sequence[str]) -> pd.DataFrame:
+    tables = [pa.ipc.open_stream(p).read_all() for p in parts]
+    return pa.concat_tables(tables, promote_options="permissive").to_pandas() if tables else pd.DataFrame(columns=list(names))
 
 
 #: The state store that list states and timers need.

@@ -318,3 +318,15 @@ def test_lists_are_written_a_batch_of_items_at_a_time(spark, tmp_path):
         binary_model.write_model({**model, "images": model["images"].unionByName(model["images"].where("image_id = 5"))}, str(tmp_path / "twice"))
     with pytest.raises(Exception, match="doesn't fit"):
         binary_model.write_model({**model, "points2d": more.withColumn("point3d_id", F.lit(-1).cast("long"))}, str(tmp_path / "wide"))
+
+
+def test_waiting_rows_are_one_value_of_the_state_for_each_batch(spark, tmp_path):
+    rows = keyframe_rows(60, 1)
+    source = str(tmp_path / "in")
+    write_parts(spark, source, [rows])
+    run_stream(spark, tmp_path, source, "out")
+    write_parts(spark, source, [[(k, ts, i, v) for k, ts, i, v in keyframe_rows(100, 1)[60:]]], first=1)
+    run_stream(spark, tmp_path, source, "out")
+    waiting = spark.read.format("statestore").option("path", str(tmp_path / "c")).option("stateVarName", "waiting").load()
+    assert waiting.count() == 1  # some thirty rows of the last five minutes
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0
