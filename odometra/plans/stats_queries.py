@@ -172,9 +172,9 @@ def e36(spark, sf):
 
 @REGISTRY.add("e38_least_absolute")
 def e38(spark, sf):
-    """Per return flag and status: price per piece and what is left, least absolute deviations."""
+    """Per return flag and status: price per piece and what is left, least absolute deviations to the end."""
     li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", F.lit(1.0).alias("one"), (F.col("l_quantity") / 50).alias("quantity"), (F.col("l_extendedprice") / 100000).alias("price"))
-    got = S.least_absolute(li, by=["l_returnflag", "l_linestatus"], features=["one", "quantity"], target="price", rho=10.0, rounds=15)
+    got = S.least_absolute_exact(li, by=["l_returnflag", "l_linestatus"], features=["one", "quantity"], target="price")
     return got.select("l_returnflag", "l_linestatus", *[r6(F.get("x", F.lit(i))).alias(f"x{i}") for i in range(2)], r6("loss").alias("loss"), "converged")
 
 
